@@ -65,8 +65,8 @@ def pct(a: Column, b: Column, digits: int = 2) -> Column:
 
 
 def pct_text(value: Column, digits: int = 2) -> Column:
-    """A number as percentage text, such as ``12.50%``."""
-    return F.concat(F.format_string(f"%.{digits}f", value), F.lit("%"))
+    """A number as percentage text, such as ``12.50%``; halves go to the even digit."""
+    return F.concat(F.format_string(f"%.{digits}f", F.bround(value, digits)), F.lit("%"))
 
 
 def argmax_topic(mixture: Column) -> Column:

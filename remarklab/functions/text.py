@@ -75,10 +75,21 @@ def default_stopwords(language: str = "english") -> tuple[str, ...]:
     return tuple(StopWordsRemover.loadDefaultStopWords(language))
 
 
+@lru_cache(maxsize=16)
+def _literals(words: tuple[str, ...]) -> tuple[Column, ...]:
+    """Literal columns of a word list, made once: each costs a call to the JVM."""
+    return tuple(F.lit(w) for w in words)
+
+
+def is_in(token: Column, words) -> Column:
+    """Membership in a fixed word list; Spark turns it into a hash-set test."""
+    return token.isin(list(_literals(tuple(words))))
+
+
 def remove_stopwords(tokens: Column, words=None) -> Column:
     """Drop listed words, keeping order and repetitions; the list becomes a hash-set test."""
-    words = list(default_stopwords() if words is None else words)
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(words))
+    words = default_stopwords() if words is None else words
+    return F.filter(tokens, lambda t: ~is_in(F.lower(t), words))
 
 
 def strip_token(token: Column, min_left: int = 0) -> Column:
@@ -89,21 +100,19 @@ def strip_token(token: Column, min_left: int = 0) -> Column:
 
 def strip_punctuation(tokens: Column) -> Column:
     """Trim sentence punctuation from every token and drop the tokens left empty."""
-    return F.filter(F.transform(tokens, strip_token), lambda t: t != "")
+    return F.filter(F.transform(tokens, lambda t: strip_token(t)), lambda t: t != "")
 
 
 def keep_words(tokens: Column, words) -> Column:
     """Keep the tokens of a word list small enough to travel with the plan."""
-    return F.filter(tokens, lambda t: t.isin(list(words)))
+    return F.filter(tokens, lambda t: is_in(t, words))
 
 
 def has_keyword(tokens: Column, keywords, strip_punct: bool = False) -> Column:
     """True if any token equals a keyword, ignoring case; NULL tokens give false."""
-    listed = list(keywords)
-
     def hit(token: Column) -> Column:
         token = F.lower(token)
-        return (strip_token(token) if strip_punct else token).isin(listed)
+        return is_in(strip_token(token) if strip_punct else token, keywords)
 
     return F.coalesce(F.exists(tokens, hit), F.lit(False))
 

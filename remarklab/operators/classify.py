@@ -16,6 +16,7 @@ from ..config import DEFAULTS, Settings
 from ..functions.scores import bucketize_score
 from ..functions.text import remove_stopwords, tokenize
 from ..schema import c
+from ..session import cache_stage
 from .rows import drop_unknown, top_k, train_test_split
 
 
@@ -224,9 +225,14 @@ class Experiment:
     features: Features
     train: DataFrame
     test: DataFrame
+    rows: DataFrame
     models: dict = field(default_factory=dict)
     predictions: dict[str, DataFrame] = field(default_factory=dict)
 
+    def release(self) -> None:
+        """Free the kept input; predictions read later are computed from the source again."""
+        self.rows.unpersist()
+
 
 def run_experiment(
     df: DataFrame, settings: Settings = DEFAULTS, label: str = "sentiment_category", key: str = "id",
@@ -235,11 +241,12 @@ def run_experiment(
     """Label, split by key hash, fit the features on the training part, train, predict."""
     slim = prepare_labels_source(df, label)
     columns = [x for x in dict.fromkeys([key, label, "tokens_cleaned", "dominant_topic", *keep]) if x in slim.columns]
-    indexed, mapping = index_labels(slim.select(*[c(x) for x in columns]), label)
+    rows = cache_stage(slim.select(*[c(x) for x in columns]))
+    indexed, mapping = index_labels(rows, label)
     train, test = train_test_split(indexed, key, 1 - settings.test_ratio, settings.seed)
     features = fit_features(train, settings=settings)
-    run = Experiment(list(mapping.labels), features, train, test)
-    vectors = features.transform(train).select("features", "label").persist()
+    run = Experiment(list(mapping.labels), features, train, test, rows)
+    vectors = cache_stage(features.transform(train).select("features", "label"))
     try:
         if "naive_bayes" in models:
             run.models["naive_bayes"] = train_naive_bayes(vectors, settings.smoothing)

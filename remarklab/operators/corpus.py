@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS, Settings
 from ..functions.scores import safe_divide
-from ..functions.text import clean_text, keep_words, remove_stopwords, tokenize
+from ..functions.text import bind, clean_text, keep_words, remove_stopwords, tokenize
 from ..functions.times import epoch_to_text
-from ..schema import c
+from ..schema import c, compute_once
 from .joins import fits, tokens_in
 from .profile import describe
 from .rows import distinct_on, drop_empty, drop_null_result, head_samples, min_tokens
 
 
 def add_clean_text(df: DataFrame, col: str = "body", min_length: int = DEFAULTS.min_text_length) -> DataFrame:
-    return df.withColumn("cleaned_body", clean_text(c(col), min_length))
+    return compute_once(df, "cleaned_body", clean_text(c(col), min_length))
+
+
+def _tokens(text: Column, cleaned: bool = True) -> Column:
+    return bind(
+        tokenize(text, cleaned),
+        lambda raw: F.struct(raw.alias("tokens_raw"), remove_stopwords(raw).alias("tokens_cleaned")),
+    )
 
 
 def add_tokens(df: DataFrame, col: str = "cleaned_body", cleaned: bool = True) -> DataFrame:
-    raw = df.withColumn("tokens_raw", tokenize(c(col), cleaned))
-    return raw.withColumn("tokens_cleaned", remove_stopwords(F.col("tokens_raw")))
+    kept = [c(x) for x in df.columns if x not in ("tokens_raw", "tokens_cleaned")]
+    return compute_once(df, "__t", _tokens(c(col), cleaned)).select(*kept, "__t.*")
 
 
 def clean_corpus(
@@ -34,8 +41,15 @@ def clean_corpus(
     """
     unique = df if dedup_order is None else distinct_on(df, "id", list(dedup_order))
     timed = drop_empty(unique).withColumn("timestamp", epoch_to_text(c("created_utc")))
-    cleaned = drop_null_result(add_clean_text(timed, min_length=settings.min_text_length))
-    return min_tokens(add_tokens(cleaned), settings.min_tokens)
+    made = bind(
+        clean_text(c("body"), settings.min_text_length),
+        lambda text: bind(_tokens(text), lambda t: F.struct(
+            text.alias("cleaned_body"), t["tokens_raw"].alias("tokens_raw"),
+            t["tokens_cleaned"].alias("tokens_cleaned"),
+        )),
+    )
+    rows = compute_once(timed, "__x", made).select(*[c(x) for x in timed.columns], "__x.*")
+    return min_tokens(drop_null_result(rows), settings.min_tokens)
 
 
 def cleaning_funnel(
@@ -48,8 +62,9 @@ def cleaning_funnel(
     slim = df.select("id", *[x for x in dedup_order if x not in ("id", "body")], "body")
     row = F.struct(*[c(x) for x in dedup_order if x != "id"], c("body").alias("body"))
     unique = slim.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.min(row)["body"].alias("body"))
-    cleaned = unique.withColumn("filled", F.coalesce(F.col("body") != "", F.lit(False))).withColumn(
-        "cleaned_body", clean_text(F.col("body"), settings.min_text_length)
+    cleaned = add_clean_text(
+        unique.withColumn("filled", F.coalesce(F.col("body") != "", F.lit(False))),
+        min_length=settings.min_text_length,
     )
     tokens = remove_stopwords(tokenize(F.col("cleaned_body"), cleaned=True))
     flagged = cleaned.select(

@@ -21,8 +21,8 @@ def histogram(
     value = c(col).cast("double")
     low = F.lit(float(lo)) if lo is not None else df.agg(F.min(value)).scalar()
     high = F.lit(float(hi)) if hi is not None else df.agg(F.max(value)).scalar()
-    group = [c(by).alias(by)] if by else []
-    names = [by] if by else []
+    group = [c(by).alias("__by")] if by else []
+    names = ["__by"] if by else []
     bounded = (
         df.select(*group, value.alias("__v"))
         .withColumn("__lo", low)
@@ -46,7 +46,7 @@ def histogram(
     cells = F.array(*[F.coalesce(F.col(f"__b{i}"), F.lit(0).cast("bigint")) for i in range(bins)])
     out = packed.select(*names, "lo", "w", "total", F.posexplode(cells).alias("bin", "n"))
     return out.select(
-        *names,
+        *([F.col("__by").alias(by)] if by else []),
         "bin",
         F.round(F.col("lo") + F.col("bin") * F.col("w"), digits).alias("bin_start"),
         "n",
@@ -68,7 +68,7 @@ def exact_quantiles(
     just the values inside it (a few ten-thousandths of a large group, counted per distinct
     value) are ranked.
     """
-    name = by or "__all"
+    name = "__by"
     base = df.select((c(by) if by else F.lit(0)).alias(name), c(col).cast("double").alias("v")).filter(
         F.col("v").isNotNull()
     )
@@ -121,13 +121,12 @@ def exact_quantiles(
     pos = F.col("b.pos")
     out = ranked.groupBy(name, "b").agg(at(F.floor(pos)).alias("a"), at(F.ceil(pos)).alias("z"))
     value = F.col("a") + (pos - F.floor(pos)) * (F.col("z") - F.col("a"))
-    selected = out.select(F.col(name), F.col("b.p").alias("p"), value.alias("value"))
-    return selected if by else selected.drop(name)
+    return out.select(*([F.col(name).alias(by)] if by else []), F.col("b.p").alias("p"), value.alias("value"))
 
 
 def box_stats(df: DataFrame, col: str, by: str | None = None, digits: int = 6, approx: bool = False) -> DataFrame:
     """Quartiles, extremes and 1.5 x IQR whiskers, overall or per group."""
-    name = by or "__all"
+    name = "__by"
     base = df.select((c(by) if by else F.lit(0)).alias(name), c(col).cast("double").alias("v")).filter(
         F.col("v").isNotNull()
     )
@@ -161,8 +160,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, digits: int = 6, a
     )
     rounded = [F.round(F.col(x), digits).alias(x) for x in
                ("min", "q1", "median", "q3", "max", "whisker_low", "whisker_high")]
-    out = whiskers.select(name, "n", *rounded)
-    return out if by else out.drop(name)
+    return whiskers.select(*([F.col(name).alias(by)] if by else []), "n", *rounded)
 
 
 def score_density(

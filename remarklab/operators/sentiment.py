@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import DEFAULTS
 from ..functions.scores import bucketize_score
 from ..functions.text import bind, strip_token
-from ..schema import c
-from .joins import fits, lookup_join
+from ..schema import c, compute_once
+from .joins import lookup_join
 from .profile import describe
 from .rows import both_scores
 
@@ -87,18 +87,18 @@ def compound(total: Column, extra: Column) -> Column:
     )
 
 
-def _inline_entries(table: DataFrame) -> tuple[Column, int]:
+def _inline_entries(rows: list) -> tuple[Column, int]:
     """The lookup table as one constant: an array of small maps, addressed by token hash."""
-    size = max(table.count(), 1)
-    slots = 1 << (size - 1).bit_length()
+    slots = 1 << (max(len(rows), 1) - 1).bit_length()
     slotted: list[dict] = [{} for _ in range(slots)]
-    for r in table.withColumn("slot", F.pmod(F.xxhash64("token"), F.lit(slots))).collect():
-        slotted[r["slot"]][r["token"]] = {"valence": r["valence"], "boost": r["boost"], "negate": r["negate"]}
+    for r in rows:
+        entry = {"valence": r["valence"], "boost": r["boost"], "negate": r["negate"]}
+        slotted[r["hash"] % slots][r["token"]] = entry
     return F.from_json(F.lit(json.dumps(slotted)), f"array<map<string,{ENTRY}>>"), slots
 
 
-def _score_in_row(text: Column, table: DataFrame, but: str) -> Column:
-    slots_col, slots = _inline_entries(table)
+def _score_in_row(text: Column, rows: list, but: str) -> Column:
+    slots_col, slots = _inline_entries(rows)
 
     def lookup(all_slots: Column, token: Column) -> Column:
         return F.get(all_slots, F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))[token]
@@ -173,8 +173,10 @@ def lexicon_sentiment(
     and the sums per comment are joined back by ``key``, which must then be unique.
     """
     table = entries(lexicon, modifiers)
-    if fits(table, inline_rows):
-        return df.withColumn(out, _score_in_row(c(col), table, but))
+    # never more than one row beyond the limit reaches the driver
+    rows = table.withColumn("hash", F.xxhash64("token")).limit(inline_rows + 1).collect()
+    if len(rows) <= inline_rows:
+        return compute_once(df, out, _score_in_row(c(col), rows, but))
     sums = _score_by_join(df, table, col, key, but, max_rows)
     joined = df.join(sums, c(key) == F.col("__key"), "left")
     score = compound(F.coalesce(F.col("__total"), F.lit(0.0)), emphasis(c(col)))

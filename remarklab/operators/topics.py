@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import DEFAULTS, Settings
 from ..functions.scores import argmax_topic, max_topic_prob, safe_divide
 from ..schema import c
+from ..session import cache_stage
 from .features import TextVectors, fit_text_vectors
 from .profile import distribution
 from .rows import hash_sample, keyword_filter, min_tokens, top_k
@@ -52,17 +53,20 @@ def fit_lda(
 ) -> TopicModel:
     """LDA over TF-IDF vectors, or over raw counts with ``weights='counts'``.
 
-    Only the sparse vectors are kept between the iterations, not the text.
+    Tokens and sparse vectors are kept (memory, then disk) for the passes of the fits, not the text.
     """
-    slim = df.select(c(tokens).alias("tokens_cleaned"))
-    vectors = fit_text_vectors(slim, vocab_size, min_df)
+    slim = cache_stage(df.select(c(tokens).alias("tokens_cleaned")))
     column = "features" if weights == "tfidf" else "raw_features"
-    training = vectors.transform(slim).select(column).persist()
+    lda = LDA(featuresCol=column, topicDistributionCol="topic_distribution", k=k, maxIter=max_iter, seed=seed)
+    training = None
     try:
-        lda = LDA(featuresCol=column, topicDistributionCol="topic_distribution", k=k, maxIter=max_iter, seed=seed)
+        vectors = fit_text_vectors(slim, vocab_size, min_df)
+        training = cache_stage(vectors.transform(slim).select(column))
         return TopicModel(vectors, lda.fit(training))
     finally:
-        training.unpersist()
+        for kept in (training, slim):
+            if kept is not None:
+                kept.unpersist()
 
 
 def topic_assign(model: TopicModel, df: DataFrame) -> DataFrame:
@@ -98,7 +102,7 @@ def topic_terms(model: TopicModel, df: DataFrame, n: int = DEFAULTS.terms_per_to
 
 def topic_quality(model: TopicModel, df: DataFrame) -> DataFrame:
     """(log_perplexity, log_likelihood) of a corpus under the model."""
-    features = model.vectors.transform(df).select(model.lda.getFeaturesCol()).persist()
+    features = cache_stage(model.vectors.transform(df).select(model.lda.getFeaturesCol()))
     try:
         row = (float(model.lda.logPerplexity(features)), float(model.lda.logLikelihood(features)))
     finally:

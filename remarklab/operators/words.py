@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import bind, default_stopwords, strip_punctuation
-from ..schema import c
+from ..functions.text import bind, default_stopwords, keep_words, strip_punctuation
+from ..schema import c, compute_once
 from .rows import top_k, top_k_per_group
 
 
@@ -64,20 +64,17 @@ def detect_language(col: Column, profiles: dict[str, tuple[str, ...]] | None = N
     def best(ts: Column) -> Column:
         hits = F.array(
             *[
-                F.struct(
-                    F.size(F.filter(ts, lambda t, w=tuple(words): t.isin(list(w)))).alias("hits"),
-                    F.lit(code).alias("code"),
-                )
+                F.struct(F.size(keep_words(ts, words)).alias("hits"), F.lit(code).alias("code"))
                 for code, words in sorted(profiles.items(), reverse=True)
             ]
         )
-        return bind(hits, lambda h: F.reduce(h, h[0], lambda a, x: F.when(x["hits"] >= a["hits"], x).otherwise(a)))
+        return bind(hits, lambda h: F.reduce(h, F.get(h, F.lit(0)), lambda a, x: F.when(x["hits"] >= a["hits"], x).otherwise(a)))
 
     return bind(tokens, lambda ts: bind(best(ts), lambda b: F.when(b["hits"] > 0, b["code"])))
 
 
 def add_language(df: DataFrame, col: str = "body", out: str = "language") -> DataFrame:
-    return df.withColumn(out, detect_language(c(col)))
+    return compute_once(df, out, detect_language(c(col)))
 
 
 def language_distribution(df: DataFrame, col: str = "language") -> DataFrame:

@@ -46,6 +46,16 @@ def select_existing(df: DataFrame, columns) -> DataFrame:
     return df.select(*[c(name) for name in columns if name in present])
 
 
+def compute_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Add a costly column that later filters and projections must not evaluate again.
+
+    The optimizer pushes filters through a plain projection by copying its expressions into
+    them, even below an exchange. A generator of one element is a border that it leaves alone.
+    """
+    kept = [c(x) for x in df.columns if x != name]
+    return df.select(*kept, F.explode_outer(F.array(expr)).alias(name))
+
+
 def missing_columns(df: DataFrame, columns) -> list[str]:
     present = set(df.columns)
     return [name for name in columns if name not in present]

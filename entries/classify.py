@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from remarklab.config import Settings
 from remarklab.operators import classify as C
 from remarklab.operators import evaluate as E
-from remarklab.operators.features import tfidf
 
 from .common import COMMENTS, cleaned, cleaned_sql, comments, query
 from .text import VOCAB
@@ -135,8 +134,8 @@ def best_model_by_accuracy(spark, sf):
     return E.best_model(compare(spark, sf), "accuracy")
 
 
-@query("naive_bayes_closed_form", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{VOCAB.format(500, 5)},\n{LABELLED},
-w AS (SELECT id, term, tf * ln(((SELECT count(*) FROM cleaned) + 1) / (doc_count + 1)) AS x FROM tf JOIN vocab USING (term)),
+@query("naive_bayes_closed_form", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{LABELLED},\n{VOCAB.format(500, 5).replace('FROM cleaned', 'FROM labelled')},
+w AS (SELECT id, term, tf * ln(((SELECT count(*) FROM labelled) + 1) / (doc_count + 1)) AS x FROM tf JOIN vocab USING (term)),
 sums AS (SELECT sentiment_category AS label, term, sum(x) AS x FROM w JOIN labelled USING (id) GROUP BY 1, 2),
 sizes AS (SELECT sentiment_category AS label, count(*) AS n_c FROM labelled GROUP BY 1),
 words_seen AS (SELECT DISTINCT term FROM sums)
@@ -144,9 +143,7 @@ SELECT sizes.label, v.term, round(ln(n_c + 1) - ln((SELECT count(*) FROM labelle
   round(ln(coalesce(sums.x, 0) + 1) - ln((SELECT sum(x) FROM sums s2 WHERE s2.label = sizes.label) + (SELECT count(*) FROM words_seen)), 6) AS theta
 FROM sizes CROSS JOIN words_seen v LEFT JOIN sums ON sums.label = sizes.label AND sums.term = v.term""")
 def naive_bayes_closed_form(spark, sf):
-    df = cleaned(spark, sf)
-    labels = C.prepare_labels_source(df).select("id", F.col("sentiment_category").alias("label"))
-    return C.nb_params(tfidf(df, 500, 5), labels)
+    return C.nb_params(labelled(spark, sf), vocab_size=500, min_df=5)
 
 
 SMALL = Settings(num_trees=10, max_depth=5)

@@ -227,9 +227,9 @@ VOCAB = """tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(tokens
 vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS corpus_count, count(*) AS doc_count FROM tf GROUP BY 1 HAVING count(*) >= {1} ORDER BY 2 DESC, 1 LIMIT {0})"""
 
 
-@query("vocabulary", lambda: f"WITH {COMMENTS},\n{cleaned_sql()},\n{VOCAB.format(2000, 10)} SELECT * FROM vocab")
+@query("vocabulary", lambda: f"WITH {COMMENTS},\n{cleaned_sql()},\n{VOCAB.format(2000, 10)} SELECT *, round(ln(((SELECT count(*) FROM cleaned) + 1) / (doc_count + 1)), 6) AS idf FROM vocab")
 def vocabulary_rows(spark, sf):
-    return vocabulary(cleaned(spark, sf), 2000, 10)
+    return vocabulary(cleaned(spark, sf), 2000, 10).withColumn("idf", F.round("idf", 6))
 
 
 @query("tfidf", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{VOCAB.format(3000, 3)}

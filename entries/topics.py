@@ -11,6 +11,7 @@ from remarklab.operators import topics as T
 from remarklab.operators.density import box_stats
 from remarklab.operators.rows import top_k_per_group
 from remarklab.schema import c
+from remarklab.session import cache_stage
 
 from .common import COMMENTS, KEYWORDS, cleaned, cleaned_sql, comments, query, sql_strings, with_cleaned, with_comments
 
@@ -47,7 +48,8 @@ def fixed_terms(spark, sf):
     )
     top = top_k_per_group(counts, "topic", "n", "term", 15)
     total = F.sum("n").over(Window.partitionBy("topic"))
-    return top.select("topic", "rank", "term", F.round(F.col("n") / total, 8).alias("weight"))
+    # 75 rows that every operator below reads more than once
+    return cache_stage(top.select("topic", "rank", "term", F.round(F.col("n") / total, 8).alias("weight")))
 
 
 TERMS = f"""tt AS (SELECT topic, term, n, row_number() OVER (PARTITION BY topic ORDER BY n DESC, term) AS rank FROM (

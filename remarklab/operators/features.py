@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS
+from ..functions.text import bind
 from ..schema import c
 
 # a vocabulary of up to this many terms is broadcast
@@ -24,35 +25,50 @@ def term_frequency(df: DataFrame, tokens: str = "tokens_cleaned", key: str = "id
     )
 
 
-def vocabulary(
-    df: DataFrame, vocab_size: int = 3000, min_df: float = 1.0, tokens: str = "tokens_cleaned"
-) -> DataFrame:
-    """(term, corpus_count, doc_count): the most frequent terms found in at least min_df rows.
+def term_counts(df: DataFrame, tokens: str = "tokens_cleaned", by: list[str] = ()) -> DataFrame:
+    """(by ..., term, corpus_count, doc_count), and a row with term NULL that counts the rows.
 
-    A ``min_df`` below 1 is a share of all rows. Ties go to the alphabetically first term. Both
-    counts come from one explode of (term, occurrence or distinct mark), combined before the only
-    shuffle.
+    Occurrences, distinct terms of a row and the row itself are marks of one explode, combined on
+    the map side before the only shuffle, so no term or group is hot.
     """
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    marks = F.concat(
-        F.transform(c(tokens), lambda t: F.struct(t.alias("term"), one.alias("cf"), zero.alias("df"))),
-        F.transform(F.array_distinct(c(tokens)), lambda t: F.struct(t.alias("term"), zero.alias("cf"), one.alias("df"))),
-    )
-    counts = df.select(F.explode(marks).alias("x")).groupBy("x.term").agg(
-        F.sum("x.cf").alias("corpus_count"), F.sum("x.df").alias("doc_count")
+
+    def mark(term: Column, cf: Column, df_: Column) -> Column:
+        return F.struct(term.alias("term"), cf.alias("cf"), df_.alias("df"))
+
+    known = F.filter(F.coalesce(c(tokens), F.array().cast("array<string>")), lambda t: t.isNotNull())
+    marks = bind(known, lambda ts: F.concat(
+        F.transform(ts, lambda t: mark(t, one, zero)),
+        F.transform(F.array_distinct(ts), lambda t: mark(t, zero, one)),
+        F.array(mark(F.lit(None).cast("string"), zero, one)),
+    ))
+    keys = [c(x) for x in by]
+    return (
+        df.select(*keys, F.explode(marks).alias("x"))
+        .groupBy(*keys, "x.term")
+        .agg(F.sum("x.cf").alias("corpus_count"), F.sum("x.df").alias("doc_count"))
     )
-    if min_df < 1:
-        total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-        counts = counts.filter(F.col("doc_count") >= total * F.lit(float(min_df)))
-    else:
-        counts = counts.filter(F.col("doc_count") >= float(min_df))
-    return counts.orderBy(F.col("corpus_count").desc(), "term").limit(vocab_size)
 
 
-def inverse_document_frequency(vocab: DataFrame, documents: DataFrame) -> DataFrame:
-    """Adds idf = ln((m + 1) / (df + 1)) for m rows."""
-    m = documents.agg(F.count(F.lit(1)).alias("m")).scalar()
-    return vocab.withColumn("idf", F.log((m + 1).cast("double") / (F.col("doc_count") + 1)))
+def top_terms(counts: DataFrame, rows: Column, vocab_size: int, min_df: float) -> DataFrame:
+    """The most frequent terms of at least min_df rows, of counts over ``rows`` rows."""
+    bound = rows * float(min_df) if min_df < 1 else F.lit(float(min_df))
+    kept = counts.filter(F.col("term").isNotNull() & (F.col("doc_count") >= bound))
+    return kept.orderBy(F.col("corpus_count").desc(), "term").limit(vocab_size)
+
+
+def vocabulary(
+    df: DataFrame, vocab_size: int = 3000, min_df: float = 1.0, tokens: str = "tokens_cleaned"
+) -> DataFrame:
+    """(term, corpus_count, doc_count, idf): the most frequent terms of at least min_df rows.
+
+    A ``min_df`` below 1 is a share of all rows. Ties go to the alphabetically first term.
+    idf = ln((m + 1) / (doc_count + 1)) for m rows; m comes from the same counts.
+    """
+    counts = term_counts(df, tokens)
+    rows = counts.agg(F.max(F.when(F.col("term").isNull(), F.col("doc_count"))).alias("m")).scalar()
+    top = top_terms(counts, rows, vocab_size, min_df)
+    return top.withColumn("idf", F.log((rows + 1).cast("double") / (F.col("doc_count") + 1)))
 
 
 def tfidf(
@@ -63,7 +79,7 @@ def tfidf(
     Tokens outside the vocabulary are dropped by the join before the counts per row are shuffled.
     The vocabulary holds at most ``vocab_size`` rows, so its size is known before it is broadcast.
     """
-    terms = inverse_document_frequency(vocabulary(df, vocab_size, min_df, tokens), df).select("term", "idf")
+    terms = vocabulary(df, vocab_size, min_df, tokens).select("term", "idf")
     if vocab_size <= VOCABULARY_BROADCAST:
         terms = F.broadcast(terms)
     return (

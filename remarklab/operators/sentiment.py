@@ -10,11 +10,10 @@ A lexicon is a table (token, valence); modifiers are a table (token, kind, weigh
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS
+from ..functions.lookup import few_rows, with_word_map
 from ..functions.scores import bucketize_score
 from ..functions.text import bind, strip_token
 from ..schema import c, compute_once
@@ -31,7 +30,7 @@ EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MANY_QUESTIONS = 0.18, 0.96
 NORMALISER = 15.0
 
-ENTRY = "struct<valence:double,boost:double,negate:boolean>"
+ENTRY = {"valence": "double", "boost": "double", "negate": "boolean"}
 
 
 def entries(lexicon: DataFrame, modifiers: DataFrame) -> DataFrame:
@@ -87,22 +86,7 @@ def compound(total: Column, extra: Column) -> Column:
     )
 
 
-def _inline_entries(rows: list) -> tuple[Column, int]:
-    """The lookup table as one constant: an array of small maps, addressed by token hash."""
-    slots = 1 << (max(len(rows), 1) - 1).bit_length()
-    slotted: list[dict] = [{} for _ in range(slots)]
-    for r in rows:
-        entry = {"valence": r["valence"], "boost": r["boost"], "negate": r["negate"]}
-        slotted[r["hash"] % slots][r["token"]] = entry
-    return F.from_json(F.lit(json.dumps(slotted)), f"array<map<string,{ENTRY}>>"), slots
-
-
 def _score_in_row(text: Column, rows: list, but: str) -> Column:
-    slots_col, slots = _inline_entries(rows)
-
-    def lookup(all_slots: Column, token: Column) -> Column:
-        return F.get(all_slots, F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))[token]
-
     def valence(ctx: Column, i: Column) -> Column:
         before = F.array(
             *[
@@ -119,18 +103,15 @@ def _score_in_row(text: Column, rows: list, but: str) -> Column:
         )
         return F.reduce(F.transform(hits, lambda i: valence(ctx, i)), F.lit(0.0), lambda a, v: a + v)
 
-    def found(base: Column) -> Column:
-        return F.struct(
-            F.transform(base["t"], lambda t: lookup(base["s"], t)).alias("e"),
-            (F.array_position(base["t"], but).cast("int") - 1).alias("but"),
-        )
+    def score(lookup) -> Column:
+        tokens = F.transform(F.split(text, " "), lambda t: strip_token(t, 2))
+        found = bind(tokens, lambda ts: F.struct(
+            F.transform(ts, lambda t: lookup(t)).alias("e"),
+            (F.array_position(ts, but).cast("int") - 1).alias("but"),
+        ))
+        return bind(found, lambda ctx: compound(total(ctx), emphasis(text)))
 
-    tokens = F.transform(F.split(text, " "), lambda t: strip_token(t, 2))
-    score = bind(
-        F.struct(slots_col.alias("s"), tokens.alias("t")),
-        lambda base: bind(found(base), lambda ctx: compound(total(ctx), emphasis(text))),
-    )
-    return F.when(text.isNotNull(), score)
+    return F.when(text.isNotNull(), with_word_map(rows, ENTRY, score))
 
 
 def _score_by_join(
@@ -173,9 +154,8 @@ def lexicon_sentiment(
     and the sums per comment are joined back by ``key``, which must then be unique.
     """
     table = entries(lexicon, modifiers)
-    # never more than one row beyond the limit reaches the driver
-    rows = table.withColumn("hash", F.xxhash64("token")).limit(inline_rows + 1).collect()
-    if len(rows) <= inline_rows:
+    rows = few_rows(table, inline_rows)
+    if rows is not None:
         return compute_once(df, out, _score_in_row(c(col), rows, but))
     sums = _score_by_join(df, table, col, key, but, max_rows)
     joined = df.join(sums, c(key) == F.col("__key"), "left")

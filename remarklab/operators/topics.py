@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULTS, Settings
 from ..functions.scores import argmax_topic, max_topic_prob, safe_divide
@@ -186,24 +186,20 @@ def topic_similarity(terms: DataFrame, k: int, n: int = 10, digits: int = 6) ->
         .groupBy("topic", "w")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    df_counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    weights = words.join(df_counts, "w").select(
-        "topic", "w", (F.col("tf") * (F.log(F.lit(1.0 + k) / (1 + F.col("df"))) + 1)).alias("x")
+    # k x n rows in all from here on
+    same_word, same_topic = Window.partitionBy("w"), Window.partitionBy("topic")
+    x = F.col("tf") * (F.log(F.lit(1.0 + k) / (1 + F.count(F.lit(1)).over(same_word))) + 1)
+    weights = words.withColumn("x", x)
+    unit = weights.select("topic", "w", (F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(same_topic))).alias("x"))
+    # every topic's words look for their weight in each other topic: an equi join on (topic, word)
+    left = unit.select(
+        F.col("topic").alias("topic_a"), "w", F.col("x").alias("xa"),
+        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("topic_b"),
     )
-    norms = weights.groupBy("topic").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    unit = weights.join(norms, "topic").select("topic", "w", (F.col("x") / F.col("norm")).alias("x"))
-    # equi self join on the term; a term occurs at most once per topic, so at most k x k x n rows
-    dots = (
-        unit.select(F.col("topic").alias("topic_a"), "w", F.col("x").alias("xa"))
-        .join(unit.select(F.col("topic").alias("topic_b"), "w", F.col("x").alias("xb")), "w")
-        .groupBy("topic_a", "topic_b")
-        .agg(F.sum(F.col("xa") * F.col("xb")).alias("s"))
-    )
-    grid = terms.select(F.col("topic").alias("topic_a")).distinct().withColumn(
-        "topic_b", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    )
-    return grid.join(dots, ["topic_a", "topic_b"], "left").select(
-        "topic_a", "topic_b", F.round(F.coalesce("s", F.lit(0.0)), digits).alias("similarity")
+    right = unit.select(F.col("topic").alias("topic_b"), "w", F.col("x").alias("xb"))
+    dot = F.sum(F.coalesce(F.col("xa") * F.col("xb"), F.lit(0.0)))
+    return left.join(right, ["topic_b", "w"], "left").groupBy("topic_a", "topic_b").agg(
+        F.round(dot, digits).alias("similarity")
     )
 
 

@@ -35,7 +35,7 @@ def word_frequency_by(
 
 def raw_word_frequency(df: DataFrame, top_n: int = 100, col: str = "body") -> DataFrame:
     """Frequent words of uncleaned text: split at white space, keep letters and digits."""
-    word = F.regexp_replace("word", "[^a-zA-Z0-9]", "")
+    word = F.regexp_replace("word", r"\P{Alnum}+", "")
     counts = (
         df.select(F.explode(F.split(F.lower(c(col)), r"\s+")).alias("word"))
         .groupBy("word")

@@ -118,6 +118,27 @@ def has_keyword(tokens: Column, keywords, strip_punct: bool = False) -> Column:
     return F.coalesce(F.exists(tokens, hit), F.lit(False))
 
 
+def term_counts_of(tokens: Column) -> Column:
+    """The distinct tokens of an array with their numbers: array of (term, tf), terms ascending.
+
+    Sorting the array puts equal tokens side by side; a term counts from its first place to that
+    of the next term. Nothing leaves the row.
+    """
+
+    def counted(s: Column) -> Column:
+        first = F.filter(
+            F.transform(s, lambda t, i: F.when((i == 0) | (F.get(s, i - 1) != t), i)), lambda i: i.isNotNull()
+        )
+        return bind(first, lambda at: F.transform(
+            at,
+            lambda p, j: F.struct(
+                F.get(s, p).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(s)) - p).cast("bigint").alias("tf")
+            ),
+        ))
+
+    return bind(F.sort_array(F.filter(tokens, lambda t: t.isNotNull())), counted)
+
+
 def token_count(tokens: Column) -> Column:
     return F.size(tokens)
 

@@ -153,31 +153,29 @@ def nb_params(
     """
     s = F.lit(float(smoothing))
     counts = term_counts(df, tokens, [label]).withColumnRenamed(label, "label")
-    sizes = counts.agg(
-        F.collect_list(
-            F.when(F.col("term").isNull(), F.struct(F.col("label"), F.col("doc_count").alias("n_c")))
-        ).alias("cs")
-    ).scalar()
     per_term = counts.groupBy("term").agg(
         F.sum("corpus_count").alias("corpus_count"),
         F.sum("doc_count").alias("doc_count"),
         # one entry per class
-        F.map_from_entries(F.collect_list(F.struct("label", "corpus_count"))).alias("per_class"),
+        F.map_from_entries(F.collect_list(F.struct("label", F.struct("corpus_count", "doc_count")))).alias("per_class"),
     )
-    rows = F.aggregate("cs", F.lit(0).cast("bigint"), lambda a, x: a + x["n_c"])
-    total = counts.agg(F.sum(F.when(F.col("term").isNull(), F.col("doc_count"))).alias("m")).scalar()
-    # vocab_size x classes rows from here on
-    top = top_terms(per_term, total, vocab_size, min_df).withColumn("cs", sizes)
+    # vocab_size + 1 rows, then one per class: the row of term NULL holds the class sizes
+    everywhere = Window.partitionBy()
+    is_mark = F.col("term").isNull()
+    top = top_terms(per_term, vocab_size, min_df).withColumns(
+        {
+            "classes": F.first(F.when(is_mark, F.col("per_class")), ignorenulls=True).over(everywhere),
+            "n": F.max(F.when(is_mark, F.col("doc_count"))).over(everywhere),
+        }
+    ).filter(~is_mark)
+    idf = F.log((F.col("n") + 1).cast("double") / (F.col("doc_count") + 1))
+    in_label = F.element_at("per_class", F.col("label"))["corpus_count"]
     grid = top.select(
-        "term",
-        F.log((rows + 1).cast("double") / (F.col("doc_count") + 1)).alias("idf"),
-        rows.alias("n"),
-        F.size("cs").alias("k"),
-        "per_class",
-        F.explode("cs").alias("x"),
+        "term", "n", "per_class", idf.alias("idf"), F.size("classes").alias("k"),
+        F.explode("classes").alias("label", "size"),
     ).select(
-        F.col("x.label").alias("label"), "term", "n", "k", F.col("x.n_c").alias("n_c"),
-        (F.coalesce(F.element_at("per_class", F.col("x.label")), F.lit(0).cast("bigint")) * F.col("idf")).alias("w_ct"),
+        "label", "term", "n", "k", F.col("size.doc_count").alias("n_c"),
+        (F.coalesce(in_label, F.lit(0).cast("bigint")) * F.col("idf")).alias("w_ct"),
     )
     in_class = Window.partitionBy("label")
     w_c, terms = F.sum("w_ct").over(in_class), F.count(F.lit(1)).over(in_class)

@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULTS
-from ..functions.text import bind
+from ..functions.text import term_counts_of
 from ..schema import c
 
 # a vocabulary of up to this many terms is broadcast
@@ -17,44 +17,37 @@ VOCABULARY_BROADCAST = DEFAULTS.broadcast_rows
 
 
 def term_frequency(df: DataFrame, tokens: str = "tokens_cleaned", key: str = "id") -> DataFrame:
-    """(key, term, tf) in long form."""
-    return (
-        df.select(c(key), F.explode(c(tokens)).alias("term"))
-        .groupBy(c(key), "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """(key, term, tf) in long form, counted inside each row: no shuffle."""
+    return df.select(c(key), F.explode(term_counts_of(c(tokens))).alias("x")).select(c(key), "x.term", "x.tf")
 
 
 def term_counts(df: DataFrame, tokens: str = "tokens_cleaned", by: list[str] = ()) -> DataFrame:
     """(by ..., term, corpus_count, doc_count), and a row with term NULL that counts the rows.
 
-    Occurrences, distinct terms of a row and the row itself are marks of one explode, combined on
-    the map side before the only shuffle, so no term or group is hot.
+    Rows bring their distinct terms with counts, and one mark for themselves; these are combined
+    on the map side before the only shuffle, so no term or group is hot.
     """
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-
-    def mark(term: Column, cf: Column, df_: Column) -> Column:
-        return F.struct(term.alias("term"), cf.alias("cf"), df_.alias("df"))
-
-    known = F.filter(F.coalesce(c(tokens), F.array().cast("array<string>")), lambda t: t.isNotNull())
-    marks = bind(known, lambda ts: F.concat(
-        F.transform(ts, lambda t: mark(t, one, zero)),
-        F.transform(F.array_distinct(ts), lambda t: mark(t, zero, one)),
-        F.array(mark(F.lit(None).cast("string"), zero, one)),
-    ))
+    row_mark = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf")))
+    marks = F.concat(F.coalesce(term_counts_of(c(tokens)), F.slice(row_mark, 1, 0)), row_mark)
     keys = [c(x) for x in by]
     return (
         df.select(*keys, F.explode(marks).alias("x"))
         .groupBy(*keys, "x.term")
-        .agg(F.sum("x.cf").alias("corpus_count"), F.sum("x.df").alias("doc_count"))
+        .agg(F.sum("x.tf").alias("corpus_count"), F.count(F.lit(1)).alias("doc_count"))
     )
 
 
-def top_terms(counts: DataFrame, rows: Column, vocab_size: int, min_df: float) -> DataFrame:
-    """The most frequent terms of at least min_df rows, of counts over ``rows`` rows."""
-    bound = rows * float(min_df) if min_df < 1 else F.lit(float(min_df))
-    kept = counts.filter(F.col("term").isNotNull() & (F.col("doc_count") >= bound))
-    return kept.orderBy(F.col("corpus_count").desc(), "term").limit(vocab_size)
+def top_terms(counts: DataFrame, vocab_size: int, min_df: float) -> DataFrame:
+    """The most frequent terms of at least min_df rows, and the row with term NULL, which leads.
+
+    At most ``vocab_size`` + 1 rows. A ``min_df`` below 1 is a share of all rows.
+    """
+    is_mark = F.col("term").isNull()
+    bound = F.lit(float(min_df))
+    if min_df < 1:
+        bound = counts.agg(F.max(F.when(is_mark, F.col("doc_count")))).scalar() * float(min_df)
+    kept = counts.filter(is_mark | (F.col("doc_count") >= bound))
+    return kept.orderBy(is_mark.desc(), F.col("corpus_count").desc(), "term").limit(vocab_size + 1)
 
 
 def vocabulary(
@@ -62,13 +55,14 @@ def vocabulary(
 ) -> DataFrame:
     """(term, corpus_count, doc_count, idf): the most frequent terms of at least min_df rows.
 
-    A ``min_df`` below 1 is a share of all rows. Ties go to the alphabetically first term.
-    idf = ln((m + 1) / (doc_count + 1)) for m rows; m comes from the same counts.
+    Ties go to the alphabetically first term. idf = ln((m + 1) / (doc_count + 1)) for m rows; m
+    comes along with the terms, so the corpus is read once.
     """
-    counts = term_counts(df, tokens)
-    rows = counts.agg(F.max(F.when(F.col("term").isNull(), F.col("doc_count"))).alias("m")).scalar()
-    top = top_terms(counts, rows, vocab_size, min_df)
-    return top.withColumn("idf", F.log((rows + 1).cast("double") / (F.col("doc_count") + 1)))
+    top = top_terms(term_counts(df, tokens), vocab_size, min_df)
+    # a window over the vocab_size + 1 rows of the limit
+    m = F.max(F.when(F.col("term").isNull(), F.col("doc_count"))).over(Window.partitionBy())
+    idf = F.log((F.col("__m") + 1).cast("double") / (F.col("doc_count") + 1))
+    return top.withColumn("__m", m).filter(F.col("term").isNotNull()).withColumn("idf", idf).drop("__m")
 
 
 def tfidf(
@@ -76,17 +70,16 @@ def tfidf(
 ) -> DataFrame:
     """(key, term, tf, tfidf) over the vocabulary, in long form.
 
-    Tokens outside the vocabulary are dropped by the join before the counts per row are shuffled.
-    The vocabulary holds at most ``vocab_size`` rows, so its size is known before it is broadcast.
+    Terms are counted inside their row and meet the vocabulary in a broadcast join, so only the
+    vocabulary itself needs a shuffle. It holds at most ``vocab_size`` rows, which is checked
+    before it is broadcast.
     """
     terms = vocabulary(df, vocab_size, min_df, tokens).select("term", "idf")
     if vocab_size <= VOCABULARY_BROADCAST:
         terms = F.broadcast(terms)
     return (
-        df.select(c(key), F.explode(c(tokens)).alias("term"))
+        term_frequency(df, tokens, key)
         .join(terms, "term")
-        .groupBy(c(key), "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
         .select(c(key), "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scores import bucketize_length, bucketize_score, safe_divide
 from ..functions.times import year_month, year_of
@@ -97,18 +97,22 @@ def length_bucket_counts(df: DataFrame, col: str = "body") -> DataFrame:
     return count_by(df, bucketize_length(F.length(c(col))), "length_range")
 
 
-def with_share(counts: DataFrame, n: str = "n", digits: int = 2) -> DataFrame:
+def with_share(counts: DataFrame, n: str = "n", digits: int = 2, few_groups: bool = True) -> DataFrame:
     """Adds each row's percentage of the total of an aggregated frame.
 
-    The total is a scalar subquery over the same aggregate, whose shuffle Spark reuses.
+    ``few_groups`` says that the key is a class column, whose counts one task may add up; else
+    the total is a scalar subquery.
     """
-    total = counts.agg(F.sum(c(n)).alias("t")).scalar()
+    if few_groups:
+        total = F.sum(c(n)).over(Window.partitionBy())
+    else:
+        total = counts.agg(F.sum(c(n)).alias("t")).scalar()
     return counts.withColumn("percentage", share(c(n), total, digits))
 
 
-def distribution(df: DataFrame, key: str) -> DataFrame:
+def distribution(df: DataFrame, key: str, few_groups: bool = True) -> DataFrame:
     counts = df.groupBy(c(key).alias(key)).agg(F.count(F.lit(1)).alias("n"))
-    return with_share(counts).orderBy(F.col("n").desc(), c(key))
+    return with_share(counts, few_groups=few_groups).orderBy(F.col("n").desc(), c(key))
 
 
 def average_length(df: DataFrame, col: str = "body", digits: int = 6) -> DataFrame:

@@ -42,20 +42,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None
 
 def comments(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id" if spread else None)
-    n = F.col("doc_id")
-    return d.select(
-        F.lit("comment").alias("type"),
-        n.cast("string").alias("id"),
-        F.concat(F.lit("t5_"), F.col("source")).alias("subreddit.id"),
-        F.col("source").alias("subreddit.name"),
-        (n % 41 == 0).alias("subreddit.nsfw"),
-        (F.lit(1262304000).cast("bigint") + (n * 2654435761) % 400000000).alias("created_utc"),
-        F.concat(F.lit("/c/"), n.cast("string")).alias("permalink"),
-        F.when(n % 101 == 0, F.lit(None)).when(n % 103 == 0, F.lit("")).otherwise(F.col("text")).alias("body"),
-        F.when(n % 97 == 0, F.lit(None).cast("double"))
-        .otherwise(((n * 37) % 2001 - 1000).cast("double") / 1000)
-        .alias("sentiment"),
-        (n % 50 - 5).cast("int").alias("score"),
+    return d.selectExpr(
+        "'comment' AS type",
+        "CAST(doc_id AS STRING) AS id",
+        "concat('t5_', source) AS `subreddit.id`",
+        "source AS `subreddit.name`",
+        "doc_id % 41 = 0 AS `subreddit.nsfw`",
+        "1262304000L + (doc_id * 2654435761L) % 400000000 AS created_utc",
+        "concat('/c/', CAST(doc_id AS STRING)) AS permalink",
+        "CASE WHEN doc_id % 101 = 0 THEN NULL WHEN doc_id % 103 = 0 THEN '' ELSE text END AS body",
+        "CASE WHEN doc_id % 97 = 0 THEN NULL ELSE CAST((doc_id * 37) % 2001 - 1000 AS DOUBLE) / 1000 END AS sentiment",
+        "CAST(doc_id % 50 - 5 AS INT) AS score",
         "lang",
     )
 

@@ -64,6 +64,18 @@ def keyword_filter_stripped(spark, sf):
     )
 
 
+@query("keyword_table_filter", lambda: f"""WITH {COMMENTS}, {cleaned_sql()},
+tok AS (SELECT id, unnest(tokens_cleaned) AS token FROM cleaned),
+words AS (SELECT DISTINCT trim(event_type) AS token FROM events UNION SELECT DISTINCT lower(unnest(string_split(text, ' '))) FROM conversations)
+SELECT id, len(tokens_cleaned) AS token_count FROM cleaned WHERE id IN (SELECT id FROM tok JOIN words USING (token))""")
+def keyword_table_filter(spark, sf):
+    said = table(spark, sf, "conversations").select(F.explode(F.split(F.lower("text"), " ")).alias("token"))
+    words = said.union(table(spark, sf, "events").select(F.trim("event_type").alias("token")))
+    return R.keyword_filter(cleaned(spark, sf), words, inline_rows=1000).select(
+        "id", F.size("tokens_cleaned").cast("bigint").alias("token_count")
+    )
+
+
 @query("drop_unknown", with_comments("""SELECT id, CASE WHEN sentiment > 0.1 THEN 'Positive' WHEN sentiment < -0.1 THEN 'Negative'
        ELSE 'Neutral' END AS label FROM comments WHERE sentiment IS NOT NULL"""))
 def drop_unknown(spark, sf):

@@ -7,8 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, CountVectorizerModel, IndexToString, OneHotEncoder, StringIndexer,
-    StringIndexerModel, VectorAssembler,
+    CountVectorizerModel, IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler,
 )
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -17,7 +16,7 @@ from ..functions.scores import bucketize_score
 from ..functions.text import remove_stopwords, tokenize
 from ..schema import c
 from ..session import cache_stage
-from .features import term_counts, top_terms
+from .features import fit_text_vectors, term_counts, top_terms
 from .rows import drop_unknown, top_k, train_test_split
 
 
@@ -98,21 +97,13 @@ def fit_features(
     sized = (vocab_size, min_df)
     if vocab_size is None or min_df is None:
         sized = sized_vocabulary(train.count(), settings)
+    text = fit_text_vectors(train, vocab_size or sized[0], sized[1] if min_df is None else min_df, out="tfidf_features")
     topics = _topic_stages(train, topic, "topic_features")
-    text = [
-        CountVectorizer(
-            inputCol="tokens_cleaned", outputCol="raw_features",
-            vocabSize=vocab_size or sized[0], minDF=float(min_df if min_df is not None else sized[1]),
-        ),
-        IDF(inputCol="raw_features", outputCol="tfidf_features"),
-    ]
     inputs = ["tfidf_features", *(["topic_features"] if topics else [])]
-    stages = [*text, *topics, VectorAssembler(inputCols=inputs, outputCol="features")]
-    model = Pipeline(stages=stages).fit(train)
-    features = Features(model, len(topics) and train.select(c(topic)).distinct().count())
-    if not features.vocabulary:
-        raise ValueError("empty vocabulary: lower min_df")
-    return features
+    rest = Pipeline(stages=[*topics, VectorAssembler(inputCols=inputs, outputCol="features")])
+    fitted = rest.fit(text.transform(train))
+    width = len(fitted.stages[0].labels) if topics else 0
+    return Features(PipelineModel(stages=[*text.model.stages, *fitted.stages]), width)
 
 
 def train_naive_bayes(train: DataFrame, smoothing: float = DEFAULTS.smoothing, prediction: str = "prediction"):

@@ -58,6 +58,18 @@ def histogram(
 SKETCH_ACCURACY = 10_000
 
 
+def _attach(df: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
+    """Add the columns of a one-row-per-group frame; of a single row where there is no grouping.
+
+    The join has no hint: the planner broadcasts the groups' rows if they are small enough.
+    """
+    if by:
+        return df.join(per_group, "__by")
+    names = [x for x in per_group.columns if x != "__by"]
+    row = per_group.select(F.struct(*names).alias("x")).scalar()
+    return df.withColumn("__one", row).select(*df.columns, *[F.col("__one")[x].alias(x) for x in names])
+
+
 def exact_quantiles(
     df: DataFrame, col: str, probabilities: list[float], by: str | None = None,
 ) -> DataFrame:
@@ -99,8 +111,7 @@ def exact_quantiles(
     )
     # value counts first: map-side combined, so repeated values of a hot group stay cheap
     counts = base.groupBy(name, "v").agg(F.count(F.lit(1)).alias("n"))
-    # no hint: the planner broadcasts the brackets if their groups are few
-    placed = counts.join(brackets, name).select(
+    placed = _attach(counts, brackets, by).select(
         name, "v", "n", F.explode(F.filter("br", lambda b: F.col("v") <= b["hi"])).alias("b")
     )
     inside = F.col("v") >= F.col("b.lo")
@@ -136,7 +147,8 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, digits: int = 6, a
               for a, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
         )
     else:
-        q = exact_quantiles(base, "v", [0.25, 0.5, 0.75], name).groupBy(name).agg(
+        long = exact_quantiles(base, "v", [0.25, 0.5, 0.75], name if by else None)
+        q = (long if by else long.withColumn(name, F.lit(0))).groupBy(name).agg(
             *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(a)
               for a, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
         )
@@ -145,7 +157,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, digits: int = 6, a
     )
     whiskers = (
         base.groupBy(name, "v").agg(F.count(F.lit(1)).alias("n"))
-        .join(fences, name)
+        .transform(_attach, fences, by)
         .groupBy(name)
         .agg(
             F.sum("n").alias("n"),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULTS
@@ -98,21 +98,31 @@ class TextVectors:
         return self.model.transform(df)
 
 
+def fit_count_vectors(
+    df: DataFrame, vocab_size: int, min_df: float, tokens: str = "tokens_cleaned", out: str = "raw_features",
+) -> CountVectorizerModel:
+    """Bag-of-words vectors over ``vocabulary``.
+
+    The fit of CountVectorizer leaves the order of equally frequent terms open, so that seeds
+    would not reproduce a model; the vocabulary here is ordered by count and term. An empty one
+    is refused rather than left to a later fit.
+    """
+    # at most vocab_size terms, which the model holds on the driver in any case
+    top = vocabulary(df, max(int(vocab_size), 1), min_df, tokens).select("term", "corpus_count").collect()
+    words = [r["term"] for r in sorted(top, key=lambda r: (-r["corpus_count"], r["term"]))]
+    if not words:
+        raise ValueError(f"no term occurs in at least {min_df} rows: lower min_df")
+    return CountVectorizerModel.from_vocabulary(words, inputCol=tokens, outputCol=out)
+
+
 def fit_text_vectors(
     df: DataFrame, vocab_size: int, min_df: float, tokens: str = "tokens_cleaned",
     counts: str = "raw_features", out: str = "features",
 ) -> TextVectors:
-    """CountVectorizer and IDF; an empty vocabulary is refused here rather than by a later fit."""
-    pipeline = Pipeline(
-        stages=[
-            CountVectorizer(inputCol=tokens, outputCol=counts, vocabSize=max(int(vocab_size), 1), minDF=float(min_df)),
-            IDF(inputCol=counts, outputCol=out),
-        ]
-    )
-    model = TextVectors(pipeline.fit(df))
-    if not model.vocabulary:
-        raise ValueError(f"no term occurs in at least {min_df} rows: lower min_df")
-    return model
+    """Bag-of-words and IDF stages, fitted on the rows."""
+    bag = fit_count_vectors(df, vocab_size, min_df, tokens, counts)
+    idf = IDF(inputCol=counts, outputCol=out).fit(bag.transform(df))
+    return TextVectors(PipelineModel(stages=[bag, idf]))
 
 
 def hashing_tfidf(

@@ -6,8 +6,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import has_keyword, shorten
+from ..config import DEFAULTS
+from ..functions.lookup import few_rows, with_word_set
+from ..functions.text import has_keyword, shorten, strip_token
 from ..schema import c, quoted, select_existing
+from .joins import tokens_in
 
 __all__ = [
     "select_existing", "drop_empty", "drop_null_result", "min_tokens", "keyword_filter",
@@ -30,10 +33,27 @@ def min_tokens(df: DataFrame, n: int = 5, col: str = "tokens_cleaned") -> DataFr
 
 
 def keyword_filter(
-    df: DataFrame, keywords, col: str = "tokens_cleaned", strip_punct: bool = False
+    df: DataFrame, keywords, col: str = "tokens_cleaned", strip_punct: bool = False, key: str = "id",
+    inline_rows: int = DEFAULTS.inline_rows,
 ) -> DataFrame:
-    """Rows with at least one keyword among their tokens; a hash-set test without a join."""
-    return df.filter(has_keyword(c(col), keywords, strip_punct))
+    """Rows with at least one keyword among their tokens, ignoring case.
+
+    A list is a hash-set test inside the row, and so is a (lower-case) keyword table of up to
+    ``inline_rows`` rows. A larger table is joined to the tokens and its hits to the rows by key.
+    """
+    if not isinstance(keywords, DataFrame):
+        return df.filter(has_keyword(c(col), keywords, strip_punct))
+
+    def prepared(token: Column) -> Column:
+        return strip_token(F.lower(token)) if strip_punct else F.lower(token)
+
+    rows = few_rows(keywords.select("token").distinct(), inline_rows)
+    if rows is not None:
+        test = with_word_set(rows, lambda known: F.exists(c(col), lambda t: known(prepared(t))))
+        return df.filter(F.coalesce(test, F.lit(False)))
+    words = df.select(c(key), F.transform(c(col), lambda t: prepared(t)).alias("__words"))
+    hits = tokens_in(words, keywords, "__words", key).select(c(key)).distinct()
+    return df.join(hits, key, "left_semi")
 
 
 def drop_unknown(df: DataFrame, col: str = "sentiment_category") -> DataFrame:
@@ -123,6 +143,10 @@ def train_test_split(
     return df.filter(in_train), df.filter(~in_train)
 
 
+# so many rows one task may sort
+EDGE_ROWS = 1_000_000
+
+
 def exact_sample(
     df: DataFrame, key: str | list[str], fraction: float | None = None, n: int | None = None,
     seed: int = 42,
@@ -131,7 +155,7 @@ def exact_sample(
 
     No sort of the sample: a histogram over hash prefixes finds the prefix in which the n-th row
     lies, the prefixes below it are taken whole, and only that prefix is refined, four hash
-    digits at a time. Rows of equal key are told apart by a hash of the whole row, and copies
+    digits at a time, until at most ``EDGE_ROWS`` rows are left to rank. Rows of equal key are told apart by a hash of the whole row, and copies
     equal in every column are counted, so no step gathers a hot key in one task.
     """
     if n is None:
@@ -146,10 +170,10 @@ def exact_sample(
         group = F.substring(hash_name, start, 4)
         # at most 65,536 rows
         counts = left.groupBy(group.alias("g")).count().orderBy("g").collect()
-        below, edge = 0, None
+        below, edge, at_edge = 0, None, 0
         for r in counts:
             if below + r["count"] > n:
-                edge = r["g"]
+                edge, at_edge = r["g"], r["count"]
                 break
             below += r["count"]
         sure = left if edge is None else left.filter(group < edge)
@@ -158,9 +182,11 @@ def exact_sample(
             return out
         n -= below
         left = left.filter(group == edge)
+        if at_edge <= EDGE_ROWS:
+            break
     if n <= 0:
         return out
-    # what is left agrees in 16 hash digits: copies of one row, up to chance
+    # what is left is few rows, or agrees in 16 hash digits: copies of one row, up to chance
     copies = left.groupBy(*[c(x) for x in left.columns]).count()
     upto = F.sum("count").over(
         Window.orderBy("__k", "__r").rowsBetween(Window.unboundedPreceding, Window.currentRow)

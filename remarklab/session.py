@@ -24,7 +24,7 @@ def get_session(app_name: str = "remarklab", **conf: str) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names; a temporary one only in local mode."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -46,13 +46,17 @@ def cache_stage(df: DataFrame, durable: bool = False) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# an input of up to this many splits (of 128 MB by default) counts as small
+SMALL_SPLITS = 16
+
+
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input of fewer splits than cores over all cores; leave larger inputs alone.
+    """Spread the scan of a small input over all cores; leave any other input alone.
 
     A single small Parquet file is one task however costly the text work on it is. The exchange
-    moves at most a few splits; an input with as many splits as cores is returned unchanged.
+    moves at most ``SMALL_SPLITS`` splits. Meant for plain scans: it asks for their split count.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores <= 1 or df.rdd.getNumPartitions() >= cores:
+    if cores <= 1 or df.rdd.getNumPartitions() >= min(cores, SMALL_SPLITS):
         return df
     return df.repartition(cores, *keys)

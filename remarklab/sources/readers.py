@@ -44,7 +44,8 @@ def read_comments_csv_split(
     Every record starts with the same constant first field, so a line break followed by it
     separates records, and Spark can split a file there. A body may contain that text too; it
     then leaves pieces with an odd number of quotes. The files that hold such pieces are found
-    first and read whole, the others in splits, so the result is exact either way.
+    first and read whole, the others in splits, so the result is exact either way (as long as no
+    id is itself the word that starts records or the header).
     """
     separator = "\n" + record_start
     pieces = spark.read.option("lineSep", separator).text(path).select(
@@ -59,7 +60,7 @@ def read_comments_csv_split(
     record = F.when(
         F.col("value").startswith(header_start) | F.col("value").startswith(record_start), F.col("value")
     ).otherwise(F.concat(first_field, F.col("value")))
-    record = F.regexp_replace(record, r"\r?\n$", "")
+    record = F.regexp_replace(record, r"[\r\n]+$", "")
     options = {"escape": '"', "quote": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     full = _with_corrupt(schema)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)

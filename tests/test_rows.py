@@ -61,6 +61,21 @@ def test_top_k_per_group_beyond_the_window_limit(spark):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
+def test_exact_sample_refines_large_edges(spark, monkeypatch):
+    monkeypatch.setattr(R, "EDGE_ROWS", 0)
+    test_exact_sample_is_exact_with_hot_and_equal_rows(spark)
+
+
+def test_keyword_tables(spark):
+    df = spark.createDataFrame([("1", ["Ice."]), ("2", ["sea"]), ("3", []), ("4", None)], "id string, tokens_cleaned array<string>")
+    words = spark.createDataFrame([("ice",), ("sea",), ("sea",)], "token string")
+    for strip, want in ((False, ["2"]), (True, ["1", "2"])):
+        listed = R.keyword_filter(df, ["ice", "sea"], strip_punct=strip)
+        inline, joined = (R.keyword_filter(df, words, strip_punct=strip, inline_rows=n) for n in (10, 0))
+        for out in (listed, inline, joined):
+            assert sorted(r.id for r in out.collect()) == want
+
+
 def test_lookup_join_salts_large_tables(spark):
     left = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("token"))
     table = spark.createDataFrame([("hot", 1), ("7", 2), ("none", 3)], "token string, v int")
@@ -93,6 +108,11 @@ def test_exact_quantiles_of_a_large_skewed_group(spark):
         for p, q in zip(ps, r.q):
             assert abs(got[(r.g, p)] - q) < 1e-9
     assert len(got) == 14
+    overall = {r.p: r.value for r in D.exact_quantiles(df, "v", ps).collect()}
+    whole = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("q")).first().q
+    assert all(abs(overall[p] - q) < 1e-9 for p, q in zip(ps, whole))
+    box = D.box_stats(df, "v").first()
+    assert abs(box.median - round(whole[3], 6)) < 1e-6 and box.n == 60002
 
 
 def test_histogram_edges_and_empty(spark):

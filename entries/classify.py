@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from remarklab.config import Settings
 from remarklab.operators import classify as C
 from remarklab.operators import evaluate as E
+from remarklab.sources import sinks
 
 from .common import COMMENTS, cleaned, cleaned_sql, comments, query
 from .text import VOCAB
@@ -59,6 +60,13 @@ PREDICTED = """pred AS (SELECT id, CAST(doc_id % 3 AS DOUBLE) AS label,
   CAST(CASE WHEN doc_id % 7 = 0 THEN 0 WHEN doc_id % 3 = 2 THEN 0 ELSE doc_id % 3 END AS DOUBLE) AS other FROM comments)"""
 
 
+@query("sample_predictions", f"""WITH {COMMENTS},\n{PREDICTED} SELECT id, body, label, prediction FROM pred JOIN (
+  SELECT id, body FROM comments) USING (id) ORDER BY id LIMIT 1000""")
+def sample_predictions(spark, sf):
+    rows = comments(spark, sf, False).select("id", "body").join(predictions(spark, sf), "id")
+    return sinks.sample_predictions(rows, ["id", "body", "label", "prediction"])
+
+
 def per_class(prediction: str = "prediction") -> str:
     return f"""k AS (SELECT unnest([0.0, 1.0, 2.0])::DOUBLE AS class),
 cls AS (SELECT class, count(*) FILTER (label = class) AS support, count(*) FILTER ({prediction} = class) AS predicted,

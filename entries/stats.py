@@ -54,6 +54,14 @@ def completeness(spark, sf):
     return P.completeness(comments(spark, sf, False))
 
 
+@query("verify_stage", COMPLETE + " UNION ALL ".join(
+    f"SELECT '{x}' AS column_name, count({x}) AS non_null, count(*) AS n FROM labels" for x in ("doc_id", "quality", "toxic")) + ")")
+def verify_stage(spark, sf):
+    from remarklab.sources.sinks import verify_stage as verify
+
+    return verify(spark, f"{sf}/labels.parquet")
+
+
 def sql_describe(name: str, value: str, source: str) -> str:
     return (
         f"SELECT '{name}' AS column_name, count({value}) AS n, round(avg({value}), 6) AS mean, "

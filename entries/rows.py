@@ -104,6 +104,13 @@ def distinct_on(spark, sf):
     return R.distinct_on(turns(spark, sf), "id", ["created_utc"]).withColumnRenamed("subreddit.name", "role")
 
 
+@query("distinct_on_narrow", f"""WITH {TURNS} SELECT id, "subreddit.name" AS role, created_utc, body, sentiment, score FROM turns
+       QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_utc) = 1""")
+def distinct_on_narrow(spark, sf):
+    out = R.distinct_on(turns(spark, sf), "id", ["created_utc"], narrow=True)
+    return out.withColumnRenamed("subreddit.name", "role")
+
+
 @query("head_samples", with_comments("""SELECT column_name, CAST(sample_no AS INTEGER) AS sample_no,
        CASE WHEN length(value) > 100 THEN substring(value, 1, 100) || '...' ELSE value END AS value FROM (
          SELECT 'permalink' AS column_name, row_number() OVER (ORDER BY id) AS sample_no, permalink AS value FROM comments

@@ -12,7 +12,7 @@ from ..functions.times import epoch_to_text
 from ..schema import c, compute_once
 from .joins import tokens_in
 from .profile import describe
-from .rows import distinct_on, drop_empty, drop_null_result, head_samples, min_tokens
+from .rows import distinct_on, drop_empty, drop_null_result, head_samples, min_tokens, tie_break
 
 
 def add_clean_text(df: DataFrame, col: str = "body", min_length: int = DEFAULTS.min_text_length) -> DataFrame:
@@ -32,15 +32,16 @@ def add_tokens(df: DataFrame, col: str = "cleaned_body", cleaned: bool = True) -
 
 
 def clean_corpus(
-    df: DataFrame, settings: Settings = DEFAULTS, dedup_order: tuple[str, ...] | None = ("created_utc",)
+    df: DataFrame, settings: Settings = DEFAULTS, dedup_order: tuple[str, ...] | None = ("created_utc",),
+    narrow_dedup: bool = True,
 ) -> DataFrame:
     """De-duplicate, drop empty texts, add time, clean, tokenise, drop short comments.
 
-    One lazy plan with a single shuffle (the de-duplication). Filters that do not depend on
-    the chosen copy run after it: an empty first copy must still win over a later one.
-    ``dedup_order=None`` promises distinct ids and skips that shuffle.
+    Only the de-duplication shuffles, by default just the rows whose id is repeated; all else
+    happens inside the row. Empty texts go after it: an empty first copy still wins over a later
+    one. ``dedup_order=None`` promises distinct ids.
     """
-    unique = df if dedup_order is None else distinct_on(df, "id", list(dedup_order))
+    unique = df if dedup_order is None else distinct_on(df, "id", list(dedup_order), narrow=narrow_dedup)
     timed = drop_empty(unique).withColumn("timestamp", epoch_to_text(c("created_utc")))
     made = bind(
         clean_text(c("body"), settings.min_text_length),
@@ -57,21 +58,30 @@ def cleaning_funnel(
 ) -> DataFrame:
     """Rows left after every cleaning step, rows removed by it and the share of all rows left.
 
-    One pass: each distinct comment carries its number of copies and one flag per step.
+    One pass. Every row gets one flag per step; the shuffle by id carries the flags of the copy
+    that de-duplication keeps and the number of copies, but no text.
     """
-    slim = df.select("id", *[x for x in dedup_order if x not in ("id", "body")], "body")
-    row = F.struct(*[c(x) for x in dedup_order if x != "id"], c("body").alias("body"))
-    unique = slim.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.min(row)["body"].alias("body"))
-    cleaned = add_clean_text(
-        unique.withColumn("filled", F.coalesce(F.col("body") != "", F.lit(False))),
-        min_length=settings.min_text_length,
+    order = [x for x in dedup_order if x != "id"]
+    made = bind(clean_text(c("body"), settings.min_text_length), lambda text: F.struct(
+        text.isNotNull().alias("cleaned"),
+        F.coalesce(
+            F.size(remove_stopwords(tokenize(text, cleaned=True))) >= max(settings.min_tokens, 1), F.lit(False)
+        ).alias("enough"),
+    ))
+    slim = df.select(
+        "id", *[c(x) for x in order], tie_break(df, "id", order).alias("__tie"),
+        F.coalesce(c("body") != "", F.lit(False)).alias("__filled"), made.alias("__made"),
     )
-    tokens = remove_stopwords(tokenize(F.col("cleaned_body"), cleaned=True))
-    flagged = cleaned.select(
-        "copies",
-        "filled",
-        (F.col("filled") & F.col("cleaned_body").isNotNull()).alias("cleaned"),
-        F.coalesce(F.size(tokens) >= max(settings.min_tokens, 1), F.lit(False)).alias("enough"),
+    row = F.struct(*[c(x) for x in order], "__tie", "__filled", "__made")
+    flagged = (
+        slim.groupBy("id")
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(row).alias("row"))
+        .select(
+            "copies",
+            F.col("row.__filled").alias("filled"),
+            (F.col("row.__filled") & F.col("row.__made.cleaned")).alias("cleaned"),
+            F.col("row.__made.enough").alias("enough"),
+        )
     )
     steps = ("raw", "deduplicated", "non_empty", "cleaned", "tokenised")
     counts = flagged.agg(

@@ -125,10 +125,15 @@ def compare_models(metrics: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def best_model(comparison: DataFrame, by: str = "f1") -> DataFrame:
-    """The row of the highest metric; ties go to the alphabetically last model name.
+def best_model(comparison: DataFrame, by: str = "f1", ties: str | None = None) -> DataFrame:
+    """The row of the highest metric; ties go to the alphabetically first or last model name.
 
-    (With the usual two models a tie on F1 goes to the random forest.)
+    By default the last one on F1 (of the usual two, the random forest) and the first on accuracy.
     """
-    row = F.struct(F.col(by).alias("value"), "model", *METRICS)
-    return comparison.agg(F.max(row).alias("x")).select("x.model", *[f"x.{m}" for m in METRICS])
+    names = F.struct("model", *METRICS)
+    value = F.col(by)
+    if (ties or ("first" if by == "accuracy" else "last")) == "first":
+        best = F.min(F.struct((-value).alias("value"), names.alias("row")))
+    else:
+        best = F.max(F.struct(value.alias("value"), names.alias("row")))
+    return comparison.agg(best.alias("x")).select("x.row.*")

@@ -10,7 +10,8 @@ from ..config import DEFAULTS
 from ..functions.lookup import few_rows, with_word_set
 from ..functions.text import has_keyword, shorten, strip_token
 from ..schema import c, quoted, select_existing
-from .joins import tokens_in
+from ..session import cache_stage
+from .joins import fits, tokens_in
 
 __all__ = [
     "select_existing", "drop_empty", "drop_null_result", "min_tokens", "keyword_filter",
@@ -74,14 +75,36 @@ def both_scores(
     return out if n is None else out.orderBy(c(order)).limit(n)
 
 
-def distinct_on(df: DataFrame, key: str, order: list[str], keep: str = "first") -> DataFrame:
-    """One row per key: the first (or last) one in ``order``, other columns breaking ties.
+def tie_break(df: DataFrame, key: str, order) -> Column:
+    """A fixed order among rows of equal key and order columns: a hash of all other columns."""
+    return F.xxhash64(*[c(x) for x in df.columns if x != key and x not in order])
+
+
+def distinct_on(
+    df: DataFrame, key: str, order: list[str], keep: str = "first", narrow: bool = False,
+    max_rows: int = DEFAULTS.broadcast_rows,
+) -> DataFrame:
+    """One row per key: the first (or last) one in ``order``, ties decided by ``tie_break``.
 
     An aggregate of the whole row rather than a window, so each task reduces its rows to one per
     key before the shuffle and a key with very many copies costs no more than any other.
+
+    ``narrow=True`` is for tables whose keys mostly occur once: a first look at the key column
+    alone finds the repeated keys, and unless these are more than ``max_rows`` only their rows
+    are shuffled. All other rows, and so nearly all the text, stay where they are.
     """
+    if narrow:
+        repeated = cache_stage(
+            df.groupBy(c(key).alias("__key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__key")
+        )
+        if fits(repeated, max_rows):
+            same = c(key).eqNullSafe(F.col("__key"))
+            once = df.join(F.broadcast(repeated), same, "left_anti")
+            often = df.join(F.broadcast(repeated), same, "left_semi")
+            return once.unionByName(distinct_on(often, key, order, keep))
+        repeated.unpersist()
     rest = [name for name in df.columns if name != key and name not in order]
-    row = F.struct(*[c(name) for name in [*order, *rest]])
+    row = F.struct(*[c(x) for x in order], tie_break(df, key, order).alias("__tie"), *[c(x) for x in rest])
     pick = F.min if keep == "first" else F.max
     picked = df.groupBy(c(key)).agg(pick(row).alias("__row"))
     return picked.select(

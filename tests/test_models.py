@@ -112,6 +112,9 @@ def test_best_model_ties(spark):
     table = spark.createDataFrame(rows, "model string, accuracy double, f1 double, precision double, recall double")
     assert E.best_model(table, "f1").first().model == "random_forest"
     assert E.best_model(table, "accuracy").first().model == "naive_bayes"
+    even = table.withColumn("accuracy", F.lit(0.9))
+    assert E.best_model(even, "accuracy").first().model == "naive_bayes"
+    assert E.best_model(even, "accuracy", "last").first().model == "random_forest"
 
 
 def test_experiment(spark, docs, tmp_path):

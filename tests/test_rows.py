@@ -11,11 +11,16 @@ from remarklab.schema import COMMENT_SCHEMA, select_existing
 
 def test_distinct_on_order_and_ties(spark):
     df = spark.createDataFrame(
-        [("a", 2, "late"), ("a", 1, "b"), ("a", 1, "a"), ("b", 5, None), (None, 1, "x"), (None, 0, "y")],
+        [("a", 2, "late"), ("a", 1, "b"), ("a", 1, "a"), ("b", 5, None), (None, 1, "x"), (None, 0, "y"), ("c", 1, "z")],
         "id string, t int, body string",
     )
-    got = {r.id: (r.t, r.body) for r in R.distinct_on(df, "id", ["t"]).collect()}
-    assert got == {"a": (1, "a"), "b": (5, None), None: (0, "y")}
+    results = []
+    for options in ({}, {"narrow": True}, {"narrow": True, "max_rows": 1}):
+        for parts in (1, 7):
+            got = {r.id: (r.t, r.body) for r in R.distinct_on(df.repartition(parts), "id", ["t"], **options).collect()}
+            assert got["a"][0] == 1 and got["b"] == (5, None) and got[None] == (0, "y") and len(got) == 4
+            results.append(got)
+    assert all(r == results[0] for r in results)
     last = {r.id: r.body for r in R.distinct_on(df, "id", ["t"], keep="last").collect()}
     assert last["a"] == "late"
 

@@ -138,7 +138,7 @@ def exact_sample(spark, sf):
     return R.exact_sample(comments(spark, sf, False).select("id", "score"), "id", 0.1)
 
 
-@query("train_test_split", with_comments("""SELECT id, CASE WHEN substring(md5(id || ':42'), 1, 8) < 'cccccccc'
+@query("train_test_split", with_comments("""SELECT id, CASE WHEN substring(md5(id || ':42:split'), 1, 8) < 'cccccccc'
        THEN 'train' ELSE 'test' END AS split FROM comments"""))
 def train_test_split(spark, sf):
     train, test = R.train_test_split(comments(spark, sf, False).select("id"), "id", 0.8)
@@ -151,7 +151,7 @@ def train_test_split_random(spark, sf):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
-@query("split_label_distribution", with_comments("""SELECT CASE WHEN substring(md5(id || ':42'), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split,
+@query("split_label_distribution", with_comments("""SELECT CASE WHEN substring(md5(id || ':42:split'), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split,
        CASE WHEN sentiment > 0.1 THEN 'Positive' WHEN sentiment < -0.1 THEN 'Negative' ELSE 'Neutral' END AS label,
        count(*) AS n FROM comments WHERE sentiment IS NOT NULL GROUP BY 1, 2"""))
 def split_labels(spark, sf):

@@ -65,7 +65,7 @@ SIZES = "SELECT dominant_topic, count(*) AS n FROM topical GROUP BY 1"
 
 
 @query("topic_corpus", with_cleaned(f"""SELECT id FROM cleaned WHERE list_has_any(tokens_cleaned, [{sql_strings(KEYWORDS)}])
-       AND substring(md5(id || ':42'), 1, 8) < '{int(0.3 * 16**8):08x}'"""))
+       AND substring(md5(id || ':42:topics'), 1, 8) < '{int(0.3 * 16**8):08x}'"""))
 def topic_corpus(spark, sf):
     return T.topic_corpus(cleaned(spark, sf), keywords=KEYWORDS).select("id")
 

@@ -138,9 +138,12 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFram
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def _key_hash(key: str | list[str], seed: int) -> Column:
+def _key_hash(key: str | list[str], seed: int, purpose: str | None = None) -> Column:
+    """Hash of key and seed. Selections made one after the other need different purposes: rows
+    kept by a first cut at some hash value would all lie on one side of a later cut."""
     names = [key] if isinstance(key, str) else list(key)
-    return F.md5(F.concat_ws(":", *[c(n).cast("string") for n in names], F.lit(str(seed))))
+    extra = [F.lit(purpose)] if purpose else []
+    return F.md5(F.concat_ws(":", *[c(n).cast("string") for n in names], F.lit(str(seed)), *extra))
 
 
 def _hex_bound(fraction: float) -> str:
@@ -148,11 +151,16 @@ def _hex_bound(fraction: float) -> str:
     return format(min(int(fraction * 16**8), 16**8 - 1), "08x")
 
 
-def hash_sample(df: DataFrame, key: str | list[str], fraction: float, seed: int = 42) -> DataFrame:
-    """Rows whose key hash falls into the given share: the same rows under any partitioning."""
+def hash_sample(
+    df: DataFrame, key: str | list[str], fraction: float, seed: int = 42, purpose: str | None = None
+) -> DataFrame:
+    """Rows whose key hash falls into the given share: the same rows under any partitioning.
+
+    A sample of a sample must name another ``purpose`` (or seed) to be independent of the first.
+    """
     if fraction >= 1:
         return df
-    return df.filter(F.substring(_key_hash(key, seed), 1, 8) < _hex_bound(fraction))
+    return df.filter(F.substring(_key_hash(key, seed, purpose), 1, 8) < _hex_bound(fraction))
 
 
 def train_test_split(
@@ -162,7 +170,7 @@ def train_test_split(
     if mode == "random":
         first, second = df.randomSplit([train, 1 - train], seed=seed)
         return first, second
-    in_train = F.substring(_key_hash(key, seed), 1, 8) < _hex_bound(train)
+    in_train = F.substring(_key_hash(key, seed, "split"), 1, 8) < _hex_bound(train)
     return df.filter(in_train), df.filter(~in_train)
 
 

@@ -29,7 +29,7 @@ def topic_corpus(
         strip_punct=strip_punct,
     )
     fraction = settings.topic_sample_fraction if fraction is None else fraction
-    return hash_sample(rows, key, fraction, settings.seed)
+    return hash_sample(rows, key, fraction, settings.seed, purpose="topics")
 
 
 @dataclass(frozen=True)

@@ -103,16 +103,17 @@ def test_all_stages(spark, sf, tmp_path):
     source = comments(spark, sf).drop("lang")
     source.coalesce(1).write.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
     settings = Settings(
-        sample_fraction=1.0, keywords=KEYWORDS, topic_sample_fraction=1.0, topic_min_df=3.0, topic_iterations=2,
+        sample_fraction=0.9, keywords=KEYWORDS, topic_sample_fraction=0.8, topic_min_df=3.0, topic_iterations=2,
         num_topics=3, num_trees=3, max_depth=3, group_min_size=2,
     )
     ctx = Context(spark, Paths(str(tmp_path / "csv"), str(tmp_path / "work")), settings, lexicon(spark), modifiers(spark))
     results = run_stages(ctx)
     assert [r.stage for r in results] == list(STAGES) and all(r.success for r in results), [r.error for r in results]
     metrics = {r.stage: r.metrics for r in results}
-    assert metrics["extraction"]["sampled_rows"] == 200
+    assert 150 < metrics["extraction"]["sampled_rows"] < 200
     assert metrics["topics"]["num_topics"] == 3
-    assert metrics["classification"]["best_model"]["model"] in ("naive_bayes", "random_forest")
+    best = metrics["classification"]["best_model"]
+    assert best["model"] in ("naive_bayes", "random_forest") and best["accuracy"] > 0
     stored = spark.read.parquet(ctx.paths.stage("sentiment"))
     assert "subreddit.name" in stored.columns and stored.count() == metrics["cleaning"]["final_records"]
     report = stages_report(spark, results).collect()

@@ -42,6 +42,10 @@ def test_samples_do_not_depend_on_partitions(spark):
     train, test = R.train_test_split(df, "id")
     assert train.count() + test.count() == 2000 and train.intersect(test).count() == 0
     assert 1500 < train.count() < 1700
+    # selections made one after the other stay independent
+    again = R.hash_sample(R.hash_sample(df, "id", 0.5), "id", 0.5, purpose="topics")
+    first, second = R.train_test_split(again, "id")
+    assert 400 < again.count() < 600 and 0.7 < first.count() / again.count() < 0.9 and second.count() > 0
 
 
 def test_exact_sample_is_exact_with_hot_and_equal_rows(spark):

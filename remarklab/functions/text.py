@@ -28,23 +28,37 @@ def clean_text(col: Column, min_length: int = 10) -> Column:
     Texts with fewer than ``min_length`` characters left become NULL.
     """
     text = F.lower(col)
-    text = F.regexp_replace(text, URL_PATTERN, "")
-    text = F.regexp_replace(text, USER_PATTERN, "")
-    text = F.regexp_replace(text, GROUP_PATTERN, "")
+    text = _remove(text, URL_PATTERN, "://", "www.")
+    text = _remove(text, USER_PATTERN, "/u/")
+    text = _remove(text, GROUP_PATTERN, "/r/")
     text = F.replace(text, F.lit("&gt;"), F.lit(""))
     text = F.replace(text, F.lit("&lt;"), F.lit(""))
     text = F.replace(text, F.lit("&amp;"), F.lit("and"))
-    text = F.regexp_replace(text, TAG_PATTERN, "")
+    text = _remove(text, TAG_PATTERN, "<")
     # a run of other characters and white space becomes one space
     text = F.trim(F.regexp_replace(text, NOT_PLAIN_PATTERN, " "))
     return bind(text, lambda t: F.when(F.length(t) >= min_length, t))
 
 
+def _remove(text: Column, pattern: str, *needles: str) -> Column:
+    """Remove a pattern, skipping the regex for texts without any of the strings it needs."""
+
+    def removed(t: Column) -> Column:
+        needed = t.contains(needles[0])
+        for needle in needles[1:]:
+            needed = needed | t.contains(needle)
+        return F.when(needed, F.regexp_replace(t, pattern, "")).otherwise(t)
+
+    return bind(text, removed)
+
+
 def clean_text_strict(col: Column) -> Column:
     """Letters only: also drops mentions, hashtags, digits and punctuation; never NULLs a text."""
     text = F.lower(col)
-    for pattern in (URL_PATTERN, MENTION_PATTERN, HASHTAG_PATTERN, TAG_PATTERN, DIGIT_PATTERN,
-                    NOT_LETTER_PATTERN):
+    text = _remove(text, URL_PATTERN, "://", "www.")
+    for pattern, needle in ((MENTION_PATTERN, "@"), (HASHTAG_PATTERN, "#"), (TAG_PATTERN, "<")):
+        text = _remove(text, pattern, needle)
+    for pattern in (DIGIT_PATTERN, NOT_LETTER_PATTERN):
         text = F.regexp_replace(text, pattern, "")
     return F.trim(F.regexp_replace(text, SPACE_PATTERN, " "))
 

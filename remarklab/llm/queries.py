@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remarklab.llm import byte_bpe, secret_scan
+from remarklab.llm import byte_bpe, license_scan, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,26 @@ def op8_secret_scan(spark, sf_dir):
         *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
         secret_scan.joined(F.col("secrets")).alias("spans"))
+
+
+@query
+def op6_simhash(spark, sf_dir):
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, distance=3).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_license_scan(spark, sf_dir):
+    """License phrases and notices of every text."""
+    found = license_scan.scan_documents(documents(spark, sf_dir), keep=["doc_id"])
+    starts = F.transform("places", lambda p: p["start"].cast("bigint"))
+    base = F.transform("places", lambda p: p["label"])
+    more = F.transform(F.filter("notices", lambda n: n["best"]), lambda n: n["label"])
+    listed = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        listed(base).alias("base_labels"), listed(F.concat(base, more)).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(
+            F.coalesce(F.array_max(F.transform("notices", lambda n: n["containment"])), F.lit(0.0))).alias("score"))

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 # rows that one Arrow batch holds at most, and bytes of text that a function gets at once
 BATCH_ROWS = 512
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 _SHIPPED: set[str] = set()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remarklab.llm import byte_bpe, license_scan, secret_scan, simhash
+from remarklab.llm import byte_bpe, decontaminate, license_scan, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,11 @@ def op9_license_scan(spark, sf_dir):
         listed(base).alias("base_labels"), listed(F.concat(base, more)).alias("labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(
             F.coalesce(F.array_max(F.transform("notices", lambda n: n["containment"])), F.lit(0.0))).alias("score"))
+
+
+@query
+def op5_decontamination(spark, sf_dir):
+    """Documents that hold benchmark items, with the share of the item's windows."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark).select(
+        "doc_id", "item_id", "n_windows", "matched", "share", "reworded").distinct()

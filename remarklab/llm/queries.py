@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remarklab.llm import byte_bpe, decontaminate, license_scan, secret_scan, simhash
+from remarklab.llm import byte_bpe, decontaminate, language, license_scan, secret_scan, simhash
+from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +75,14 @@ def op5_decontamination(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contaminated(documents(spark, sf_dir), benchmark).select(
         "doc_id", "item_id", "n_windows", "matched", "share", "reworded").distinct()
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    """Language of every text, learned from two thirds of the documents."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    counts = language.train(docs.where(remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language.identify(rows, counts, keep=["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "lang_pred", "score", "bits_per_byte")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remarklab.llm import byte_bpe, decontaminate, language, license_scan, secret_scan, simhash
+from remarklab.llm import byte_bpe, decontaminate, language, lattice_lm, license_scan, secret_scan, simhash
 from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,12 @@ def op2_language_id(spark, sf_dir):
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return language.identify(rows, counts, keep=["doc_id", "held_out"]).select(
         "doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+@query
+def op7_lattice_lm(spark, sf_dir):
+    """Subword-lattice and word-count log probabilities of every text."""
+    pieces = lattice_lm.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lattice_lm.score_documents(documents(spark, sf_dir), pieces, remainder("doc_id", 10) != 0)
+    held_out = F.coalesce(remainder("doc_id", 10) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

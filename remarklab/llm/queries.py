@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remarklab.llm import byte_bpe, decontaminate, language, lattice_lm, license_scan, secret_scan, simhash
+from remarklab.llm import byte_bpe, decontaminate, language, lattice_lm, license_scan, secret_scan, simhash, suffix_dedup
 from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,12 @@ def op7_lattice_lm(spark, sf_dir):
     scored = lattice_lm.score_documents(documents(spark, sf_dir), pieces, remainder("doc_id", 10) != 0)
     held_out = F.coalesce(remainder("doc_id", 10) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    """Repeated passages of 100 bytes in all texts: what is removed and what stays."""
+    cleaned = suffix_dedup.remove_repeats(documents(spark, sf_dir), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cleaned.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                          F.sha2("kept", 256).alias("kept_sha256"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remarklab.llm import byte_bpe, decontaminate, language, lattice_lm, license_scan, secret_scan, simhash, suffix_dedup
+from remarklab.llm import (
+    byte_bpe, decontaminate, language, lattice_lm, license_scan, native, pii, secret_scan, simhash, suffix_dedup)
 from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,17 @@ def op4_suffix_dedup(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return cleaned.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
                           F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_pii(spark, sf_dir):
+    """Personal data in every text: base kinds, and candidates that the trees accept."""
+    docs = documents(spark, sf_dir)
+    found = pii.find_pii(docs.select("doc_id", "text"), pii.train(docs))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(native.joined(base), 256).alias("base_sha256"),
+                        native.joined(F.col("pii")).alias("spans"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remarklab.llm import (
-    byte_bpe, decontaminate, language, lattice_lm, license_scan, native, pii, secret_scan, simhash, suffix_dedup)
+    byte_bpe, decontaminate, fingerprints, language, lattice_lm, license_scan, native, pii, secret_scan, simhash, suffix_dedup)
 from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,9 @@ def op10_pii(spark, sf_dir):
 
     return found.select("doc_id", *[count(k) for k in pii.BASE], F.sha2(native.joined(base), 256).alias("base_sha256"),
                         native.joined(F.col("pii")).alias("spans"))
+
+
+@query
+def op1_fingerprints(spark, sf_dir):
+    """I-Match fingerprints of every text and its edited copy."""
+    return fingerprints.near_copies(documents(spark, sf_dir))

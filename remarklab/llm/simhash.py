@@ -80,6 +80,23 @@ def fingerprint_links(fingerprints: DataFrame, distance: int = 3, column: str =
             .where(near & (~F.col("same") | (F.col("u") < F.col("v")))).select("u", "v"))
 
 
+def _classes(rows: DataFrame, least: str, distance: int) -> DataFrame:
+    """From rows (fingerprint, ``least``): rows (fingerprint, component, smallest).
+
+    ``smallest`` is the smallest value of ``least`` in the component, which is named by its smallest
+    fingerprint.
+    """
+    values = cut(rows.groupBy("fingerprint").agg(F.min(least).alias("own")))
+    labels = connected_components(fingerprint_links(values.select("fingerprint"), distance))
+    # only fingerprints with links need a common smallest value
+    linked = values.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint")
+    smallest = linked.groupBy("component").agg(F.min("own").alias("smallest"))
+    members = linked.select("fingerprint", "component").join(smallest, "component")
+    single = values.join(members, "fingerprint", "left")
+    return single.select("fingerprint", F.coalesce("component", "fingerprint").alias("component"),
+                         F.coalesce("smallest", "own").alias("smallest"))
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
 ) -> DataFrame:
@@ -91,12 +108,32 @@ def near_duplicates(
     empty one. Texts are read once; only ids and fingerprints are shuffled.
     """
     rows = cut(fingerprint_documents(df, text, shingle, keep=[id_col]).select(F.col(f"`{id_col}`").alias("id"), "fingerprint"))
-    values = cut(rows.groupBy("fingerprint").agg(F.min("id").alias("least")))
-    labels = connected_components(fingerprint_links(values.select("fingerprint"), distance))
-    # only fingerprints with links need a common smallest id
-    linked = values.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint")
-    smallest = linked.groupBy("component").agg(F.min("least").alias("component_least"))
-    members = linked.join(smallest, "component").select("fingerprint", "component_least")
-    classes = values.join(members, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_least", "least").alias("component_id"))
+    classes = _classes(rows, "id", distance).select("fingerprint", F.col("smallest").alias("component_id"))
     return rows.join(classes, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+
+
+def keep_one(
+    df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3,
+) -> DataFrame:
+    """The rows of ``df``, one of each near-duplicate component: that of the smallest id.
+
+    NULL ids come last; rows of equal id are ordered by a hash of all their columns, and of rows that
+    agree in all columns one stays. An empty table gives an empty one. Texts move once, to meet the
+    keys of the rows that stay; components are found on ids and fingerprints alone.
+    """
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"),
+                   F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    keyed = df.withColumn("__key", key)
+    rows = cut(fingerprint_documents(keyed, text, shingle, keep=["__key"]))
+    components = _classes(rows, "__key", distance)
+    winners = components.groupBy("component").agg(F.min("smallest").alias("k"))
+    times = rows.groupBy(F.col("__key").alias("k")).agg(F.count("*").alias("times"))
+    chosen = cut(winners.select("k").join(times, "k").select(
+        F.col("k.none").alias("__none"), F.col("k.id").alias("__id"), F.col("k.row").alias("__row"), "times"))
+    same = (F.col("__key.none") == F.col("__none")) & F.col("__key.id").eqNullSafe(F.col("__id")) & (F.col("__key.row") == F.col("__row"))
+    own = [F.col(f"`{c}`") for c in df.columns]
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        return keyed.join(keys, same).select(*own)
+
+    return rows_of(chosen.where("times = 1")).union(rows_of(chosen.where("times > 1")).dropDuplicates())

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from collections.abc import Callable
-from functools import lru_cache
 
-import pyspark
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from remarklab.functions.stopwords import default_stopwords
 from remarklab.operators.corpus import clean_corpus
 from remarklab.operators.sentiment import label_sentiment, lexicon_sentiment
 from remarklab.session import spread_small
@@ -40,7 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None
 # --- comments: the documents table in the shape of a comment dump -----------------------------
 
 
-def comments(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+# rows without a text, for the queries whose feature they are
+GAPS = "CASE WHEN doc_id % 101 = 0 THEN NULL WHEN doc_id % 103 = 0 THEN '' ELSE text END"
+
+
+def comments(spark: SparkSession, sf_dir: str, spread: bool = True, gaps: bool = False) -> DataFrame:
+    """The documents as comments with whole texts; ``gaps`` empties a few for the tests of empty texts."""
     d = table(spark, sf_dir, "documents", "doc_id" if spread else None)
     return d.selectExpr(
         "'comment' AS type",
@@ -50,7 +51,7 @@ def comments(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame
         "doc_id % 41 = 0 AS `subreddit.nsfw`",
         "1262304000L + (doc_id * 2654435761L) % 400000000 AS created_utc",
         "concat('/c/', CAST(doc_id AS STRING)) AS permalink",
-        "CASE WHEN doc_id % 101 = 0 THEN NULL WHEN doc_id % 103 = 0 THEN '' ELSE text END AS body",
+        f"{GAPS if gaps else 'text'} AS body",
         "CASE WHEN doc_id % 97 = 0 THEN NULL ELSE CAST((doc_id * 37) % 2001 - 1000 AS DOUBLE) / 1000 END AS sentiment",
         "CAST(doc_id % 50 - 5 AS INT) AS score",
         "lang",
@@ -62,11 +63,12 @@ COMMENTS = """comments AS (
          source AS "subreddit.name", doc_id % 41 = 0 AS "subreddit.nsfw",
          CAST(1262304000 + (doc_id * 2654435761) % 400000000 AS BIGINT) AS created_utc,
          '/c/' || CAST(doc_id AS VARCHAR) AS permalink,
-         CASE WHEN doc_id % 101 = 0 THEN NULL WHEN doc_id % 103 = 0 THEN '' ELSE text END AS body,
+         text AS body,
          CASE WHEN doc_id % 97 = 0 THEN NULL ELSE CAST((doc_id * 37) % 2001 - 1000 AS DOUBLE) / 1000 END AS sentiment,
          CAST(doc_id % 50 - 5 AS INTEGER) AS score, lang, doc_id,
          make_timestamp(CAST(1262304000 + (doc_id * 2654435761) % 400000000 AS BIGINT) * 1000000) AS ts
   FROM documents)"""
+COMMENTS_GAPS = COMMENTS.replace("text AS body", f"{GAPS} AS body")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,17 +106,8 @@ def sql_clean(col: str, min_length: int = 10) -> str:
     return f"CASE WHEN length({text}) >= {min_length} THEN {text} END"
 
 
-@lru_cache(maxsize=None)
-def stopword_file(language: str = "english") -> tuple[str, ...]:
-    """Spark's stop-word list, read from its jar so that the SQL can be built without a session."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(text.splitlines())
-
-
 def sql_tokens(col: str) -> str:
-    return f"list_filter(string_split({col}, ' '), lambda t: t NOT IN ({sql_strings(stopword_file())}))"
+    return f"list_filter(string_split({col}, ' '), lambda t: t NOT IN ({sql_strings(default_stopwords())}))"
 
 
 def cleaned_sql(source: str = "comments", minimum: int = 5) -> str:
@@ -134,6 +127,10 @@ def with_comments(select: str) -> str:
     return f"WITH {COMMENTS}\n{select}"
 
 
+def with_gaps(select: str) -> str:
+    return f"WITH {COMMENTS_GAPS}\n{select}"
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned corpus; document ids are distinct, so nothing is de-duplicated."""
     return clean_corpus(comments(spark, sf_dir), dedup_order=None)

@@ -11,7 +11,7 @@ from remarklab.schema import select_existing
 
 from .common import (
     KEYWORDS, cleaned, comments, cleaned_sql, query, scored, sql_strings, table, turns,
-    COMMENTS, TURNS, with_cleaned, with_comments, with_scored,
+    COMMENTS, TURNS, with_cleaned, with_comments, with_gaps, with_scored,
 )
 
 
@@ -30,9 +30,9 @@ def select_present(spark, sf):
     return out.withColumnRenamed("subreddit.name", "subreddit_name")
 
 
-@query("drop_empty", with_comments("SELECT id, length(body) AS body_length FROM comments WHERE body IS NOT NULL AND body <> ''"))
+@query("drop_empty", with_gaps("SELECT id, length(body) AS body_length FROM comments WHERE body IS NOT NULL AND body <> ''"))
 def drop_empty(spark, sf):
-    return R.drop_empty(comments(spark, sf, False)).select("id", F.length("body").cast("bigint").alias("body_length"))
+    return R.drop_empty(comments(spark, sf, False, gaps=True)).select("id", F.length("body").cast("bigint").alias("body_length"))
 
 
 @query("drop_null_result", lambda: f"""WITH {COMMENTS},

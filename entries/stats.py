@@ -10,7 +10,7 @@ from remarklab.operators.sentiment import label_sentiment
 from remarklab.schema import c
 
 from .common import (
-    COMMENTS, cleaned, comments, query, scored, table, with_cleaned, with_comments, with_scored,
+    COMMENTS, cleaned, comments, query, scored, table, with_cleaned, with_comments, with_gaps, with_scored,
 )
 
 TIME = "yyyy-MM-dd HH:mm:ss"
@@ -46,12 +46,12 @@ def table_profile(spark, sf):
 COMPLETE = """SELECT column_name, non_null, n - non_null AS nulls, round(100.0 * non_null / n, 2) AS pct_complete FROM ("""
 
 
-@query("completeness", with_comments(COMPLETE + " UNION ALL ".join(
+@query("completeness", with_gaps(COMPLETE + " UNION ALL ".join(
     f"""SELECT '{x}' AS column_name, count("{x}") AS non_null, count(*) AS n FROM comments"""
     for x in ("type", "id", "subreddit.id", "subreddit.name", "subreddit.nsfw", "created_utc", "permalink",
               "body", "sentiment", "score", "lang")) + ")"))
 def completeness(spark, sf):
-    return P.completeness(comments(spark, sf, False))
+    return P.completeness(comments(spark, sf, False, gaps=True))
 
 
 @query("verify_stage", COMPLETE + " UNION ALL ".join(
@@ -103,11 +103,11 @@ def score_bucket_counts(spark, sf):
     return P.score_bucket_counts(comments(spark, sf, False))
 
 
-@query("length_bucket_counts", with_comments("""SELECT CASE WHEN length(body) <= 50 THEN 'very_short' WHEN length(body) <= 200 THEN 'short'
+@query("length_bucket_counts", with_gaps("""SELECT CASE WHEN length(body) <= 50 THEN 'very_short' WHEN length(body) <= 200 THEN 'short'
        WHEN length(body) <= 500 THEN 'medium' WHEN length(body) <= 1000 THEN 'long' ELSE 'very_long' END AS length_range,
        count(*) AS n FROM comments GROUP BY 1"""))
 def length_bucket_counts(spark, sf):
-    return P.length_bucket_counts(comments(spark, sf, False))
+    return P.length_bucket_counts(comments(spark, sf, False, gaps=True))
 
 
 @query("distribution", with_scored("""SELECT sentiment_category, count(*) AS n,
@@ -267,10 +267,10 @@ def bucketize_score(spark, sf):
     )
 
 
-@query("bucketize_length", with_comments("""SELECT id, CASE WHEN length(body) <= 50 THEN 'very_short' WHEN length(body) <= 200 THEN 'short'
+@query("bucketize_length", with_gaps("""SELECT id, CASE WHEN length(body) <= 50 THEN 'very_short' WHEN length(body) <= 200 THEN 'short'
        WHEN length(body) <= 500 THEN 'medium' WHEN length(body) <= 1000 THEN 'long' ELSE 'very_long' END AS length_range FROM comments"""))
 def bucketize_length(spark, sf):
-    return comments(spark, sf, False).select("id", S.bucketize_length(F.length("body")).alias("length_range"))
+    return comments(spark, sf, False, gaps=True).select("id", S.bucketize_length(F.length("body")).alias("length_range"))
 
 
 @query("epoch_to_time", with_comments(f"""SELECT id, strftime(ts, {SQL_TIME}) AS posted, CAST(year(ts) AS INTEGER) AS year, strftime(ts, '%Y-%m') AS year_month FROM comments"""))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from remarklab.functions import text as X
+from remarklab.functions.stopwords import default_stopwords
 from remarklab.operators import corpus as C
 from remarklab.operators import joins as J
 from remarklab.operators import words as W
@@ -10,7 +11,7 @@ from remarklab.operators.features import hashing_tfidf, fit_text_vectors, term_f
 from remarklab.operators.rows import top_k, top_k_per_group
 
 from .common import (
-    COMMENTS, TURNS, cleaned, cleaned_sql, comments, query, scored, sql_clean, sql_strings, stopword_file, table, turns,
+    COMMENTS, COMMENTS_GAPS, TURNS, cleaned, cleaned_sql, comments, query, scored, sql_clean, sql_strings, table, turns,
     with_cleaned, with_comments, with_scored,
 )
 
@@ -130,9 +131,9 @@ firsts AS (SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY id ORDER BY
 {cleaned_sql('firsts')}, {FUNNEL}"""
 
 
-@query("cleaning_funnel", lambda: funnel_sql(COMMENTS, "comments"))
+@query("cleaning_funnel", lambda: funnel_sql(COMMENTS_GAPS, "comments"))
 def cleaning_funnel(spark, sf):
-    return C.cleaning_funnel(comments(spark, sf))
+    return C.cleaning_funnel(comments(spark, sf, gaps=True))
 
 
 @query("cleaning_funnel_duplicates", lambda: funnel_sql(TURNS, "turns"))
@@ -198,7 +199,7 @@ LANGS = (("de", "german"), ("en", "english"), ("es", "spanish"), ("fr", "french"
 
 
 def language_sql(select: str) -> str:
-    words = ", ".join(f"SELECT '{code}' AS code, unnest([{sql_strings(stopword_file(name))}]) AS token" for code, name in LANGS)
+    words = ", ".join(f"SELECT '{code}' AS code, unnest([{sql_strings(default_stopwords(name))}]) AS token" for code, name in LANGS)
     words = words.replace(", SELECT '", " UNION ALL SELECT '")
     return f"""WITH {COMMENTS}, lists AS (SELECT DISTINCT * FROM ({words})),
 tok AS (SELECT id, trim(unnest(string_split_regex(lower(body), '\\s+')), '.,!?;:') AS token FROM comments),

@@ -6,6 +6,8 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
+from .stopwords import default_stopwords
+
 # Patterns of the two cleaning recipes. (?U) makes \S and \w Unicode-aware and
 # (?d) lets the dot stop at line feeds only. The POSIX classes are ASCII sets, which the regex
 # engine tests several times faster than the same sets written as ranges.
@@ -82,14 +84,6 @@ def tokenize(col: Column, cleaned: bool = False) -> Column:
     return F.split(F.regexp_replace(F.lower(col), r"\s+$", ""), r"\s")
 
 
-@lru_cache(maxsize=None)
-def default_stopwords(language: str = "english") -> tuple[str, ...]:
-    """Spark's own stop-word list for a language (needs a running session)."""
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
-
-
 @lru_cache(maxsize=16)
 def _literals(words: tuple[str, ...]) -> tuple[Column, ...]:
     """Literal columns of a word list, made once: each costs a call to the JVM."""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import bind, default_stopwords, keep_words, strip_punctuation
+from ..functions.stopwords import default_stopwords
+from ..functions.text import bind, keep_words, strip_punctuation
 from ..schema import c, compute_once
 from .rows import top_k, top_k_per_group
 

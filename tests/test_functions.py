@@ -124,3 +124,12 @@ def test_language(spark, text, code):
 
 def test_punctuation_constant():
     assert set(X.TOKEN_PUNCTUATION) <= set(string.punctuation)
+
+
+@pytest.mark.parametrize("language", ["english", "french", "german", "spanish"])
+def test_shipped_stopwords_are_sparks(spark, language):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from remarklab.functions.stopwords import default_stopwords
+
+    assert default_stopwords(language) == tuple(StopWordsRemover.loadDefaultStopWords(language))

@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pandas as pd
@@ -10,6 +12,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # plans that would not survive large inputs
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
@@ -47,6 +50,18 @@ def test_equals_sql(name, spark, duck):
     assert rows_of(df.toPandas()) == rows_of(duck.sql(ORACLES[name]).df())
 
 
+def test_oracles_need_neither_jars_nor_session():
+    """All SQL is built in a fresh process that cannot find Spark's jars, and none is missing."""
+    code = (
+        "import pyspark; pyspark.__file__ = '/nowhere/pyspark/__init__.py'\n"
+        "import os, sys; os.environ.pop('JAVA_HOME', None); os.environ['PATH'] = '/nowhere'\n"
+        f"sys.path.insert(0, {ROOT!r})\n"
+        "import __spark_entry__ as e; print(len(e.oracle_sql()), len(e.ALL_ORACLES))"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert out[0] == out[1] == str(len(ORACLES))
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 

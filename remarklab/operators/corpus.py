@@ -10,7 +10,7 @@ from ..functions.scores import safe_divide
 from ..functions.text import bind, clean_text, remove_stopwords, tokenize
 from ..functions.times import epoch_to_text
 from ..schema import c, compute_once
-from .joins import tokens_in
+from .joins import content_key, tokens_in
 from .profile import describe
 from .rows import distinct_on, drop_empty, drop_null_result, head_samples, min_tokens, tie_break
 
@@ -121,21 +121,25 @@ def before_after_samples(df: DataFrame, n: int = 3, truncate: int = 100, order:
 
 
 def english_only_tokens(
-    df: DataFrame, words: DataFrame, tokens: str = "tokens_cleaned", key: str = "id",
-    out: str = "tokens_final", inline_rows: int = DEFAULTS.inline_rows,
+    df: DataFrame, words: DataFrame, tokens: str = "tokens_cleaned", out: str = "tokens_final",
+    inline_rows: int = DEFAULTS.inline_rows, max_rows: int = DEFAULTS.broadcast_rows,
 ) -> DataFrame:
     """Keep the tokens a one-column word table holds; rows left without tokens keep an empty array.
 
-    A small word list is tested inside the row. A larger one is joined, and the tokens of each
-    row are put back in order and joined to it by key.
+    NULL tokens stay NULL. A small word list is tested inside the row. A larger one is joined to the
+    tokens; what is kept depends on the tokens alone, so it finds its rows by a digest of them.
     """
     rows = few_rows(words.select("token").distinct(), inline_rows)
     if rows is not None:
         return compute_once(df, out, with_word_set(rows, lambda known: F.filter(c(tokens), lambda t: known(t))))
+    kept_columns = [c(x) for x in df.columns if x != out]
+    keyed = df.withColumn("__key", content_key(c(tokens)))
+    # rows with equal tokens give equal pairs: a set holds each once
     kept = (
-        tokens_in(df, words, tokens, key)
-        .groupBy(c(key))
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias(out))
+        tokens_in(keyed, words, tokens, "__key", max_rows)
+        .groupBy("__key")
+        .agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "token"))), lambda x: x["token"]).alias("__kept"))
     )
     empty = F.array().cast("array<string>")
-    return df.join(kept, key, "left").withColumn(out, F.coalesce(c(out), empty))
+    final = F.when(c(tokens).isNotNull(), F.coalesce("__kept", empty)).alias(out)
+    return keyed.join(kept, "__key", "left").select(*kept_columns, final)

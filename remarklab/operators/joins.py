@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS
 from ..functions.text import bind, strip_token
@@ -11,23 +11,38 @@ from ..schema import c
 SALTS = 64
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether a frame has at most ``max_rows`` rows; reads no more than that many plus one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# a lookup table is broadcast up to so many bytes of its rows as text
+BROADCAST_BYTES = 64 << 20
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame may be broadcast: few enough rows and few enough bytes.
+
+    Reads no more than ``max_rows`` + 1 rows; their size is that of their JSON.
+    """
+    size = F.octet_length(F.to_json(F.struct(*[c(x) for x in df.columns])))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).head()
+    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
+
+
+def content_key(*columns: Column) -> Column:
+    """128 bits of the columns' values: rows with equal ones share it, whatever their ids; NULL values are values."""
+    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
 
 def lookup_join(
     left: DataFrame, table: DataFrame, on: str, how: str = "inner",
-    max_rows: int = DEFAULTS.broadcast_rows, salt_on: list[str] | None = None,
+    max_rows: int = DEFAULTS.broadcast_rows, salt_on: list[str] | None = None, small: bool | None = None,
 ) -> DataFrame:
     """Join a large frame with a lookup table holding one row per ``on`` value.
 
     Up to ``max_rows`` the table is broadcast and the large side does not move. A larger table is
     copied once per salt and both sides are shuffled by (on, salt), so a token that makes up a
     third of the large side is still spread over ``SALTS`` tasks. ``salt_on`` names the columns
-    of the large side whose hash is the salt (all of them by default).
+    of the large side whose hash is the salt (all of them by default). ``small`` tells whether the
+    table fits, for callers that join it more than once and have looked already.
     """
-    if fits(table, max_rows):
+    if fits(table, max_rows) if small is None else small:
         return left.join(F.broadcast(table), on, how)
     names = salt_on or left.columns
     salted = left.withColumn("__salt", F.pmod(F.xxhash64(*[c(n) for n in names]), F.lit(SALTS)))
@@ -55,10 +70,13 @@ def token_lexicon_join(
     ).select(c(key), "pos", "token", "valence")
 
 
-def tokens_in(df: DataFrame, words: DataFrame, tokens: str = "tokens_cleaned", key: str = "id") -> DataFrame:
+def tokens_in(
+    df: DataFrame, words: DataFrame, tokens: str = "tokens_cleaned", key: str = "id",
+    max_rows: int = DEFAULTS.broadcast_rows,
+) -> DataFrame:
     """(key, pos, token) of the tokens that a one-column word table holds (semi join)."""
     return lookup_join(explode_tokens(df, tokens, key), words.select("token").distinct(), "token",
-                       "left_semi", salt_on=[key, "pos"])
+                       "left_semi", max_rows, salt_on=[key, "pos"])
 
 
 def tokens_not_in(df: DataFrame, words: DataFrame, tokens: str = "tokens_cleaned", key: str = "id") -> DataFrame:

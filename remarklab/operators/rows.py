@@ -11,7 +11,7 @@ from ..functions.lookup import few_rows, with_word_set
 from ..functions.text import has_keyword, shorten, strip_token
 from ..schema import c, quoted, select_existing
 from ..session import cache_stage
-from .joins import fits, tokens_in
+from .joins import content_key, fits, tokens_in
 
 __all__ = [
     "select_existing", "drop_empty", "drop_null_result", "min_tokens", "keyword_filter",
@@ -34,13 +34,14 @@ def min_tokens(df: DataFrame, n: int = 5, col: str = "tokens_cleaned") -> DataFr
 
 
 def keyword_filter(
-    df: DataFrame, keywords, col: str = "tokens_cleaned", strip_punct: bool = False, key: str = "id",
-    inline_rows: int = DEFAULTS.inline_rows,
+    df: DataFrame, keywords, col: str = "tokens_cleaned", strip_punct: bool = False,
+    inline_rows: int = DEFAULTS.inline_rows, max_rows: int = DEFAULTS.broadcast_rows,
 ) -> DataFrame:
     """Rows with at least one keyword among their tokens, ignoring case.
 
     A list is a hash-set test inside the row, and so is a (lower-case) keyword table of up to
-    ``inline_rows`` rows. A larger table is joined to the tokens and its hits to the rows by key.
+    ``inline_rows`` rows. A larger table is joined to the tokens; whether a row has a hit depends on
+    its tokens alone, so hits find their rows by a digest of the tokens, not by an id.
     """
     if not isinstance(keywords, DataFrame):
         return df.filter(has_keyword(c(col), keywords, strip_punct))
@@ -52,9 +53,10 @@ def keyword_filter(
     if rows is not None:
         test = with_word_set(rows, lambda known: F.exists(c(col), lambda t: known(prepared(t))))
         return df.filter(F.coalesce(test, F.lit(False)))
-    words = df.select(c(key), F.transform(c(col), lambda t: prepared(t)).alias("__words"))
-    hits = tokens_in(words, keywords, "__words", key).select(c(key)).distinct()
-    return df.join(hits, key, "left_semi")
+    keyed = df.withColumn("__key", content_key(c(col)))
+    words = keyed.select("__key", F.transform(c(col), lambda t: prepared(t)).alias("__words"))
+    hits = tokens_in(words, keywords, "__words", "__key", max_rows).select("__key").distinct()
+    return keyed.join(hits, "__key", "left_semi").select(*[c(x) for x in df.columns])
 
 
 def drop_unknown(df: DataFrame, col: str = "sentiment_category") -> DataFrame:

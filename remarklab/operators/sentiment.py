@@ -17,7 +17,7 @@ from ..functions.lookup import few_rows, with_word_map
 from ..functions.scores import bucketize_score
 from ..functions.text import bind, strip_token
 from ..schema import c, compute_once
-from .joins import lookup_join
+from .joins import content_key, fits, lookup_join
 from .profile import describe
 from .rows import both_scores
 
@@ -114,10 +114,8 @@ def _score_in_row(text: Column, rows: list, but: str) -> Column:
     return F.when(text.isNotNull(), with_word_map(rows, ENTRY, score))
 
 
-def _score_by_join(
-    df: DataFrame, table: DataFrame, col: str, key: str, but: str, max_rows: int
-) -> DataFrame:
-    """(key, score) for a lexicon too large for a constant: words and their neighbours are joined."""
+def _score_by_join(keyed: DataFrame, table: DataFrame, col: str, but: str, max_rows: int) -> DataFrame:
+    """(__key, __total) for a lexicon too large for a constant: words and their neighbours are joined."""
     tokens = F.transform(F.split(c(col), " "), lambda t: strip_token(t, 2))
     near = bind(
         bind(tokens, lambda ts: F.struct(ts.alias("t"), (F.array_position(ts, but).cast("int") - 1).alias("b"))),
@@ -129,38 +127,43 @@ def _score_by_join(
             ),
         ),
     )
-    words = df.filter(c(col).isNotNull()).select(c(key).alias("__key"), F.explode(near).alias("x"))
+    # one look at the table's size for all four joins
+    small = fits(table, max_rows)
+    words = keyed.filter(c(col).isNotNull()).select("__key", F.explode(near).alias("x"))
+    # texts that occur often give the same hits: one of each is enough
     hits = lookup_join(
         words.select("__key", "x.*"),
         table.filter("valence is not null").select("token", F.col("valence").alias("v")),
-        "token", max_rows=max_rows, salt_on=["__key", "pos"],
-    ).drop("token")
+        "token", salt_on=["__key", "pos"], small=small,
+    ).drop("token").dropDuplicates(["__key", "pos"])
     for d, w in enumerate(DISTANCE_WEIGHTS, start=1):
         side = table.select(F.col("token").alias(f"p{d}"), F.struct("valence", "boost", "negate").alias("m"))
-        hits = lookup_join(hits, side, f"p{d}", "left", max_rows, salt_on=["__key", "pos"])
+        hits = lookup_join(hits, side, f"p{d}", "left", salt_on=["__key", "pos"], small=small)
         hits = hits.withColumn("v", _step(F.col("v"), F.col("m"), w)).drop("m", f"p{d}")
     return hits.groupBy("__key").agg(F.sum(F.col("v") * _contrast(F.col("pos"), F.col("but"))).alias("__total"))
 
 
 def lexicon_sentiment(
     df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, col: str = "cleaned_body",
-    key: str = "id", out: str = "vader_sentiment", but: str = "but",
+    out: str = "vader_sentiment", but: str = "but",
     inline_rows: int = DEFAULTS.inline_rows, max_rows: int = DEFAULTS.broadcast_rows,
 ) -> DataFrame:
     """Adds a compound score in [-1, 1]; text without hits scores 0.0, NULL text NULL.
 
     A lexicon of up to ``inline_rows`` entries becomes a constant that each row looks its words
-    up in: no shuffle, no join, no Python worker. A larger one is joined to the exploded words,
-    and the sums per comment are joined back by ``key``, which must then be unique.
+    up in: no shuffle, no join, no Python worker. A larger one is joined to the exploded words; a
+    score depends on the text alone, so the sums find their rows by a digest of the text.
     """
     table = entries(lexicon, modifiers)
     rows = few_rows(table, inline_rows)
     if rows is not None:
         return compute_once(df, out, _score_in_row(c(col), rows, but))
-    sums = _score_by_join(df, table, col, key, but, max_rows)
-    joined = df.join(sums, c(key) == F.col("__key"), "left")
+    keyed = df.withColumn("__key", content_key(c(col)))
+    sums = _score_by_join(keyed, table, col, but, max_rows)
+    joined = keyed.join(sums, "__key", "left")
     score = compound(F.coalesce(F.col("__total"), F.lit(0.0)), emphasis(c(col)))
-    return joined.withColumn(out, F.when(c(col).isNotNull(), score)).drop("__key", "__total")
+    kept = [c(x) for x in df.columns if x != out]
+    return joined.select(*kept, F.when(c(col).isNotNull(), score).alias(out))
 
 
 def label_sentiment(

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from remarklab.operators import density as D
@@ -7,6 +8,9 @@ from remarklab.operators import profile as P
 from remarklab.operators import rows as R
 from remarklab.operators.joins import lookup_join, preceding_tokens, tokens_in, tokens_not_in
 from remarklab.schema import COMMENT_SCHEMA, select_existing
+from remarklab.operators import corpus as C
+from remarklab.operators.joins import fits
+from remarklab.operators.sentiment import lexicon_sentiment
 
 
 def test_distinct_on_order_and_ties(spark):
@@ -157,3 +161,36 @@ def test_density_equals_direct_sum(spark):
     for r in D.score_density(df, "v", [-1.0, 0.0, 0.3]).collect():
         want = sum(math.exp(-0.5 * ((r.x - v) / h) ** 2) for v in values) / (n * h * math.sqrt(2 * math.pi))
         assert abs(r.density - want) < 2e-6
+
+
+SAME_IDS = [("1", ["good", "x"]), ("1", ["y"]), (None, ["good"]), (None, ["z"]), ("2", None), ("1", ["good", "x"]), ("3", [])]
+
+
+@pytest.mark.parametrize("options", [{}, {"inline_rows": 0}, {"inline_rows": 0, "max_rows": 0}])
+def test_lookups_depend_on_the_tokens_only(spark, options):
+    """Repeated and NULL ids: the same rows whether a word table is inlined, broadcast, or salted."""
+    df = spark.createDataFrame(SAME_IDS, "id string, tokens_cleaned array<string>")
+    words = spark.createDataFrame([("good",)], "token string")
+    kept = R.keyword_filter(df, words, **options).collect()
+    assert sorted((r.id or "", r.tokens_cleaned) for r in kept) == [("", ["good"]), ("1", ["good", "x"]), ("1", ["good", "x"])]
+    out = C.english_only_tokens(df, words, **options).collect()
+    got = sorted((r.id or "", r.tokens_cleaned or [], r.tokens_final if r.tokens_final is not None else "NULL") for r in out)
+    assert got == [("", ["good"], ["good"]), ("", ["z"], []), ("1", ["good", "x"], ["good"]), ("1", ["good", "x"], ["good"]),
+                   ("1", ["y"], []), ("2", [], "NULL"), ("3", [], [])]
+
+
+@pytest.mark.parametrize("options", [{}, {"inline_rows": 0}, {"inline_rows": 0, "max_rows": 0}])
+def test_scores_depend_on_the_text_only(spark, options):
+    df = spark.createDataFrame(
+        [("1", "a good day"), ("1", "plain thing"), (None, "good"), (None, None), ("1", "a good day")], "id string, cleaned_body string")
+    lexicon = spark.createDataFrame([("good", 1.9)], "token string, valence double")
+    modifiers = spark.createDataFrame([("not", "negate", None)], "token string, kind string, weight double")
+    rows = lexicon_sentiment(df, lexicon, modifiers, **options).collect()
+    got = sorted((r.id or "", r.cleaned_body or "", r.vader_sentiment) for r in rows if r.cleaned_body)
+    assert got == [("", "good", 0.4404), ("1", "a good day", 0.4404), ("1", "a good day", 0.4404), ("1", "plain thing", 0.0)]
+    assert [r.vader_sentiment for r in rows if r.cleaned_body is None] == [None]
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    table = spark.createDataFrame([("x" * 1000,)] * 10, "token string")
+    assert fits(table, 10) and not fits(table, 9) and not fits(table, 10, max_bytes=5000)

@@ -3,12 +3,11 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from remarklab.config import Settings
 from remarklab.operators import classify as C
 from remarklab.operators import evaluate as E
 from remarklab.sources import sinks
 
-from .common import COMMENTS, cleaned, cleaned_sql, comments, query
+from .common import COMMENTS, cleaned, cleaned_sql, comments, query, table
 from .text import VOCAB
 from .topics import K
 
@@ -142,7 +141,7 @@ def best_model_by_accuracy(spark, sf):
     return E.best_model(compare(spark, sf), "accuracy")
 
 
-@query("naive_bayes_closed_form", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{LABELLED},\n{VOCAB.format(500, 5).replace('FROM cleaned', 'FROM labelled')},
+@query("naive_bayes_closed_form", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{LABELLED},\n{VOCAB.format(3000, 3).replace('FROM cleaned', 'FROM labelled')},
 w AS (SELECT id, term, tf * ln(((SELECT count(*) FROM labelled) + 1) / (doc_count + 1)) AS x FROM tf JOIN vocab USING (term)),
 sums AS (SELECT sentiment_category AS label, term, sum(x) AS x FROM w JOIN labelled USING (id) GROUP BY 1, 2),
 sizes AS (SELECT sentiment_category AS label, count(*) AS n_c FROM labelled GROUP BY 1),
@@ -151,10 +150,7 @@ SELECT sizes.label, v.term, round(ln(n_c + 1) - ln((SELECT count(*) FROM labelle
   round(ln(coalesce(sums.x, 0) + 1) - ln((SELECT sum(x) FROM sums s2 WHERE s2.label = sizes.label) + (SELECT count(*) FROM words_seen)), 6) AS theta
 FROM sizes CROSS JOIN words_seen v LEFT JOIN sums ON sums.label = sizes.label AND sums.term = v.term""")
 def naive_bayes_closed_form(spark, sf):
-    return C.nb_params(labelled(spark, sf), vocab_size=500, min_df=5)
-
-
-SMALL = Settings(num_trees=10, max_depth=5)
+    return C.nb_params(labelled(spark, sf), vocab_size=3000, min_df=3)
 
 
 def with_topic(spark, sf):
@@ -162,16 +158,26 @@ def with_topic(spark, sf):
 
 
 def experiment(spark, sf, *models):
-    return C.run_experiment(with_topic(spark, sf), SMALL, models=models)
+    """Train and test on the quality labels of documents."""
+    quality = table(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 1, "high").otherwise("low").alias("sentiment_category"))
+    return C.run_experiment(with_topic(spark, sf).join(quality, "id"), models=models)
+
+
+TOPIC_INDEX = f"""topic AS (SELECT id, CAST(doc_id % {K} AS VARCHAR) AS label FROM cleaned),
+topic_index AS (SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS i FROM topic GROUP BY 1)"""
 
 
-@query("topic_one_hot")
+@query("topic_one_hot", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{TOPIC_INDEX}
+SELECT id, array_to_string(list_transform(range((SELECT count(*) - 1 FROM topic_index)), lambda j: CASE WHEN i = j THEN '1.0' ELSE '0.0' END), ',')
+  AS topic_features FROM topic JOIN topic_index USING (label)""")
 def topic_one_hot(spark, sf):
     out = C.topic_one_hot(with_topic(spark, sf).select("id", "dominant_topic"))
     return out.select("id", F.array_join(vector_to_array("topic_features"), ",").alias("topic_features"))
 
 
-@query("assemble_features")
+@query("assemble_features", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{VOCAB.format(3000, 3)},\n{TOPIC_INDEX}
+SELECT id, CAST((SELECT count(*) FROM vocab) + (SELECT count(*) - 1 FROM topic_index) AS INTEGER) AS width FROM cleaned""")
 def assemble_features(spark, sf):
     df = with_topic(spark, sf).select("id", "tokens_cleaned", "dominant_topic")
     out = C.fit_features(df).transform(df)
@@ -202,7 +208,14 @@ def feature_importance(spark, sf):
     return C.top_features(C.feature_importance(run.models["random_forest"], run.features, run.train), 20)
 
 
-@query("experiment_info")
+@query("experiment_info", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},
+run AS (SELECT c.id, c.tokens_cleaned, CASE WHEN quality = 1 THEN 'high' ELSE 'low' END AS label,
+  substring(md5(c.id || ':42:split'), 1, 8) < 'cccccccc' AS in_train FROM cleaned c JOIN labels l ON l.doc_id = c.doc_id),
+terms AS (SELECT term FROM (SELECT DISTINCT id, unnest(tokens_cleaned) AS term FROM run WHERE in_train) GROUP BY 1 HAVING count(*) >= 3),
+sizes AS (SELECT label, count(*) AS n FROM run GROUP BY 1)
+SELECT count(*) AS dataset_size, count(*) FILTER (in_train) AS train_size, count(*) FILTER (NOT in_train) AS test_size,
+  CAST((SELECT least(count(*), 3000) FROM terms) AS INTEGER) AS feature_size, CAST((SELECT count(*) FROM sizes) AS INTEGER) AS num_classes,
+  (SELECT string_agg(label, ',' ORDER BY n DESC, label) FROM sizes) AS class_labels FROM run""")
 def experiment_info(spark, sf):
     run = experiment(spark, sf, "naive_bayes")
     info = C.experiment_info(run.train, run.test, run.features, run.labels)

@@ -87,7 +87,7 @@ def drop_unknown(spark, sf):
        WHERE ts >= TIMESTAMP '2014-01-01'"""))
 def recent_only(spark, sf):
     timed = comments(spark, sf, False).withColumn("timestamp", epoch_to_ts(F.col("created_utc")))
-    return R.recent_only(timed, "2014-01-01").select(
+    return R.recent_only(timed, "2014-01-01", "created_utc").select(
         "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("posted")
     )
 

@@ -159,6 +159,18 @@ def extremes_by_year(spark, sf):
     return P.extremes(P.yearly_sentiment(scored(spark, sf)), "year")
 
 
+GROUPED = """SELECT "subreddit.name" AS g, count(*) AS n, round(avg(vader_sentiment), 6) AS m FROM scored GROUP BY 1"""
+
+
+@query("extremes_by_group", with_scored(f"""SELECT
+       (SELECT g FROM ({GROUPED}) ORDER BY m DESC, g LIMIT 1) AS most_positive,
+       (SELECT g FROM ({GROUPED}) ORDER BY m, g LIMIT 1) AS most_negative,
+       (SELECT g FROM ({GROUPED}) ORDER BY n DESC, g LIMIT 1) AS busiest"""))
+def extremes_by_group(spark, sf):
+    groups = P.group_sentiment(scored(spark, sf), "subreddit.name", min_n=1, name="subreddit_name")
+    return P.extremes(groups, "subreddit_name", size="comment_count")
+
+
 @query("distinct_users", "SELECT count(DISTINCT user_id) AS distinct_users FROM events")
 def distinct_users(spark, sf):
     return P.distinct_users(event_comments(spark, sf), "user_id")
@@ -213,6 +225,16 @@ def histogram_by_group(spark, sf):
     return out.withColumnRenamed("subreddit.name", "subreddit_name")
 
 
+@query("histogram_own_bounds", """WITH v AS (SELECT o_orderstatus AS status, o_totalprice AS x FROM orders),
+b AS (SELECT status, min(x) AS lo, (max(x) - min(x)) / 20 AS w, count(*) AS total FROM v GROUP BY 1),
+n AS (SELECT status, CAST(least(floor((x - lo) / w), 19) AS INTEGER) AS bin, count(*) AS n FROM v JOIN b USING (status) GROUP BY 1, 2)
+SELECT status, bin, round(lo + bin * w, 6) AS bin_start, coalesce(n, 0) AS n, round(coalesce(n, 0) / (total * w), 6) AS density
+FROM (SELECT *, CAST(unnest(range(20)) AS INTEGER) AS bin FROM b) LEFT JOIN n USING (status, bin)""")
+def histogram_own_bounds(spark, sf):
+    orders = table(spark, sf, "orders").withColumnRenamed("o_orderstatus", "status")
+    return D.histogram(orders, "o_totalprice", 20, by="status")
+
+
 def sql_box(group: str, value: str, source: str) -> str:
     return f"""q AS (SELECT {group} AS g, {value} AS v FROM {source} WHERE {value} IS NOT NULL),
 b AS (SELECT g, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM q GROUP BY g)

@@ -8,7 +8,7 @@ from remarklab.operators import corpus as C
 from remarklab.operators import joins as J
 from remarklab.operators import words as W
 from remarklab.operators.features import hashing_tfidf, fit_text_vectors, term_frequency, tfidf, vocabulary
-from remarklab.operators.rows import top_k, top_k_per_group
+from remarklab.operators.rows import top_k_per_group
 
 from .common import (
     COMMENTS, COMMENTS_GAPS, TURNS, cleaned, cleaned_sql, comments, query, scored, sql_clean, sql_strings, table, turns,
@@ -92,10 +92,10 @@ def tokens_in_dictionary(spark, sf):
 
 
 @query("tokens_not_in_dictionary", with_positions(
-    "SELECT token, count(*) AS n FROM tok WHERE token NOT IN (SELECT token FROM dict) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100"))
+    "SELECT token, count(*) AS n FROM tok WHERE token NOT IN (SELECT token FROM dict) GROUP BY 1"))
 def tokens_not_in_dictionary(spark, sf):
     left = J.tokens_not_in(cleaned(spark, sf), dictionary(spark, sf))
-    return top_k(left.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "n", 100, "token")
+    return left.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("preceding_tokens", with_positions("""SELECT id, pos, token, lag(token, 1) OVER w AS prev_1, lag(token, 2) OVER w AS prev_2,
@@ -239,7 +239,9 @@ def tfidf_rows(spark, sf):
     return tfidf(cleaned(spark, sf), 3000, 3).withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query("tfidf_vectors")
+@query("tfidf_vectors", lambda: f"""WITH {COMMENTS},\n{cleaned_sql()},\n{VOCAB.format(3000, 3)},
+w AS (SELECT id, sum(tf * ln(((SELECT count(*) FROM cleaned) + 1) / (doc_count + 1))) AS weight FROM tf JOIN vocab USING (term) GROUP BY 1)
+SELECT id, round(coalesce(weight, 0), 4) AS weight FROM cleaned LEFT JOIN w USING (id)""")
 def tfidf_vectors(spark, sf):
     from pyspark.ml.functions import vector_to_array
 

@@ -64,12 +64,17 @@ def with_terms(select: str):
 SIZES = "SELECT dominant_topic, count(*) AS n FROM topical GROUP BY 1"
 
 
-@query("topic_corpus", with_cleaned(f"""SELECT id FROM cleaned WHERE list_has_any(tokens_cleaned, [{sql_strings(KEYWORDS)}])
-       AND substring(md5(id || ':42:topics'), 1, 8) < '{int(0.3 * 16**8):08x}'"""))
+@query("topic_corpus", with_cleaned(f"""SELECT id FROM cleaned WHERE list_has_any(tokens_cleaned, [{sql_strings(KEYWORDS)}])"""))
 def topic_corpus(spark, sf):
     return T.topic_corpus(cleaned(spark, sf), keywords=KEYWORDS).select("id")
 
 
+@query("topic_corpus_sampled", with_cleaned(f"""SELECT id FROM cleaned WHERE list_has_any(tokens_cleaned, [{sql_strings(KEYWORDS)}])
+       AND substring(md5(id || ':42:topics'), 1, 8) < '{int(0.3 * 16**8):08x}'"""))
+def topic_corpus_sampled(spark, sf):
+    return T.topic_corpus(cleaned(spark, sf), keywords=KEYWORDS, fraction=0.3).select("id")
+
+
 @query("argmax_topic", with_comments("""SELECT id, CAST(CASE WHEN doc_id % 11 = 0 THEN -1 WHEN a >= b AND a >= c THEN 0 WHEN b >= c THEN 1 ELSE 2 END AS INTEGER) AS topic,
        CASE WHEN doc_id % 11 = 0 THEN 0.0 ELSE greatest(a, b, c) END AS probability FROM (
          SELECT id, doc_id, CAST(doc_id % 3 AS DOUBLE) AS a, CAST(doc_id % 4 AS DOUBLE) AS b, CAST(doc_id % 5 AS DOUBLE) AS c FROM comments)"""))

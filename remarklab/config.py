@@ -15,7 +15,8 @@ SUBJECT_KEYWORDS = (
 @dataclass(frozen=True)
 class Settings:
     # sampling
-    sample_fraction: float = 0.1
+    # shares of the dump and of the topic corpus; 1.0 keeps all rows
+    sample_fraction: float = 1.0
     seed: int = 42
     # cleaning
     min_text_length: int = 10
@@ -33,7 +34,7 @@ class Settings:
     topic_iterations: int = 10
     topic_vocab_size: int = 2000
     topic_min_df: float = 10.0
-    topic_sample_fraction: float = 0.3
+    topic_sample_fraction: float = 1.0
     terms_per_topic: int = 15
     keywords: tuple[str, ...] = field(default=SUBJECT_KEYWORDS)
     # classifiers

@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import (
     CountVectorizerModel, IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -59,11 +60,14 @@ def topic_one_hot(df: DataFrame, topic: str = "dominant_topic", out: str = "topi
 
 
 def _topic_stages(df: DataFrame, topic: str, out: str) -> list:
-    if topic not in df.columns or df.select(c(topic)).distinct().limit(2).count() < 2:
+    """One column for each topic but the last (rarest); a topic not seen in training is all zeros, too."""
+    n = df.select(c(topic)).na.drop().distinct().count() if topic in df.columns else 0
+    if n < 2:
         return []
     return [
         StringIndexer(inputCol=topic, outputCol="topic_indexed", handleInvalid="keep"),
-        OneHotEncoder(inputCols=["topic_indexed"], outputCols=[out]),
+        OneHotEncoder(inputCols=["topic_indexed"], outputCols=["topic_encoded"]),
+        VectorSlicer(inputCol="topic_encoded", outputCol=out, indices=list(range(n - 1))),
     ]
 
 
@@ -72,7 +76,11 @@ def assemble(df: DataFrame, inputs: list[str], out: str = "features") -> DataFra
 
 
 def sized_vocabulary(rows: int, settings: Settings = DEFAULTS) -> tuple[int, float]:
-    """(vocabulary size, minimum document frequency) for a training set of ``rows`` rows."""
+    """(vocabulary size, minimum document frequency) for a training set of ``rows`` rows, for those who ask for it.
+
+    The vocabulary shrinks below 10 rows a term and rare terms go beyond 1,000 rows a count, so results
+    for sizes apart don't compare; ``fit_features`` uses fixed bounds.
+    """
     return max(min(settings.vocab_size, rows // 10), 1), max(settings.min_df, rows * 0.001)
 
 
@@ -80,6 +88,7 @@ def sized_vocabulary(rows: int, settings: Settings = DEFAULTS) -> tuple[int, flo
 class Features:
     model: PipelineModel
     topic_features: int
+    topic_labels: tuple[str, ...] = ()
 
     @property
     def vocabulary(self) -> list[str]:
@@ -93,17 +102,19 @@ def fit_features(
     train: DataFrame, vocab_size: int | None = None, min_df: float | None = None,
     topic: str = "dominant_topic", settings: Settings = DEFAULTS,
 ) -> Features:
-    """TF-IDF and, if at least two topics occur, one-hot topics, fitted on training rows only."""
-    sized = (vocab_size, min_df)
-    if vocab_size is None or min_df is None:
-        sized = sized_vocabulary(train.count(), settings)
-    text = fit_text_vectors(train, vocab_size or sized[0], sized[1] if min_df is None else min_df, out="tfidf_features")
+    """TF-IDF and, if at least two topics occur, one-hot topics, fitted on training rows only.
+
+    Vocabulary bounds default to those of the settings, whatever the number of rows.
+    """
+    text = fit_text_vectors(
+        train, vocab_size or settings.vocab_size, settings.min_df if min_df is None else min_df, out="tfidf_features"
+    )
     topics = _topic_stages(train, topic, "topic_features")
     inputs = ["tfidf_features", *(["topic_features"] if topics else [])]
     rest = Pipeline(stages=[*topics, VectorAssembler(inputCols=inputs, outputCol="features")])
     fitted = rest.fit(text.transform(train))
-    width = len(fitted.stages[0].labels) if topics else 0
-    return Features(PipelineModel(stages=[*text.model.stages, *fitted.stages]), width)
+    labels = tuple(fitted.stages[0].labels[:-1]) if topics else ()
+    return Features(PipelineModel(stages=[*text.model.stages, *fitted.stages]), len(labels), labels)
 
 
 def train_naive_bayes(train: DataFrame, smoothing: float = DEFAULTS.smoothing, prediction: str = "prediction"):
@@ -179,9 +190,13 @@ def nb_params(
 
 
 def feature_importance(model, features: Features, df: DataFrame) -> DataFrame:
-    """(feature_index, term, importance) of every vocabulary term, most important first."""
+    """(feature_index, term, importance) of every feature, most important first; the importances add up to 1.
+
+    Features are the terms of the vocabulary, then the topics, named ``topic=`` and their label.
+    """
     weights = model.featureImportances.toArray()
-    rows = [(i, w, float(weights[i])) for i, w in enumerate(features.vocabulary)]
+    names = [*features.vocabulary, *(f"topic={x}" for x in features.topic_labels)]
+    rows = [(i, w, float(weights[i])) for i, w in enumerate(names)]
     table = df.sparkSession.createDataFrame(rows, "feature_index int, term string, importance double")
     return table.orderBy(F.col("importance").desc(), "feature_index")
 

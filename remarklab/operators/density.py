@@ -16,18 +16,22 @@ def histogram(
 ) -> DataFrame:
     """Equal-width bins with counts and densities; the last bin includes its upper edge.
 
-    Bounds default to the minimum and maximum of the column. Empty bins are listed too.
+    Bounds default to the minimum and maximum of the column, of each group with ``by``. Empty bins
+    are listed too.
     """
     value = c(col).cast("double")
-    low = F.lit(float(lo)) if lo is not None else df.agg(F.min(value)).scalar()
-    high = F.lit(float(hi)) if hi is not None else df.agg(F.max(value)).scalar()
     group = [c(by).alias("__by")] if by else []
     names = ["__by"] if by else []
+    values = df.select(*group, value.alias("__v"))
+    if lo is None or hi is None:
+        # one aggregate for both bounds
+        found = values.groupBy(*names).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        values = _attach(values, found, by)
+    for name, bound in (("__lo", lo), ("__hi", hi)):
+        if bound is not None:
+            values = values.withColumn(name, F.lit(float(bound)))
     bounded = (
-        df.select(*group, value.alias("__v"))
-        .withColumn("__lo", low)
-        .withColumn("__hi", high)
-        .withColumn("__w", (F.col("__hi") - F.col("__lo")) / bins)
+        values.withColumn("__w", (F.col("__hi") - F.col("__lo")) / bins)
         .filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
     )
     slot = F.when(

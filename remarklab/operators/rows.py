@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -63,8 +64,14 @@ def drop_unknown(df: DataFrame, col: str = "sentiment_category") -> DataFrame:
     return df.filter(c(col) != "Unknown")
 
 
-def recent_only(df: DataFrame, cutoff: str, col: str = "timestamp") -> DataFrame:
-    """Rows at or after ``cutoff``; rows without a time go too."""
+def recent_only(df: DataFrame, cutoff: str, col: str = "created_utc") -> DataFrame:
+    """Rows at or after ``cutoff`` (UTC); rows without a time go too.
+
+    A column of epoch seconds is compared with a number, so the filter reaches the Parquet scan.
+    """
+    if dict(df.dtypes)[col] in ("bigint", "int"):
+        start = datetime.fromisoformat(cutoff).replace(tzinfo=timezone.utc)
+        return df.filter(c(col) >= int(start.timestamp()))
     return df.filter(c(col) >= F.lit(cutoff).cast("timestamp"))
 
 

@@ -101,12 +101,19 @@ def topic_terms(model: TopicModel, df: DataFrame, n: int = DEFAULTS.terms_per_to
 
 
 def topic_quality(model: TopicModel, df: DataFrame) -> DataFrame:
-    """(log_perplexity, log_likelihood) of a corpus under the model."""
-    features = cache_stage(model.vectors.transform(df).select(model.lda.getFeaturesCol()))
+    """(log_perplexity, log_likelihood) of a corpus under the model.
+
+    Inference runs once: the log perplexity is the negative log likelihood per unit of token weight.
+    """
+    column = model.lda.getFeaturesCol()
+    features = cache_stage(model.vectors.transform(df).select(column))
     try:
-        row = (float(model.lda.logPerplexity(features)), float(model.lda.logLikelihood(features)))
+        likelihood = float(model.lda.logLikelihood(features))
+        weight = F.aggregate(vector_to_array(column), F.lit(0.0), lambda a, x: a + x)
+        total = features.agg(F.sum(weight).alias("w")).head()["w"] or 0.0
     finally:
         features.unpersist()
+    row = (-likelihood / total if total else 0.0, likelihood)
     return df.sparkSession.createDataFrame([row], "log_perplexity double, log_likelihood double")
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULTS, Settings
-from ..functions.scores import bucketize_score
+from ..functions.scores import ScoreRule, bucketize_score
 from ..functions.times import epoch_to_ts
 from ..functions.words import seed_lexicon, seed_modifiers
 from ..operators import classify, corpus, evaluate, profile, sentiment, topics, words
@@ -57,8 +57,14 @@ def _row(df: DataFrame) -> dict:
     return df.first().asDict()
 
 
+def _write_by_year(df: DataFrame, path: str, columns) -> None:
+    """A stage with a folder per year of posting, so that reads of recent years skip the others."""
+    rows = df.withColumn("year", F.year(epoch_to_ts(c("created_utc"))))
+    sinks.write_stage(rows, path, [*columns, "year"], partition_by="year")
+
+
 def extract(ctx: Context) -> dict:
-    """Sample the dump into Parquet."""
+    """The dump, or a sample of it, as Parquet."""
     readers.csv_to_parquet_sample(
         ctx.spark, ctx.paths.raw_csv, ctx.paths.stage("sample"), ctx.settings.sample_fraction, ctx.settings.seed
     )
@@ -74,7 +80,7 @@ def profile_sample(ctx: Context) -> dict:
         "completeness": profile.completeness(df),
         "time_range": profile.time_range(timed),
         "by_year": profile.count_by_year(timed),
-        "by_group": profile.count_by(df, "subreddit.name", "subreddit_name").limit(20),
+        "by_group": profile.count_by(df, "subreddit.name", "subreddit_name"),
         "score": profile.describe(df, {"sentiment": c("sentiment"), "body_length": F.length("body")}),
         "score_ranges": profile.score_bucket_counts(df),
         "length_ranges": profile.length_bucket_counts(df),
@@ -87,7 +93,7 @@ def profile_sample(ctx: Context) -> dict:
 def clean(ctx: Context) -> dict:
     """Clean and tokenise the sample; the figures come from the one-pass funnel."""
     df = readers.read_comments_parquet(ctx.spark, ctx.paths.stage("sample"))
-    sinks.write_stage(corpus.clean_corpus(df, ctx.settings), ctx.paths.stage("cleaned"), CLEANED_COLUMNS)
+    _write_by_year(corpus.clean_corpus(df, ctx.settings), ctx.paths.stage("cleaned"), CLEANED_COLUMNS)
     sinks.write_json_report(corpus.cleaning_funnel(df, ctx.settings), ctx.paths.report("cleaning_funnel"))
     cleaned = ctx.spark.read.parquet(ctx.paths.stage("cleaned"))
     sinks.write_json_report(corpus.quality_report(cleaned), ctx.paths.report("cleaning_quality"))
@@ -104,8 +110,10 @@ def score(ctx: Context) -> dict:
     df = readers.read_comments_parquet(ctx.spark, ctx.paths.stage("cleaned"))
     lexicon = ctx.lexicon if ctx.lexicon is not None else seed_lexicon(ctx.spark)
     modifiers = ctx.modifiers if ctx.modifiers is not None else seed_modifiers(ctx.spark)
-    scored = sentiment.label_sentiment(sentiment.lexicon_sentiment(df, lexicon, modifiers))
-    sinks.write_stage(scored, ctx.paths.stage("sentiment"), SENTIMENT_COLUMNS)
+    s = ctx.settings
+    rule = ScoreRule(s.negative_threshold, s.positive_threshold, False, *s.categories, "Unknown")
+    scored = sentiment.label_sentiment(sentiment.lexicon_sentiment(df, lexicon, modifiers), rule=rule)
+    _write_by_year(scored, ctx.paths.stage("sentiment"), SENTIMENT_COLUMNS)
     stored = ctx.spark.read.parquet(ctx.paths.stage("sentiment"))
     yearly = profile.yearly_sentiment(stored)
     groups = profile.group_sentiment(stored, "subreddit.name", min_n=ctx.settings.group_min_size, name="subreddit_name")
@@ -116,6 +124,7 @@ def score(ctx: Context) -> dict:
         "by_year": yearly,
         "by_month": profile.monthly_sentiment(stored),
         "extremes": profile.extremes(yearly, "year"),
+        "extremes_by_group": profile.extremes(groups, "subreddit_name", size="comment_count"),
         "words": words.word_frequency(stored, ctx.settings.top_words),
         "words_by_label": words.word_frequency_by(stored, top_n=ctx.settings.top_words_per_label),
         "comparison": sentiment.score_comparison(stored),
@@ -131,9 +140,10 @@ def model_topics(ctx: Context) -> dict:
     df = readers.read_first_available(
         ctx.spark, [ctx.paths.stage("sentiment"), ctx.paths.stage("cleaned")], ["tokens_cleaned"]
     )
-    rows = topics.topic_corpus(df, s)
+    # the model may be fitted on a sample; every comment on the subject gets a topic
+    rows = topics.topic_corpus(df, s, fraction=1.0)
     model = topics.fit_lda(
-        rows, s.num_topics, s.topic_iterations, s.seed, s.topic_vocab_size, s.topic_min_df
+        topics.topic_corpus(df, s), s.num_topics, s.topic_iterations, s.seed, s.topic_vocab_size, s.topic_min_df
     )
     column = "vader_sentiment" if "vader_sentiment" in df.columns else "sentiment"
     assigned = topics.topic_assign(model, rows).withColumn("sentiment_label", bucketize_score(c(column), "label"))
@@ -161,11 +171,18 @@ def train_classifiers(ctx: Context) -> dict:
         ctx.spark, [ctx.paths.stage(x) for x in ("topics", "sentiment", "cleaned")], ["tokens_cleaned", "cleaned_body"]
     )
     run = classify.run_experiment(df, ctx.settings, keep=("cleaned_body",))
-    comparison = evaluate.compare_models({name: evaluate.evaluate(p) for name, p in run.predictions.items()})
+    # features and models are applied once; all figures come from what is stored
+    kept = ["id", "cleaned_body", "sentiment_category", "label", "prediction", "predicted_label"]
+    stored = {}
+    for name, rows in run.predictions.items():
+        path = ctx.paths.stage(f"predictions_{name}")
+        sinks.write_stage(rows, path, kept)
+        stored[name] = ctx.spark.read.parquet(path)
+    comparison = evaluate.compare_models({name: evaluate.evaluate(p) for name, p in stored.items()})
     sinks.write_stage(comparison, ctx.paths.stage("model_comparison"))
     comparison = ctx.spark.read.parquet(ctx.paths.stage("model_comparison"))
     best = _row(evaluate.best_model(comparison, ctx.settings.best_by))
-    predicted = run.predictions[best["model"]]
+    predicted = stored[best["model"]]
     reports = {
         "experiment": classify.experiment_info(run.train, run.test, run.features, run.labels),
         "models": comparison,

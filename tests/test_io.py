@@ -1,11 +1,14 @@
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from entries.common import KEYWORDS, comments, lexicon, modifiers
 from remarklab.config import Settings
+from remarklab.operators.rows import recent_only
+from remarklab.operators.topics import topic_corpus
 from remarklab.plans.stages import Context, Paths, STAGES, run_stages, stages_report
 from remarklab.schema import COMMENT_SCHEMA
 from remarklab.session import cache_stage, checkpoint_dir
@@ -115,6 +118,14 @@ def test_all_stages(spark, sf, tmp_path):
     best = metrics["classification"]["best_model"]
     assert best["model"] in ("naive_bayes", "random_forest") and best["accuracy"] > 0
     stored = spark.read.parquet(ctx.paths.stage("sentiment"))
+    # a folder per year, which a filter prunes; the time filter reaches the scan
+    recent = recent_only(stored.filter("year >= 2020"), "2020-06-01")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_utc," in plan and re.search(r"PartitionFilters: \[[^]]*year#\d+ >= 2020", plan)
+    every = spark.read.parquet(ctx.paths.stage("topics"))
+    assert every.count() == topic_corpus(stored, settings, fraction=1.0).count()
+    groups = {json.loads(x)["subreddit_name"] for x in spark.read.text(ctx.paths.report("profile_by_group")).toPandas()["value"]}
+    assert groups == {r[0] for r in source.select("`subreddit.name`").distinct().collect()}
     assert "subreddit.name" in stored.columns and stored.count() == metrics["cleaning"]["final_records"]
     report = stages_report(spark, results).collect()
     assert len(report) == 6 and report[0].success_rate == 100.0

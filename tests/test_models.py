@@ -120,11 +120,13 @@ def test_best_model_ties(spark):
 def test_experiment(spark, docs, tmp_path):
     run = C.run_experiment(docs, Settings(num_trees=5, max_depth=4))
     assert run.train.count() + run.test.count() == C.prepare_labels_source(docs).count()
-    assert run.features.topic_features == 5
+    assert run.features.topic_features == 4
     for name, predicted in run.predictions.items():
         assert {r.predicted_label for r in predicted.select("predicted_label").collect()} <= set(run.labels)
     importance = C.feature_importance(run.models["random_forest"], run.features, docs)
-    assert importance.agg(F.sum("importance")).first()[0] <= 1 + 1e-9
+    # the terms and the topics but the last
+    assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1)
+    assert importance.filter("term LIKE 'topic=%'").count() == 4
     values = [r.importance for r in importance.collect()]
     assert values == sorted(values, reverse=True)
     info = C.experiment_info(run.train, run.test, run.features, run.labels).first()
@@ -143,6 +145,19 @@ def test_one_topic_gives_no_topic_features(docs):
     assert C.fit_features(single).topic_features == 0
 
 
+def test_unseen_topics_are_zeros(spark, docs):
+    """A topic that training never saw, and the last one, have no column."""
+    features = C.fit_features(docs.filter("dominant_topic < 3"))
+    assert features.topic_features == 2
+    rows = features.transform(docs.filter("dominant_topic = 4")).select("topic_features").limit(3).collect()
+    assert rows and all(r.topic_features.toArray().tolist() == [0, 0] for r in rows)
+
+
+def test_vocabulary_bounds_do_not_follow_the_rows(docs):
+    whole, part = C.fit_features(docs, vocab_size=50, min_df=2), C.fit_features(docs.limit(60), vocab_size=50, min_df=2)
+    assert len(whole.vocabulary) == len(part.vocabulary) == 50
+
+
 def test_vocabulary_sizes():
     assert C.sized_vocabulary(5) == (1, 3.0) and C.sized_vocabulary(10**6) == (3000, 1000.0)
 

@@ -194,3 +194,11 @@ def test_scores_depend_on_the_text_only(spark, options):
 def test_broadcast_is_bounded_by_bytes(spark):
     table = spark.createDataFrame([("x" * 1000,)] * 10, "token string")
     assert fits(table, 10) and not fits(table, 9) and not fits(table, 10, max_bytes=5000)
+
+
+def test_histogram_bounds_per_group(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", 1.0), ("b", 10.0), ("b", 11.0), ("c", None)], "g string, x double")
+    got = {(r.g, r.bin): (r.bin_start, r.n) for r in D.histogram(df, "x", 2, by="g").collect()}
+    assert got == {("a", 0): (0.0, 1), ("a", 1): (0.5, 1), ("b", 0): (10.0, 1), ("b", 1): (10.5, 1)}
+    whole = {r.bin: r.n for r in D.histogram(df, "x", 2).collect()}
+    assert whole == {0: 2, 1: 2}

@@ -57,6 +57,14 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = BATCH_BYTES) -> Iter
         yield batch.slice(start)
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def append_columns(
     df: DataFrame, text: str, schema: str, make: Callable[[], Callable[[list], Iterable[pa.Array]]],
     keep: list[str] | None = None,
@@ -72,8 +80,8 @@ def append_columns(
     new = T.StructType.fromDDL(schema)
     taken = {f.name.lower() for f in new}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
-    out = T.StructType([f for f in source.schema if f.name != "__text"] + list(new))
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(free_name(kept, "__text")))
+    out = T.StructType(list(source.schema)[:-1] + list(new))
     types = to_arrow_schema(new).types
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from remarklab.llm.common import cut
+from remarklab.llm.common import cut, free_name
 from remarklab.llm.native import let
 
 SCALES, REPLICAS = 4, 12
@@ -132,11 +132,11 @@ def fingerprint_documents(df: DataFrame, text: str = "text", least: int = LEAST,
     empty table gives an empty one.
     """
     column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    own = [c for c in df.columns if c.lower() != "fingerprint"]
-    rows = profile_texts(df.select(*[F.col(f"`{c}`") for c in own]), __profile=column)
-    found = fingerprint_profiles(rows.select(F.col("__profile").alias("profile")), lexicon(df, text, least, share))
-    return (rows.withColumn("__key", F.col("__profile.key")).drop("__profile")
-            .join(found.withColumnRenamed("key", "__key"), "__key").drop("__key"))
+    own = [F.col(f"`{c}`") for c in df.columns if c.lower() != "fingerprint"]
+    name = free_name(df.columns, "__profile")
+    rows = profile_texts(df, **{name: column})
+    found = fingerprint_profiles(rows.select(F.col(name).alias("profile")), lexicon(df, text, least, share))
+    return rows.join(found, F.col(f"{name}.key") == found["key"]).select(*own, found["fingerprint"])
 
 
 def with_next(df: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from remarklab.llm.common import append_columns, cut
+from remarklab.llm.common import append_columns, cut, free_name
 from remarklab.llm.components import connected_components
 
 # shingle hashes whose bits are counted at once
@@ -123,17 +123,18 @@ def keep_one(
     """
     key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"),
                    F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-    keyed = df.withColumn("__key", key)
-    rows = cut(fingerprint_documents(keyed, text, shingle, keep=["__key"]))
-    components = _classes(rows, "__key", distance)
+    name = free_name(df.columns, "__key")
+    keyed = df.withColumn(name, key)
+    rows = cut(fingerprint_documents(keyed, text, shingle, keep=[name]).withColumnRenamed(name, "key"))
+    components = _classes(rows, "key", distance)
     winners = components.groupBy("component").agg(F.min("smallest").alias("k"))
-    times = rows.groupBy(F.col("__key").alias("k")).agg(F.count("*").alias("times"))
-    chosen = cut(winners.select("k").join(times, "k").select(
-        F.col("k.none").alias("__none"), F.col("k.id").alias("__id"), F.col("k.row").alias("__row"), "times"))
-    same = (F.col("__key.none") == F.col("__none")) & F.col("__key.id").eqNullSafe(F.col("__id")) & (F.col("__key.row") == F.col("__row"))
+    times = rows.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("times"))
+    chosen = cut(winners.select("k").join(times, "k"))
     own = [F.col(f"`{c}`") for c in df.columns]
 
     def rows_of(keys: DataFrame) -> DataFrame:
-        return keyed.join(keys, same).select(*own)
+        given, kept = F.col(f"`{name}`"), keys["k"]
+        same = (given["none"] == kept["none"]) & given["id"].eqNullSafe(kept["id"]) & (given["row"] == kept["row"])
+        return keyed.join(keys, same, "left_semi").select(*own)
 
     return rows_of(chosen.where("times = 1")).union(rows_of(chosen.where("times > 1")).dropDuplicates())

@@ -1,0 +1,73 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm_tables import CLASHES, edge_rows, empty, table
+from remarklab.llm import secret_scan as S
+
+
+def base_by_the_book(text):
+    """The base kinds as they are defined: match, then drop what is too short."""
+    out = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m[2]) >= 6:
+            out.append(("assign", m.start(), m.end()))
+    out += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    out += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return sorted(out, key=lambda s: (s[1], S.KINDS.index(s[0])))
+
+
+def pieces(rng):
+    return rng.choice([
+        "PassWord", "passwd", "secret", "ſecret", "toKen", "apikey", "API_KEY", '"', "'", " ", "  ", ":", "=", "abc", "abcdef", "x.y=z-9/8",
+        "AKIA", "AKIA" + "A1" * 8, "B2" * 8, "0123456789abcdef" * 2, "deadbeef", "\n", "é", "token: secret: abcdefgh", "K"])
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_base_spans(seed):
+    rng = random.Random(seed)
+    text = "".join(pieces(rng) for _ in range(60))
+    assert sorted(S.base_spans(text), key=lambda s: (s[1], S.KINDS.index(s[0]))) == base_by_the_book(text)
+
+
+def test_window_entropy_equals_counting():
+    rng = random.Random(5)
+    for n in (0, 1, 7, 20, 90):
+        text = "".join(rng.choice("abcXYZ012+/") for _ in range(n))
+        got = S.window_entropies(text, 20)
+        width = min(20, n)
+        want = []
+        for i in range(n - width + 1 if n else 0):
+            counts = Counter(text[i:i + width])
+            want.append(-sum(c / width * math.log2(c / width) for c in counts.values()))
+        assert got == pytest.approx(want)
+
+
+def test_entropy_spans_and_allow_list():
+    secret = "q8Zr2Lw9xTb4Vn7Kp1Ys6Hd3"
+    assert ("entropy", 5, 5 + len(secret)) in S.secret_spans(f"key: {secret} end")
+    for harmless in ("thehousewasonthehillandthe", "ThehouseWasOnTheHillAnd", "11111111111111111111111", "123e4567-e89b-12d3-a456-426614174000",
+                     "EXAMPLE" + secret, "some-long-identifier-with-words-12", "__________________________"):
+        assert S.secret_spans(f"see {harmless} there") == [], harmless
+    # a base span is not reported again
+    assert {s[0] for s in S.secret_spans(f"token={secret}")} == {"assign"}
+
+
+def test_rows_and_redaction(spark):
+    rows = [*edge_rows(), (20, "a token = abcdefgh and 0123456789abcdef0123456789abcdef", None), (21, "é😀 password:hunter22 é", None)]
+    df = table(spark, rows, CLASHES)
+    out = S.redact(S.scan_documents(df))
+    got = {(r.doc_id, r.text): r.secrets for r in out.collect()}
+    assert got[(21, "é😀 [SECRET] é")][0][1:] == (3, 20)
+    assert (20, "a [SECRET] and [SECRET]") in got
+    assert got[(1, None)] == [] and got[(2, "")] == []
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(i) for i, _, _ in rows)
+    plain = {t for _, t, _ in edge_rows()}
+    assert plain <= {t for _, t in got}  # clean texts stay as they are
+    assert S.scan_documents(empty(spark)).count() == 0
+    joined = S.scan_documents(df, keep=["doc_id"]).where("doc_id = 21").select(S.joined(F.col("secrets")).alias("j")).head().j
+    assert joined == "assign:3:20"

@@ -12,10 +12,10 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from remarklab.llm import byte_bpe, decontaminate, language, secret_scan, simhash
-from remarklab.llm.common import remainder
+from remarklab.llm.common import free_name, remainder
 from remarklab.session import checkpoint_dir
 
 RANKS, PATTERN = "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN
@@ -23,6 +23,15 @@ RANKS, PATTERN = "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN
 SHINGLE, DISTANCE = 3, 3
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns of these names renamed, and the columns that bring its own back."""
+    renamed = {}
+    for c in docs.columns:
+        if c.lower() in names:
+            renamed[c] = free_name([*docs.columns, *renamed.values()], f"__own_{c}")
+    return docs.withColumnsRenamed(renamed), [F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are in no learned language; fill a NULL ``lang`` with the prediction.
 
@@ -30,12 +39,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     nothing is dropped.
     """
     counts = language.train(docs.where(remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
-    clash = {"lang_pred", "score", "bits_per_byte"}
-    own = [c for c in docs.columns if c.lower() not in clash]
-    found = language.identify(docs.select(*[F.col(f"`{c}`") for c in own]), counts)
+    free, own = set_aside(docs, "lang_pred", "score", "bits_per_byte")
+    found = language.identify(free, counts)
     kept = found.where(~language.reject(F.col("lang_pred"), F.col("bits_per_byte"), counts))
     filled = F.coalesce("lang", F.when(F.col("lang_pred") != language.UNKNOWN, F.col("lang_pred")))
-    return kept.withColumn("lang", filled).select(*[F.col(f"`{c}`") for c in own])
+    return kept.withColumn("lang", filled).select(*own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +59,10 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by a mask; ``n_chars`` follows the text."""
-    own = [c for c in docs.columns if c.lower() != "secrets"]
-    masked = secret_scan.redact(secret_scan.scan_documents(docs.select(*[F.col(f"`{c}`") for c in own])))
+    free, own = set_aside(docs, "secrets")
+    masked = secret_scan.redact(secret_scan.scan_documents(free))
     changed = F.when(F.size("secrets") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return masked.withColumn("n_chars", changed).select(*[F.col(f"`{c}`") for c in own])
+    return masked.withColumn("n_chars", changed).select(*own)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

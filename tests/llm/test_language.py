@@ -1,0 +1,104 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_tables import CLASHES, edge_rows, empty, table
+from remarklab.llm import language as P
+
+VOICES = {"aa": "ka ki ko ku".split(), "bb": "ta ti to tu ki".split(), "cc": "éa éo ka ta".split()}
+
+
+def text(lang, seed, n=80):
+    rng = random.Random(f"{lang}{seed}")
+    return " ".join("".join(rng.choice(VOICES[lang]) for _ in range(rng.randrange(1, 5))) for _ in range(n))
+
+
+def cost_by_the_book(counts, word, order):
+    """Bits of a word in one language: walk from the longest context to the shortest."""
+    b, bits = P.coded(word), 0.0
+    for i in range(1, len(b)):
+        for k in range(min(order, i), -1, -1):
+            context = b[i - k:i]
+            own = {s: n for s, n in counts.items() if s[:-1] == context and len(s) == k + 1}
+            total, kinds = sum(own.values()), len(own)
+            if b[i - k:i + 1] in own:
+                bits += math.log2((total + kinds) / own[b[i - k:i + 1]])
+                break
+            if own:
+                bits += math.log2((total + kinds) / kinds)
+        else:
+            bits += 8
+    return bits
+
+
+@pytest.mark.parametrize("order", [0, 2, 4])
+def test_code_lengths_are_exact(order):
+    counts = {lang: dict(P.count_strings(iter([text(lang, 1, 30)]), order)) for lang in VOICES}
+    model = P.Model(counts, order)
+    scorer = P.Scorer(model)
+    words = ["kaki", "tato", "éaéo", "zzz", "k", "ñandú", "ka" * 16]
+    got = scorer.costs_of(words)
+    for w, row in zip(words, got):
+        assert row.tolist() == pytest.approx([cost_by_the_book(counts[lang], w, order) for lang in model.languages])
+    assert scorer.code_lengths([words, words[:2]])[0].tolist() == pytest.approx(got.sum(0).tolist())
+
+
+def test_small_cache_gives_the_same(monkeypatch):
+    counts = {lang: dict(P.count_strings(iter([text(lang, 1)]))) for lang in VOICES}
+    model = P.Model(counts)
+    texts = [text(lang, 7).split() for lang in VOICES]
+    want = P.Scorer(model).code_lengths(texts)
+    monkeypatch.setattr(P, "CACHE_WORDS", 5)
+    for a, b in zip(P.Scorer(model).code_lengths(texts), want):
+        assert a.tolist() == pytest.approx(b.tolist())
+
+
+def labelled(spark, n=40):
+    return table(spark, [(i, text(lang, i), lang) for k, lang in enumerate(VOICES) for i in range(k * n, k * n + n)])
+
+
+def test_held_out_accuracy(spark):
+    docs = labelled(spark)
+    counts = P.train(docs.where("doc_id % 4 <> 0"), "doc_id", "text", "lang")
+    out = P.identify(docs.where("doc_id % 4 = 0"), counts)
+    rows = out.collect()
+    assert len(rows) == 30 and all(r.lang_pred == r.lang and 0.5 < r.score <= 1 for r in rows)
+
+
+def test_training_is_bounded_and_repeatable(spark):
+    docs = labelled(spark)
+    one = P.train(docs, "doc_id", "text", "lang", sample_rows=5, languages=2, strings=60)
+    two = P.train(docs.repartition(7), "doc_id", "text", "lang", sample_rows=5, languages=2, strings=60)
+    assert one == two and sorted(one) == ["aa", "bb"] and all(len(v) == 30 for v in one.values())
+    whole = P.train(docs, "doc_id", "text", "lang")
+    everything = P.count_strings(iter([text("aa", i) for i in range(40)]))
+    assert whole["aa"] == dict(everything)
+
+
+def test_edges(spark):
+    rows = edge_rows()
+    df = table(spark, rows, CLASHES)
+    counts = P.train(df, "doc_id", "text", "lang")
+    assert sorted(counts) == ["de", "en"]
+    out = P.identify(df, counts).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        has_letter = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred == "und") == (not has_letter) and 0 <= r.score <= 1
+        assert (r.bits_per_byte is None) == (not has_letter)
+    none = P.train(df.where("lang = 'xx'"), "doc_id", "text", "lang")
+    assert none == {} and {r.lang_pred for r in P.identify(df, none).collect()} == {"und"}
+    assert P.identify(empty(spark), counts).count() == 0 and P.train(empty(spark), "doc_id", "text", "lang") == {}
+    assert P.identify(df, none).where(P.reject(F.col("lang_pred"), F.col("bits_per_byte"), none)).count() == 0
+
+
+def test_gibberish_is_rejected(spark):
+    counts = P.train(labelled(spark), "doc_id", "text", "lang")
+    df = table(spark, [(1, text("aa", 99), None), (2, "xqzjw vbnmp wrfgh qqxz", None), (3, "123", None)])
+    out = P.identify(df, counts)
+    kept = out.where(~P.reject(F.col("lang_pred"), F.col("bits_per_byte"), counts)).collect()
+    assert [r.doc_id for r in kept] == [1]
+    assert np.isfinite([r.bits_per_byte for r in kept]).all()

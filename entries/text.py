@@ -117,6 +117,13 @@ def clean_corpus(spark, sf):
     )
 
 
+@query("clean_documents", with_cleaned(CORPUS))
+def clean_documents(spark, sf):
+    return cleaned(spark, sf).select(
+        "id", "timestamp", "cleaned_body", F.array_join("tokens_cleaned", "|").alias("tokens"), "sentiment", "score"
+    )
+
+
 FUNNEL = """f AS (SELECT (SELECT count(*) FROM src) AS n0, (SELECT count(*) FROM firsts) AS n1,
        (SELECT count(*) FROM cleaned_text) AS n2, (SELECT count(*) FROM tokenised) AS n3, (SELECT count(*) FROM cleaned) AS n4)
 SELECT CAST(step_no AS INTEGER) AS step_no, step, rows_left, rows_removed, round(100.0 * rows_left / n0, 2) AS retention_pct FROM (

@@ -49,7 +49,7 @@ def fixed_terms(spark, sf):
     top = top_k_per_group(counts, "topic", "n", "term", 15)
     total = F.sum("n").over(Window.partitionBy("topic"))
     # 75 rows that every operator below reads more than once
-    return cache_stage(top.select("topic", "rank", "term", F.round(F.col("n") / total, 8).alias("weight")))
+    return cache_stage(top.select("topic", "rank", "term", F.round(F.col("n") / total, 8).alias("weight")), durable=True)
 
 
 TERMS = f"""tt AS (SELECT topic, term, n, row_number() OVER (PARTITION BY topic ORDER BY n DESC, term) AS rank FROM (

@@ -245,10 +245,6 @@ class Experiment:
     models: dict = field(default_factory=dict)
     predictions: dict[str, DataFrame] = field(default_factory=dict)
 
-    def release(self) -> None:
-        """Free the kept input; predictions read later are computed from the source again."""
-        self.rows.unpersist()
-
 
 def run_experiment(
     df: DataFrame, settings: Settings = DEFAULTS, label: str = "sentiment_category", key: str = "id",
@@ -257,7 +253,8 @@ def run_experiment(
     """Label, split by key hash, fit the features on the training part, train, predict."""
     slim = prepare_labels_source(df, label)
     columns = [x for x in dict.fromkeys([key, label, "tokens_cleaned", "dominant_topic", *keep]) if x in slim.columns]
-    rows = cache_stage(slim.select(*[c(x) for x in columns]))
+    # read by several fits and by whoever reads the predictions later: stored, so that nothing stays cached
+    rows = cache_stage(slim.select(*[c(x) for x in columns]), durable=True)
     indexed, mapping = index_labels(rows, label)
     train, test = train_test_split(indexed, key, 1 - settings.test_ratio, settings.seed)
     features = fit_features(train, settings=settings)

@@ -33,12 +33,12 @@ def add_tokens(df: DataFrame, col: str = "cleaned_body", cleaned: bool = True) -
 
 def clean_corpus(
     df: DataFrame, settings: Settings = DEFAULTS, dedup_order: tuple[str, ...] | None = ("created_utc",),
-    narrow_dedup: bool = True,
+    narrow_dedup: bool = False,
 ) -> DataFrame:
     """De-duplicate, drop empty texts, add time, clean, tokenise, drop short comments.
 
-    Only the de-duplication shuffles, by default just the rows whose id is repeated; all else
-    happens inside the row. Empty texts go after it: an empty first copy still wins over a later
+    Only the de-duplication shuffles (with ``narrow_dedup`` just the rows whose id is repeated, see
+    ``distinct_on``); all else happens inside the row. Empty texts go after it: an empty first copy still wins over a later
     one. ``dedup_order=None`` promises distinct ids.
     """
     unique = df if dedup_order is None else distinct_on(df, "id", list(dedup_order), narrow=narrow_dedup)

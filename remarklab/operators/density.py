@@ -82,7 +82,7 @@ def exact_quantiles(
     The exact ``percentile`` aggregate keeps every distinct value of a group in one task. Here a
     bounded sketch first brackets each quantile, everything below a bracket is only counted, and
     just the values inside it (a few ten-thousandths of a large group, counted per distinct
-    value) are ranked.
+    value) are shuffled and ranked.
     """
     name = "__by"
     base = df.select((c(by) if by else F.lit(0)).alias(name), c(col).cast("double").alias("v")).filter(
@@ -113,16 +113,14 @@ def exact_quantiles(
             ]
         ).alias("br"),
     )
-    # value counts first: map-side combined, so repeated values of a hot group stay cheap
-    counts = base.groupBy(name, "v").agg(F.count(F.lit(1)).alias("n"))
-    placed = _attach(counts, brackets, by).select(
-        name, "v", "n", F.explode(F.filter("br", lambda b: F.col("v") <= b["hi"])).alias("b")
+    placed = _attach(base, brackets, by).select(
+        name, "v", F.explode(F.filter("br", lambda b: F.col("v") <= b["hi"])).alias("b")
     )
     inside = F.col("v") >= F.col("b.lo")
-    # values below a bracket collapse into one row, those inside keep one row each
+    # each task counts the values below a bracket in one row, and those inside in one row per value
     ranked = (
         placed.groupBy(name, "b", F.when(inside, F.col("v")).alias("v"))
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn(
             "upto",
             F.sum("n").over(
@@ -160,11 +158,10 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, digits: int = 6, a
         "hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     )
     whiskers = (
-        base.groupBy(name, "v").agg(F.count(F.lit(1)).alias("n"))
-        .transform(_attach, fences, by)
+        _attach(base, fences, by)
         .groupBy(name)
         .agg(
-            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.min("v").alias("min"),
             F.first("q1").alias("q1"),
             F.first("median").alias("median"),
@@ -184,12 +181,11 @@ def score_density(
 ) -> DataFrame:
     """Gaussian kernel density on a grid, Scott's bandwidth.
 
-    One sum per grid point over per-value counts: no score meets the grid in a join, and partial
-    sums combine before the single-row result. Summing rounded kernel values keeps the result
-    independent of the order of addition.
+    One sum per grid point over the rows: no score meets the grid in a join, and only each task's
+    partial sums are shuffled. Summing rounded kernel values keeps the result independent of the
+    order of addition.
     """
     base = df.select(c(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counts = base.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     stats = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("s"))
     width = stats.select(F.round(F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-0.2)), 12)).scalar()
     total = stats.select(F.col("n")).scalar()
@@ -198,8 +194,8 @@ def score_density(
         z = (F.lit(float(x)) - F.col("v")) / F.col("h")
         return F.round(F.exp(-0.5 * z * z), 10)
 
-    sums = counts.withColumn("h", width).agg(
-        F.first("h").alias("h"), *[F.sum(F.col("n") * kernel(x)).alias(f"__g{i}") for i, x in enumerate(grid)]
+    sums = base.withColumn("h", width).agg(
+        F.first("h").alias("h"), *[F.sum(kernel(x)).alias(f"__g{i}") for i, x in enumerate(grid)]
     )
     points = F.array(
         *[F.struct(F.lit(float(x)).alias("x"), F.col(f"__g{i}").alias("s")) for i, x in enumerate(grid)]

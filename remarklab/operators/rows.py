@@ -100,18 +100,20 @@ def distinct_on(
 
     ``narrow=True`` is for tables whose keys mostly occur once: a first look at the key column
     alone finds the repeated keys, and unless these are more than ``max_rows`` only their rows
-    are shuffled. All other rows, and so nearly all the text, stay where they are.
+    are shuffled. All other rows, and so nearly all the text, stay where they are. That look runs
+    at once, while the plain form is as lazy as any other operator.
     """
     if narrow:
+        # written to the shared folder, so that nothing stays cached
         repeated = cache_stage(
-            df.groupBy(c(key).alias("__key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__key")
+            df.groupBy(c(key).alias("__key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__key"),
+            durable=True,
         )
         if fits(repeated, max_rows):
             same = c(key).eqNullSafe(F.col("__key"))
             once = df.join(F.broadcast(repeated), same, "left_anti")
             often = df.join(F.broadcast(repeated), same, "left_semi")
             return once.unionByName(distinct_on(often, key, order, keep))
-        repeated.unpersist()
     rest = [name for name in df.columns if name != key and name not in order]
     row = F.struct(*[c(x) for x in order], tie_break(df, key, order).alias("__tie"), *[c(x) for x in rest])
     pick = F.min if keep == "first" else F.max
@@ -194,40 +196,39 @@ def exact_sample(
     """Exactly n (or round(fraction x N)) rows without replacement: those of the lowest hashes.
 
     No sort of the sample: a histogram over hash prefixes finds the prefix in which the n-th row
-    lies, the prefixes below it are taken whole, and only that prefix is refined, four hash
-    digits at a time, until at most ``EDGE_ROWS`` rows are left to rank. Rows of equal key are told apart by a hash of the whole row, and copies
-    equal in every column are counted, so no step gathers a hot key in one task.
+    lies, and only that prefix is refined, four hash digits at a time, until at most ``EDGE_ROWS``
+    rows are left to rank. What lies below is one filter over one scan. Rows of equal key are told
+    apart by a hash of the whole row, and copies equal in every column are counted, so no step
+    gathers a hot key in one task.
     """
     if n is None:
         n = int(math.floor(df.count() * fraction + 0.5))
+    if n <= 0:
+        return df.limit(0)
     row_hash = F.md5(F.to_json(F.struct(*[c(x) for x in df.columns])))
-    left = df.withColumn("__k", _key_hash(key, seed)).withColumn("__r", row_hash)
+    keyed = df.withColumn("__k", _key_hash(key, seed)).withColumn("__r", row_hash)
     columns = [c(x) for x in df.columns]
-    out = df.limit(0)
+    sure, at_edge = F.lit(False), F.lit(True)
     for hash_name, start in (("__k", 1), ("__k", 5), ("__r", 1), ("__r", 5)):
-        if n <= 0:
-            return out
         group = F.substring(hash_name, start, 4)
         # at most 65,536 rows
-        counts = left.groupBy(group.alias("g")).count().orderBy("g").collect()
-        below, edge, at_edge = 0, None, 0
+        counts = keyed.filter(at_edge).groupBy(group.alias("g")).count().orderBy("g").collect()
+        below, edge = 0, None
         for r in counts:
             if below + r["count"] > n:
-                edge, at_edge = r["g"], r["count"]
+                edge = r
                 break
             below += r["count"]
-        sure = left if edge is None else left.filter(group < edge)
-        out = out.unionByName(sure.select(*columns))
         if edge is None:
-            return out
+            return keyed.filter(sure | at_edge).select(*columns)
         n -= below
-        left = left.filter(group == edge)
-        if at_edge <= EDGE_ROWS:
+        sure, at_edge = sure | (at_edge & (group < edge["g"])), at_edge & (group == edge["g"])
+        if n == 0:
+            return keyed.filter(sure).select(*columns)
+        if edge["count"] <= EDGE_ROWS:
             break
-    if n <= 0:
-        return out
     # what is left is few rows, or agrees in 16 hash digits: copies of one row, up to chance
-    copies = left.groupBy(*[c(x) for x in left.columns]).count()
+    copies = keyed.filter(at_edge).groupBy(*[c(x) for x in keyed.columns]).count()
     upto = F.sum("count").over(
         Window.orderBy("__k", "__r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -238,7 +239,7 @@ def exact_sample(
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__take")))
         .select(*columns)
     )
-    return out.unionByName(rest)
+    return keyed.filter(sure).select(*columns).unionByName(rest)
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:

@@ -202,7 +202,6 @@ def train_classifiers(ctx: Context) -> dict:
     sinks.save_model(run.features.model, ctx.paths.model("features"))
     for name, model in run.models.items():
         model.write().overwrite().save(ctx.paths.model(name))
-    run.release()
     return {"models_trained": sorted(run.models), "best_model": best}
 
 

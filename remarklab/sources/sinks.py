@@ -24,13 +24,23 @@ def verify_stage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json_report(df: DataFrame, path: str) -> None:
-    """A report frame as JSON lines in one file; the work behind it stays parallel."""
-    df.repartition(1).write.mode("overwrite").json(path)
+    """A report frame as a folder of JSON lines, each task's rows in a file of its own."""
+    df.write.mode("overwrite").json(path)
 
 
-def report_document(sections: dict[str, DataFrame]) -> DataFrame:
-    """One row, one array-of-structs column per report section: a single JSON document."""
+# a document is one row: sections beyond this many rows are no report
+DOCUMENT_ROWS = 10_000
+
+
+def report_document(sections: dict[str, DataFrame], max_rows: int = DOCUMENT_ROWS) -> DataFrame:
+    """One row, one array-of-structs column per report section: a single JSON document.
+
+    Sections of more than ``max_rows`` rows are refused; write those with ``write_json_report``.
+    """
     out = None
+    for name, frame in sections.items():
+        if frame.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"section {name} has more than {max_rows} rows")
     for name, frame in sections.items():
         packed = frame.agg(F.collect_list(F.struct(*[c(x) for x in frame.columns])).alias("v")).scalar()
         spark = frame.sparkSession

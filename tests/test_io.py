@@ -86,10 +86,10 @@ def test_json_reports(spark, tmp_path):
     a = spark.createDataFrame([(1, "x")], "n int, `a.b` string")
     doc = sinks.report_document({"first": a, "second": spark.range(2)})
     sinks.write_json_report(doc, str(tmp_path / "r"))
-    part = [p for p in os.listdir(tmp_path / "r") if p.startswith("part")]
-    assert json.loads((tmp_path / "r" / part[0]).read_text()) == {
-        "first": [{"n": 1, "a.b": "x"}], "second": [{"id": 0}, {"id": 1}]
-    }
+    lines = "".join((tmp_path / "r" / p).read_text() for p in os.listdir(tmp_path / "r") if p.startswith("part"))
+    assert json.loads(lines) == {"first": [{"n": 1, "a.b": "x"}], "second": [{"id": 0}, {"id": 1}]}
+    with pytest.raises(ValueError):
+        sinks.report_document({"rows": spark.range(3)}, max_rows=2)
 
 
 def test_checkpoint_folder_is_the_named_one(spark):

@@ -136,7 +136,6 @@ def test_experiment(spark, docs, tmp_path):
     save_model(run.features.model, str(tmp_path / "m"))
     loaded = load_model(str(tmp_path / "m")).transform(run.test).select("id", "features")
     assert loaded.exceptAll(run.features.transform(run.test).select("id", "features")).count() == 0
-    run.release()
 
 
 def test_one_topic_gives_no_topic_features(docs):

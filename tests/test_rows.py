@@ -202,3 +202,24 @@ def test_histogram_bounds_per_group(spark):
     assert got == {("a", 0): (0.0, 1), ("a", 1): (0.5, 1), ("b", 0): (10.0, 1), ("b", 1): (10.5, 1)}
     whole = {r.bin: r.n for r in D.histogram(df, "x", 2).collect()}
     assert whole == {0: 2, 1: 2}
+
+
+def test_nothing_stays_cached(spark):
+    """Neither narrow de-duplication, nor lookups, nor a cleaned corpus leave a persisted frame."""
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = spark.createDataFrame([("a", 1, "some text of a few words"), ("a", 2, "x"), ("b", 3, "other text of some words")],
+                               "id string, created_utc bigint, body string")
+    assert R.distinct_on(df, "id", ["created_utc"], narrow=True).count() == 2
+    assert C.clean_corpus(df).count() <= 2
+    words = spark.createDataFrame([("text",)], "token string")
+    assert R.keyword_filter(C.clean_corpus(df), words, inline_rows=0).count() <= 2
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_quantiles_shuffle_few_rows(spark):
+    """Values outside the brackets are counted in their tasks, not shuffled."""
+    n = 60_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("x"))
+    got = {r.p: r.value for r in D.exact_quantiles(df, "x", [0.25, 0.5, 0.999]).collect()}
+    assert got == {p: pytest.approx(p * (n - 1)) for p in (0.25, 0.5, 0.999)}

@@ -1,4 +1,9 @@
-"""A small English seed lexicon and modifier list, for use where no lexicon table is given."""
+"""A small English seed lexicon and modifier list, for use where no lexicon table is given.
+
+Valences and their words are our own choice. Negations and boosters are common English function words
+and adverbs in the sense of the published VADER paper (Hutto and Gilbert, 2014; its word lists are under
+the MIT licence), without its multi-word entries.
+"""
 
 from __future__ import annotations
 

@@ -5,7 +5,8 @@ lower-cased text without symbols: word valences, boosters and negations up to th
 the contrast of "but", and emphasis by ! and ?.
 
 A lexicon is a table (token, valence); modifiers are a table (token, kind, weight) of kind
-``booster`` (signed weight) or ``negate``.
+``booster`` (signed weight) or ``negate``. As in the published rules, a booster is never a hit itself,
+and a word of the lexicon doesn't modify others.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def _score_in_row(text: Column, rows: list, but: str) -> Column:
 
     def total(ctx: Column) -> Column:
         hits = F.filter(
-            F.transform(ctx["e"], lambda e, i: F.when(e["valence"].isNotNull(), i)), lambda i: i.isNotNull()
+            F.transform(ctx["e"], lambda e, i: F.when(e["valence"].isNotNull() & e["boost"].isNull(), i)), lambda i: i.isNotNull()
         )
         return F.reduce(F.transform(hits, lambda i: valence(ctx, i)), F.lit(0.0), lambda a, v: a + v)
 
@@ -133,7 +134,7 @@ def _score_by_join(keyed: DataFrame, table: DataFrame, col: str, but: str, max_r
     # texts that occur often give the same hits: one of each is enough
     hits = lookup_join(
         words.select("__key", "x.*"),
-        table.filter("valence is not null").select("token", F.col("valence").alias("v")),
+        table.filter("valence is not null and boost is null").select("token", F.col("valence").alias("v")),
         "token", salt_on=["__key", "pos"], small=small,
     ).drop("token").dropDuplicates(["__key", "pos"])
     for d, w in enumerate(DISTANCE_WEIGHTS, start=1):

@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from remarklab.functions.words import seed_lexicon, seed_modifiers
@@ -105,3 +106,12 @@ def test_empty_frame(spark):
     lexicon, mods = frames(spark)
     df = spark.createDataFrame([], "id string, cleaned_body string")
     assert lexicon_sentiment(df, lexicon, mods).agg(F.count(F.lit(1)).alias("n")).first().n == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"inline_rows": 0}])
+def test_a_booster_in_the_lexicon_is_no_hit(spark, options):
+    df = spark.createDataFrame([("1", "really"), ("2", "really good"), ("3", "good")], "id string, cleaned_body string")
+    lexicon = spark.createDataFrame([("good", 1.9), ("really", 1.0)], "token string, valence double")
+    modifiers = spark.createDataFrame([("really", "booster", 0.293)], "token string, kind string, weight double")
+    got = {r.id: r.vader_sentiment for r in lexicon_sentiment(df, lexicon, modifiers, **options).collect()}
+    assert got == {"1": 0.0, "2": 0.4404, "3": 0.4404}

@@ -31,6 +31,8 @@ from remarklab.llm.common import cut, ship_package, slices, small_batches
 HEAD, HEAD_BYTES = 1 << 17, 64
 # different words that a task counts before it passes them on
 FLUSH = 400_000
+# words whose lattices are summed together
+TOGETHER = 20_000
 SPACE = "▁"
 NONE = -math.inf
 
@@ -135,6 +137,141 @@ class Lattice:
                         counts[self.first_byte + b] += share
 
 
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+class Lattices:
+    """The recursions of ``Lattice`` for many words at once, words of equal length together."""
+
+    SLOTS = 18
+    LONGEST = 48  # longer words are left to ``Lattice``
+
+    def __init__(self, pieces: list[str], weights: np.ndarray):
+        self.single = Lattice(pieces, weights)
+        self.weights = np.append(weights[:len(pieces)], -np.inf)  # the last stands for no piece
+        self.first_byte, self.size = len(pieces), len(weights)
+        self.width = max((len(p) for p in pieces), default=1)
+        base = np.uint64(0x9E3779B97F4A7C15)
+        inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+        self.powers = np.cumprod(np.append(np.uint64(1), np.full(self.LONGEST + 1, base)))
+        self.inverse = np.cumprod(np.append(np.uint64(1), np.full(self.LONGEST + 1, inverse)))
+        if len(pieces) << 1 > 1 << self.SLOTS:
+            self.SLOTS = (len(pieces) << 1).bit_length()
+        # open addressing: a piece's key lies in its slot or in the next free one
+        self.keys = np.zeros(1 << self.SLOTS, np.uint64)
+        self.values = np.full(1 << self.SLOTS, -1, np.int64)
+        by_length: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            by_length.setdefault(len(piece), []).append(i)
+        for n, own in by_length.items():
+            if n > self.LONGEST + 1:
+                continue
+            codes = np.frombuffer("".join(pieces[i] for i in own).encode("utf-32-le"), "<u4").reshape(-1, n)
+            keys = self._keys(codes, np.array([0]), np.array([n]))[:, 0]
+            for i, key in zip(own, keys.tolist()):
+                at = key >> 64 - self.SLOTS
+                while self.keys[at]:
+                    at = at + 1 & (1 << self.SLOTS) - 1
+                self.keys[at], self.values[at] = key, i
+
+    def _keys(self, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hashes of the substrings from ``start`` to ``stop`` of every row."""
+        n = codes.shape[1]
+        sums = np.zeros((len(codes), n + 1), np.uint64)
+        np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * self.powers[:n], axis=1, out=sums[:, 1:])
+        size = (stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return _mix((sums[:, stop] - sums[:, start]) * self.inverse[start] + size) | np.uint64(1)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Piece of every key, -1 for none."""
+        flat = keys.ravel()
+        at = (flat >> np.uint64(64 - self.SLOTS)).astype(np.int64)
+        out = np.full(len(flat), -1, np.int64)
+        todo = np.arange(len(flat))
+        while len(todo):
+            held = self.keys[at[todo]]
+            hit = held == flat[todo]
+            out[todo[hit]] = self.values[at[todo[hit]]]
+            todo = todo[(held != 0) & ~hit]
+            at[todo] = at[todo] + 1 & (1 << self.SLOTS) - 1
+        return out.reshape(keys.shape)
+
+    def _groups(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, list[str]]]:
+        texts = [SPACE + w.decode() for w in words]
+        sizes = np.array([len(t) for t in texts])
+        for n in np.unique(sizes):
+            index = np.flatnonzero(sizes == n)
+            for part in np.array_split(index, len(index) * n * min(n, self.width) // 2_000_000 + 1):
+                yield part, [texts[i] for i in part]
+
+    def _arcs(self, texts: list[str]):
+        """Codes, first and last position of each arc, the pieces, and the log probabilities, of words of one length."""
+        n = len(texts[0])
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").reshape(-1, n)
+        start, stop = np.array([(i, j) for j in range(1, n + 1) for i in range(max(0, j - self.width), j)]).T
+        found = self._find(self._keys(codes, start, stop))
+        weights = self.weights[found]
+        # characters that are no piece are spelled by their bytes
+        single = np.flatnonzero(stop - start == 1)
+        rows, columns = np.nonzero(found[:, single] < 0)
+        if len(rows):
+            chars, inverse = np.unique(codes[rows, start[single[columns]]], return_inverse=True)
+            cost = np.array([sum(self.single.weights[self.first_byte + b] for b in chr(c).encode()) for c in chars])
+            weights[rows, single[columns]] = cost[inverse]
+        return codes, start, stop, found, weights
+
+    @staticmethod
+    def _sum(values: np.ndarray) -> np.ndarray:
+        """Log of the sum of exponentials along the rows."""
+        top = values.max(1)
+        return top + np.log(np.exp(values - top[:, None]).sum(1))
+
+    def _forward(self, n: int, start, stop, weights) -> np.ndarray:
+        alpha = np.zeros((len(weights), n + 1))
+        for j in range(1, n + 1):
+            own = np.flatnonzero(stop == j)
+            alpha[:, j] = self._sum(alpha[:, start[own]] + weights[:, own])
+        return alpha
+
+    def log_probabilities(self, words: list[bytes]) -> np.ndarray:
+        """Natural log of every word's marginal probability, its end included."""
+        out = np.zeros(len(words))
+        for index, texts in self._groups(words):
+            if len(texts[0]) > self.LONGEST:
+                out[index] = [self.single.log_probability(words[i]) for i in index]
+                continue
+            _, start, stop, _, weights = self._arcs(texts)
+            out[index] = self._forward(len(texts[0]), start, stop, weights)[:, -1] + self.single.stop
+        return out
+
+    def expected_counts(self, words: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
+        """Add the expected uses of every piece and byte in ``times`` occurrences of each word."""
+        for index, texts in self._groups(words):
+            n = len(texts[0])
+            if n > self.LONGEST:
+                own = [0.0] * self.size
+                for i in index:
+                    self.single.expected_counts(words[i], float(times[i]), own)
+                counts += own
+                continue
+            codes, start, stop, found, weights = self._arcs(texts)
+            alpha = self._forward(n, start, stop, weights)
+            beta = np.zeros((len(texts), n + 1))
+            for i in range(n - 1, -1, -1):
+                own = np.flatnonzero(start == i)
+                beta[:, i] = self._sum(weights[:, own] + beta[:, stop[own]])
+            share = np.exp(np.minimum(0.0, alpha[:, start] + weights + beta[:, stop] - alpha[:, -1:])) * times[index][:, None]
+            known = found >= 0
+            counts += np.bincount(found[known], share[known], self.size)
+            rows, columns = np.nonzero(~known & (share > 0))
+            for c, x in zip(codes[rows, start[columns]].tolist(), share[rows, columns].tolist()):
+                for b in chr(c).encode():
+                    counts[self.first_byte + b] += x
+
+
 def initial_weights(n_pieces: int) -> np.ndarray:
     """Zipf's law over the ranks of pieces; bytes and the end of a word like the middle of the list."""
     p = 1.0 / (np.arange(n_pieces) + 2.7)
@@ -150,44 +287,51 @@ def count_words(df: DataFrame, text: str, train: Column) -> DataFrame:
     small_batches(df.sparkSession)
     source = df.select(F.coalesce(train, F.lit(False)).alias("train"), F.col(f"`{text}`").alias("__text")).where("__text IS NOT NULL")
 
-    def table(seen: Counter, learned: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array([learned[w] for w in seen], pa.int64()),
-             pa.array(list(seen.values()), pa.int64())], names=["word", "c", "n"])
+    def tables(learned: Counter, others: Counter) -> Iterator[pa.RecordBatch]:
+        for counter, use in ((learned, 1), (others, 0)):
+            n = np.fromiter(counter.values(), np.int64, len(counter))
+            yield pa.RecordBatch.from_arrays([pa.array(list(counter), pa.binary()), pa.array(n * use), pa.array(n)], names=["word", "c", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, learned = Counter(), Counter()
+        learned, others = Counter(), Counter()
         for batch in batches:
             for part in slices(batch, 1):
                 for use, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words = words_of(value)
-                    seen.update(words)
-                    if use:
-                        learned.update(words)
-                if len(seen) >= FLUSH:
-                    yield table(seen, learned)
-                    seen, learned = Counter(), Counter()
-        yield table(seen, learned)
+                    (learned if use else others).update(words_of(value))
+                if len(learned) + len(others) >= FLUSH:
+                    yield from tables(learned, others)
+                    learned, others = Counter(), Counter()
+        yield from tables(learned, others)
 
     return source.mapInArrow(run, "word binary, c bigint, n bigint").groupBy("word").agg(
         F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words and counts of several batches together."""
+    words, counts = [], []
+    for batch in batches:
+        words += batch.column(0).to_pylist()
+        counts += batch.column(1).to_pylist()
+        if len(words) >= TOGETHER:
+            yield words, np.array(counts, np.int64)
+            words, counts = [], []
+    if words:
+        yield words, np.array(counts, np.int64)
+
+
 def fit_pieces(words: DataFrame, pieces: list[str]) -> np.ndarray:
     """Log probabilities of pieces, bytes and the end of a word after one round of expected counts."""
     ship_package(words.sparkSession)
     first = initial_weights(len(pieces))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, counts, total = Lattice(pieces, first), [0.0] * len(first), 0
-        for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lattice.expected_counts(word, c, counts)
-                total += c
-        counts[-1] = float(total)
-        used = [i for i, x in enumerate(counts) if x]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array([counts[i] for i in used], pa.float64())], names=["piece", "uses"])
+        lattices, counts = Lattices(pieces, first), np.zeros(len(first))
+        for words, times in _gathered(batches):
+            lattices.expected_counts(words, times, counts)
+            counts[-1] += times.sum()
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["piece", "uses"])
 
     rows = (words.where("c > 0").select("word", "c").mapInArrow(run, "piece int, uses double")
             .groupBy("piece").agg(F.sum("uses").alias("uses")).toArrow())  # as many as pieces at most
@@ -203,10 +347,10 @@ def _spelled(words: DataFrame, pieces: list[str], weights: np.ndarray) -> DataFr
     """Add ``spelled``: the natural log of each word's lattice probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces, weights)
-        for batch in batches:
-            values = [lattice.log_probability(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=["word", "c", "spelled"])
+        lattices = Lattices(pieces, weights)
+        for own, c in _gathered(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.binary()), pa.array(c), pa.array(lattices.log_probabilities(own))], names=["word", "c", "spelled"])
 
     return words.select("word", "c").mapInArrow(run, "word binary, c bigint, spelled double")
 

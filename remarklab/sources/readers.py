@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..config import DEFAULTS
+from ..operators.joins import fits
 from ..operators.rows import exact_sample, hash_sample
 from ..schema import COMMENT_SCHEMA, c, missing_columns
+from ..session import cache_stage
 
 CORRUPT = "_corrupt_record"
 
@@ -43,18 +46,30 @@ def read_comments_csv_split(
 
     Every record starts with the same constant first field, so a line break followed by it
     separates records, and Spark can split a file there. A body may contain that text too; it
-    then leaves pieces with an odd number of quotes. The files that hold such pieces are found
-    first and read whole, the others in splits, so the result is exact either way (as long as no
-    id is itself the word that starts records or the header).
+    then leaves pieces with an odd number of quotes. Splits that hold such pieces, or that begin
+    inside such a body, are found first (one row per split); only their pieces are put in order and
+    joined again where the quotes are balanced. So the result is exact either way (as long as no id
+    is itself the word that starts records or the header), and no file is read by one task.
     """
     separator = "\n" + record_start
     pieces = spark.read.option("lineSep", separator).text(path).select(
-        "value", F.input_file_name().alias("file")
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("no"),
     )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    # one name per affected file
-    torn = [r["file"] for r in pieces.filter(quotes % 2 == 1).select("file").distinct().collect()]
-    clean = pieces.filter(~F.col("file").isin(torn)) if torn else pieces
+    odd = (quotes % 2).cast("bigint")
+    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = cache_stage(
+        pieces.groupBy("file", "block").agg(F.sum(odd).alias("odd"))
+        .withColumn("inside", F.coalesce(F.sum("odd").over(by_file), F.lit(0)) % 2)
+        .filter("odd > 0 OR inside = 1").select("file", "block", "inside"),
+        durable=True,
+    )
+    clean = pieces.select("value")
+    if splits.head() is not None:
+        small = F.broadcast if fits(splits, DEFAULTS.broadcast_rows) else (lambda x: x)
+        torn = _joined_pieces(pieces.withColumn("odd", odd).join(small(splits), ["file", "block"]), separator)
+        clean = pieces.join(small(splits), ["file", "block"], "left_anti").select("value").unionByName(torn)
     # every piece has lost its start, except the header (and the first record of a file without one)
     first_field = F.lit(record_start)
     record = F.when(
@@ -69,7 +84,31 @@ def read_comments_csv_split(
         .select(F.from_csv(record, ddl, options).alias("x"))
         .select(*[F.col("x")[f.name].alias(f.name) for f in full.fields])
     )
-    return rows.unionByName(read_comments_csv(spark, torn, schema)) if torn else rows
+    return rows
+
+
+def _joined_pieces(pieces: DataFrame, separator: str) -> DataFrame:
+    """Pieces of torn splits, joined to whole records (column ``value``).
+
+    A piece starts a record if the quotes before it in its file are balanced; the pieces up to the next
+    start belong to it, over the borders of splits. Each window holds the pieces of one split.
+    """
+    in_split = Window.partitionBy("file", "block").orderBy("no")
+    before = F.coalesce(F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("inside")
+    numbered = pieces.withColumn("start", (before % 2 == 0).cast("int")).withColumn(
+        "record", F.sum("start").over(in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    # pieces before the first start of a split belong to the last record that an earlier split started
+    starts = numbered.groupBy("file", "block").agg(F.max("record").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    started = F.when(F.col("n") > 0, F.struct("block", F.col("n").alias("record")))
+    last = starts.select("file", "block", F.last(started, ignorenulls=True).over(earlier).alias("last"))
+    own = F.when(F.col("record") > 0, F.struct("block", F.col("record").cast("bigint").alias("record"))).otherwise(
+        F.struct(F.col("last.block").alias("block"), F.col("last.record").cast("bigint").alias("record"))
+    )
+    parts = numbered.join(last, ["file", "block"]).select("file", own.alias("of"), F.struct("block", "no", "value").alias("p"))
+    whole = parts.groupBy("file", "of").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return whole.select(F.array_join(F.transform("p", lambda x: x["value"]), separator).alias("value"))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -54,6 +54,26 @@ def test_torn_records_are_read_whole(spark, tmp_path):
     assert by_id(split) == by_id(readers.read_comments_csv(spark, str(tmp_path))) and split.count() == 3
 
 
+def test_torn_files_are_read_in_splits(spark, tmp_path):
+    """Bodies that hold the start of a record, over the borders of many small splits."""
+    rows = []
+    for i in range(300):
+        body = "plain " * (i % 40)
+        if i % 7 == 0:
+            body = "\ncomment,1,a,b\n".join(["part " * (i % 50)] * (1 + i % 4)) + '\ncomment,""quoted""'
+        rows.append(record(i, body))
+    (tmp_path / "a.csv").write_text(HEADER + "".join(rows))
+    (tmp_path / "b.csv").write_text(HEADER + "".join(record(1000 + i, "calm " * 9) for i in range(200)))
+    whole = readers.read_comments_csv(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        split = readers.read_comments_csv_split(spark, str(tmp_path))
+        assert split.rdd.getNumPartitions() > 5
+        assert by_id(split) == by_id(whole) and split.count() == 500
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_sampled_dump(spark, tmp_path):
     rows = [record(i, f"text number {i}") for i in range(300)]
     (tmp_path / "d.csv").write_text(HEADER + "".join(rows))

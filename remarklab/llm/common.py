@@ -118,3 +118,23 @@ def cut(df: DataFrame) -> DataFrame:
 
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# a key with more than one in HOT rows is hot, so there are fewer than HOT; its rows are spread over SALTS tasks
+HOT, SALTS = 200, 64
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join on ``key`` with a table of one row per key, where one key may hold a third of the rows.
+
+    Rows of hot keys get a salt from a hash of the column ``spread``, and their row of the table is
+    copied once per salt. The list of hot keys is broadcast: it has fewer than ``HOT`` entries.
+    """
+    counts = rows.groupBy(key).count()
+    least = rows.count() // HOT
+    hot = cut(counts.where(F.col("count") > max(least, SALTS)).select(key, F.lit(True).alias("__hot")))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    many = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", salt).drop("__hot")
+    copies = table.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return many.join(copies, [key, "__salt"]).drop("__salt")

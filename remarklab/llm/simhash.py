@@ -13,7 +13,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from remarklab.llm.common import append_columns, cut, free_name
+from remarklab.llm.common import append_columns, cut, free_name, join_spread
 from remarklab.llm.components import connected_components
 
 # shingle hashes whose bits are counted at once
@@ -109,7 +109,7 @@ def near_duplicates(
     """
     rows = cut(fingerprint_documents(df, text, shingle, keep=[id_col]).select(F.col(f"`{id_col}`").alias("id"), "fingerprint"))
     classes = _classes(rows, "id", distance).select("fingerprint", F.col("smallest").alias("component_id"))
-    return rows.join(classes, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    return join_spread(rows, classes, "fingerprint", "id").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def keep_one(

@@ -39,9 +39,9 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     nothing is dropped.
     """
     counts = language.train(docs.where(remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
-    free, own = set_aside(docs, "lang_pred", "score", "bits_per_byte")
+    free, own = set_aside(docs, "lang_pred", "score", "bits_per_byte", "fit")
     found = language.identify(free, counts)
-    kept = found.where(~language.reject(F.col("lang_pred"), F.col("bits_per_byte"), counts))
+    kept = found.where(~language.reject(F.col("lang_pred"), F.col("fit"), counts))
     filled = F.coalesce("lang", F.when(F.col("lang_pred") != language.UNKNOWN, F.col("lang_pred")))
     return kept.withColumn("lang", filled).select(*own)
 

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from remarklab.llm.common import append_columns, ship_package, small_batches
@@ -97,6 +98,8 @@ class Model:
         # rows: costs of known strings, escapes, the unknown byte
         self.rows = np.vstack([cost, escape, np.broadcast_to(unknown, (1, size))]) if size else np.zeros((1, 0))
         self.first_escape, self.unknown = len(strings), len(strings) + len(self.escape)
+        # bits of a byte in a code that uses all bytes seen in training alike
+        self.uniform = math.log2(max(1, sum(len(s) == 1 for s in strings)))
 
     def parts(self, word: str) -> list[int]:
         """Rows whose sum is the cost of a word."""
@@ -123,10 +126,10 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.seen: dict[str, int] = {}
-        self.costs = np.zeros((CACHE_WORDS, len(model.languages)))
+        self.costs = np.zeros((CACHE_WORDS, 2 * len(model.languages) + 1))
 
     def code_lengths(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Bits of each text's words in every language."""
+        """Sums of ``costs_of`` over each text's words."""
         out = []
         for words in texts:
             new = set(words).difference(self.seen)
@@ -147,10 +150,13 @@ class Scorer:
         return out
 
     def costs_of(self, words: list[str]) -> np.ndarray:
+        """For every word: its bits in each language; its bytes in those that beat the uniform code, else 0; its bytes."""
         parts = [self.model.parts(w) for w in words]
         flat = np.fromiter((r for p in parts for r in p), np.int64)
         first = np.cumsum([0] + [len(p) for p in parts[:-1]])
-        return np.add.reduceat(self.model.rows[flat], first, axis=0)
+        bits = np.add.reduceat(self.model.rows[flat], first, axis=0)
+        size = np.array([[len(coded(w)) - 1] for w in words], float)
+        return np.hstack([bits, (bits < size * self.model.uniform) * size, size])
 
 
 def train(labelled: DataFrame, id_col: str, text: str, lang: str, sample_rows: int = SAMPLE_ROWS,
@@ -205,50 +211,57 @@ def train(labelled: DataFrame, id_col: str, text: str, lang: str, sample_rows: i
 _SCORERS: dict[str, Scorer] = {}
 
 
+def scorer_of(name: str, model: Broadcast) -> Scorer:
+    """The worker's scorer of a broadcast model; it keeps its words from task to task."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(model.value)
+    return _SCORERS[name]
+
+
 def identify(df: DataFrame, counts: dict[str, dict[bytes, int]], text: str = "text", order: int = ORDER,
              keep: list[str] | None = None) -> DataFrame:
-    """Add ``lang_pred``, ``score`` and ``bits_per_byte`` to every row.
+    """Add ``lang_pred``, ``score``, ``bits_per_byte`` and ``fit`` to every row.
 
     ``lang_pred`` is the language with the shortest code (of equals the first by name), ``und`` for a
     text that is NULL or has no letter and where no language was learned; ``score`` is that language's
     posterior probability under equal priors (0 for ``und``); ``bits_per_byte`` is its code length per
-    coded byte (NULL for ``und``). Repeated rows each get their own; columns named like the new ones are
+    coded byte and ``fit`` the share of these bytes in words that the language codes in fewer bits than
+    a code that uses all bytes seen in training alike (both NULL for ``und``). Repeated rows each get their own; columns named like the new ones are
     replaced; an empty table gives an empty one. Nothing is shuffled.
     """
     model, name = df.sparkSession.sparkContext.broadcast(Model(counts, order)), uuid.uuid4().hex
 
     def make():
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(model.value)
-        scorer = _SCORERS[name]
+        scorer = scorer_of(name, model)
         languages = scorer.model.languages
 
         def run(texts):
             words = [words_of(t) if t else [] for t in texts]
-            labels, scores, rates = [], [], []
-            for own, bits in zip(words, scorer.code_lengths(words) if languages else [None] * len(words)):
-                if not own or bits is None:
-                    labels.append(UNKNOWN), scores.append(0.0), rates.append(None)
-                    continue
-                best = int(np.argmin(bits))
-                labels.append(languages[best])
-                scores.append(float(1.0 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()))
-                rates.append(float(bits[best]) / sum(len(w.encode()) + 1 for w in own))
-            return labels, scores, rates
+            out = [(UNKNOWN, 0.0, None, None)] * len(words)
+            if languages:
+                n = len(languages)
+                for i, sums in enumerate(scorer.code_lengths(words)):
+                    if words[i]:
+                        bits, size = sums[:n], sums[-1]
+                        best = int(np.argmin(bits))
+                        posterior = 1.0 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()
+                        out[i] = (languages[best], float(posterior), float(bits[best] / size), float(sums[n + best] / size))
+            return [list(x) for x in zip(*out)] or [[]] * 4
 
         return run
 
-    return append_columns(df, text, "lang_pred string, score double, bits_per_byte double", make, keep)
+    return append_columns(df, text, "lang_pred string, score double, bits_per_byte double, fit double", make, keep)
+
+
+# least share of a text that must fit its language
+FIT = 0.3
 
 
-def reject(lang_pred: Column, bits_per_byte: Column, counts: dict[str, dict[bytes, int]]) -> Column:
-    """Whether a text is in no learned language: undetermined, or coded worse than by a uniform code.
+def reject(lang_pred: Column, fit: Column, counts: dict[str, dict[bytes, int]]) -> Column:
+    """Whether a text is in no learned language: undetermined, or most of it in words that don't fit.
 
-    The uniform code spends log2 of the number of different bytes seen in training on each byte. Without
-    any learned language nothing is rejected.
+    Single strings that no language explains, such as keys, don't matter. Without any learned language
+    nothing is rejected.
     """
-    alphabet = len({s for own in counts.values() for s in own if len(s) == 1})
-    if not alphabet:
-        return F.lit(False)
-    return (lang_pred == UNKNOWN) | (bits_per_byte > math.log2(alphabet))
+    return ((lang_pred == UNKNOWN) | (fit < FIT)) if counts else F.lit(False)

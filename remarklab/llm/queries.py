@@ -86,7 +86,7 @@ def op2_language_id(spark, sf_dir):
     counts = language.train(docs.where(remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return language.identify(rows, counts, keep=["doc_id", "held_out"]).select(
-        "doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+        "doc_id", "held_out", "lang_pred", "score", "bits_per_byte", "fit")
 
 
 @query

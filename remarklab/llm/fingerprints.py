@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from remarklab.llm.common import cut, free_name
+from remarklab.llm.common import cut, free_name, join_spread
 from remarklab.llm.native import let
 
 SCALES, REPLICAS = 4, 12
@@ -97,11 +97,19 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(F.substring(one, 4, 16) == F.substring(other, 4, 16), 1.0).otherwise(let(parts, compare))
 
 
-def lexicon(df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """Hashes of the terms (column ``term``) that lie in at least ``least`` rows and at most ``share`` of all rows."""
-    total = df.count()
-    counted = df.select(F.explode(terms(F.col(f"`{text}`"))).alias("term")).groupBy("term").count()
-    return counted.where(F.col("count").between(least, max(least, int(share * total)))).select("term")
+class Lexicon:
+    """Hashes of the terms that lie in at least ``least`` rows and at most ``share`` of all rows.
+
+    ``words`` has them in column ``term``; ``everywhere`` has the terms beyond the band, of which there
+    are at most the mean number of terms of a text divided by ``share``.
+    """
+
+    def __init__(self, df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE):
+        most = max(least, int(share * df.count()))
+        counted = df.select(F.explode(terms(F.col(f"`{text}`"))).alias("term")).groupBy("term").count()
+        counted = cut(counted.where(F.col("count") >= least))
+        self.words = counted.where(F.col("count") <= most).select("term")
+        self.everywhere = counted.where(F.col("count") > most).select("term")
 
 
 def profile_texts(df: DataFrame, **texts: Column) -> DataFrame:
@@ -109,19 +117,19 @@ def profile_texts(df: DataFrame, **texts: Column) -> DataFrame:
     return df.withColumns({name: F.struct(text_key(t).alias("key"), _profile(t).alias("p")) for name, t in texts.items()})
 
 
-def fingerprint_profiles(profiles: DataFrame, words: DataFrame) -> DataFrame:
+def fingerprint_profiles(profiles: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Rows (key, fingerprint), one per different key of the profiles in column ``profile``.
 
-    Copies of a text are one profile before anything is joined.
+    Copies of a text are one profile before anything is joined, and terms that are everywhere are left
+    out before the join with the lexicon, so no term has a large share of its rows.
     """
     items = profiles.select("profile.key", "profile.p.*").groupBy("key").agg(
         F.first("scale").alias("scale"), F.first("whole").alias("whole"), F.first("terms").alias("terms"))
-    lines = items.select("key", "scale", "whole", F.explode_outer("terms").alias("term"))
-    joined = lines.join(words.withColumn("known", F.lit(True)), "term", "left")
-    gathered = joined.groupBy("key").agg(
-        F.first("scale").alias("scale"), F.first("whole").alias("whole"),
-        F.array_sort(F.collect_set(F.when(F.col("known"), F.col("term")))).alias("found"))
-    return gathered.select("key", _fingerprint(F.col("scale"), F.col("whole"), F.col("found")).alias("fingerprint"))
+    lines = items.select("key", F.explode("terms").alias("term")).join(F.broadcast(lexicon.everywhere), "term", "left_anti")
+    found = lines.join(lexicon.words, "term").groupBy("key").agg(F.array_sort(F.collect_set("term")).alias("found"))
+    gathered = items.select("key", "scale", "whole").join(found, "key", "left")
+    return gathered.select("key", _fingerprint(
+        F.col("scale"), F.col("whole"), F.coalesce("found", F.array().cast("array<bigint>"))).alias("fingerprint"))
 
 
 def fingerprint_documents(df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
@@ -135,7 +143,7 @@ def fingerprint_documents(df: DataFrame, text: str = "text", least: int = LEAST,
     own = [F.col(f"`{c}`") for c in df.columns if c.lower() != "fingerprint"]
     name = free_name(df.columns, "__profile")
     rows = profile_texts(df, **{name: column})
-    found = fingerprint_profiles(rows.select(F.col(name).alias("profile")), lexicon(df, text, least, share))
+    found = fingerprint_profiles(rows.select(F.col(name).alias("profile")), Lexicon(df, text, least, share))
     return rows.join(found, F.col(f"{name}.key") == found["key"]).select(*own, found["fingerprint"])
 
 
@@ -185,11 +193,11 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", least
         text_key(F.col("next_text")).alias("next"))
     narrow = cut(narrow)
     profiles = narrow.select(F.col("own").alias("profile")).union(narrow.select("changed"))
-    found = cut(fingerprint_profiles(profiles, lexicon(df, text, least, share)))
+    found = cut(fingerprint_profiles(profiles, Lexicon(df, text, least, share)))
 
     def look_up(frame: DataFrame, key: str, name: str) -> DataFrame:
-        return frame.join(found.select(F.col("key").alias(f"{key}_key"), F.col("fingerprint").alias(name)),
-                          F.col(key) == F.col(f"{key}_key")).drop(key, f"{key}_key")
+        prints = found.select(F.col("key").alias(key), F.col("fingerprint").alias(name))
+        return join_spread(frame, prints, key, "id").drop(key)
 
     out = narrow.select("id", "n_chars", "edited_sha256", F.col("own.key").alias("a"), F.col("changed.key").alias("b"),
                         F.col("next").alias("c"))

@@ -14,14 +14,14 @@ document further left) is removed. Not every suffix is moved:
 3. Runs that share a gram but not all of the run lie at the border of a repeat. For the first run of
    each such class the single windows are entered, bucketed, sorted and compared in the same way.
 
-Entries travel packed, a row per task batch and bucket. Grams, runs and windows are compared by 64-bit
-hashes (a run by its gram's as well). A bucket holds about ``BUCKET`` entries; more data makes more
-buckets.
+Entries, spans and texts travel packed, a row per task batch and bucket; texts meet their spans in
+buckets of documents. Grams, runs and windows are compared by 64-bit hashes (a run by its gram's as
+well). A bucket holds about ``BUCKET`` entries; more data makes more buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ LENGTH = 100
 SEGMENT = 1 << 20
 # entries per bucket, and documents in the sample that splitters are taken from
 BUCKET, SAMPLE_DOCS = 1 << 20, 2048
+# entries that a task deals out together
+GATHER = 1 << 18
 
 _BYTE = np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -111,31 +113,47 @@ def _join(parts: list[Entries]) -> Entries:
     return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, t) for k, t in FIELDS}
 
 
-def pack(entries: Entries) -> bytes:
-    """Columns one after the other; ids and digests once per run of equal ones."""
-    n = len(entries["gram"])
+def _columns(*columns: np.ndarray) -> bytes:
+    """Arrays of numbers, compressed, each behind its length."""
+    return _SQUEEZE.compress(b"".join(len(c).to_bytes(4, "little") + c.tobytes() for c in columns))
+
+
+def _uncolumns(packed: bytes, *kinds: str) -> list[np.ndarray]:
+    data, at, out = zstandard.decompress(packed), 0, []
+    for kind in kinds:
+        n = int.from_bytes(data[at:at + 4], "little")
+        out.append(np.frombuffer(data, kind, n, at + 4))
+        at += 4 + out[-1].nbytes
+    return out
+
+
+_SQUEEZE = zstandard.ZstdCompressor(level=3)
+
+
+def _documents_of(entries: Entries) -> tuple[np.ndarray, np.ndarray]:
+    """First entry of each run of entries of one document, and the runs' lengths."""
+    n = len(entries["id"])
     new = np.ones(n, bool)
     new[1:] = (entries["id"][1:] != entries["id"][:-1]) | (entries["digest"][1:] != entries["digest"][:-1])
     at = np.flatnonzero(new)
-    owner = (np.cumsum(new) - 1).astype("<u4")
-    head = np.array([n, len(at)], "<u4")
-    columns = [entries["id"][at], entries["digest"][at], owner, entries["gram"]]
+    return at, np.diff(np.append(at, n)).astype("<u4")
+
+
+def pack(entries: Entries) -> bytes:
+    """Documents and places compressed, then the hashes, which nothing compresses."""
+    at, sizes = _documents_of(entries)
     single = bool((entries["gram"] == entries["content"]).all())
-    columns += [entries["start"], entries["count"]] + ([] if single else [entries["content"]])
-    return bytes([single]) + head.tobytes() + b"".join(c.tobytes() for c in columns)
+    rest = _columns(entries["id"][at], entries["digest"][at], sizes, entries["start"], entries["count"])
+    hashes = entries["gram"].tobytes() + (b"" if single else entries["content"].tobytes())
+    return bytes([single]) + len(rest).to_bytes(4, "little") + rest + hashes
 
 
 def unpack(payload: bytes) -> Entries:
-    single, (n, docs) = payload[0], np.frombuffer(payload, "<u4", 2, 1)
-    at, out = 9, {}
-    for name, kind, size in (("id", "<i8", docs), ("digest", "<u4", docs), ("owner", "<u4", n), ("gram", "<u8", n),
-                             ("start", "<u4", n), ("count", "<u2", n)) + ((() if single else (("content", "<u8", n),))):
-        out[name] = np.frombuffer(payload, kind, size, at)
-        at += out[name].nbytes
-    owner = out.pop("owner")
-    out["id"], out["digest"] = out["id"][owner], out["digest"][owner]
-    out.setdefault("content", out["gram"])
-    return out
+    end = 5 + int.from_bytes(payload[1:5], "little")
+    ids, digests, sizes, start, count = _uncolumns(payload[5:end], "<i8", "<u4", "<u4", "<u4", "<u2")
+    gram = np.frombuffer(payload, "<u8", len(start), end)
+    content = gram if payload[0] else np.frombuffer(payload, "<u8", len(start), end + gram.nbytes)
+    return {"gram": gram, "content": content, "id": np.repeat(ids, sizes), "digest": np.repeat(digests, sizes), "start": start, "count": count}
 
 
 KEYS = ("gram", "content", "id", "digest", "start")
@@ -215,17 +233,23 @@ def _documents(df: DataFrame, id_col: str, text: str) -> DataFrame:
                      F.xxhash64(column).bitwiseAND(0xFFFFFFFF).alias("digest"), column.cast("binary").alias("__text"))
 
 
-def _entry_batches(batches: Iterator[pa.RecordBatch], rows: Callable[[pa.RecordBatch], Iterator[Entries]]) -> Iterator[Entries]:
-    for batch in batches:
-        for part in slices(batch, 2):
-            found = list(rows(part))
-            if found:
-                yield _join(found)
+# a prime: which documents the sample takes
+SHARES = 1_000_003
+
+
+def _mark(entries: Entries) -> np.ndarray:
+    """A number of each document that also its column expression gives."""
+    return entries["id"] ^ entries["digest"].astype(np.int64)
 
 
-def _texts(part: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-    for i, d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
-        yield i, d, np.frombuffer(t, np.uint8)
+Document = tuple[int, int, np.ndarray]
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Document]]:
+    """Documents (id, digest, bytes) from columns id, digest and text."""
+    for batch in batches:
+        for part in slices(batch, 2):
+            yield [(i, d, np.frombuffer(t, np.uint8)) for i, d, t in zip(*(c.to_pylist() for c in part.columns))]
 
 
 def _of(i: int, d: int, first, count, gram, content) -> Entries:
@@ -235,100 +259,150 @@ def _of(i: int, d: int, first, count, gram, content) -> Entries:
 
 
 def _run_entries(length: int):
-    def rows(part: pa.RecordBatch) -> Iterator[Entries]:
-        for i, d, data in _texts(part):
-            if len(data) >= length:
-                yield _of(i, d, *runs(data, length))
+    """Entries of all runs of texts."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
+        for docs in _texts(batches):
+            yield _join([_of(i, d, *runs(data, length)) for i, d, data in docs if len(data) >= length])
 
     return rows
 
 
 def _window_entries(length: int):
-    """Single windows of the runs in a fourth column of packed (start, count)."""
-
-    def rows(part: pa.RecordBatch) -> Iterator[Entries]:
-        for (i, d, data), packed in zip(_texts(part), part.column(3).to_pylist()):
-            data = np.frombuffer(zstandard.decompress(data), np.uint8)
-            spans = np.frombuffer(b"".join(packed), "<u4").reshape(-1, 2)
-            text = Substrings(data)
-            for first, count in spans.tolist():
-                hashes = text.windows(length, first, first + count - 1)
-                yield _of(i, d, np.arange(first, first + count), np.ones(count), hashes, hashes)
+    """Entries of the single windows of spans that have met their texts."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
+        for docs in _met(batches):
+            parts = []
+            for i, d, data, spans in docs:
+                if len(spans):
+                    text = Substrings(data)
+                    for first, count in spans.tolist():
+                        hashes = text.windows(length, first, first + count - 1)
+                        parts.append(_of(i, d, np.arange(first, first + count), np.ones(count), hashes, hashes))
+            yield _join(parts)
 
     return rows
 
 
+def _gathered(parts: Iterator[Entries]) -> Iterator[Entries]:
+    """Entries of several batches together, so that a bucket gets few rows from a task."""
+    held, total = [], 0
+    for part in parts:
+        held.append(part)
+        total += len(part["gram"])
+        if total >= GATHER:
+            yield _join(held)
+            held, total = [], 0
+    if total:
+        yield _join(held)
+
+
+def _dealt(bucket: np.ndarray) -> list[np.ndarray]:
+    """Indexes of the rows of each bucket, in their order."""
+    order = np.argsort(bucket, kind="stable")
+    return [g for g in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(g)]
+
+
 def _sample(df: DataFrame, rows) -> Entries:
-    """Entries of a few documents, on the driver: at most SAMPLE_DOCS documents are meant."""
+    """Some entries of the few documents that a sample has, on the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for entries in _entry_batches(batches, rows):
+        for entries in rows(batches):
             few = np.random.Generator(np.random.PCG64(1)).permutation(len(entries["gram"]))[: 1 << 14]
             yield pa.RecordBatch.from_arrays([pa.array([pack(_take(entries, np.sort(few)))], pa.binary())], names=["entries"])
 
     return _join([unpack(p) for p in df.mapInArrow(run, "entries binary").toArrow()["entries"].to_pylist()])
 
 
-def _repeats(df: DataFrame, rows, splitters: Entries, buckets: int, borders: bool) -> DataFrame:
-    """Rows (id, digest, border, spans): packed (start, count) of repeats, and of borders, by document."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(splitters)
+PACKED = "bucket int, kind int, packed binary"
+REPEAT, BORDER, TEXT = 0, 1, 2
+
+
+def _packed(bucket: list[int], kind: int, packed: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int32()), pa.array([kind] * len(bucket), pa.int32()), pa.array(packed, pa.binary())],
+        names=["bucket", "kind", "packed"])
+
+
+def _repeats(df: DataFrame, rows, splitters: Entries, buckets: int, borders: bool, places: int) -> DataFrame:
+    """Spans (start, count) of repeats, and of borders, packed by bucket of documents (``places`` of them)."""
+    shared = df.sparkSession.sparkContext.broadcast(splitters)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for entries in _entry_batches(batches, rows):
+        for entries in _gathered(rows(batches)):
             bucket = bucket_of(entries, shared.value)
-            order = np.argsort(bucket, kind="stable")
-            bounds = np.flatnonzero(np.diff(bucket[order])) + 1
-            groups = [g for g in np.split(order, bounds) if len(g)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[g[0]]) for g in groups], pa.int32()),
-                 pa.array([pack(_take(entries, g)) for g in groups], pa.binary())], names=["bucket", "entries"])
+            groups = _dealt(bucket)
+            yield _packed([int(bucket[g[0]]) for g in groups], 0, [pack(_take(entries, g)) for g in groups])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[int, list[Entries]] = {}
         for batch in batches:
-            for b, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for b, payload in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 by.setdefault(b, []).append(unpack(payload))
         for b, parts in by.items():
             entries, repeat, border = compare_bucket(_join(parts), shared.value, b)
             parts.clear()
-            for is_border, chosen in ((False, repeat), (True, border)) if borders else ((False, repeat),):
+            for kind, chosen in ((REPEAT, repeat), (BORDER, border)) if borders else ((REPEAT, repeat),):
                 own = _take(entries, np.flatnonzero(chosen))
                 own = _take(own, np.lexsort((own["start"], own["digest"], own["id"])))
-                new = np.ones(len(own["id"]), bool)
-                new[1:] = (own["id"][1:] != own["id"][:-1]) | (own["digest"][1:] != own["digest"][:-1])
-                at = np.flatnonzero(new)
-                spans = np.stack([own["start"], own["count"].astype("<u4")], 1)
-                stops = np.append(at[1:], len(spans))
-                for lo in range(0, len(at), 1 << 15):
-                    some = range(lo, min(len(at), lo + (1 << 15)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own["id"][at[lo:some.stop]]), pa.array(own["digest"][at[lo:some.stop]].astype(np.int64)),
-                         pa.array([is_border] * len(some), pa.bool_()),
-                         pa.array([spans[at[i]:stops[i]].tobytes() for i in some], pa.binary())],
-                        names=["id", "digest", "border", "spans"])
-
-    dealt = df.mapInArrow(deal, "bucket int, entries binary")
-    return (dealt.repartitionById(buckets, F.col("bucket"))
-            .mapInArrow(compare, "id bigint, digest bigint, border boolean, spans binary"))
-
-
-def _compressed(df: DataFrame) -> DataFrame:
-    """The text column as a zstd frame: what a shuffle of texts moves."""
+                place = _mark(own) % places
+                groups = _dealt(place)
+                yield _packed([int(place[g[0]]) for g in groups], kind, [_pack_spans(_take(own, g)) for g in groups])
+
+    return df.mapInArrow(deal, PACKED).repartitionById(buckets, F.col("bucket")).mapInArrow(compare, PACKED)
+
+
+def _pack_spans(entries: Entries) -> bytes:
+    at, sizes = _documents_of(entries)
+    return _columns(entries["id"][at], entries["digest"][at], sizes, entries["start"], entries["count"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([squeeze(t) for t in batch.column(2).to_pylist()], pa.binary())],
-                names=["id", "digest", "__text"])
 
-    return df.mapInArrow(run, "id bigint, digest bigint, __text binary")
+def _unpack_spans(packed: bytes, into: dict[tuple[int, int], list[np.ndarray]]) -> None:
+    """Add the spans of each document, rows of (start, count)."""
+    ids, digests, sizes, start, count = _uncolumns(packed, "<i8", "<u4", "<u4", "<u4", "<u2")
+    spans = np.stack([start, count.astype("<u4")], 1)
+    for i, d, own in zip(ids.tolist(), digests.tolist(), np.split(spans, np.cumsum(sizes)[:-1])):
+        into.setdefault((i, d), []).append(own)
 
 
-def cover(size: int, packed: list[bytes], length: int) -> np.ndarray:
-    """Mask of the bytes that the windows of packed (start, count) cover."""
-    spans = np.frombuffer(b"".join(packed), "<u4").reshape(-1, 2).astype(np.int64)
+def _meeting(docs: DataFrame, spans: DataFrame, places: int) -> DataFrame:
+    """Texts and the packed spans of their documents in the same partition, spans first."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _texts(batches):
+            place = np.array([(i ^ d) % places for i, d, _ in own], np.int64)
+            groups = _dealt(place)
+            yield _packed([int(place[g[0]]) for g in groups], TEXT, [_pack_texts([own[i] for i in g.tolist()]) for g in groups])
+
+    both = docs.mapInArrow(deal, PACKED).union(spans)
+    return both.repartitionById(places, F.col("bucket")).sortWithinPartitions("bucket", "kind")
+
+
+def _pack_texts(docs: list[Document]) -> bytes:
+    ids, digests = np.array([x[0] for x in docs], "<i8"), np.array([x[1] for x in docs], "<u4")
+    return _columns(ids, digests, np.array([len(x[2]) for x in docs], "<u4"), np.concatenate([x[2] for x in docs]))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, np.ndarray, np.ndarray]]]:
+    """Documents with their spans: what ``_meeting`` has brought together."""
+    spans: dict[tuple[int, int], list[np.ndarray]] = {}
+    none, last = [np.zeros((0, 2), "<u4")], None
+    for batch in batches:
+        for b, kind, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            if b != last:
+                spans, last = {}, b
+            if kind != TEXT:
+                _unpack_spans(packed, spans)
+                continue
+            ids, digests, sizes, data = _uncolumns(packed, "<i8", "<u4", "<u4", "u1")
+            texts = np.split(data, np.cumsum(sizes)[:-1])
+            yield [(i, d, t, np.concatenate(spans.get((i, d), none))) for i, d, t in zip(ids.tolist(), digests.tolist(), texts)]
+
+
+def cover(size: int, spans: np.ndarray, length: int) -> np.ndarray:
+    """Mask of the bytes that the windows of (start, count) cover."""
+    spans = spans.astype(np.int64)
     change = np.zeros(size + 1, np.int64)
     np.add.at(change, spans[:, 0], 1)
     np.add.at(change, spans[:, 0] + spans[:, 1] + length - 1, -1)
@@ -350,43 +424,47 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
     small_batches(spark)
     docs = _documents(df, id_col, text)
     total = df.count()
-    # documents of a fixed share of the id hashes
     share = min(1.0, SAMPLE_DOCS / max(1, total))
-    picked = F.xxhash64("id", F.lit(3)).bitwiseAND(0xFFFFFFFF) < int(share * (1 << 32)) + 1
+    bound = int(share * SHARES) + 1
+    few = docs.where(F.pmod(F.col("id").bitwiseXOR(F.col("digest")), F.lit(SHARES)) < bound)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    sample = _sample(docs.where(picked), _run_entries(length))
-    buckets = max(least, int(len(sample["gram"]) / share) // BUCKET + 1)
-    found = cut(_repeats(docs, _run_entries(length), choose_splitters(sample, buckets), buckets, True))
+    def buckets_for(sample: Entries) -> int:
+        return max(least, int(len(sample["gram"]) / share) // BUCKET + 1)
 
-    borders = found.where("border").groupBy("id", "digest").agg(F.collect_list("spans").alias("spans"))
-    shrunk = _compressed(docs.where(F.octet_length("__text") >= length))
-    few = _compressed(docs.where(picked)).join(borders.where(picked), ["id", "digest"]).select("id", "digest", "__text", "spans")
-    sample = _sample(few, _window_entries(length))
-    buckets = max(least, int(len(sample["gram"]) / share) // BUCKET + 1)
-    at_borders = shrunk.join(borders, ["id", "digest"]).select("id", "digest", "__text", "spans")
-    single = _repeats(at_borders, _window_entries(length), choose_splitters(sample, buckets), buckets, False)
+    sample = _sample(few, _run_entries(length))
+    places = buckets = buckets_for(sample)
+    found = cut(_repeats(docs, _run_entries(length), choose_splitters(sample, buckets), buckets, True, places))
 
-    spans = found.where("NOT border").select("id", "digest", "spans").union(single.select("id", "digest", "spans"))
-    gathered = spans.groupBy("id", "digest").agg(F.collect_list("spans").alias("spans"))
+    def of_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, packed in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                ids, digests, sizes, start, count = _uncolumns(packed, "<i8", "<u4", "<u4", "<u4", "<u2")
+                own = {"id": np.repeat(ids, sizes), "digest": np.repeat(digests, sizes), "start": start, "count": count}
+                chosen = np.flatnonzero(_mark(own) % SHARES < bound)
+                if len(chosen):
+                    yield _packed([b], BORDER, [_pack_spans(_take(own, chosen))])
+
+    borders = found.where(F.col("kind") == BORDER)
+    sample = _sample(_meeting(few, borders.mapInArrow(of_few, PACKED), places), _window_entries(length))
+    buckets = buckets_for(sample)
+    at_borders = _meeting(docs.where(F.octet_length("__text") >= length), borders, places)
+    single = _repeats(at_borders, _window_entries(length), choose_splitters(sample, buckets), buckets, False, places)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 1):
-                sizes, ranges, kept = [], [], []
-                for blob, packed in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    data = np.frombuffer(zstandard.decompress(blob), np.uint8)
-                    sizes.append(len(data))
-                    gone = cover(len(data), packed or [], length)
-                    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-                    ranges.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
-                    kept.append(data[~gone].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()),
-                     pa.array(ranges, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                    names=["id", "n_bytes", "spans", "kept"])
-
-    whole = _compressed(docs).join(gathered, ["id", "digest"], "left").select("id", "__text", "spans")
+        for own in _met(batches):
+            ranges, kept = [], []
+            for _, _, data, spans in own:
+                gone = cover(len(data), spans, length)
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
+                ranges.append([{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()])
+                kept.append(data[~gone].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in own], pa.int64()), pa.array([len(x[2]) for x in own], pa.int64()),
+                 pa.array(ranges, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
+                names=["id", "n_bytes", "spans", "kept"])
+
+    whole = _meeting(docs, found.where(F.col("kind") == REPEAT).union(single), places)
     out = whole.mapInArrow(finish, "id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
     own = F.when(F.col("id") != NO_ID, F.col("id")).cast(df.schema[id_col].dataType)
     return out.select(own.alias(id_col), "n_bytes", "spans", "kept")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -37,9 +37,15 @@ CLASSES = (
     ("upper", re.compile(r"[0-9A-Z_-]+"), 3.6),
     ("mixed", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.75),
 )
-# a candidate with one of these is no secret: placeholders, alphabets, digests of locked packages
-ALLOW = ("example", "placeholder", "xxxxxx", "000000", "111111", "123456789", "abcdefgh", "qwerty",
-         "changeme", "your_", "your-", "sha256-", "sha512-", "lorem")
+# what explains a part of a candidate: words of placeholders cover their part between slashes and equals
+# signs, up to REACH characters on either side (one that stands alone there covers itself); digests of locked
+# packages cover as many characters as they have; fillers and alphabets cover themselves
+ALLOW = re.compile("(?P<word>example|placeholder|changeme|your[_-]|lorem)|sha256-.{,44}|sha512-.{,88}"
+                   "|x{6,}|0{6,}|1{6,}|123456789|abcdefgh|qwerty|wjalrxutnfemi/k7mdeng/bpxrficyexamplekey")
+REACH = 40
+ALPHABETS = ("123456789", "abcdefgh")
+# characters that follow each other where alphabets are written one behind the other
+TURNS = {"za", "z0", "9a", "90"}
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 # letters, then perhaps digits (an identifier with a number), part by part
 WORDLIKE = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,4}(?:[-_/+=](?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,4})*")
@@ -86,34 +92,66 @@ def window_entropies(text: str, width: int) -> list[float]:
 
 
 def suppressed(candidate: str) -> bool:
-    """Whether the allow list or the shape of ordinary words explains a candidate."""
+    """Whether the shape of ordinary words, numbers or identifiers explains a candidate."""
     if candidate.isalpha() or candidate.isdigit() or UUID.fullmatch(candidate) or WORDLIKE.fullmatch(candidate):
         return True
+    return not any("0" <= c <= "9" for c in candidate)
+
+
+def allowed(candidate: str) -> Iterator[tuple[int, int]]:
+    """Parts of a candidate that the allow list explains, by start."""
     low = candidate.lower()
-    return not any("0" <= c <= "9" for c in candidate) or any(x in low for x in ALLOW)
+    follows = lambda i: ord(low[i]) == ord(low[i - 1]) + 1 or low[i - 1:i + 1] in TURNS
+    for m in ALLOW.finditer(low):
+        start, end = m.span()
+        if m["word"]:
+            left, right = max(0, start - REACH), end + REACH
+            left = max(left, low.rfind("/", left, start) + 1, low.rfind("=", left, start) + 1)
+            end = min([len(low), right, *(k for k in (low.find("/", end, right), low.find("=", end, right)) if k >= 0)])
+            start = left
+        elif m[0] in ALPHABETS:
+            while 0 < start > m.start() - REACH and follows(start):
+                start -= 1
+            while end < min(len(low), m.end() + 2 * REACH) and follows(end):
+                end += 1
+        yield start, end
+
+
+def remains(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What a sorted list of spans leaves of one, where it is as long as a window."""
+    for a, b in [*taken, (end, end)]:
+        if min(a, end) - start >= WINDOW:
+            yield start, min(a, end)
+        start = max(start, b)
 
 
 def entropy_spans(text: str) -> Iterator[tuple[str, int, int]]:
-    """Joined windows of high entropy in every candidate that the allow list does not suppress."""
+    """Joined windows of high entropy in every part of a candidate that the allow list leaves."""
     for m in CANDIDATE.finditer(text):
-        candidate = m[0]
-        if suppressed(candidate):
+        if suppressed(m[0]):
             continue
-        threshold = next(t for _, shape, t in CLASSES if shape.fullmatch(candidate))
-        start = end = -1
-        for i, bits in enumerate(window_entropies(candidate, WINDOW)):
-            if bits >= threshold - 1e-12:
-                if i > end:
-                    if start >= 0:
-                        yield "entropy", m.start() + start, m.start() + end
-                    start = i
-                end = i + WINDOW
-        if start >= 0:
-            yield "entropy", m.start() + start, m.start() + end
+        for low, high in remains(0, len(m[0]), sorted(allowed(m[0]))):
+            part = m[0][low:high]
+            if suppressed(part):
+                continue
+            threshold = next(t for _, shape, t in CLASSES if shape.fullmatch(part))
+            start = end = -1
+            for i, bits in enumerate(window_entropies(part, WINDOW)):
+                if bits >= threshold - 1e-12:
+                    if i > end:
+                        if start >= 0:
+                            yield "entropy", m.start() + low + start, m.start() + low + end
+                        start = i
+                    end = i + WINDOW
+            if start >= 0:
+                yield "entropy", m.start() + low + start, m.start() + low + end
 
 
 def secret_spans(text: str | None) -> list[tuple[str, int, int]]:
-    """All spans (kind, start, end in code points), by start, then kind; entropy spans clear of the others."""
+    """All spans (kind, start, end in code points), by start, then kind.
+
+    Of entropy spans, what the others leave is reported where it is as long as a window.
+    """
     if not text:
         return []
     order = lambda s: (s[1], KINDS.index(s[0]))
@@ -121,10 +159,10 @@ def secret_spans(text: str | None) -> list[tuple[str, int, int]]:
     starts = [s[1] for s in spans]
     reach = list(accumulate((s[2] for s in spans), max))  # furthest end so far
     extra = []
-    for span in entropy_spans(text):
-        before = bisect_left(starts, span[2])  # base spans that start before this one ends
-        if not before or reach[before - 1] <= span[1]:
-            extra.append(span)
+    for kind, start, end in entropy_spans(text):
+        before = bisect_left(starts, end)  # base spans that start before this one ends
+        first = bisect_right(reach, start)  # those before end before this one starts
+        extra += [(kind, a, b) for a, b in remains(start, end, [s[1:] for s in spans[first:before]])]
     return sorted(spans + extra, key=order)
 
 

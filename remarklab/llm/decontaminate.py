@@ -5,6 +5,10 @@ lower-cased. Windows of canonical words with enough literal ones are hashed and
 documents and benchmark items. A question whose numbers or names were changed still shares its
 windows; it counts only if every slot value of the item meets one value in the document, along one
 alignment. A document that holds the threshold share of an item's windows is contaminated by it.
+
+Capitals make names, so windows with names are also hashed with the names as literal words, for copies
+in other case. An item without any window of enough literals is compared word by word: by windows of
+its very words, or by one of all its words if it has fewer than a window.
 """
 
 from __future__ import annotations
@@ -90,6 +94,21 @@ def canonical_words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return owner, hashes, kind, np.where(kind == LITERAL, hashes, _SLOT_HASH[kind])
 
 
+def _rolled(words: np.ndarray, window: int) -> np.ndarray:
+    """Hashes, not mixed yet, of all windows."""
+    n = len(words) - window + 1
+    total = np.zeros(n, np.uint64)
+    for j in range(window):
+        total = total * _PRIME + words[j:j + n]
+    return total
+
+
+def _sums(flags: np.ndarray, window: int) -> np.ndarray:
+    """How many flags are set in every window."""
+    total = np.cumsum(np.r_[0, flags])
+    return total[window:] - total[:-window]
+
+
 def template_windows(texts: list, window: int = WINDOW, literals: int = LITERALS):
     """Text index, word index within the text, hash, and the canonical arrays, of windows with enough literals."""
     owner, hashes, kind, canonical = canonical_words(texts)
@@ -97,14 +116,56 @@ def template_windows(texts: list, window: int = WINDOW, literals: int = LITERALS
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none, hashes, kind, none
-    total = np.zeros(n, np.uint64)
-    plain = np.zeros(n, np.int64)
-    for j in range(window):
-        total = total * _PRIME + canonical[j:j + n]
-        plain += kind[j:j + n] == LITERAL
-    at = np.flatnonzero((owner[:n] == owner[window - 1:]) & (plain >= literals))
+    at = np.flatnonzero((owner[:n] == owner[window - 1:]) & (_sums(kind == LITERAL, window) >= literals))
     first = np.searchsorted(owner, owner[at])  # first word of the window's text
-    return owner[at], at - first, _mix(total[at]).view(np.int64), hashes, kind, at
+    return owner[at], at - first, _mix(_rolled(canonical, window)[at]).view(np.int64), hashes, kind, at
+
+
+def _forms(texts: list, window: int, literals: int, short: list[int] | None) -> Iterator[tuple]:
+    """Windows in all their forms: text index, word index within the text, hash, literal hashes, kinds, place, size.
+
+    Texts are items where ``short`` is None, else documents; ``short`` lists the sizes of items with fewer
+    words than a window. An item has windows with literal names where it has regular ones, and windows of
+    its very words only if it has no regular one. An item of fewer words than ``literals`` is only met by
+    a document that has no other words.
+    """
+    owner, hashes, kind, canonical = canonical_words(texts)
+    if not len(owner):
+        return
+    counts = np.bincount(owner, minlength=len(texts))
+    first = np.cumsum(counts) - counts
+    bare = np.zeros(len(kind), kind.dtype)
+    bare_texts = counts > 0  # items without a regular window
+    n = len(owner) - window + 1
+    found = []
+    if n > 0:
+        inside = owner[:n] == owner[window - 1:]
+        regular = inside & (_sums(kind == LITERAL, window) >= literals)
+        bare_texts[owner[:n][regular]] = False
+        unnamed = np.where(kind == NAME, LITERAL, kind)
+        named = inside & (_sums(kind == NAME, window) > 0)
+        if short is None:
+            named &= regular
+            very = inside & bare_texts[owner[:n]]
+        else:
+            named &= _sums(unnamed == LITERAL, window) >= literals
+            very = inside & (_sums(unnamed != LITERAL, window) > 0)  # others are the same in another form
+        found += [(regular, canonical, kind, window), (named, np.where(kind == NAME, hashes, canonical), unnamed, window),
+                  (very, hashes, bare, window)]
+    for size in range(1, window) if short is None else short:
+        n = len(owner) - size + 1
+        if n <= 0:
+            continue
+        own = np.zeros(n, bool)
+        own[first[counts == size]] = True
+        if short is not None and size >= literals:
+            own = owner[:n] == owner[size - 1:]
+        found.append((own, hashes, bare, size))
+    for flags, words, kinds, size in found:
+        at = np.flatnonzero(flags)
+        salt = np.uint64(0 if size == window else size)
+        if len(at):
+            yield owner[at], at - first[owner[at]], _mix(_rolled(words, size)[at] + salt).view(np.int64), hashes, kinds, at, size
 
 
 def _slots(hashes: np.ndarray, kind: np.ndarray, at: np.ndarray, window: int) -> list[list[int]]:
@@ -112,8 +173,12 @@ def _slots(hashes: np.ndarray, kind: np.ndarray, at: np.ndarray, window: int) ->
     return [[int(literal[i + j]) for j in range(window) if kind[i + j] != LITERAL] for i in at.tolist()]
 
 
-def _windows(df: DataFrame, ids: list[str], text: str, window: int, literals: int, bits: np.ndarray | None) -> DataFrame:
-    """One row per window of a text: the columns ``ids``, ``pos``, ``hash``, ``slots``; filtered by ``bits``."""
+def _windows(df: DataFrame, ids: list[str], text: str, window: int, literals: int, bits: np.ndarray | None = None,
+             short: list[int] | None = None) -> DataFrame:
+    """One row per window of a text: the columns ``ids``, ``pos``, ``hash``, ``slots``, ``size``.
+
+    The windows of documents are filtered by ``bits`` and have the sizes ``short`` beside ``window``; items have neither.
+    """
     ship_package(df.sparkSession)
     small_batches(df.sparkSession)
     source = df.select(*ids, F.col(text).alias("__text")).where("__text IS NOT NULL")
@@ -121,20 +186,21 @@ def _windows(df: DataFrame, ids: list[str], text: str, window: int, literals: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, len(ids)):
-                owner, pos, hashed, hashes, kind, at = template_windows(part.column(len(ids)).to_pylist(), window, literals)
-                if bits is not None:
-                    bit = hashed.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
-                    hit = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                    owner, pos, hashed, at = owner[hit], pos[hit], hashed[hit], at[hit]
-                if len(owner):
-                    yield pa.RecordBatch.from_arrays(
-                        [c.take(pa.array(owner)) for c in part.columns[:len(ids)]]
-                        + [pa.array(pos, pa.int64()), pa.array(hashed, pa.int64()),
-                           pa.array(_slots(hashes, kind, at, window), pa.list_(pa.int64()))],
-                        names=[*ids, "pos", "hash", "slots"])
+                for owner, pos, hashed, hashes, kind, at, size in _forms(part.column(len(ids)).to_pylist(), window, literals, short):
+                    if bits is not None:
+                        bit = hashed.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+                        hit = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                        owner, pos, hashed, at = owner[hit], pos[hit], hashed[hit], at[hit]
+                    if len(owner):
+                        yield pa.RecordBatch.from_arrays(
+                            [c.take(pa.array(owner)) for c in part.columns[:len(ids)]]
+                            + [pa.array(pos, pa.int64()), pa.array(hashed, pa.int64()),
+                               pa.array(_slots(hashes, kind, at, size), pa.list_(pa.int64())),
+                               pa.array(np.full(len(owner), size), pa.int64())],
+                            names=[*ids, "pos", "hash", "slots", "size"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in ids)
-    return source.mapInArrow(run, f"{schema}, pos bigint, hash bigint, slots array<bigint>")
+    return source.mapInArrow(run, f"{schema}, pos bigint, hash bigint, slots array<bigint>, size bigint")
 
 
 def window_filter(windows: DataFrame) -> np.ndarray:
@@ -158,22 +224,25 @@ def contaminated(
     ``text_key`` is a hash of the text, so that documents with the same id but other texts stay apart;
     repeated rows give one. ``matched`` counts the item's windows that the document has along
     alignments with consistent slots, ``share`` is matched / n_windows, at least ``threshold``;
-    ``reworded`` tells whether a slot value differs. NULL texts and items without a window (fewer than
-    ``window`` words, or too few literal ones) match nothing; empty tables give no rows.
+    ``reworded`` tells whether a slot value differs. Windows count in either form, with names as slots or
+    as words in any case; an item without a window of ``literals`` literal words is compared word by word,
+    and one of fewer than ``literals`` words is only met by a document without other words. NULL texts
+    and items without words match nothing; empty tables give no rows.
 
     Only a filter of fixed size is broadcast; windows that pass it are joined by their hash.
     """
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text}`").alias("t"))
-    wanted = _windows(items, ["item"], "t", window, literals, None)
+    wanted = _windows(items, ["item"], "t", window, literals)
     # an item's first word opens a sentence here, and may stand amid one in a document
-    amid = _windows(items.withColumn("t", F.concat(F.lit("x "), "t")), ["item"], "t", window, literals, None)
+    amid = _windows(items.withColumn("t", F.concat(F.lit("x "), "t")), ["item"], "t", window, literals)
     wanted = wanted.union(amid.where("pos = 1").withColumn("pos", F.lit(0).cast("bigint"))).distinct()
     bits = window_filter(wanted)
-    known = wanted.withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"})
+    short = sorted(r["size"] for r in wanted.where(F.col("size") < window).select("size").distinct().collect())  # fewer than ``window``
+    known = wanted.drop("size").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"})
     sizes = known.groupBy("item").agg(F.count_distinct("item_pos").alias("n_windows"))
 
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("t"))
-    hits = _windows(source, ["id", "text_key"], "t", window, literals, bits)
+    hits = _windows(source, ["id", "text_key"], "t", window, literals, bits, short).drop("size")
     pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs"))
     aligned = (hits.join(known, "hash")
                .groupBy("id", "text_key", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))

@@ -107,3 +107,25 @@ def test_filter_only_saves_work(spark, monkeypatch, bits):
     monkeypatch.setattr(D, "FILTER_BITS", bits)
     docs = table(spark, [(1, QUESTION, None), (2, words(100, 4), None)])
     assert sorted_rows(D.contaminated(docs, bench(spark, [(0, QUESTION)])), "doc_id") == [(1,)]
+
+
+def test_copies_in_other_case(spark):
+    names = "when Alice met Bob near Paris and Carol saw David with Erin in Rome before Frank left for Oslo again"
+    docs = table(spark, [(10 * i + k, "so. " + change(text) + " and so on", None) for i, text in enumerate((QUESTION, names))
+                         for k, change in enumerate((str, str.lower, str.upper, str.title))])
+    for items in ([QUESTION, names], [QUESTION.upper(), names.lower()]):
+        got = D.contaminated(docs, bench(spark, list(enumerate(items)))).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == [(10 * i + k, i) for i in (0, 1) for k in range(4)]
+        assert all(r.share > 0.8 and not r.reworded for r in got)
+    changed = names.replace("Alice", "Zoe").replace("Rome", "Bern")
+    got = D.contaminated(table(spark, [(1, changed, None)]), bench(spark, [(0, names)])).collect()
+    assert [r.reworded for r in got] == [True]
+
+
+def test_items_without_a_regular_window(spark):
+    items = ["What is 12 + 30?", "7 times 8 is 56 and 9 times 6 is 54", "Name a river", "Alice Bob Carol Dave Erin Frank", "forty two", "1 2 3 4 5 6 7"]
+    docs = [(i, f"before it. {text} and more", None) for i, text in enumerate(items)]
+    docs += [(10, "FORTY, two!", None), (11, "what is 12 and 30", None), (12, "7 6 5 4 3 2 1 1 2 3 4", None), (13, "alice bob carol dave erin frank", None),
+             (14, "name some river", None)]
+    got = sorted_rows(D.contaminated(table(spark, docs), bench(spark, list(enumerate(items)))), "doc_id", "item_id", "share")
+    assert got == [(0, 0, 1.0), (1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (5, 5, 1.0), (10, 4, 1.0), (13, 3, 1.0)]

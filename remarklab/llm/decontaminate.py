@@ -3,8 +3,8 @@
 Words are made canonical: numbers, names and units become typed placeholders (slots), other words are
 lower-cased. Windows of canonical words with enough literal ones are hashed and joined between
 documents and benchmark items. A question whose numbers or names were changed still shares its
-windows; it counts only if every slot value of the item meets one value in the document, along one
-alignment. A document that holds the threshold share of an item's windows is contaminated by it.
+windows; along one alignment every slot value of the item may meet one value in the document, and
+windows in which it meets another don't count. A document that holds the threshold share of an item's windows is contaminated by it.
 
 Capitals make names, so windows with names are also hashed with the names as literal words, for copies
 in other case. An item without any window of enough literals is compared word by word: by windows of
@@ -246,11 +246,24 @@ def contaminated(
     pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs"))
     aligned = (hits.join(known, "hash")
                .groupBy("id", "text_key", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
-               .agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots")))
+               .agg(F.collect_set(F.struct(F.col("item_pos").alias("at"), pairs.alias("slots"))).alias("windows"))
+               .withColumn("values", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"])))))
     # a slot value of the item may meet one value only; an alignment has as many windows as the item at most
-    consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"])))
-    changed = F.exists("slots", lambda s: s["ours"] != s["theirs"])
-    found = (aligned.where(consistent).select("id", "text_key", "item", changed.alias("changed"), F.explode("at").alias("at"))
+    ours = F.array_distinct(F.transform("values", lambda s: s["ours"]))
+    consistent = F.size("values") == F.size(ours)
+    changed = F.exists("values", lambda s: s["ours"] != s["theirs"])
+    # of several values the one in most windows counts, of equally many the item's own; windows with others are left out,
+    # and the alignment too unless most of its windows stay: a repeated template would add up over its alignments
+    holding = lambda s: F.filter("windows", lambda w: F.array_contains(w["slots"], s))
+    often = lambda s: F.struct(
+        F.size(F.array_distinct(holding(s)["at"])).alias("n"), (s["ours"] == s["theirs"]).alias("own"), s.alias("slot"))
+    main = F.transform(ours, lambda o: F.array_max(F.transform(F.filter("values", lambda s: s["ours"] == o), often))["slot"])
+    chosen = aligned.withColumn("chosen", F.when(consistent, F.col("values")).otherwise(main))
+    fits = F.filter("windows", lambda w: F.forall(w["slots"], lambda s: F.array_contains("chosen", s)))
+    places = lambda windows: F.array_distinct(windows["at"])
+    found = (chosen.withColumn("fits", F.when(consistent, F.col("windows")).otherwise(fits))
+             .where(2 * F.size(places(F.col("fits"))) > F.size(places(F.col("windows"))))
+             .select("id", "text_key", "item", changed.alias("changed"), F.explode("fits.at").alias("at"))
              .groupBy("id", "text_key", "item").agg(F.count_distinct("at").alias("matched"), F.every("changed").alias("reworded")))
     share = F.col("matched") / F.col("n_windows")
     return (found.join(sizes, "item").where(share >= threshold - 1e-9)

@@ -129,3 +129,19 @@ def test_items_without_a_regular_window(spark):
              (14, "name some river", None)]
     got = sorted_rows(D.contaminated(table(spark, docs), bench(spark, list(enumerate(items)))), "doc_id", "item_id", "share")
     assert got == [(0, 0, 1.0), (1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (5, 5, 1.0), (10, 4, 1.0), (13, 3, 1.0)]
+
+
+def test_one_changed_occurrence_drops_its_windows_only(spark):
+    item = (words(25, 70, 10**6) + " near 120 boats for Alice " + words(25, 71, 10**6) + " then 120 carts by Alice " + words(25, 72, 10**6))
+    once = item.replace("120 carts", "121 carts")
+    other = item.replace("120 boats", "9 boats").replace("Alice then", "Zoe then")
+    renamed = item.replace("120", "77").replace("Alice", "Zoe").replace("77 carts", "78 carts")
+    rng = random.Random(3)
+    scrambled = " ".join(str(rng.randrange(10**6)) if w.isdigit() else w for w in ("in 7 it is so " * 20).split())
+    docs = table(spark, [(1, once, None), (2, other, None), (3, renamed, None), (4, scrambled, None)])
+    got = {(r.doc_id, r.item_id): r for r in D.contaminated(docs, bench(spark, [(0, item), (1, "in 7 it is so " * 20)])).collect()}
+    assert sorted(got) == [(1, 0), (2, 0), (3, 0)]
+    total = len(plain_windows(item))
+    for k, r in got.items():
+        assert r.n_windows == total and 0.8 <= r.share < 1 and r.reworded, k
+    assert got[(1, 0)].matched == total - 5

@@ -101,7 +101,8 @@ class Lexicon:
     """Hashes of the terms that lie in at least ``least`` rows and at most ``share`` of all rows.
 
     ``words`` has them in column ``term``; ``everywhere`` has the terms beyond the band, of which there
-    are at most the mean number of terms of a text divided by ``share``.
+    are at most the mean number of terms of a text divided by ``share``, and how many doublings of the
+    band's upper end reach them (``level``).
     """
 
     def __init__(self, df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE):
@@ -109,7 +110,8 @@ class Lexicon:
         counted = df.select(F.explode(terms(F.col(f"`{text}`"))).alias("term")).groupBy("term").count()
         counted = cut(counted.where(F.col("count") >= least))
         self.words = counted.where(F.col("count") <= most).select("term")
-        self.everywhere = counted.where(F.col("count") > most).select("term")
+        self.everywhere = counted.where(F.col("count") > most).select(
+            "term", F.ceil(F.log2(F.col("count") / most)).cast("int").alias("level"))
 
 
 def profile_texts(df: DataFrame, **texts: Column) -> DataFrame:
@@ -121,12 +123,19 @@ def fingerprint_profiles(profiles: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Rows (key, fingerprint), one per different key of the profiles in column ``profile``.
 
     Copies of a text are one profile before anything is joined, and terms that are everywhere are left
-    out before the join with the lexicon, so no term has a large share of its rows.
+    out before the join with the lexicon, so no term has a large share of its rows. They come back by a
+    broadcast join, and count where most terms of a text are such.
     """
     items = profiles.select("profile.key", "profile.p.*").groupBy("key").agg(
         F.first("scale").alias("scale"), F.first("whole").alias("whole"), F.first("terms").alias("terms"))
-    lines = items.select("key", F.explode("terms").alias("term")).join(F.broadcast(lexicon.everywhere), "term", "left_anti")
-    found = lines.join(lexicon.words, "term").groupBy("key").agg(F.array_sort(F.collect_set("term")).alias("found"))
+    lines, everywhere = items.select("key", F.explode("terms").alias("term")), F.broadcast(lexicon.everywhere)
+    band = lines.join(everywhere, "term", "left_anti").join(lexicon.words, "term").select("key", F.lit(0).alias("level"), "term")
+    met = band.union(lines.join(everywhere, "term").select("key", "level", "term")).groupBy("key").agg(
+        F.array_sort(F.collect_set(F.struct("level", "term"))).alias("met"))
+    # by level, so the middle one's level brings half of them in
+    middle = F.element_at("met", F.ceil(F.size("met") / 2).cast("int"))["level"]
+    found = met.select("key", F.array_sort(F.transform(
+        F.filter("met", lambda m: m["level"] <= middle), lambda m: m["term"])).alias("found"))
     gathered = items.select("key", "scale", "whole").join(found, "key", "left")
     return gathered.select("key", _fingerprint(
         F.col("scale"), F.col("whole"), F.coalesce("found", F.array().cast("array<bigint>"))).alias("fingerprint"))

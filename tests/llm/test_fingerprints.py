@@ -118,3 +118,16 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = I.near_copies(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("step", [1, 3])
+def test_near_copies_of_a_third_of_the_rows(spark, step):
+    """A group beyond the band, with ids side by side or each with a foreign text next to it."""
+    base = words(120, 999, 3000).split()
+    group = {step * i: " ".join([*base[:i], f"own{i}", *base[i + 1:]]) for i in range(30)}
+    rows = [(i, group.get(i) or words(120, i, 3000), None) for i in range(90)]
+    out = {r.doc_id: r for r in I.near_copies(table(spark, rows)).collect()}
+    assert all(set(out[i].fingerprint.split(":")[2]) != {"-"} for i in group)
+    assert sum(out[i].near_edited > 0 for i in group) > 20
+    if step == 1:
+        assert sum(out[i].near_next for i in range(1, 30)) / 29 > 0.5

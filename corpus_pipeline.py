@@ -36,12 +36,13 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drop documents that are in no learned language; fill a NULL ``lang`` with the prediction.
 
     Languages are learned from labelled documents, as the operator's query does. Without labels
-    nothing is dropped.
+    nothing is dropped, nor is a document whose own label was not learned.
     """
     counts = language.train(docs.where(remainder("doc_id", 3) != 1), "doc_id", "text", "lang")
     free, own = set_aside(docs, "lang_pred", "score", "bits_per_byte", "fit")
     found = language.identify(free, counts)
-    kept = found.where(~language.reject(F.col("lang_pred"), F.col("fit"), counts))
+    unlearned = F.coalesce(~F.col("lang").cast("string").isin(list(counts)), F.lit(False))
+    kept = found.where(unlearned | ~language.reject(F.col("lang_pred"), F.col("fit"), counts))
     filled = F.coalesce("lang", F.when(F.col("lang_pred") != language.UNKNOWN, F.col("lang_pred")))
     return kept.withColumn("lang", filled).select(*own)
 

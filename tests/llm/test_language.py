@@ -106,3 +106,16 @@ def test_gibberish_is_rejected(spark):
     kept = out.where(~P.reject(F.col("lang_pred"), F.col("fit"), counts)).collect()
     assert [r.doc_id for r in kept] == [1, 4]
     assert np.isfinite([r.bits_per_byte for r in kept]).all()
+
+
+def test_documents_of_labels_beyond_the_learned_stay(spark, monkeypatch):
+    import functools
+
+    import corpus_pipeline
+
+    monkeypatch.setattr(P, "train", functools.partial(P.train, languages=1))
+    rows = [(i, text("aa", i), "aa") for i in range(40)] + [(i, "дом лес река гора небо " * 9, "ru") for i in range(40, 50)]
+    rows += [(50, "дом лес река гора небо " * 9, None), (51, "xqzjw vbnmp wrfgh qqxz", None)]
+    kept = corpus_pipeline.keep_languages(spark, table(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(50))
+    assert {r.lang for r in kept} == {"aa", "ru"}

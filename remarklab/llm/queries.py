@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remarklab.llm import (
-    byte_bpe, decontaminate, fingerprints, language, lattice_lm, license_scan, native, pii, secret_scan, simhash, suffix_dedup)
+    byte_bpe, decontaminate, fingerprints, language, lattice_lm, license_scan, native, pii, secret_scan, simhash, suffix_dedup,
+    token_alignment)
 from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,13 @@ def op10_pii(spark, sf_dir):
 def op1_fingerprints(spark, sf_dir):
     """I-Match fingerprints of every text and its edited copy."""
     return fingerprints.near_copies(documents(spark, sf_dir))
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Groups and links between two tokenizers' tokens of every text, with the documents of the linked pairs."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = token_alignment.align_documents(
+        documents(spark, sf_dir), a, b, public_tokenizers.PATTERN, keep=["doc_id"],
+        groups=lambda written: F.when(written != "", F.sha2(written, 256)).otherwise(""))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))

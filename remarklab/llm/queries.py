@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remarklab.llm import (
-    byte_bpe, decontaminate, fingerprints, language, lattice_lm, license_scan, native, pii, secret_scan, simhash, suffix_dedup,
-    token_alignment)
+    byte_bpe, decontaminate, fingerprints, language, lattice_lm, license_scan, merkle, native, pii, secret_scan,
+    simhash, suffix_dedup, token_alignment)
 from remarklab.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,17 @@ def op11_token_alignment(spark, sf_dir):
         documents(spark, sf_dir), a, b, public_tokenizers.PATTERN, keep=["doc_id"],
         groups=lambda written: F.when(written != "", F.sha2(written, 256)).otherwise(""))
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Digest tree over all documents, with every document's proof checked against a tampered or untouched leaf."""
+    docs = documents(spark, sf_dir)
+    around = [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars")]
+    tampered = F.when(remainder("doc_id", 3) == 0, merkle.leaf(*around, merkle.lower_ascii(F.col("text"))))
+    leaves = docs.select("doc_id", "lang", merkle.leaf(*around, F.col("text")).alias("digest"), tampered.alias("tampered"))
+    rows = merkle.manifest(leaves, "lang", "doc_id", "digest", keep=["doc_id", "tampered"])
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(F.col("proof")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remarklab.llm import (
-    byte_bpe, decontaminate, fingerprints, language, lattice_lm, license_scan, merkle, native, pii, secret_scan,
+    byte_bpe, decontaminate, fingerprints, html_extract, language, lattice_lm, license_scan, merkle, native, pii, secret_scan,
     simhash, suffix_dedup, token_alignment)
 from remarklab.llm.common import remainder
 
@@ -150,3 +150,11 @@ def op13_merkle_manifest(spark, sf_dir):
         "doc_id", "leaf", "subroot", "root", merkle.digest(F.col("proof")).alias("proof_sha256"),
         merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root")).withColumn(
         "verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = html_extract.extract_pages(pages, html_extract.train(spark), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

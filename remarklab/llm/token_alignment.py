@@ -35,7 +35,7 @@ CHUNK_DOCUMENTS, CHUNK_PAIRS = 1 << 16, 1 << 21
 BUCKET_BITS, ORDINAL_BITS = 6, 16
 BUCKETS, LANES = 1 << BUCKET_BITS, 16
 # splits of the input whose postings meet in one task of a lane
-SPLITS_PER_SALT = 256
+SPLITS_PER_SALT = 64
 PAIR_BITS = 63 - BUCKET_BITS - ORDINAL_BITS
 # groups with more links are counted by distinct ids instead of being expanded
 WIDE_GROUP = 4096

@@ -1,14 +1,19 @@
 """I-Match fingerprints. DataFrame functions only.
 
 The lexicon is the terms whose document frequency over the whole corpus lies in a band, so neither
-words that are everywhere nor words that occur once take part. A fingerprint has one hash for each of
-several randomised subsets of the lexicon: the sorted distinct terms of a text in the subset, hashed.
-Subsets come in sizes: of scale j they take one term in 2 ** j, and of those one in four, by ``REPLICAS``
-independent choices. A text with t terms is hashed on ``SCALES`` scales from floor(log2(t / 16)) + 1 up,
-where a subset is expected to meet a few of its terms; small changes then leave part of the hashes as
-they are, whatever the length.
-
-Only terms of a text's own scales are joined with the lexicon, about a dozen per text.
+words that are everywhere nor words that occur once take part. It is cut into randomised subsets: by
+hash, a term belongs to one of ``LAYERS`` layers, of which each but the last holds three quarters of what
+the layers before it leave, and in its layer to one of ``SUBSETS`` subsets. A fingerprint has a hash for every
+subset, over all terms that the text has in it, so every term of the lexicon decides, whatever a text's
+length. Hashes of terms are combined by XOR, which needs no order.
+
+Subsets that agree tell how many terms differ: of the subsets of a layer with share p of the lexicon,
+exp(-d p / SUBSETS) are expected to agree if d terms differ. Short texts and small changes show in the large layers,
+long texts that differ much in the small ones. ``likeness`` reads d from all layers that are not exhausted.
+
+No list of terms is stored or joined with the lexicon. A text is hashed on all its terms but those that are
+everywhere, which is a short list; the terms that are too rare are then taken out again by a second XOR.
+A rare term stands in one text only, so the count of all terms already says where.
 """
 
 from __future__ import annotations
@@ -18,12 +23,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from remarklab.llm.common import cut, free_name, join_spread
 from remarklab.llm.native import let
 
-SCALES, REPLICAS = 4, 12
-# hexadecimal digits of a subset's hash, and how a subset without terms is written
-DIGITS = 6
-NOTHING = "-" * DIGITS
-# the band: least document frequency, largest share of the documents
+LAYERS, SUBSETS = 5, 64
+# a subset's hash is a byte, so a layer is SUBSETS / 8 words of 64 bits
+WORDS = SUBSETS // 8
+# a layer tells how many terms differ while so many of its subsets agree
+AGREEING = 6
+# the band: least document frequency (1 or 2), largest share of the documents
 LEAST, SHARE = 2, 0.1
+# terms beyond the band are at most the mean number of a text's terms divided by SHARE; more than this are refused
+EVERYWHERE = 200_000
+
+WORD = r"[\p{L}\p{N}]"
+
+
+def share_of(layer: int) -> float:
+    """Part of the lexicon that a layer holds."""
+    return 4.0 ** -layer * (0.75 if layer < LAYERS - 1 else 1.0)
 
 
 def text_key(text: Column) -> Column:
@@ -31,137 +46,188 @@ def text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"))
 
 
+def words(text: Column) -> Column:
+    """Runs of letters and digits."""
+    return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
 def terms(text: Column) -> Column:
-    """Hashes of the distinct terms: runs of letters and digits, in lower case."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """Hashes of the distinct words in lower case, in order of their first places."""
+    return F.array_distinct(F.transform(words(text), term))
+
 
+def _shift(value: Column, bits: Column | int) -> Column:
+    return F.call_function("shiftrightunsigned", value, bits if isinstance(bits, Column) else F.lit(bits))
 
-def _mask(bits: Column) -> Column:
-    """A number whose lowest ``bits`` bits are set."""
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1
 
+def cell(t: Column) -> Column:
+    """The word of the fingerprint that a term goes into, and its contribution."""
+    # two zero bits more for each layer; the bit behind them ends the count
+    y = _shift(t, 6).bitwiseOR(F.lit(1 << 2 * (LAYERS - 1)))
+    layer = F.floor(F.bit_count(y.bitwiseAND(-y) - 1) / 2).cast("int")
+    byte = _shift(t, 40).bitwiseAND(0xFFFF) % 255 + 1
+    return F.struct(
+        (layer * WORDS + _shift(t, 3).bitwiseAND(WORDS - 1).cast("int")).alias("w"),
+        F.call_function("shiftleft", byte, (t.bitwiseAND(7) * 8).cast("int")).alias("x"))
 
-def _profile(text: Column) -> Column:
-    """First scale, hash of all terms, and the terms of the text's scales."""
 
-    def of(all_terms: Column) -> Column:
-        scale = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(F.size(all_terms), F.lit(1)) / 16.0)).cast("int") + 1)
-        return let(scale, lambda s: F.struct(
-            s.alias("scale"), F.xxhash64(F.array_sort(all_terms)).alias("whole"),
-            let(_mask(s), lambda mask: F.filter(
-                all_terms, lambda t: t.bitwiseAND(mask) == 0)).alias("terms")))
+class Lexicon:
+    """Document frequencies of all terms: ``counted`` with term, n and, of terms in a single text, its key and the term's place.
+
+    ``everywhere`` lists the terms beyond the band with the number of doublings of its upper end that reach them.
+    """
 
-    return let(terms(text), of)
+    def __init__(self, df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE):
+        if least not in (1, 2):
+            raise ValueError("least is 1 or 2: terms that are too rare are traced to a single text")
+        self.least, self.most = least, max(least, int(share * df.count()))
+        column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+        lines = df.select(F.xxhash64(column).alias("key"), F.posexplode(terms(column)).alias("place", "term"))
+        counts = lines.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key"), F.min("place").alias("place"))
+        self.counted = cut(counts)
+        beyond = self.counted.where(F.col("n") > self.most).select(
+            "term", F.ceil(F.log2(F.col("n") / self.most)).cast("int").alias("level")).limit(EVERYWHERE + 1).collect()
+        if len(beyond) > EVERYWHERE:
+            raise ValueError(f"more than {EVERYWHERE} terms are in over a {share} of all texts: raise share")
+        self.everywhere = {r["term"]: r["level"] for r in beyond}
+
+    def level(self, name: str) -> Column:
+        """0 for terms up to the band's upper end, else the doublings."""
+        levels: dict[int, list[str]] = {}
+        for t, level in self.everywhere.items():
+            levels.setdefault(level, []).append(f"{t}L" if t != -(1 << 63) else "-9223372036854775807L - 1L")
+        cases = " ".join(f"WHEN {name} IN ({', '.join(ts)}) THEN {level}" for level, ts in sorted(levels.items()))
+        return F.expr(f"CASE {cases} ELSE 0 END") if cases else F.lit(0)
+
+    def rare(self) -> DataFrame:
+        """(key, rare): the terms of a text that are below the band, with their places among its distinct terms."""
+        return self.counted.where(F.col("n") < self.least).groupBy("key").agg(F.collect_list(F.struct("term", "place")).alias("rare"))
+
+
+def states(rows: DataFrame, by: list[str], sides: dict[str, Column], lexicon: Lexicon) -> DataFrame:
+    """(``by``, a state per side): number and XOR of all terms, and the words of the fingerprint, rare terms included.
+
+    Where ``rows`` are partitioned by one of the columns ``by``, nothing is shuffled. Where most of a text's
+    terms lie beyond the band, as in a large group of near copies, its band is wider, up to the level of the middle term.
+    """
 
+    def mark(side: int, all_terms: Column) -> Column:
+        return F.transform(all_terms, lambda t: F.struct(F.lit(side).alias("side"), t.alias("term")))
 
-def _fingerprint(scale: Column, whole: Column, found: Column) -> Column:
-    """``scale:whole:hashes``; a subset without terms has dashes."""
+    marked = [mark(i, side) for i, side in enumerate(sides.values())]
+    # a line without a term keeps rows that have none
+    none = F.array(F.struct(F.lit(-1).alias("side"), F.lit(0).cast("bigint").alias("term")))
+    lines = rows.select(*by, F.explode(F.concat(none, *marked)).alias("line")).select(*by, "line.*")
+    placed = lines.withColumn("level", lexicon.level("term")).withColumn("cell", cell(F.col("term"))).select(*by, "side", "level", "term", "cell.*")
+    entries = placed.groupBy(*by, "side", "level", "w").agg(
+        F.bit_xor("x").alias("x"), F.count(F.lit(1)).cast("int").alias("n"), F.bit_xor("term").alias("whole"))
+    gathered = entries.groupBy(*by).agg(F.collect_list(F.struct("side", "level", "w", "x", "n", "whole")).alias("__entries"))
+    return gathered.select(*by, *[_state(F.col("__entries"), i).alias(name) for i, name in enumerate(sides)])
 
-    def subset(i: Column) -> Column:
-        step = _mask(scale + F.floor(i / REPLICAS).cast("int"))
-        shift = (i % REPLICAS) * 2 + 40
-        own = let(F.struct(step.alias("mask"), shift.alias("shift")), lambda p: F.filter(found, lambda t: (
-            t.bitwiseAND(p["mask"]) == 0) & (F.call_function("shiftrightunsigned", t, p["shift"]).bitwiseAND(3) == 0)))
-        return let(own, lambda o: F.when(F.size(o) == 0, NOTHING).otherwise(
-            F.lpad(F.lower(F.hex(F.xxhash64(o).bitwiseAND((1 << 4 * DIGITS) - 1))), DIGITS, "0")))
 
-    hashes = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SCALES * REPLICAS - 1)), subset), "")
-    return F.concat_ws(":", F.lpad(scale.cast("string"), 2, "0"), F.lpad(F.lower(F.hex(whole)), 16, "0"), hashes)
+def _state(entries: Column, side: int) -> Column:
+    def count(own: Column, most: Column) -> Column:
+        return F.aggregate(own, F.lit(0), lambda a, e: a + F.when(e["level"] <= most, e["n"]).otherwise(0))
 
+    def words_up_to(own: Column, level: Column) -> Column:
+        return let(F.filter(own, lambda e: e["level"] <= level), lambda kept: F.struct(
+            count(kept, level).cast("bigint").alias("n"),
+            F.aggregate(own, F.lit(0).cast("bigint"), lambda a, e: a.bitwiseXOR(e["whole"])).alias("whole"),
+            F.transform(F.sequence(F.lit(0), F.lit(LAYERS * WORDS - 1)), lambda w: F.aggregate(
+                kept, F.lit(0).cast("bigint"), lambda a, e: F.when(e["w"] == w, a.bitwiseXOR(e["x"])).otherwise(a))).alias("words")))
 
-def likeness(one: Column, other: Column) -> Column:
-    """Share of equal hashes among the subsets of common scales that meet a term of either text.
+    def of(own: Column) -> Column:
+        total = count(own, F.lit(64))
+        level = F.element_at(F.filter(F.sequence(F.lit(0), F.lit(64)), lambda x: count(own, x) * 2 >= total), 1)
+        # hardly any text has terms beyond the band only
+        return let(F.when(count(own, F.lit(0)) * 2 >= total, 0).otherwise(level), lambda x: words_up_to(own, x))
 
-    1 for texts with the same terms; 0 where no common subset meets a term.
-    """
-    start = 2 + 1 + 16 + 1  # where the hashes begin
-    width = DIGITS * REPLICAS
-
-    def compare(p: Column) -> Column:
-        # the hashes of common scales
-        a = F.substring(p["a"], start + 1 + width * F.greatest(F.lit(0), p["t"] - p["s"]), F.lit(width * SCALES))
-        b = F.substring(p["b"], start + 1 + width * F.greatest(F.lit(0), p["s"] - p["t"]), F.lit(width * SCALES))
-        return let(F.struct(a.alias("a"), b.alias("b")), lambda q: F.aggregate(
-            F.sequence(F.lit(0), F.floor(F.least(F.length(q["a"]), F.length(q["b"])) / DIGITS).cast("int")),
-            F.struct(F.lit(0).alias("same"), F.lit(0).alias("either")),
-            lambda acc, i: let(F.struct(F.substring(q["a"], i * DIGITS + 1, F.lit(DIGITS)).alias("x"),
-                                        F.substring(q["b"], i * DIGITS + 1, F.lit(DIGITS)).alias("y")), lambda v: F.when(
-                # beyond the shorter of both, or empty on both sides
-                (F.length(v["x"]) < DIGITS) | (F.length(v["y"]) < DIGITS) | ((v["x"] == NOTHING) & (v["y"] == NOTHING)), acc)
-                .otherwise(F.struct((acc["same"] + (v["x"] == v["y"]).cast("int")).alias("same"), (acc["either"] + 1).alias("either")))),
-            lambda acc: F.when(acc["either"] > 0, acc["same"] / acc["either"]).otherwise(0.0)))
-
-    parts = F.struct(one.alias("a"), other.alias("b"), F.substring(one, 1, 2).cast("int").alias("s"),
-                     F.substring(other, 1, 2).cast("int").alias("t"))
-    return F.when(F.substring(one, 4, 16) == F.substring(other, 4, 16), 1.0).otherwise(let(parts, compare))
+    return let(F.filter(entries, lambda e: e["side"] == side), of)
 
 
-class Lexicon:
-    """Hashes of the terms that lie in at least ``least`` rows and at most ``share`` of all rows.
+def written(state: Column, removed: Column) -> Column:
+    """``n:whole:hashes``: number of terms in the band, XOR of all terms, and the bytes of all subsets in hexadecimal.
 
-    ``words`` has them in column ``term``; ``everywhere`` has the terms beyond the band, of which there
-    are at most the mean number of terms of a text divided by ``share``, and how many doublings of the
-    band's upper end reach them (``level``).
+    ``removed`` has the rare terms (NULL: none).
     """
 
-    def __init__(self, df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE):
-        most = max(least, int(share * df.count()))
-        counted = df.select(F.explode(terms(F.col(f"`{text}`"))).alias("term")).groupBy("term").count()
-        counted = cut(counted.where(F.col("count") >= least))
-        self.words = counted.where(F.col("count") <= most).select("term")
-        self.everywhere = counted.where(F.col("count") > most).select(
-            "term", F.ceil(F.log2(F.col("count") / most)).cast("int").alias("level"))
+    def without(p: Column) -> Column:
+        return F.concat_ws(
+            ":", F.lpad(F.lower(F.hex(p["state"]["n"] - F.size(p["cells"]))), 8, "0"), F.lpad(F.lower(F.hex(p["state"]["whole"])), 16, "0"),
+            F.array_join(F.transform(p["state"]["words"], lambda x, i: F.lpad(F.lower(F.hex(F.aggregate(
+                p["cells"], x, lambda a, c: F.when(c["w"] == i, a.bitwiseXOR(c["x"])).otherwise(a)))), 16, "0")), ""))
+
+    cells = F.transform(F.coalesce(removed, F.array().cast("array<bigint>")), cell)
+    return let(F.struct(state.alias("state"), cells.alias("cells")), without)
 
 
-def profile_texts(df: DataFrame, **texts: Column) -> DataFrame:
-    """Add, for each named text, a column with its key and profile; ``None`` texts must be made empty first."""
-    return df.withColumns({name: F.struct(text_key(t).alias("key"), _profile(t).alias("p")) for name, t in texts.items()})
+# where the hashes begin in a fingerprint
+START = 8 + 1 + 16 + 1
 
 
-def fingerprint_profiles(profiles: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """Rows (key, fingerprint), one per different key of the profiles in column ``profile``.
+def likeness(one: Column, other: Column) -> Column:
+    """Estimated share of equal terms in the band among those of either text; 1 for equal fingerprints.
 
-    Copies of a text are one profile before anything is joined, and terms that are everywhere are left
-    out before the join with the lexicon, so no term has a large share of its rows. They come back by a
-    broadcast join, and count where most terms of a text are such.
+    The number of different terms comes from the subsets that agree, in all layers where at least ``AGREEING`` do.
+    Subsets without a term on either side agree. A byte may agree by chance, which is taken off.
     """
-    items = profiles.select("profile.key", "profile.p.*").groupBy("key").agg(
-        F.first("scale").alias("scale"), F.first("whole").alias("whole"), F.first("terms").alias("terms"))
-    lines, everywhere = items.select("key", F.explode("terms").alias("term")), F.broadcast(lexicon.everywhere)
-    band = lines.join(everywhere, "term", "left_anti").join(lexicon.words, "term").select("key", F.lit(0).alias("level"), "term")
-    met = band.union(lines.join(everywhere, "term").select("key", "level", "term")).groupBy("key").agg(
-        F.array_sort(F.collect_set(F.struct("level", "term"))).alias("met"))
-    # by level, so the middle one's level brings half of them in
-    middle = F.element_at("met", F.ceil(F.size("met") / 2).cast("int"))["level"]
-    found = met.select("key", F.array_sort(F.transform(
-        F.filter("met", lambda m: m["level"] <= middle), lambda m: m["term"])).alias("found"))
-    gathered = items.select("key", "scale", "whole").join(found, "key", "left")
-    return gathered.select("key", _fingerprint(
-        F.col("scale"), F.col("whole"), F.coalesce("found", F.array().cast("array<bigint>"))).alias("fingerprint"))
+
+    def agree(p: Column, layer: int) -> Column:
+        first = START + 1 + layer * SUBSETS * 2
+        return F.aggregate(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), F.lit(0), lambda n, i: n + (
+            F.substring(p["a"], i * 2 + first, F.lit(2)) == F.substring(p["b"], i * 2 + first, F.lit(2))).cast("int"))
+
+    def estimate(p: Column) -> Column:
+        known, share = F.lit(0.0), F.lit(0.0)
+        for layer in range(LAYERS):
+            k = p[f"k{layer}"]
+            equal = F.greatest((k / SUBSETS - 1 / 256) / (1 - 1 / 256), F.lit(0.01))
+            known = known + F.when(k >= AGREEING, -F.log(equal) * SUBSETS).otherwise(0.0)
+            share = share + F.when(k >= AGREEING, share_of(layer)).otherwise(0.0)
+        total = (p["m"] + p["n"]).cast("double")
+        # texts differ by as many terms as one has more, at least
+        return let(F.greatest(F.when(share > 0, known / share).otherwise(total), F.abs(p["m"] - p["n"]).cast("double")), lambda d: F.when(
+            total > 0, F.greatest((total - d) / (total + d), F.lit(0.0))).otherwise(0.0))
+
+    def number(c: Column) -> Column:
+        return F.conv(F.substring(c, 1, 8), 16, 10).cast("bigint")
+
+    pair = F.struct(one.alias("a"), other.alias("b"))
+    return F.when(one == other, 1.0).otherwise(let(pair, lambda p: let(F.struct(
+        number(p["a"]).alias("m"), number(p["b"]).alias("n"), *[agree(p, i).alias(f"k{i}") for i in range(LAYERS)]), estimate)))
 
 
 def fingerprint_documents(df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
     """Add ``fingerprint`` to every row; equal texts have equal ones.
 
-    NULL texts count as empty. A text without terms of the lexicon in its subsets has dashes only and
-    keeps the hash of all its terms; repeated rows stay; a column named ``fingerprint`` is replaced; an
-    empty table gives an empty one.
+    NULL texts count as empty. A text without terms of the lexicon has zeros for hashes and keeps the XOR
+    of all its terms; repeated rows stay; a column named ``fingerprint`` is replaced; an empty table
+    gives an empty one.
     """
     column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     own = [F.col(f"`{c}`") for c in df.columns if c.lower() != "fingerprint"]
-    name = free_name(df.columns, "__profile")
-    rows = profile_texts(df, **{name: column})
-    found = fingerprint_profiles(rows.select(F.col(name).alias("profile")), Lexicon(df, text, least, share))
-    return rows.join(found, F.col(f"{name}.key") == found["key"]).select(*own, found["fingerprint"])
+    name = free_name(df.columns, "__key")
+    lexicon = Lexicon(df, text, least, share)
+    rows = df.select(F.monotonically_increasing_id().alias("row"), text_key(column).alias("k"), terms(column).alias("terms"))
+    # one of all copies of a text
+    texts = states(rows, ["row", "k"], {"own": F.col("terms")}, lexicon).groupBy("k").agg(F.first("own").alias("own"))
+    rare = lexicon.rare().select("key", F.transform("rare", lambda r: r["term"]).alias("rare"))
+    found = texts.join(rare, F.col("k.x") == F.col("key"), "left").select(F.col("k").alias(name), written(F.col("own"), F.col("rare")).alias("fingerprint"))
+    spread = free_name([*df.columns, name], "__row")
+    keyed = df.select(*own, text_key(column).alias(name), F.monotonically_increasing_id().alias(spread))
+    return join_spread(keyed, found, name, spread).drop(name, spread)
 
 
 def with_next(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Rows (id, text, next_text): each with the text of the next lower id; after the lowest comes the highest.
+    """Rows (bucket, place, id, text, next_text): each with the text of the next lower id; after the lowest comes the highest.
 
     NULL ids come last, equal ids in the order of a hash of their text; a single row is its own next.
     Rows are put into ranges of ids at approximate quantiles. The first row of each range is also put
-    behind the range above, so no range needs another.
+    behind the range above, so no range needs another. Rows stay partitioned by ``bucket``, in which ``place`` numbers them.
     """
     spark = df.sparkSession
     source = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -182,7 +248,32 @@ def with_next(df: DataFrame, id_col: str, text: str) -> DataFrame:
     spread = source.select("id", "text", rank.alias("rank"), F.xxhash64("text").alias("h"), F.explode(places).alias("p")).select(
         "id", "text", "rank", "h", "p.*")
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("rank"), "h")
-    return spread.withColumn("next_text", F.lead("text").over(order)).where("NOT guest").select("id", "text", "next_text")
+    return spread.withColumns({"next_text": F.lead("text").over(order), "place": F.row_number().over(order)}).where("NOT guest").select(
+        "bucket", "place", "id", "text", "next_text")
+
+
+def _seam(kept: Column, prefix: Column) -> Column:
+    """What an edited text has of its parts: distinct whole words of both, and the words at their edges that may be cut or merged.
+
+    ``first`` and ``second`` count the distinct terms of each part up to its last word, if that may be cut;
+    ``edges`` has the terms of cut, merged and split words, whether or not they stand elsewhere.
+    """
+
+    def of(p: Column) -> Column:
+        tail = F.when(p["kept"].rlike(WORD + r"\z"), F.element_at(p["a"], -1))
+        head = F.when(p["prefix"].rlike(r"\A" + WORD), F.element_at(p["b"], 1))
+        end = F.when(p["prefix"].rlike(WORD + r"\z"), F.element_at(p["b"], -1))
+        return let(F.struct(tail.alias("tail"), head.alias("head"), end.alias("end")), lambda e: F.struct(
+            _distinct(p["a"], e["tail"]).alias("first"), _distinct(p["b"], e["end"]).alias("second"),
+            F.array_distinct(F.transform(F.array_compact(F.array(e["tail"], e["head"], e["end"], F.concat(e["tail"], e["head"]))), term)).alias("edges")))
+
+    return let(F.struct(kept.alias("kept"), prefix.alias("prefix"), words(kept).alias("a"), words(prefix).alias("b")), of)
+
+
+def _distinct(all_words: Column, last: Column) -> Column:
+    """Number of distinct terms, without the last word where that is given."""
+    n = F.size(all_words) - F.when(last.isNull(), 0).otherwise(1)
+    return F.size(F.array_distinct(F.transform(F.slice(all_words, F.lit(1), n), term)))
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
@@ -191,27 +282,44 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", least
     Rows (``id_col``, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
     The edited copy has its last third replaced by the start of the next lower document's text. The
     lexicon comes from the unedited texts. NULL texts are empty.
+
+    An edited text's terms are those of two parts of texts, but for the words at the parts' edges. A text's rare
+    terms come with their places among its distinct terms, and the distinct terms of a part are the first
+    so many of the text, so numbers tell which rare terms the edited text has; only the edges are looked up.
     """
+    lexicon = Lexicon(df, text, least, share)
     rows = with_next(df, id_col, text)
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
-    narrow = profile_texts(
-        rows.withColumn("edited", edited), own=F.col("text"), changed=F.col("edited")).select(
-        "id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "own", "changed",
-        text_key(F.col("next_text")).alias("next"))
-    narrow = cut(narrow)
-    profiles = narrow.select(F.col("own").alias("profile")).union(narrow.select("changed"))
-    found = cut(fingerprint_profiles(profiles, Lexicon(df, text, least, share)))
-
-    def look_up(frame: DataFrame, key: str, name: str) -> DataFrame:
-        prints = found.select(F.col("key").alias(key), F.col("fingerprint").alias(name))
-        return join_spread(frame, prints, key, "id").drop(key)
-
-    out = narrow.select("id", "n_chars", "edited_sha256", F.col("own.key").alias("a"), F.col("changed.key").alias("b"),
-                        F.col("next").alias("c"))
-    for key, name in (("a", "fingerprint"), ("b", "edited_fingerprint"), ("c", "next_fingerprint")):
-        out = look_up(out, key, name)
+    kept, prefix = F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third)
+    parts = rows.withColumns({"kept": kept, "prefix": prefix}).withColumn("edited", F.concat("kept", "prefix"))
+    head = ["bucket", "place", "id", "n_chars", "edited_sha256", "key", "next_key", "first", "second", "edges", "inside"]
+    described = parts.select(
+        "bucket", "place", "id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        text_key(F.col("text")).alias("key"), text_key(F.col("next_text")).alias("next_key"), _seam(F.col("kept"), F.col("prefix")).alias("seam"),
+        terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("changed"))
+    described = described.select("*", "seam.*").withColumn("inside", F.array_intersect("edges", "changed"))
+    narrow = cut(states(described.select(*head, "own", "changed"), head, {"own": F.col("own"), "changed": F.col("changed")}, lexicon))
+
+    row = ["bucket", "place"]
+    rare = cut(lexicon.rare())
+    traced = F.explode("rare").alias("r")
+    of_own = narrow.select(*row, "first", "edges", F.col("key.x").alias("key")).join(rare, "key").select(*row, "first", "edges", traced).select(
+        *row, "r.term", F.lit(True).alias("own"), ((F.col("r.place") < F.col("first")) & ~F.array_contains("edges", F.col("r.term"))).alias("changed"))
+    of_next = narrow.select(*row, "second", "edges", F.col("next_key.x").alias("key")).join(rare, "key").select(*row, "second", "edges", traced).select(
+        *row, "r.term", F.lit(False).alias("own"), ((F.col("r.place") < F.col("second")) & ~F.array_contains("edges", F.col("r.term"))).alias("changed"))
+    at_edges = narrow.select(*row, F.explode("inside").alias("term")).where(lexicon.level("term") == 0)
+    known = lexicon.counted.where(F.col("n") >= lexicon.least).select("term")
+    unknown = at_edges.join(known, "term", "left_anti").select(*row, "term", F.lit(False).alias("own"), F.lit(True).alias("changed"))
+    each = of_own.union(of_next).union(unknown).groupBy(*row, "term").agg(F.max("own").alias("own"), F.max("changed").alias("changed"))
+    removed = each.groupBy(*row).agg(
+        F.collect_list(F.when(F.col("own"), F.col("term"))).alias("own_rare"), F.collect_list(F.when(F.col("changed"), F.col("term"))).alias("changed_rare"))
+    found = cut(narrow.join(removed, row, "left").select(
+        "id", "n_chars", "edited_sha256", "key", "next_key", written(F.col("own"), F.col("own_rare")).alias("fingerprint"),
+        written(F.col("changed"), F.col("changed_rare")).alias("edited_fingerprint")))
+
+    prints = found.groupBy(F.col("key").alias("next_key")).agg(F.first("fingerprint").alias("next_fingerprint"))
+    out = join_spread(found, prints, "next_key", "id")
     return out.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

@@ -43,65 +43,128 @@ def test_next_text_over_ranges(spark, partitions):
     assert len(one) == 1 and one[0].text == one[0].next_text
 
 
-def by_the_book(text, lexicon, hash_of):
-    """First scale, and for each subset the terms it meets."""
-    terms = sorted({w for w in re.split(r"[\W_]+", text.lower()) if w})
-    scale, n = 0, max(1, len(terms))
-    while n >= 16 << scale:
-        scale += 1
-    met = []
-    for j in range(I.SCALES):
-        for r in range(I.REPLICAS):
-            own = sorted(w for w in terms if w in lexicon and hash_of[w] % (1 << scale + j) == 0 and hash_of[w] % (1 << 64) >> 40 + 2 * r & 3 == 0)
-            met.append(tuple(own))
-    return scale, met
+def terms_of(text):
+    return {w.lower() for w in re.split(r"[\W_]+", text or "") if w}
+
+
+def lexicon_of(texts, least, share):
+    count = {}
+    for t in texts:
+        for w in terms_of(t):
+            count[w] = count.get(w, 0) + 1
+    return {w for w, n in count.items() if least <= n <= max(least, int(share * len(texts)))}, count
+
+
+def hashes_of(spark, all_words):
+    rows = spark.createDataFrame([(w,) for w in sorted(all_words)], "w string").select("w", F.xxhash64("w").alias("h")).collect()
+    return {r.w: r.h % (1 << 64) for r in rows}
+
+
+def plain_hashes(terms, hash_of):
+    """All subsets' bytes, from the definition."""
+    out = [[0] * I.SUBSETS for _ in range(I.LAYERS)]
+    for w in terms:
+        h = hash_of[w]
+        layer, rest = 0, h >> 6
+        while layer < I.LAYERS - 1 and rest & 3 == 0:
+            layer, rest = layer + 1, rest >> 2
+        out[layer][h & 63] ^= (h >> 40 & 0xFFFF) % 255 + 1
+    return out
+
+
+def read_hashes(fingerprint):
+    """Subsets' bytes of a fingerprint: words are written highest byte first."""
+    hashes = fingerprint.split(":")[2]
+    assert len(hashes) == 2 * I.LAYERS * I.SUBSETS
+    cells = [hashes[k:k + 16] for k in range(0, len(hashes), 16)]
+    flat = [int(word[14 - 2 * b:16 - 2 * b], 16) for word in cells for b in range(8)]
+    return [flat[k:k + I.SUBSETS] for k in range(0, len(flat), I.SUBSETS)]
 
 
 def test_fingerprints_against_plain_reading(spark):
-    rows = [(i, words(rng_n, i, 300), None) for i, rng_n in enumerate((3, 10, 15, 16, 40, 100, 300, 900, 2000))]
-    rows += [(20 + i, rows[i][1], None) for i in range(len(rows))]
+    rows = [(i, words(n, i, 300), None) for i, n in enumerate((3, 10, 15, 16, 40, 100, 300, 900, 2000))]
+    rows += [(20 + i, rows[i][1], None) for i in range(len(rows))] + [(40, "Only here once", None), (41, "!!!", None)]
     df = table(spark, rows, CLASHES)
     out = I.fingerprint_documents(df, least=2, share=0.6)
     assert out.columns == [c for c in df.columns if c != "fingerprint"] + ["fingerprint"]
     got = {r.doc_id: r.fingerprint for r in out.collect()}
-    frequency = {}
-    for _, t, _ in rows:
-        for w in set(t.lower().split()):
-            frequency[w] = frequency.get(w, 0) + 1
-    lexicon = {w for w, n in frequency.items() if 2 <= n <= int(0.6 * len(rows))}
-    hash_of = {r.w: r.h for r in spark.createDataFrame([(w,) for w in frequency], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
-    seen = {}
+    lexicon, count = lexicon_of([t for _, t, _ in rows], 2, 0.6)
+    hash_of = hashes_of(spark, count)
+    beyond = {w for w, n in count.items() if n > int(0.6 * len(rows))}
     for i, t, _ in rows:
-        scale, met = by_the_book(t, lexicon, hash_of)
-        head, whole, hashes = got[i].split(":")
-        assert int(head) == scale and len(hashes) == I.SCALES * I.REPLICAS * I.DIGITS
-        parts = [hashes[k:k + I.DIGITS] for k in range(0, len(hashes), I.DIGITS)]
-        for own, part in zip(met, parts):
-            assert (part == I.NOTHING) == (not own)
-            assert seen.setdefault(own, part) == part  # equal subsets have equal hashes
+        if 2 * len(terms_of(t) & beyond) <= len(terms_of(t)):
+            own = terms_of(t) & lexicon
+            assert int(got[i].split(":")[0], 16) == len(own) and read_hashes(got[i]) == plain_hashes(own, hash_of)
     assert all(got[i] == got[20 + i] for i in range(9))
 
 
-def plain_likeness(a, b):
-    (s, u, x), (t, v, y) = a.split(":"), b.split(":")
-    if u == v:
-        return 1.0
-    step = I.DIGITS * I.REPLICAS
-    place = lambda h, first: {(int(first) * I.REPLICAS + k // I.DIGITS): h[k:k + I.DIGITS] for k in range(0, len(h), I.DIGITS)}
-    x, y = place(x, s), place(y, t)
-    both = [k for k in x if k in y and not x[k] == y[k] == I.NOTHING]
-    assert step
-    return sum(x[k] == y[k] for k in both) / len(both) if both else 0.0
-
-
-def test_likeness_and_its_use(spark):
-    rows = [(i, words(40 + 60 * (i % 4), i, 3000), None) for i in range(40)]
-    out = I.near_copies(table(spark, rows), least=1, share=1.0).collect()
-    prints = {r.doc_id: r.fingerprint for r in out}
-    for r in out:
-        assert r.near_edited == pytest.approx(plain_likeness(r.fingerprint, r.edited_fingerprint))
-        assert r.near_next == pytest.approx(plain_likeness(r.fingerprint, prints[(r.doc_id - 1) % 40]))
-    assert sum(r.near_edited for r in out) > 5 * sum(r.near_next for r in out)
+def edited(rows):
+    """doc_id -> edited text, for distinct ids."""
+    order = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for k, (i, text, _) in enumerate(order):
+        third = len(text or "") // 3
+        out[i] = (text or "")[:len(text or "") - third] + (order[(k + 1) % len(order)][1] or "")[:third]
+    return out
+
+
+@pytest.mark.parametrize("least, share", [(2, 0.5), (1, 1.0), (2, 0.1)])
+def test_edited_fingerprints_are_those_of_their_texts(spark, least, share):
+    """Cut, merged and rare words included: the fingerprint of an edited text is that of its terms in the lexicon."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 5))) for _ in range(300)]
+    rows = [(3 * i, rng.choice([" ", ", ", "-"]).join(rng.choice(vocabulary) for _ in range(rng.randrange(60))), None)
+            for i in range(60)] + [(1000, None, None), (1001, "word", None), (1002, "x" * 2000, None), (1003, "  ", None), (1004, "ab ab ab", None)]
+    out = {r.doc_id: r for r in I.near_copies(table(spark, rows), least=least, share=share).collect()}
+    lexicon, count = lexicon_of([t for _, t, _ in rows], least, share)
+    changed = edited(rows)
+    hash_of = hashes_of(spark, set(count) | {w for t in changed.values() for w in terms_of(t)})
+    beyond = {w for w, n in count.items() if n > max(least, int(share * len(rows)))}
+    checked = 0
+    for i, text, _ in rows:
+        for t, print_ in ((text or "", out[i].fingerprint), (changed[i], out[i].edited_fingerprint)):
+            if 2 * len(terms_of(t) & beyond) <= len(terms_of(t)):
+                own = terms_of(t) & lexicon
+                assert int(print_.split(":")[0], 16) == len(own), (i, t)
+                assert read_hashes(print_) == plain_hashes(own, hash_of)
+                checked += 1
+    assert checked > 10
+
+
+def test_single_row_is_its_own_next(spark):
+    row = I.near_copies(table(spark, [(1, "one two three four five six", None)]), least=2).first()
+    assert row.near_next == 1.0 and row.fingerprint.startswith("00000000:")
+
+
+def jaccard(one, other):
+    return len(one & other) / len(one | other) if one | other else 0.0
+
+
+def test_likeness_is_close_to_the_share_of_equal_terms(spark):
+    """Short and long texts at production parameters, with every share of equal terms."""
+    rng = random.Random(2)
+    rows = []
+    for k in range(60):
+        n = (30, 100, 400, 2000, 8000)[k % 5]
+        base = [f"t{rng.randrange(40 * n)}" for _ in range(n)]
+        share = rng.random()
+        for copy in range(2):
+            rows.append((4 * k + 2 * copy, " ".join(w if rng.random() < share else f"t{rng.randrange(40 * n)}" for w in base), None))
+    # every word in at least two texts, so that all are in the band
+    rows += [(1000 + i, t, None) for i, (_, t, _) in enumerate(rows)]
+    out = {r.doc_id: r for r in I.near_copies(table(spark, rows)).collect()}
+    texts, changed = {i: t for i, t, _ in rows}, edited(rows)
+    lexicon, _ = lexicon_of(list(texts.values()), I.LEAST, I.SHARE)
+    own = {i: terms_of(t) & lexicon for i, t in texts.items()}
+    ids = sorted(texts)
+    errors = []
+    for k, i in enumerate(ids):
+        errors.append((out[i].near_edited, jaccard(own[i], terms_of(changed[i]) & lexicon), len(own[i])))
+        errors.append((out[i].near_next, jaccard(own[i], own[ids[k - 1]]), len(own[i])))
+    assert all(got > 0.2 for got, want, _ in errors if want >= 0.5)
+    for low, high in ((0, 200), (200, 1000), (1000, 9000)):
+        part = [abs(got - want) for got, want, n in errors if low <= n < high]
+        assert sum(part) / len(part) < 0.04 and max(part) < 0.25, (low, max(part))
 
 
 def test_edges(spark):
@@ -127,7 +190,7 @@ def test_near_copies_of_a_third_of_the_rows(spark, step):
     group = {step * i: " ".join([*base[:i], f"own{i}", *base[i + 1:]]) for i in range(30)}
     rows = [(i, group.get(i) or words(120, i, 3000), None) for i in range(90)]
     out = {r.doc_id: r for r in I.near_copies(table(spark, rows)).collect()}
-    assert all(set(out[i].fingerprint.split(":")[2]) != {"-"} for i in group)
+    assert all(set(out[i].fingerprint.split(":")[2]) != {"0"} for i in group)
     assert sum(out[i].near_edited > 0 for i in group) > 20
     if step == 1:
         assert sum(out[i].near_next for i in range(1, 30)) / 29 > 0.5

@@ -8,35 +8,57 @@ ones (method C: a context with t counts and d different bytes escapes with d / (
 context knows costs 8 bits more. The language with the shortest exact code wins.
 
 Contexts don't cross words, so a word costs the same wherever it stands, and a worker codes each
-different word once.
+different word once. Languages are scored in slices, one after the other, so that the costs that a
+worker holds are bounded however many languages there are.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from remarklab.llm.common import append_columns, ship_package, small_batches
+from remarklab.llm.common import append_columns, free_name, ship_package, small_batches
 
 ORDER = 4
 # longest piece of a word, words that a worker remembers
 WORD_LENGTH, CACHE_WORDS = 32, 200_000
-# bounds of the training sample and of the model: rows per language, languages, strings of all languages
-SAMPLE_ROWS, LANGUAGES, STRINGS = 1500, 64, 400_000
-WORD = re.compile(r"[^\W\d_]{1,%d}" % WORD_LENGTH)
+# bounds of the training sample and of the model, for each language: rows and strings
+SAMPLE_ROWS, STRINGS = 1500, 100_000
+# numbers that a slice's cost table may hold
+CELLS = 1 << 24
 UNKNOWN = "und"
 
 
+def ranges(kinds: str) -> str:
+    """All characters whose Unicode category begins with one of ``kinds``, as the inside of a pattern's set."""
+    points = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in kinds]
+    out = []
+    for i, c in enumerate(points):
+        if not i or points[i - 1] != c - 1:
+            out.append([c, c])
+        out[-1][1] = c
+    return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in out)
+
+
+@lru_cache(maxsize=1)
+def word_pattern() -> re.Pattern:
+    """A letter and the letters and marks behind it; digits and other numbers are no letters."""
+    return re.compile(f"[{ranges('L')}][{ranges('LM')}]{{0,{WORD_LENGTH - 1}}}")
+
+
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return word_pattern().findall(text.lower())
 
 
 def coded(word: str) -> bytes:
@@ -61,7 +83,7 @@ def count_strings(texts: Iterator[str], order: int = ORDER) -> Counter:
 class Model:
     """Frozen counts of all languages as cost vectors."""
 
-    def __init__(self, counts: dict[str, dict[bytes, int]], order: int = ORDER):
+    def __init__(self, counts: dict[str, dict[bytes, int]], order: int = ORDER, alphabet: int | None = None):
         self.order = order
         self.languages = sorted(counts)
         total = {lang: Counter() for lang in self.languages}
@@ -98,8 +120,8 @@ class Model:
         # rows: costs of known strings, escapes, the unknown byte
         self.rows = np.vstack([cost, escape, np.broadcast_to(unknown, (1, size))]) if size else np.zeros((1, 0))
         self.first_escape, self.unknown = len(strings), len(strings) + len(self.escape)
-        # bits of a byte in a code that uses all bytes seen in training alike
-        self.uniform = math.log2(max(1, sum(len(s) == 1 for s in strings)))
+        # bits of a byte in a code that uses all bytes seen in training alike, in any language
+        self.uniform = math.log2(max(1, sum(len(s) == 1 for s in strings) if alphabet is None else alphabet))
 
     def parts(self, word: str) -> list[int]:
         """Rows whose sum is the cost of a word."""
@@ -120,23 +142,39 @@ class Model:
         return out
 
 
+def slices_of(counts: dict[str, dict[bytes, int]], cells: int = CELLS) -> list[list[str]]:
+    """The languages in order, in runs whose cost tables (strings and contexts by languages) hold about ``cells`` numbers at most."""
+    out: list[list[str]] = []
+    rows = 0
+    for lang in sorted(counts):
+        size = 2 * len(counts[lang])
+        if not out or (rows + size) * (len(out[-1]) + 1) > cells:
+            out.append([])
+            rows = 0
+        out[-1].append(lang)
+        rows += size
+    return out
+
+
 class Scorer:
     """Code lengths of texts; remembers the costs of words."""
 
     def __init__(self, model: Model):
         self.model = model
         self.seen: dict[str, int] = {}
-        self.costs = np.zeros((CACHE_WORDS, 2 * len(model.languages) + 1))
+        width = 2 * len(model.languages) + 1
+        self.words = min(CACHE_WORDS, max(CELLS // width, 1))
+        self.costs = np.zeros((self.words, width))
 
     def code_lengths(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Sums of ``costs_of`` over each text's words."""
         out = []
         for words in texts:
             new = set(words).difference(self.seen)
-            if len(self.seen) + len(new) > CACHE_WORDS:
+            if len(self.seen) + len(new) > self.words:
                 self.seen = {}
                 new = set(words)
-            if len(new) > CACHE_WORDS:  # one text with more different words: code them in pieces
+            if len(new) > self.words:  # one text with more different words: code them in pieces
                 counts = Counter(words)
                 out.append(sum((self.costs_of([w]) * n).sum(0) for w, n in counts.items()))
                 continue
@@ -160,31 +198,34 @@ class Scorer:
 
 
 def train(labelled: DataFrame, id_col: str, text: str, lang: str, sample_rows: int = SAMPLE_ROWS,
-          languages: int = LANGUAGES, strings: int = STRINGS, order: int = ORDER) -> dict[str, dict[bytes, int]]:
+          strings: int = STRINGS, order: int = ORDER) -> dict[str, dict[bytes, int]]:
     """Counts per language from a bounded sample of labelled rows.
 
-    The sample holds, of each of the ``languages`` most frequent labels, the ``sample_rows`` rows of
-    smallest id hash, whole texts; each language keeps its most frequent strings, ``strings`` in all. That
-    bounds the model whatever the corpus. NULL labels and texts teach nothing; without any labelled row
-    the model is empty.
+    The sample holds, of every label, the ``sample_rows`` rows of smallest id hash, whole texts; each
+    language keeps its ``strings`` most frequent strings. That bounds what is learned of a language whatever
+    the corpus; the driver holds all languages. NULL labels and texts teach nothing; without any labelled
+    row the model is empty.
     """
     ship_package(labelled.sparkSession)
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(f"`{lang}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{text}`").alias("t"))
-    counted = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(languages).collect()
+    counted = rows.groupBy("l").count().collect()  # a row per language
     if not counted:
         return {}
     # a hash below the language's bound: twice the rows wanted are expected, so that the rank below is cheap
     span = 1 << 32
-    shares = {r["l"]: min(span, max(1, span * 2 * sample_rows // r["count"] + 1)) for r in counted}
+    shares = [(r["l"], min(span, max(1, span * 2 * sample_rows // r["count"] + 1))) for r in counted]
     hashed = F.xxhash64("i", F.lit(7)).bitwiseAND(span - 1)
-    bound = F.coalesce(*[F.when(F.col("l") == k, F.lit(v)) for k, v in shares.items()])
-    few = rows.withColumn("h", hashed).where(F.col("h") < bound)
+
+    def below(frame: DataFrame, bounds: list, name: str) -> DataFrame:
+        table = frame.sparkSession.createDataFrame(bounds, f"l string, {name} bigint")
+        return frame.join(F.broadcast(table), "l")
+
+    few = below(rows.withColumn("h", hashed), shares, "bound").where(F.col("h") < F.col("bound")).drop("bound")
     ranked = few.select("l", "h", "i").groupBy("l").agg(F.sort_array(F.collect_list("h")).alias("hs"))  # about 2 * sample_rows each
-    cuts = {r["l"]: r["c"] for r in ranked.select("l", F.element_at("hs", F.least(F.size("hs"), F.lit(sample_rows))).alias("c")).collect()}
-    keep = F.coalesce(*[F.when(F.col("l") == k, F.lit(v)) for k, v in cuts.items()], F.lit(-1))
-    sample = few.where((F.col("h") <= keep) & F.col("t").isNotNull()).select("l", "t")
+    cuts = ranked.select("l", F.element_at("hs", F.least(F.size("hs"), F.lit(sample_rows))).alias("c")).collect()
+    sample = below(few, [tuple(r) for r in cuts], "cut").where((F.col("h") <= F.col("cut")) & F.col("t").isNotNull()).select("l", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,37 +241,32 @@ def train(labelled: DataFrame, id_col: str, text: str, lang: str, sample_rows: i
     summed = sample.mapInArrow(run, "l string, s binary, n bigint").groupBy("l", "s").agg(F.sum("n").alias("n"))
     # one group per language, bounded by its sample
     frequent = Window.partitionBy("l").orderBy(F.desc("n"), "s")
-    table = summed.withColumn("k", F.row_number().over(frequent)).where(F.col("k") <= strings // len(cuts)).select("l", "s", "n").toArrow()
+    table = summed.withColumn("k", F.row_number().over(frequent)).where(F.col("k") <= strings).select("l", "s", "n").toArrow()
     counts: dict[str, dict[bytes, int]] = {}
     for label, s, n in zip(*(table[c].to_pylist() for c in ("l", "s", "n"))):
         counts.setdefault(label, {})[s] = n
     return counts
 
 
-# the scorer of the last model that a worker got
+# the scorers of the last model that a worker got, one per slice
 _SCORERS: dict[str, Scorer] = {}
 
 
 def scorer_of(name: str, model: Broadcast) -> Scorer:
     """The worker's scorer of a broadcast model; it keeps its words from task to task."""
     if name not in _SCORERS:
+        # one slice at a time, so that memory doesn't grow with their number
         _SCORERS.clear()
         _SCORERS[name] = Scorer(model.value)
     return _SCORERS[name]
 
 
-def identify(df: DataFrame, counts: dict[str, dict[bytes, int]], text: str = "text", order: int = ORDER,
-             keep: list[str] | None = None) -> DataFrame:
-    """Add ``lang_pred``, ``score``, ``bits_per_byte`` and ``fit`` to every row.
+SLICE = "lang string, bits double, rest double, coded double, fitting double"
 
-    ``lang_pred`` is the language with the shortest code (of equals the first by name), ``und`` for a
-    text that is NULL or has no letter and where no language was learned; ``score`` is that language's
-    posterior probability under equal priors (0 for ``und``); ``bits_per_byte`` is its code length per
-    coded byte and ``fit`` the share of these bytes in words that the language codes in fewer bits than
-    a code that uses all bytes seen in training alike (both NULL for ``und``). Repeated rows each get their own; columns named like the new ones are
-    replaced; an empty table gives an empty one. Nothing is shuffled.
-    """
-    model, name = df.sparkSession.sparkContext.broadcast(Model(counts, order)), uuid.uuid4().hex
+
+def _score_slice(df: DataFrame, model: Broadcast, text: str, out: str) -> DataFrame:
+    """Add a struct ``out``: the best language of a slice, its bits, the sum of 2 ** (its bits - bits), coded bytes, fitting bytes."""
+    name = uuid.uuid4().hex
 
     def make():
         scorer = scorer_of(name, model)
@@ -238,20 +274,56 @@ def identify(df: DataFrame, counts: dict[str, dict[bytes, int]], text: str = "te
 
         def run(texts):
             words = [words_of(t) if t else [] for t in texts]
-            out = [(UNKNOWN, 0.0, None, None)] * len(words)
-            if languages:
-                n = len(languages)
-                for i, sums in enumerate(scorer.code_lengths(words)):
-                    if words[i]:
-                        bits, size = sums[:n], sums[-1]
-                        best = int(np.argmin(bits))
-                        posterior = 1.0 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()
-                        out[i] = (languages[best], float(posterior), float(bits[best] / size), float(sums[n + best] / size))
-            return [list(x) for x in zip(*out)] or [[]] * 4
+            found: list = [None] * len(words)
+            n = len(languages)
+            for i, sums in enumerate(scorer.code_lengths(words)):
+                if words[i]:
+                    bits = sums[:n]
+                    best = int(np.argmin(bits))
+                    rest = np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()
+                    found[i] = {"lang": languages[best], "bits": float(bits[best]), "rest": float(rest), "coded": float(sums[-1]), "fitting": float(sums[n + best])}
+            return [found]
 
         return run
 
-    return append_columns(df, text, "lang_pred string, score double, bits_per_byte double, fit double", make, keep)
+    return append_columns(df, text, f"{out} struct<{SLICE.replace(' ', ':').replace(',:', ',')}>", make)
+
+
+def identify(df: DataFrame, counts: dict[str, dict[bytes, int]], text: str = "text", order: int = ORDER,
+             keep: list[str] | None = None) -> DataFrame:
+    """Add ``lang_pred``, ``score``, ``bits_per_byte`` and ``fit`` to every row.
+
+    ``lang_pred`` is the language with the shortest code (of equals the first by name), ``und`` for a
+    text that is NULL or has no letter and where no language was learned; ``score`` is that language's
+    posterior probability under equal priors (0 for ``und``); ``bits_per_byte`` is its code length per
+    coded byte and ``fit`` the share of these bytes in words that the language codes in fewer bits than
+    a code that uses all bytes seen in training alike (both NULL for ``und``). Repeated rows each get their own; columns named like the new ones are
+    replaced; an empty table gives an empty one. Nothing is shuffled; a slice of languages is a pass over the texts.
+    """
+    new = {"lang_pred", "score", "bits_per_byte", "fit"}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    body = free_name(kept, "__text")
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(body))
+    alphabet = len({s for own in counts.values() for s in own if len(s) == 1})
+    results = []
+    for group in slices_of(counts, CELLS):
+        results.append(free_name([*kept, body, *results], f"__slice{len(results)}"))
+        model = df.sparkSession.sparkContext.broadcast(Model({lang: counts[lang] for lang in group}, order, alphabet))
+        rows = _score_slice(rows, model, body, results[-1])
+    if not results:
+        none = F.lit(None).cast("double")
+        return rows.select(*[F.col(f"`{c}`") for c in kept], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
+                           none.alias("bits_per_byte"), none.alias("fit"))
+    # the shortest code; of equals the earlier slice's, whose names come first
+    order_of = [F.struct(F.col(r)["bits"].alias("bits"), F.lit(i).alias("i"), F.col(r).alias("r")) for i, r in enumerate(results)]
+    best = (F.least(*order_of) if len(order_of) > 1 else order_of[0])["r"]
+    # a language that is much longer than the best adds nothing
+    rest = reduce(lambda a, b: a + b, [F.col(r)["rest"] * F.pow(F.lit(2.0), F.greatest(best["bits"] - F.col(r)["bits"], F.lit(-1000.0))) for r in results])
+    found = F.col(results[0]).isNotNull()
+    return rows.select(
+        *[F.col(f"`{c}`") for c in kept],
+        F.when(found, best["lang"]).otherwise(UNKNOWN).alias("lang_pred"), F.when(found, 1.0 / rest).otherwise(0.0).alias("score"),
+        (best["bits"] / best["coded"]).alias("bits_per_byte"), (best["fitting"] / best["coded"]).alias("fit"))
 
 
 # least share of a text that must fit its language

@@ -73,9 +73,9 @@ def test_held_out_accuracy(spark):
 
 def test_training_is_bounded_and_repeatable(spark):
     docs = labelled(spark)
-    one = P.train(docs, "doc_id", "text", "lang", sample_rows=5, languages=2, strings=60)
-    two = P.train(docs.repartition(7), "doc_id", "text", "lang", sample_rows=5, languages=2, strings=60)
-    assert one == two and sorted(one) == ["aa", "bb"] and all(len(v) == 30 for v in one.values())
+    one = P.train(docs, "doc_id", "text", "lang", sample_rows=5, strings=30)
+    two = P.train(docs.repartition(7), "doc_id", "text", "lang", sample_rows=5, strings=30)
+    assert one == two and sorted(one) == ["aa", "bb", "cc"] and all(len(v) == 30 for v in one.values())
     whole = P.train(docs, "doc_id", "text", "lang")
     everything = P.count_strings(iter([text("aa", i) for i in range(40)]))
     assert whole["aa"] == dict(everything)
@@ -108,14 +108,62 @@ def test_gibberish_is_rejected(spark):
     assert np.isfinite([r.bits_per_byte for r in kept]).all()
 
 
-def test_documents_of_labels_beyond_the_learned_stay(spark, monkeypatch):
-    import functools
+def test_numbers_are_no_letters_and_marks_stay_in_their_words(spark):
+    assert P.words_of("½ ² ③ Ⅷ 12 _ !") == []
+    assert P.words_of("हिन्दी में x1y") == ["हिन्दी", "में", "x", "y"]
+    assert P.words_of("e\u0301te\u0301") == ["e\u0301te\u0301"] and P.words_of("\u0301") == []
+    counts = P.train(labelled(spark), "doc_id", "text", "lang")
+    assert {r.lang_pred for r in P.identify(table(spark, [(1, "½ ² ③", None), (2, "Ⅷ", None)]), counts).collect()} == {"und"}
+
+
+def test_slices_of_languages_give_the_same(spark, monkeypatch):
+    docs = labelled(spark)
+    counts = P.train(docs, "doc_id", "text", "lang")
+    rows = table(spark, [(r.doc_id, r.text, None) for r in docs.limit(30).collect()] + [(900, None, None), (901, "12 ½", None), (902, "ki", None)], CLASHES)
+    assert len(P.slices_of(counts)) == 1
+    want = {r.doc_id: r for r in P.identify(rows, counts).collect()}
+    monkeypatch.setattr(P, "CELLS", 2 * max(map(len, counts.values())))
+    assert len(P.slices_of(counts, P.CELLS)) == 3
+    out = P.identify(rows, counts)
+    assert out.columns == [c for c in rows.columns if c not in ("lang_pred", "score")] + ["lang_pred", "score", "bits_per_byte", "fit"]
+    for r in out.collect():
+        a, b = want[r.doc_id], r
+        assert (a.lang_pred, a.bits_per_byte, a.fit) == (b.lang_pred, b.bits_per_byte, b.fit) and a.score == pytest.approx(b.score)
+
+
+def test_slices_are_bounded():
+    counts = {f"l{i:03d}": dict.fromkeys(range(1000)) for i in range(200)}
+    groups = P.slices_of(counts, 1_000_000)
+    assert [x for g in groups for x in g] == sorted(counts)
+    assert all(sum(2 * len(counts[x]) for x in g) * len(g) <= 1_000_000 for g in groups)
+
+
+def test_two_hundred_labels(spark):
+    """Every label is learned, the rare ones too, and found on held-out rows."""
+    def voice(k):
+        rng = random.Random(k)
+        return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzàéîõü") for _ in range(3)) for _ in range(6)]
+
+    def line(k, seed):
+        rng = random.Random(f"{k}-{seed}")
+        return " ".join("".join(rng.choices(voice(k), k=2)) for _ in range(40))
+
+    rows = [(100 * k + i, line(k, i), f"v{k:03d}") for k in range(200) for i in range(3 + (k % 5 == 0) * 4)]
+    held = [(100 * k + 50, line(k, 50), f"v{k:03d}") for k in range(200)]
+    counts = P.train(table(spark, rows), "doc_id", "text", "lang")
+    assert len(counts) == 200
+    out = P.identify(table(spark, held), counts).collect()
+    assert len(out) == 200 and all(r.lang_pred == r.lang for r in out)
+
+
+def test_documents_of_labels_that_no_training_row_has_stay(spark):
+    import zlib
 
     import corpus_pipeline
 
-    monkeypatch.setattr(P, "train", functools.partial(P.train, languages=1))
-    rows = [(i, text("aa", i), "aa") for i in range(40)] + [(i, "дом лес река гора небо " * 9, "ru") for i in range(40, 50)]
-    rows += [(50, "дом лес река гора небо " * 9, None), (51, "xqzjw vbnmp wrfgh qqxz", None)]
+    held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 == 1]
+    rows = [(1000 + i, text("aa", i), "aa") for i in range(40)] + [(i, "дом лес река гора небо " * 9, "ru") for i in held[:10]]
+    rows += [(2000, "дом лес река гора небо " * 9, None), (2001, "xqzjw vbnmp wrfgh qqxz", None)]
     kept = corpus_pipeline.keep_languages(spark, table(spark, rows), "").collect()
-    assert sorted(r.doc_id for r in kept) == list(range(50))
+    assert sorted(r.doc_id for r in kept) == sorted(held[:10] + [1000 + i for i in range(40)])
     assert {r.lang for r in kept} == {"aa", "ru"}

@@ -58,15 +58,19 @@ def stream_dedup(df: DataFrame, key: str = "event_id", time: str = "ts", delay:
 
 
 def stream_score(
-    df: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    df: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+    written: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Apply a batch scoring function to every micro-batch and store the rows once per batch.
 
     Each batch overwrites its own partition, so a batch repeated after a failure leaves no copies.
+    ``written`` is called with a batch's number once its rows are stored, before the batch is committed.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         score(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if written is not None:
+            written(batch_id)
 
     return (
         df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -46,18 +46,21 @@ def text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"))
 
 
-def words(text: Column) -> Column:
-    """Runs of letters and digits."""
-    return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def plain(text: Column) -> Column:
+    """A text in lower case, letter by letter: the two small sigmas are one, as which of them it is depends on what follows."""
+    return F.replace(F.lower(text), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
-def term(word: Column) -> Column:
-    return F.xxhash64(F.lower(word))
+def hashes(text: Column) -> Column:
+    """Hashes of a plain text's words (runs of letters and digits), in order."""
+    pieces = F.split(text, r"[^\p{L}\p{N}]+")
+    # only the first and the last piece may be empty
+    return F.array_remove(F.transform(pieces, lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
 def terms(text: Column) -> Column:
     """Hashes of the distinct words in lower case, in order of their first places."""
-    return F.array_distinct(F.transform(words(text), term))
+    return F.array_distinct(hashes(plain(text)))
 
 
 def _shift(value: Column, bits: Column | int) -> Column:
@@ -133,40 +136,57 @@ def _state(entries: Column, side: int) -> Column:
     def count(own: Column, most: Column) -> Column:
         return F.aggregate(own, F.lit(0), lambda a, e: a + F.when(e["level"] <= most, e["n"]).otherwise(0))
 
-    def words_up_to(own: Column, level: Column) -> Column:
-        return let(F.filter(own, lambda e: e["level"] <= level), lambda kept: F.struct(
-            count(kept, level).cast("bigint").alias("n"),
-            F.aggregate(own, F.lit(0).cast("bigint"), lambda a, e: a.bitwiseXOR(e["whole"])).alias("whole"),
-            F.transform(F.sequence(F.lit(0), F.lit(LAYERS * WORDS - 1)), lambda w: F.aggregate(
-                kept, F.lit(0).cast("bigint"), lambda a, e: F.when(e["w"] == w, a.bitwiseXOR(e["x"])).otherwise(a))).alias("words")))
+    def word(p: Column, w: Column) -> Column:
+        band = F.coalesce(F.try_element_at(p["band"], w), F.lit(0).cast("bigint"))
+        return F.when(p["level"] == 0, band).otherwise(F.aggregate(
+            p["own"], band, lambda a, e: F.when((e["w"] == w) & e["level"].between(1, p["level"]), a.bitwiseXOR(e["x"])).otherwise(a)))
+
+    def up_to(p: Column) -> Column:
+        return F.struct(
+            count(p["own"], p["level"]).cast("bigint").alias("n"),
+            F.aggregate(p["own"], F.lit(0).cast("bigint"), lambda a, e: a.bitwiseXOR(e["whole"])).alias("whole"),
+            F.transform(F.sequence(F.lit(0), F.lit(LAYERS * WORDS - 1)), lambda w: word(p, w)).alias("words"))
 
     def of(own: Column) -> Column:
         total = count(own, F.lit(64))
-        level = F.element_at(F.filter(F.sequence(F.lit(0), F.lit(64)), lambda x: count(own, x) * 2 >= total), 1)
-        # hardly any text has terms beyond the band only
-        return let(F.when(count(own, F.lit(0)) * 2 >= total, 0).otherwise(level), lambda x: words_up_to(own, x))
+        # hardly any text has mostly terms beyond the band
+        level = F.when(count(own, F.lit(0)) * 2 >= total, 0).otherwise(
+            F.element_at(F.filter(F.sequence(F.lit(0), F.lit(64)), lambda x: count(own, x) * 2 >= total), 1))
+        band = F.map_from_entries(F.transform(F.filter(own, lambda e: e["level"] == 0), lambda e: F.struct(e["w"], e["x"])))
+        return let(F.struct(own.alias("own"), level.alias("level"), band.alias("band")), up_to)
 
     return let(F.filter(entries, lambda e: e["side"] == side), of)
 
 
-def written(state: Column, removed: Column) -> Column:
-    """``n:whole:hashes``: number of terms in the band, XOR of all terms, and the bytes of all subsets in hexadecimal.
-
-    ``removed`` has the rare terms (NULL: none).
-    """
+def without(state: Column, removed: Column) -> Column:
+    """A state without the rare terms ``removed`` (NULL: none)."""
 
-    def without(p: Column) -> Column:
-        return F.concat_ws(
-            ":", F.lpad(F.lower(F.hex(p["state"]["n"] - F.size(p["cells"]))), 8, "0"), F.lpad(F.lower(F.hex(p["state"]["whole"])), 16, "0"),
-            F.array_join(F.transform(p["state"]["words"], lambda x, i: F.lpad(F.lower(F.hex(F.aggregate(
-                p["cells"], x, lambda a, c: F.when(c["w"] == i, a.bitwiseXOR(c["x"])).otherwise(a)))), 16, "0")), ""))
+    def of(p: Column) -> Column:
+        return F.struct(
+            (p["state"]["n"] - F.size(p["cells"])).alias("n"), p["state"]["whole"].alias("whole"),
+            F.transform(p["state"]["words"], lambda x, i: F.aggregate(
+                p["cells"], x, lambda a, c: F.when(c["w"] == i, a.bitwiseXOR(c["x"])).otherwise(a))).alias("words"))
 
     cells = F.transform(F.coalesce(removed, F.array().cast("array<bigint>")), cell)
-    return let(F.struct(state.alias("state"), cells.alias("cells")), without)
+    return let(F.struct(state.alias("state"), cells.alias("cells")), of)
+
+
+def written(state: Column) -> Column:
+    """``n:whole:hashes``: number of terms in the band, XOR of all terms, and the bytes of all subsets in hexadecimal."""
+    return F.concat_ws(":", F.lpad(F.lower(F.hex(state["n"])), 8, "0"), F.lpad(F.lower(F.hex(state["whole"])), 16, "0"), F.lower(
+        F.array_join(F.transform(state["words"], lambda x: F.lpad(F.hex(x), 16, "0")), "")))
+
 
+def read(fingerprint: Column) -> Column:
+    """The state that a fingerprint was written from."""
+    start = 8 + 1 + 16 + 1  # where the hashes begin
 
-# where the hashes begin in a fingerprint
-START = 8 + 1 + 16 + 1
+    def number(first: Column | int, digits: int) -> Column:
+        at = first if isinstance(first, Column) else F.lit(first)
+        return F.conv(F.substring(fingerprint, at, F.lit(digits)), 16, -10).cast("bigint")
+
+    return F.struct(number(1, 8).alias("n"), number(10, 16).alias("whole"), F.transform(
+        F.sequence(F.lit(0), F.lit(LAYERS * WORDS - 1)), lambda w: number(w * 16 + start + 1, 16)).alias("words"))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -175,16 +195,24 @@ def likeness(one: Column, other: Column) -> Column:
     The number of different terms comes from the subsets that agree, in all layers where at least ``AGREEING`` do.
     Subsets without a term on either side agree. A byte may agree by chance, which is taken off.
     """
+    return state_likeness(read(one), read(other))
+
+
+def state_likeness(one: Column, other: Column) -> Column:
+    """``likeness`` of the states of two fingerprints."""
 
-    def agree(p: Column, layer: int) -> Column:
-        first = START + 1 + layer * SUBSETS * 2
-        return F.aggregate(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), F.lit(0), lambda n, i: n + (
-            F.substring(p["a"], i * 2 + first, F.lit(2)) == F.substring(p["b"], i * 2 + first, F.lit(2))).cast("int"))
+    def folded(v: Column, bits: int) -> Column:
+        return v.bitwiseOR(_shift(v, bits))
+
+    def different(x: Column, y: Column) -> Column:
+        # bytes that are not zero: all bits of a byte are folded into its lowest
+        return let(folded(x.bitwiseXOR(y), 4), lambda v: let(folded(v, 2), lambda w: F.bit_count(
+            folded(w, 1).bitwiseAND(F.lit(0x0101010101010101)))))
 
     def estimate(p: Column) -> Column:
         known, share = F.lit(0.0), F.lit(0.0)
         for layer in range(LAYERS):
-            k = p[f"k{layer}"]
+            k = F.get(p["agree"], F.lit(layer))
             equal = F.greatest((k / SUBSETS - 1 / 256) / (1 - 1 / 256), F.lit(0.01))
             known = known + F.when(k >= AGREEING, -F.log(equal) * SUBSETS).otherwise(0.0)
             share = share + F.when(k >= AGREEING, share_of(layer)).otherwise(0.0)
@@ -193,12 +221,13 @@ def likeness(one: Column, other: Column) -> Column:
         return let(F.greatest(F.when(share > 0, known / share).otherwise(total), F.abs(p["m"] - p["n"]).cast("double")), lambda d: F.when(
             total > 0, F.greatest((total - d) / (total + d), F.lit(0.0))).otherwise(0.0))
 
-    def number(c: Column) -> Column:
-        return F.conv(F.substring(c, 1, 8), 16, 10).cast("bigint")
+    def compare(p: Column) -> Column:
+        unlike = F.zip_with(p["a"]["words"], p["b"]["words"], different)
+        return let(unlike, lambda u: let(F.struct(p["a"]["n"].alias("m"), p["b"]["n"].alias("n"), F.transform(
+            F.sequence(F.lit(0), F.lit(LAYERS - 1)), lambda layer: F.lit(SUBSETS) - F.aggregate(
+                F.slice(u, layer * WORDS + 1, F.lit(WORDS)), F.lit(0), lambda a, x: a + x)).alias("agree")), estimate))
 
-    pair = F.struct(one.alias("a"), other.alias("b"))
-    return F.when(one == other, 1.0).otherwise(let(pair, lambda p: let(F.struct(
-        number(p["a"]).alias("m"), number(p["b"]).alias("n"), *[agree(p, i).alias(f"k{i}") for i in range(LAYERS)]), estimate)))
+    return let(F.struct(one.alias("a"), other.alias("b")), lambda p: F.when(p["a"] == p["b"], 1.0).otherwise(compare(p)))
 
 
 def fingerprint_documents(df: DataFrame, text: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
@@ -216,7 +245,8 @@ def fingerprint_documents(df: DataFrame, text: str = "text", least: int = LEAST,
     # one of all copies of a text
     texts = states(rows, ["row", "k"], {"own": F.col("terms")}, lexicon).groupBy("k").agg(F.first("own").alias("own"))
     rare = lexicon.rare().select("key", F.transform("rare", lambda r: r["term"]).alias("rare"))
-    found = texts.join(rare, F.col("k.x") == F.col("key"), "left").select(F.col("k").alias(name), written(F.col("own"), F.col("rare")).alias("fingerprint"))
+    found = texts.join(rare, F.col("k.x") == F.col("key"), "left").select(
+        F.col("k").alias(name), written(without(F.col("own"), F.col("rare"))).alias("fingerprint"))
     spread = free_name([*df.columns, name], "__row")
     keyed = df.select(*own, text_key(column).alias(name), F.monotonically_increasing_id().alias(spread))
     return join_spread(keyed, found, name, spread).drop(name, spread)
@@ -252,28 +282,34 @@ def with_next(df: DataFrame, id_col: str, text: str) -> DataFrame:
         "bucket", "place", "id", "text", "next_text")
 
 
-def _seam(kept: Column, prefix: Column) -> Column:
-    """What an edited text has of its parts: distinct whole words of both, and the words at their edges that may be cut or merged.
+def _parts(own: Column, kept: Column, prefix: Column) -> Column:
+    """The terms of an edited text from those of its two parts, and what tells which rare terms of the parts it has.
 
-    ``first`` and ``second`` count the distinct terms of each part up to its last word, if that may be cut;
-    ``edges`` has the terms of cut, merged and split words, whether or not they stand elsewhere.
+    ``own`` has the hashes of the whole first text, ``kept`` its start and ``prefix`` that of the other, both plain.
+    Words at the parts' edges may be cut, and where two meet they are one: ``edges`` has the terms of all
+    of these, cut, whole and merged. ``first`` and ``second`` count the distinct terms of each part without its last word, if that
+    ends the part.
     """
 
-    def of(p: Column) -> Column:
-        tail = F.when(p["kept"].rlike(WORD + r"\z"), F.element_at(p["a"], -1))
-        head = F.when(p["prefix"].rlike(r"\A" + WORD), F.element_at(p["b"], 1))
-        end = F.when(p["prefix"].rlike(WORD + r"\z"), F.element_at(p["b"], -1))
-        return let(F.struct(tail.alias("tail"), head.alias("head"), end.alias("end")), lambda e: F.struct(
-            _distinct(p["a"], e["tail"]).alias("first"), _distinct(p["b"], e["end"]).alias("second"),
-            F.array_distinct(F.transform(F.array_compact(F.array(e["tail"], e["head"], e["end"], F.concat(e["tail"], e["head"]))), term)).alias("edges")))
+    def at_end(text: Column) -> Column:
+        return F.reverse(F.regexp_extract(F.reverse(text), rf"\A{WORD}+", 0))
 
-    return let(F.struct(kept.alias("kept"), prefix.alias("prefix"), words(kept).alias("a"), words(prefix).alias("b")), of)
+    def nothing_if(empty: Column, value: Column) -> Column:
+        return F.when(empty, F.array().cast("array<bigint>")).otherwise(F.array(value))
 
+    def of(p: Column) -> Column:
+        tail, head, end = p["tail"], p["head"], p["end"]
+        whole = F.slice(p["own"], F.lit(1), p["n"] - (tail != "").cast("int"))
+        rest = F.slice(p["other"], 1 + (head != "").cast("int"), F.size(p["other"]))
+        seam = nothing_if((tail == "") & (head == ""), F.xxhash64(F.concat(tail, head)))
+        return F.struct(
+            F.array_distinct(F.concat(whole, seam, rest)).alias("changed"), F.size(F.array_distinct(whole)).alias("first"),
+            F.size(F.array_distinct(F.slice(p["other"], F.lit(1), F.size(p["other"]) - (end != "").cast("int")))).alias("second"),
+            F.array_distinct(F.concat(*[nothing_if(w == "", F.xxhash64(w)) for w in (tail, head, end, F.concat(tail, head))])).alias("edges"))
 
-def _distinct(all_words: Column, last: Column) -> Column:
-    """Number of distinct terms, without the last word where that is given."""
-    n = F.size(all_words) - F.when(last.isNull(), 0).otherwise(1)
-    return F.size(F.array_distinct(F.transform(F.slice(all_words, F.lit(1), n), term)))
+    return let(F.struct(
+        own.alias("own"), F.regexp_count(kept, F.lit(f"{WORD}+")).alias("n"), hashes(prefix).alias("other"), at_end(kept).alias("tail"),
+        F.regexp_extract(prefix, rf"\A{WORD}+", 0).alias("head"), at_end(prefix).alias("end")), of)
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = LEAST, share: float = SHARE) -> DataFrame:
@@ -296,9 +332,10 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", least
     head = ["bucket", "place", "id", "n_chars", "edited_sha256", "key", "next_key", "first", "second", "edges", "inside"]
     described = parts.select(
         "bucket", "place", "id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        text_key(F.col("text")).alias("key"), text_key(F.col("next_text")).alias("next_key"), _seam(F.col("kept"), F.col("prefix")).alias("seam"),
-        terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("changed"))
-    described = described.select("*", "seam.*").withColumn("inside", F.array_intersect("edges", "changed"))
+        text_key(F.col("text")).alias("key"), text_key(F.col("next_text")).alias("next_key"),
+        let(hashes(plain(F.col("text"))), lambda own: F.struct(
+            F.array_distinct(own).alias("own"), _parts(own, plain(F.col("kept")), plain(F.col("prefix"))).alias("parts"))).alias("both"))
+    described = described.select("*", "both.own", "both.parts.*").withColumn("inside", F.array_intersect("edges", "changed"))
     narrow = cut(states(described.select(*head, "own", "changed"), head, {"own": F.col("own"), "changed": F.col("changed")}, lexicon))
 
     row = ["bucket", "place"]
@@ -315,12 +352,12 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", least
     removed = each.groupBy(*row).agg(
         F.collect_list(F.when(F.col("own"), F.col("term"))).alias("own_rare"), F.collect_list(F.when(F.col("changed"), F.col("term"))).alias("changed_rare"))
     found = cut(narrow.join(removed, row, "left").select(
-        "id", "n_chars", "edited_sha256", "key", "next_key", written(F.col("own"), F.col("own_rare")).alias("fingerprint"),
-        written(F.col("changed"), F.col("changed_rare")).alias("edited_fingerprint")))
+        "id", "n_chars", "edited_sha256", "key", "next_key",
+        without(F.col("own"), F.col("own_rare")).alias("own"), without(F.col("changed"), F.col("changed_rare")).alias("changed")))
 
-    prints = found.groupBy(F.col("key").alias("next_key")).agg(F.first("fingerprint").alias("next_fingerprint"))
-    out = join_spread(found, prints, "next_key", "id")
+    states_of = found.groupBy(F.col("key").alias("next_key")).agg(F.first("own").alias("next"))
+    out = join_spread(found, states_of, "next_key", "id")
     return out.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", written(F.col("own")).alias("fingerprint"),
+        written(F.col("changed")).alias("edited_fingerprint"),
+        state_likeness(F.col("own"), F.col("changed")).alias("near_edited"), state_likeness(F.col("own"), F.col("next")).alias("near_next"))

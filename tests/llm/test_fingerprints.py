@@ -131,6 +131,13 @@ def test_edited_fingerprints_are_those_of_their_texts(spark, least, share):
     assert checked > 10
 
 
+def test_likeness_of_written_fingerprints(spark):
+    rows = [(i, words(40 + 60 * (i % 4), i % 9, 300), None) for i in range(30)] + [(100, "", None)]
+    out = I.near_copies(table(spark, rows))
+    again = out.select("near_edited", I.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("read")).collect()
+    assert len(again) == 31 and all(r.near_edited == r.read for r in again)
+
+
 def test_single_row_is_its_own_next(spark):
     row = I.near_copies(table(spark, [(1, "one two three four five six", None)]), least=2).first()
     assert row.near_next == 1.0 and row.fingerprint.startswith("00000000:")

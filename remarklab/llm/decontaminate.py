@@ -17,11 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from remarklab.llm.common import ship_package, slices, small_batches
+from remarklab.llm.common import cut, join_spread, ship_package, slices, small_batches
 
 WINDOW, LITERALS, THRESHOLD = 5, 3, 0.8
+# documents to be dropped that are broadcast (24 bytes each); more are joined by a shuffle
+BROADCAST_ROWS = 1 << 20
 # bits of the fixed-size filter that is sent to all tasks (2 MB), whatever the benchmark's size
 FILTER_BITS = 24
 # Units that may follow a number, and number words.
@@ -214,6 +216,30 @@ def window_filter(windows: DataFrame) -> np.ndarray:
     return table
 
 
+def rare_windows(known: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """(hash, items): of every item the windows of which a document that holds it has at least one, by hash.
+
+    Of n places, of which m must be met, the n - m + 1 whose windows the fewest items share; ties go to the first.
+    """
+    shared = known.groupBy("hash").agg(F.count_distinct("item").alias("n_items"))
+    # the benchmark's windows: an item's are one group
+    places = known.join(shared, "hash").groupBy("item", "item_pos").agg(F.sum("n_items").alias("n_items"))
+    order = Window.partitionBy("item").orderBy("n_items", "item_pos")
+    needed = F.ceil(F.col("n_windows") * threshold - 1e-9)
+    chosen = places.withColumn("rank", F.row_number().over(order)).join(sizes, "item").where(F.col("rank") <= F.col("n_windows") - needed + 1)
+    return known.join(chosen.select("item", "item_pos"), ["item", "item_pos"]).groupBy("hash").agg(F.collect_set("item").alias("items"))
+
+
+def _candidate_windows(hits: DataFrame, known: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """The windows that a document and an item have in common, of pairs that share one of the item's rare windows."""
+    rare = rare_windows(known, sizes, threshold)
+    met = join_spread(hits.select(F.struct("id", "text_key").alias("doc"), "hash"), rare, "hash", "doc")
+    pairs = met.select("doc", F.explode("items").alias("item")).distinct()
+    # as many rows as a document has windows, for each of its candidates
+    windows = hits.withColumn("doc", F.struct("id", "text_key")).join(pairs, "doc").drop("doc")
+    return windows.join(known, ["hash", "item"])
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id",
     item_text: str = "text", window: int = WINDOW, literals: int = LITERALS, threshold: float = THRESHOLD,
@@ -229,7 +255,9 @@ def contaminated(
     and one of fewer than ``literals`` words is only met by a document without other words. NULL texts
     and items without words match nothing; empty tables give no rows.
 
-    Only a filter of fixed size is broadcast; windows that pass it are joined by their hash.
+    Only a filter of fixed size is broadcast. An item that a document holds has one of its rarest windows
+    there (of n windows, of which m are needed, one of any n - m + 1), so documents and items meet by these
+    first, and only such pairs are compared by all windows: a sentence that all items share joins nothing.
     """
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text}`").alias("t"))
     wanted = _windows(items, ["item"], "t", window, literals)
@@ -242,9 +270,10 @@ def contaminated(
     sizes = known.groupBy("item").agg(F.count_distinct("item_pos").alias("n_windows"))
 
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("t"))
-    hits = _windows(source, ["id", "text_key"], "t", window, literals, bits, short).drop("size")
+    # stored, for it is read for the candidates and for their windows
+    hits = cut(_windows(source, ["id", "text_key"], "t", window, literals, bits, short).drop("size"))
     pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs"))
-    aligned = (hits.join(known, "hash")
+    aligned = (_candidate_windows(hits, known, sizes, threshold)
                .groupBy("id", "text_key", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
                .agg(F.collect_set(F.struct(F.col("item_pos").alias("at"), pairs.alias("slots"))).alias("windows"))
                .withColumn("values", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"])))))
@@ -273,6 +302,9 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``found`` (from ``contaminated``) doesn't list; NULL ids are compared as values."""
-    bad = found.select(F.col(f"`{id_col}`").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    bad = cut(found.select(F.col(f"`{id_col}`").alias("__id"), F.col("text_key").alias("__key")).distinct())
+    if bad.count() <= BROADCAST_ROWS:
+        # the texts then stay where they are
+        bad = F.broadcast(bad)
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__key"))
     return docs.join(bad, same, "left_anti")

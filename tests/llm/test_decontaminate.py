@@ -145,3 +145,47 @@ def test_one_changed_occurrence_drops_its_windows_only(spark):
     for k, r in got.items():
         assert r.n_windows == total and 0.8 <= r.share < 1 and r.reworded, k
     assert got[(1, 0)].matched == total - 5
+
+
+def with_boilerplate(n_items, n_docs):
+    """Items that share a long sentence, documents with that sentence only, and some documents with whole items."""
+    shared = words(40, 77, 5000)
+    items = [(i, f"{shared} {words(9, 500 + i, 5000)}") for i in range(n_items)]
+    rows = [(i, f"{words(10, 900 + i, 5000)} {shared} {words(10, 1900 + i, 5000)}", None) for i in range(n_docs)]
+    rows += [(10**6 + i, f"{words(10, i, 5000)} {items[i][1]} {words(10, 50 + i, 5000)}", None) for i in range(5)]
+    return items, rows
+
+
+def test_a_sentence_of_all_items_joins_nothing(spark, monkeypatch):
+    met = []
+    candidates = D._candidate_windows
+    monkeypatch.setattr(D, "_candidate_windows", lambda *a: (met.append(candidates(*a)), met[-1])[1])
+    for n_items, n_docs in ((20, 50), (40, 100)):
+        items, rows = with_boilerplate(n_items, n_docs)
+        # two windows of three of an item are those of the shared sentence: not enough for all of it
+        got = D.contaminated(table(spark, rows), bench(spark, items), threshold=0.9)
+        assert sorted((r.doc_id - 10**6, r.item_id) for r in got.collect()) == [(i, i) for i in range(5)]
+        # a whole item has at most 45 windows, in both forms
+        assert met[-1].count() <= 5 * 2 * 45 * 2
+
+
+def test_rare_windows_lose_nothing(spark, monkeypatch):
+    rng = random.Random(6)
+    sentences = [words(12, i, 200) for i in range(12)]
+    items = [(i, " ".join(rng.choice(sentences) for _ in range(rng.randrange(1, 5)))) for i in range(30)] + [(50, QUESTION), (51, "two words"), (52, None), (53, "")]
+    rows = [(i, " ".join(rng.choice(sentences) for _ in range(rng.randrange(1, 9))), None) for i in range(60)]
+    rows += [(100, QUESTION.replace("120", "77"), None), (None, QUESTION, None), (None, QUESTION, None), (101, None, None), (102, items[0][1], None)] + edge_rows()
+    df = table(spark, rows)
+    columns = ("doc_id", "item_id", "n_windows", "matched", "share", "reworded")
+    got = sorted_rows(D.contaminated(df, bench(spark, items)), *columns)
+    monkeypatch.setattr(D, "_candidate_windows", lambda hits, known, sizes, threshold: hits.join(known, "hash"))
+    assert got == sorted_rows(D.contaminated(df, bench(spark, items)), *columns) and len(got) > 30
+
+
+def test_documents_go_also_when_they_are_many(spark, monkeypatch):
+    rows = [(1, QUESTION, None), (2, "clean text of a few words", None), (None, QUESTION, None), (3, None, None)]
+    df = table(spark, rows)
+    found = D.contaminated(df, bench(spark, [(7, QUESTION)]))
+    few = sorted_rows(D.drop_contaminated(df, found), "doc_id")
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    assert few == sorted_rows(D.drop_contaminated(df, found), "doc_id") == sorted_rows(df.where("doc_id > 1"), "doc_id")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remarklab.functions.stopwords import default_stopwords
 from remarklab.operators.corpus import clean_corpus
-from remarklab.operators.sentiment import label_sentiment, lexicon_sentiment
+from remarklab.operators.sentiment import SpecialCases, label_sentiment, lexicon_sentiment
 from remarklab.session import spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,6 +148,9 @@ LEXICON = {
 NEGATIONS = ("is", "was", "nicht", "pas", "no")
 BOOSTERS = {"the": 0.293, "that": -0.293, "der": 0.293, "la": -0.293, "and": 0.293}
 CONTRAST = "for"
+# words in the places of "never so", "without doubt" and "at least", and phrases with valences
+SPECIAL = SpecialCases(never="is", so=("the", "a"), without="was", doubt="and", least="in", at=("of", "and"))
+PHRASES = {"of the": 1.2, "the of": -0.9, "and of the": 2.3, "ed the": -1.1, "th the": 1.7, "la de": 0.7, "the ing": -1.9, "der die": 0.4}
 KEYWORDS = ("rewh", "thatin", "ononst", "hehely", "orantion", "eau", "keit")
 
 
@@ -166,7 +169,31 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_sentiment(df)
 
 
-def score_sql(source: str = "cleaned", key: str = "id") -> str:
+def phrases(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(PHRASES.items()), "phrase string, valence double")
+
+
+def factor_sql(d: int, special: SpecialCases | None) -> str:
+    """Factor of the word ``d`` places before a hit."""
+    plain = f"CASE WHEN n{d} THEN -0.74 ELSE 1.0 END"
+    if special is None or d == 1:
+        return plain
+    so = " OR ".join(f"coalesce(p{k} IN ({sql_strings(special.so)}), false)" for k in range(1, d))
+    doubt = " OR ".join(f"coalesce(p{k} = '{special.doubt}', false)" for k in range(1, d))
+    return f"CASE WHEN p{d} = '{special.never}' AND ({so}) THEN 1.25 WHEN p{d} = '{special.without}' AND ({doubt}) THEN 1.0 ELSE {plain} END"
+
+
+def phrase_sql(phrases: dict[str, float]) -> str:
+    """CTE ``placed``: the words with the valence of the phrase that ends at them, and whether a later phrase has them."""
+    listed = {n: ", ".join(f"('{p}', CAST({v} AS DOUBLE))" for p, v in phrases.items() if len(p.split()) == n) for n in (2, 3)}
+    return f"""two(phrase, v) AS (VALUES {listed[2]}), three(phrase, v) AS (VALUES {listed[3]}),
+ended AS (SELECT c.*, coalesce(three.v, two.v) AS phrase, CASE WHEN three.v IS NOT NULL THEN 3 WHEN two.v IS NOT NULL THEN 2 ELSE 1 END AS n_words FROM ctx c
+  LEFT JOIN two ON two.phrase = c.p1 || ' ' || c.token LEFT JOIN three ON three.phrase = c.p2 || ' ' || c.p1 || ' ' || c.token),
+placed AS (SELECT *, coalesce(lead(n_words, 1) OVER w >= 2, false) OR coalesce(lead(n_words, 2) OVER w >= 3, false) AS covered
+  FROM ended WINDOW w AS (PARTITION BY id ORDER BY pos))"""
+
+
+def score_sql(source: str = "cleaned", key: str = "id", special: SpecialCases | None = None, phrases: dict[str, float] | None = None) -> str:
     """CTE ``scores`` (id, vader_sentiment) and the steps before it, over ``source``."""
     lex = ", ".join(f"('{t}', {v})" for t, v in LEXICON.items())
     neg = ", ".join(f"('{t}')" for t in NEGATIONS)
@@ -175,10 +202,19 @@ def score_sql(source: str = "cleaned", key: str = "id") -> str:
     for d, w in ((1, 1.0), (2, 0.95), (3, 0.9)):
         steps.append(
             f"v{d} AS (SELECT *, CASE WHEN p{d} IS NULL OR lex{d} THEN {v} ELSE "
-            f"({v} + sign({v}) * coalesce(b{d}, 0) * {w}) * (CASE WHEN n{d} THEN -0.74 ELSE 1.0 END) END AS v{d} "
+            f"({v} + sign({v}) * coalesce(b{d}, 0) * {w}) * ({factor_sql(d, special)}) END AS v{d} "
             f"FROM {'hits' if d == 1 else f'v{d - 1}'})"
         )
         v = f"v{d}"
+    if special is not None:
+        steps.append(f"v4 AS (SELECT * REPLACE (CASE WHEN p1 = '{special.least}' AND NOT lex1 AND coalesce(p2 NOT IN ({sql_strings(special.at)}), true) "
+                     "THEN v3 * -0.74 ELSE v3 END AS v3) FROM v3)")
+    if phrases is None:
+        hits = "hits AS (SELECT ctx.*, CAST(val AS DOUBLE) AS v0, bpos FROM ctx LEFT JOIN buts USING (id) WHERE val IS NOT NULL)"
+    else:
+        hits = f"""{phrase_sql(phrases)},
+hits AS (SELECT placed.*, CAST(coalesce(phrase, val) AS DOUBLE) AS v0, bpos FROM placed LEFT JOIN buts USING (id)
+  WHERE NOT covered AND (phrase IS NOT NULL OR val IS NOT NULL))"""
     lags = ", ".join(
         f"lag(token, {d}) OVER w AS p{d}, lag(val, {d}) OVER w IS NOT NULL AS lex{d}, "
         f"lag(bst, {d}) OVER w AS b{d}, coalesce(lag(neg, {d}) OVER w, false) AS n{d}"
@@ -195,10 +231,10 @@ looked AS (
   LEFT JOIN lex l ON s.token = l.token LEFT JOIN boosts b ON s.token = b.token LEFT JOIN negs n ON s.token = n.token),
 ctx AS (SELECT *, {lags} FROM looked WINDOW w AS (PARTITION BY id ORDER BY pos)),
 buts AS (SELECT id, min(pos) AS bpos FROM stripped WHERE token = '{CONTRAST}' GROUP BY id),
-hits AS (SELECT ctx.*, CAST(val AS DOUBLE) AS v0, bpos FROM ctx LEFT JOIN buts USING (id) WHERE val IS NOT NULL),
+{hits},
 {", ".join(steps)},
 sums AS (SELECT id, round(sum(v3 * CASE WHEN bpos IS NULL OR pos = bpos THEN 1.0 WHEN pos < bpos THEN 0.5 ELSE 1.5 END), 8) AS s
-         FROM v3 GROUP BY id),
+         FROM {"v3" if special is None else "v4"} GROUP BY id),
 marks AS (SELECT {key} AS id, length(cleaned_body) - length(replace(cleaned_body, '!', '')) AS ex,
                  length(cleaned_body) - length(replace(cleaned_body, '?', '')) AS qu FROM {source}),
 emph AS (SELECT id, least(ex, 4) * 0.292 + CASE WHEN qu <= 1 THEN 0.0 WHEN qu <= 3 THEN qu * 0.18 ELSE 0.96 END AS e FROM marks),
@@ -210,5 +246,5 @@ scored AS (SELECT c.*, s.vader_sentiment,
            FROM {source} c JOIN scores s ON c.{key} = s.id)"""
 
 
-def with_scored(select: str) -> Callable[[], str]:
-    return lambda: f"WITH {COMMENTS},\n{cleaned_sql()},\n{score_sql()}\n{select}"
+def with_scored(select: str, **rules) -> Callable[[], str]:
+    return lambda: f"WITH {COMMENTS},\n{cleaned_sql()},\n{score_sql(**rules)}\n{select}"

@@ -5,7 +5,7 @@ from remarklab.operators import joins as J
 from remarklab.operators import sentiment as S
 
 from .common import (
-    COMMENTS, CONTRAST, LEXICON, cleaned, cleaned_sql, lexicon, modifiers, query, scored, with_scored,
+    COMMENTS, CONTRAST, LEXICON, PHRASES, SPECIAL, cleaned, cleaned_sql, lexicon, modifiers, phrases, query, scored, with_scored,
 )
 
 
@@ -33,6 +33,21 @@ def lexicon_sentiment_joined(spark, sf):
     ).select("id", "vader_sentiment")
 
 
+@query("phrase_sentiment", with_scored("SELECT id, vader_sentiment FROM scored", special=SPECIAL, phrases=PHRASES))
+def phrase_sentiment(spark, sf):
+    """With the published rules for phrases, and a table of phrases."""
+    return S.lexicon_sentiment(
+        cleaned(spark, sf), lexicon(spark), modifiers(spark), but=CONTRAST, special=SPECIAL, phrases=phrases(spark)
+    ).select("id", "vader_sentiment")
+
+
+@query("phrase_sentiment_joined", with_scored("SELECT id, vader_sentiment FROM scored", special=SPECIAL, phrases=PHRASES))
+def phrase_sentiment_joined(spark, sf):
+    return S.lexicon_sentiment(
+        cleaned(spark, sf), lexicon(spark), modifiers(spark), but=CONTRAST, inline_rows=0, special=SPECIAL, phrases=phrases(spark)
+    ).select("id", "vader_sentiment")
+
+
 @query("label_sentiment", with_scored("SELECT id, sentiment_category FROM scored"))
 def label_sentiment(spark, sf):
     return scored(spark, sf).select("id", "sentiment_category")

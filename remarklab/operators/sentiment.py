@@ -7,10 +7,16 @@ the contrast of "but", and emphasis by ! and ?.
 A lexicon is a table (token, valence); modifiers are a table (token, kind, weight) of kind
 ``booster`` (signed weight) or ``negate``. As in the published rules, a booster is never a hit itself,
 and a word of the lexicon doesn't modify others.
+
+Two more inputs are optional. ``SpecialCases`` names the words of the published rules for "never so",
+"without doubt" and "least". Phrases are a table (phrase, valence) of two words or more, such as idioms: where a phrase's
+words stand, the longest that ends there is one hit at its last word, in place of its words.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS
@@ -31,6 +37,25 @@ EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MANY_QUESTIONS = 0.18, 0.96
 NORMALISER = 15.0
 
+AFFIRMATION_FACTOR = 1.25
+
+
+@dataclass(frozen=True)
+class SpecialCases:
+    """Words of the published rules for phrases; ``never`` and ``without`` must be negations of the modifiers table.
+
+    ``never`` with one of ``so`` between it and the hit strengthens it, ``without`` with ``doubt`` between leaves it as it is,
+    and ``least`` right before it turns it, unless a word of ``at`` stands before that.
+    """
+
+    never: str = "never"
+    so: tuple[str, ...] = ("so", "this")
+    without: str = "without"
+    doubt: str = "doubt"
+    least: str = "least"
+    at: tuple[str, ...] = ("at", "very")
+
+
 ENTRY = {"valence": "double", "boost": "double", "negate": "boolean"}
 
 
@@ -50,13 +75,58 @@ def entries(lexicon: DataFrame, modifiers: DataFrame) -> DataFrame:
     )
 
 
-def _step(running: Column, modifier: Column, weight: Column | float) -> Column:
-    """Effect of one earlier word on the running valence; lexicon words have none."""
+def _step(
+    running: Column, modifier: Column, weight: Column | float, special: SpecialCases | None = None, near: list[Column] = (),
+) -> Column:
+    """Effect of one earlier word on the running valence; lexicon words have none.
+
+    With special cases, ``near`` has the words up to this one, from the hit backwards.
+    """
     boosted = running + F.signum(running) * F.coalesce(modifier["boost"], F.lit(0.0)) * weight
     factor = F.when(modifier["negate"], F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+    if special is not None and len(near) > 1:
+        *between, word = near
+        so = F.greatest(*[w.isin(*special.so) for w in between], F.lit(False))
+        doubt = F.greatest(*[w == special.doubt for w in between], F.lit(False))
+        factor = F.when((word == special.never) & so, AFFIRMATION_FACTOR).when((word == special.without) & doubt, 1.0).otherwise(factor)
     return F.when(modifier.isNull() | modifier["valence"].isNotNull(), running).otherwise(boosted * factor)
 
 
+def _least(running: Column, modifier: Column, first: Column, second: Column, special: SpecialCases) -> Column:
+    """The valence after the rule for "least" right before the hit."""
+    applies = (first == special.least) & (modifier.isNull() | modifier["valence"].isNull()) & F.coalesce(~second.isin(*special.at), F.lit(True))
+    return F.when(applies, running * NEGATION_FACTOR).otherwise(running)
+
+
+PHRASE = {"phrases": "array<struct<words:array<string>,valence:double>>"}
+
+
+def phrase_rows(phrases: DataFrame, limit: int = DEFAULTS.inline_rows) -> list[dict]:
+    """Phrases by their last word, the longest first, as rows of a word table; more than ``limit`` are refused."""
+    words = F.split(F.trim(F.col("phrase")), " +")
+    table = phrases.select(words.alias("words"), F.col("valence").cast("double").alias("valence"))
+    rows = table.filter(F.size("words") > 1).withColumn("hash", F.xxhash64(F.element_at("words", -1))).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} phrases")
+    found: dict[str, dict] = {}
+    for r in sorted(rows, key=lambda r: (-len(r["words"]), r["words"])):
+        entry = found.setdefault(r["words"][-1], {"token": r["words"][-1], "hash": r["hash"], "phrases": []})
+        entry["phrases"].append({"words": r["words"], "valence": r["valence"]})
+    return list(found.values())
+
+
+def _phrase_at(lookup, tokens: Column, i: Column) -> Column:
+    """The longest phrase that ends at a place: its words and valence, or NULL."""
+    return F.get(F.filter(lookup(F.get(tokens, i))["phrases"], lambda p: F.when(
+        i + 1 >= F.size(p["words"]), F.slice(tokens, i + 2 - F.size(p["words"]), F.size(p["words"])) == p["words"]).otherwise(False)), F.lit(0))
+
+
+def _covered(found: Column, i: Column, longest: int) -> Column:
+    """Whether a later word ends a phrase that has this one."""
+    ahead = [F.coalesce(F.size(F.get(found, i + d)["words"]) > d, F.lit(False)) for d in range(1, longest)]
+    return F.greatest(*ahead, F.lit(False))
+
+
 def _contrast(pos: Column, but_pos: Column) -> Column:
     """Weight of a hit relative to the first contrast word (position 0-based, -1: none)."""
     return (
@@ -87,60 +157,101 @@ def compound(total: Column, extra: Column) -> Column:
     )
 
 
-def _score_in_row(text: Column, rows: list, but: str) -> Column:
+def _score_in_row(text: Column, rows: list, but: str, special: SpecialCases | None, phrases: list[dict]) -> Column:
+    longest = max((len(p["words"]) for r in phrases for p in r["phrases"]), default=1)
+
+    def earlier(ctx: Column, i: Column, d: int, name: str) -> Column:
+        return F.when(i >= d, F.get(ctx[name], i - d))
+
     def valence(ctx: Column, i: Column) -> Column:
-        before = F.array(
-            *[
-                F.struct(F.when(i >= d, F.get(ctx["e"], i - d)).alias("e"), F.lit(w).alias("w"))
-                for d, w in enumerate(DISTANCE_WEIGHTS, start=1)
-            ]
-        )
         own = F.get(ctx["e"], i)["valence"]
-        return F.reduce(before, own, lambda v, m: _step(v, m["e"], m["w"])) * _contrast(i, ctx["but"])
+        if phrases:
+            own = F.coalesce(F.get(ctx["p"], i)["valence"], own)
+        if special is None:
+            before = F.array(*[F.struct(earlier(ctx, i, d, "e").alias("e"), F.lit(w).alias("w")) for d, w in enumerate(DISTANCE_WEIGHTS, start=1)])
+            return F.reduce(before, own, lambda v, m: _step(v, m["e"], m["w"])) * _contrast(i, ctx["but"])
+        near = F.array(*[F.struct(earlier(ctx, i, d, "e").alias("e"), earlier(ctx, i, d, "t").alias("t")) for d in (1, 2, 3)])
+
+        def stepped(n: Column) -> Column:
+            words = [n[d]["t"] for d in range(3)]
+            value = own
+            for d, w in enumerate(DISTANCE_WEIGHTS):
+                value = _bound_step(value, n[d]["e"], w, special, words[:d + 1])
+            return bind(value, lambda v: _least(v, n[0]["e"], words[0], words[1], special))
+
+        return bind(near, stepped) * _contrast(i, ctx["but"])
 
     def total(ctx: Column) -> Column:
-        hits = F.filter(
-            F.transform(ctx["e"], lambda e, i: F.when(e["valence"].isNotNull() & e["boost"].isNull(), i)), lambda i: i.isNotNull()
-        )
+        def is_hit(e: Column, i: Column) -> Column:
+            hit = e["valence"].isNotNull() & e["boost"].isNull()
+            return (F.coalesce(hit, F.lit(False)) | F.get(ctx["p"], i).isNotNull()) & ~_covered(ctx["p"], i, longest) if phrases else hit
+
+        hits = F.filter(F.transform(ctx["e"], lambda e, i: F.when(is_hit(e, i), i)), lambda i: i.isNotNull())
         return F.reduce(F.transform(hits, lambda i: valence(ctx, i)), F.lit(0.0), lambda a, v: a + v)
 
-    def score(lookup) -> Column:
+    def score(lookup, phrase_lookup=None) -> Column:
         tokens = F.transform(F.split(text, " "), lambda t: strip_token(t, 2))
-        found = bind(tokens, lambda ts: F.struct(
-            F.transform(ts, lambda t: lookup(t)).alias("e"),
-            (F.array_position(ts, but).cast("int") - 1).alias("but"),
-        ))
-        return bind(found, lambda ctx: compound(total(ctx), emphasis(text)))
 
-    return F.when(text.isNotNull(), with_word_map(rows, ENTRY, score))
+        def context(ts: Column) -> Column:
+            more = [ts.alias("t")] if special is not None else []
+            if phrase_lookup is not None:
+                more.append(F.transform(ts, lambda t, i: _phrase_at(phrase_lookup, ts, i)).alias("p"))
+            return F.struct(
+                F.transform(ts, lambda t: lookup(t)).alias("e"), (F.array_position(ts, but).cast("int") - 1).alias("but"), *more)
+
+        return bind(bind(tokens, context), lambda ctx: compound(total(ctx), emphasis(text)))
+
+    if not phrases:
+        return F.when(text.isNotNull(), with_word_map(rows, ENTRY, score))
+    return F.when(text.isNotNull(), with_word_map(rows, ENTRY, lambda lookup: with_word_map(phrases, PHRASE, lambda found: score(lookup, found))))
 
 
-def _score_by_join(keyed: DataFrame, table: DataFrame, col: str, but: str, max_rows: int) -> DataFrame:
+def _bound_step(value: Column, modifier: Column, weight: float, special: SpecialCases, near: list[Column]) -> Column:
+    return bind(value, lambda v: _step(v, modifier, weight, special, near))
+
+
+def _score_by_join(
+    keyed: DataFrame, table: DataFrame, col: str, but: str, max_rows: int, special: SpecialCases | None, phrases: list[dict],
+) -> DataFrame:
     """(__key, __total) for a lexicon too large for a constant: words and their neighbours are joined."""
+    longest = max((len(p["words"]) for r in phrases for p in r["phrases"]), default=1)
     tokens = F.transform(F.split(c(col), " "), lambda t: strip_token(t, 2))
-    near = bind(
-        bind(tokens, lambda ts: F.struct(ts.alias("t"), (F.array_position(ts, but).cast("int") - 1).alias("b"))),
-        lambda ctx: F.transform(
+
+    def places(ts: Column, found: Column | None) -> Column:
+        bare = F.struct(ts.alias("t"), (F.array_position(ts, but).cast("int") - 1).alias("b"), *([found.alias("p")] if found is not None else []))
+        return bind(bare, lambda ctx: F.transform(
             ctx["t"],
             lambda t, i: F.struct(
                 t.alias("token"), i.alias("pos"), ctx["b"].alias("but"),
                 *[F.when(i >= d, F.get(ctx["t"], i - d)).alias(f"p{d}") for d in (1, 2, 3)],
+                (F.get(ctx["p"], i)["valence"] if found is not None else F.lit(None).cast("double")).alias("phrase"),
+                (_covered(ctx["p"], i, longest) if found is not None else F.lit(False)).alias("covered"),
             ),
-        ),
-    )
+        ))
+
+    if phrases:
+        near = with_word_map(phrases, PHRASE, lambda lookup: bind(tokens, lambda ts: places(
+            ts, F.transform(ts, lambda t, i: _phrase_at(lookup, ts, i)))))
+    else:
+        near = bind(tokens, lambda ts: places(ts, None))
     # one look at the table's size for all four joins
     small = fits(table, max_rows)
-    words = keyed.filter(c(col).isNotNull()).select("__key", F.explode(near).alias("x"))
+    words = keyed.filter(c(col).isNotNull()).select("__key", F.explode(near).alias("x")).select("__key", "x.*").filter(~F.col("covered")).drop("covered")
     # texts that occur often give the same hits: one of each is enough
     hits = lookup_join(
-        words.select("__key", "x.*"),
+        words.filter(F.col("phrase").isNull()),
         table.filter("valence is not null and boost is null").select("token", F.col("valence").alias("v")),
         "token", salt_on=["__key", "pos"], small=small,
-    ).drop("token").dropDuplicates(["__key", "pos"])
+    )
+    if phrases:
+        hits = hits.unionByName(words.filter(F.col("phrase").isNotNull()).withColumn("v", F.col("phrase")))
+    hits = hits.drop("token", "phrase").dropDuplicates(["__key", "pos"])
     for d, w in enumerate(DISTANCE_WEIGHTS, start=1):
-        side = table.select(F.col("token").alias(f"p{d}"), F.struct("valence", "boost", "negate").alias("m"))
+        side = table.select(F.col("token").alias(f"p{d}"), F.struct("valence", "boost", "negate").alias(f"m{d}"))
         hits = lookup_join(hits, side, f"p{d}", "left", salt_on=["__key", "pos"], small=small)
-        hits = hits.withColumn("v", _step(F.col("v"), F.col("m"), w)).drop("m", f"p{d}")
+        hits = hits.withColumn("v", _step(F.col("v"), F.col(f"m{d}"), w, special, [F.col(f"p{n}") for n in range(1, d + 1)]))
+    if special is not None:
+        hits = hits.withColumn("v", _least(F.col("v"), F.col("m1"), F.col("p1"), F.col("p2"), special))
     return hits.groupBy("__key").agg(F.sum(F.col("v") * _contrast(F.col("pos"), F.col("but"))).alias("__total"))
 
 
@@ -148,19 +259,22 @@ def lexicon_sentiment(
     df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, col: str = "cleaned_body",
     out: str = "vader_sentiment", but: str = "but",
     inline_rows: int = DEFAULTS.inline_rows, max_rows: int = DEFAULTS.broadcast_rows,
+    special: SpecialCases | None = None, phrases: DataFrame | None = None,
 ) -> DataFrame:
     """Adds a compound score in [-1, 1]; text without hits scores 0.0, NULL text NULL.
 
     A lexicon of up to ``inline_rows`` entries becomes a constant that each row looks its words
     up in: no shuffle, no join, no Python worker. A larger one is joined to the exploded words; a
-    score depends on the text alone, so the sums find their rows by a digest of the text.
+    score depends on the text alone, so the sums find their rows by a digest of the text. Phrases
+    (few, as a constant in either form) and special cases are applied if they are given.
     """
     table = entries(lexicon, modifiers)
+    listed = phrase_rows(phrases) if phrases is not None else []
     rows = few_rows(table, inline_rows)
     if rows is not None:
-        return compute_once(df, out, _score_in_row(c(col), rows, but))
+        return compute_once(df, out, _score_in_row(c(col), rows, but, special, listed))
     keyed = df.withColumn("__key", content_key(c(col)))
-    sums = _score_by_join(keyed, table, col, but, max_rows)
+    sums = _score_by_join(keyed, table, col, but, max_rows, special, listed)
     joined = keyed.join(sums, "__key", "left")
     score = compound(F.coalesce(F.col("__total"), F.lit(0.0)), emphasis(c(col)))
     kept = [c(x) for x in df.columns if x != out]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from remarklab.functions.words import seed_lexicon, seed_modifiers
 from remarklab.operators import corpus as C
-from remarklab.operators.sentiment import label_sentiment, lexicon_sentiment, score_comparison
+from remarklab.operators.sentiment import SpecialCases, label_sentiment, lexicon_sentiment, phrase_rows, score_comparison
 
 LEX = {"good": 1.9, "bad": -2.5, "great": 3.1, "ugly": -2.3, "ok": 0.9}
 BOOST = {"very": 0.293, "barely": -0.293}
@@ -115,3 +115,65 @@ def test_a_booster_in_the_lexicon_is_no_hit(spark, options):
     modifiers = spark.createDataFrame([("really", "booster", 0.293)], "token string, kind string, weight double")
     got = {r.id: r.vader_sentiment for r in lexicon_sentiment(df, lexicon, modifiers, **options).collect()}
     assert got == {"1": 0.0, "2": 0.4404, "3": 0.4404}
+
+
+PHRASES = {"bad good": 1.5, "very bad good": -1.0, "to die for": 3.0, "good but": 0.5, "never so": 2.0, "single": 9.0}
+SPECIAL_NEG = {*NEG, "without"}
+
+
+def direct_special(text):
+    """Phrases and special cases word by word."""
+    words = [w.strip(".,!?;:") if len(w.strip(".,!?;:")) > 2 else w for w in text.split(" ")]
+    phrases = [p.split() for p in PHRASES if " " in p]
+    ends = {}
+    for j in range(len(words)):
+        best = max((p for p in phrases if words[max(0, j + 1 - len(p)):j + 1] == p), key=len, default=None)
+        if best:
+            ends[j] = best
+    covered = {i for j, p in ends.items() for i in range(j + 1 - len(p), j)}
+    but = words.index("but") if "but" in words else None
+    total = 0.0
+    for i, w in enumerate(words):
+        if i in covered or (i not in ends and w not in LEX):
+            continue
+        v = PHRASES[" ".join(ends[i])] if i in ends else LEX[w]
+        for d, weight in ((1, 1.0), (2, 0.95), (3, 0.9)):
+            if i < d or words[i - d] in LEX:
+                continue
+            p, between = words[i - d], words[i - d + 1:i]
+            if p in BOOST:
+                v += math.copysign(1, v) * BOOST[p] * weight if v else 0
+            if p == "never" and {"so", "this"} & set(between):
+                v *= 1.25
+            elif not (p == "without" and "doubt" in between) and p in SPECIAL_NEG:
+                v *= -0.74
+        if i and words[i - 1] == "least" and not (i > 1 and words[i - 2] in ("at", "very")):
+            v *= -0.74
+        if but is not None and i != but:
+            v *= 0.5 if i < but else 1.5
+        total += v
+    total = round(total, 8)
+    return max(-1.0, min(1.0, round(total / math.sqrt(total * total + 15), 4)))
+
+
+def test_phrases_and_special_cases_in_both_forms(spark):
+    rng = random.Random(9)
+    vocab = [*LEX, *BOOST, *SPECIAL_NEG, "but", "so", "this", "doubt", "least", "at", "to", "die", "for", "x"]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randrange(1, 14))) for _ in range(300)]
+    texts += ["never so good", "without doubt great", "without any doubt bad", "at least good", "least good", "very bad good", "to die for", "die for"]
+    lexicon, _ = frames(spark)
+    mods = spark.createDataFrame([(t, "booster", w) for t, w in BOOST.items()] + [(t, "negate", None) for t in sorted(SPECIAL_NEG)],
+                                 "token string, kind string, weight double")
+    listed = spark.createDataFrame(list(PHRASES.items()), "phrase string, valence double")
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "cleaned_body string")
+    for rows in (20000, 0):
+        out = lexicon_sentiment(df, lexicon, mods, special=SpecialCases(), phrases=listed, inline_rows=rows)
+        for r in out.collect():
+            assert r.vader_sentiment == (None if r.cleaned_body is None else pytest.approx(direct_special(r.cleaned_body), abs=1e-4)), r.cleaned_body
+
+
+def test_phrase_tables_are_bounded(spark):
+    listed = spark.createDataFrame(list(PHRASES.items()), "phrase string, valence double")
+    assert sum(len(r["phrases"]) for r in phrase_rows(listed)) == 5
+    with pytest.raises(ValueError):
+        phrase_rows(listed, 3)

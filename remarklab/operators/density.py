@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scores import safe_divide
 from ..schema import c
+from ..session import cache_stage
 
 
 def histogram(
@@ -62,6 +63,12 @@ def histogram(
 SKETCH_ACCURACY = 10_000
 
 
+# so many distinct values of a bracket one task may rank
+RANKED_VALUES = 1_000_000
+# parts into which a bracket with more of them is cut, once or more
+PARTS = 100
+
+
 def _attach(df: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
     """Add the columns of a one-row-per-group frame; of a single row where there is no grouping.
 
@@ -74,15 +81,46 @@ def _attach(df: DataFrame, per_group: DataFrame, by: str | None) -> DataFrame:
     return df.withColumn("__one", row).select(*df.columns, *[F.col("__one")[x].alias(x) for x in names])
 
 
+def _inside(base: DataFrame, brackets: DataFrame, by: str | None) -> DataFrame:
+    """(group, v, b): every value with each bracket ``b`` of its group that it doesn't lie above."""
+    return _attach(base, brackets, by).select("__by", "v", F.explode(F.filter("br", lambda b: F.col("v") <= b["hi"])).alias("b"))
+
+
+def _refine(base: DataFrame, brackets: DataFrame, by: str | None, most: int) -> DataFrame:
+    """Brackets with at most about ``most`` distinct values.
+
+    A bracket with more is cut at the quantiles of a sketch of the values between its ends, and the parts
+    next to the wanted position stay: each round leaves a few hundredths of the rows in between, whatever ties there are
+    at the ends. What lies below is counted anew each time, so the result stays exact. A round is one pass over
+    the values; of each bracket only counts and the sketch are gathered.
+    """
+    most = max(most, 10 * PARTS)  # parts of ten rows at least, so that the positions around a cut are kept
+    lo, hi = F.col("b.lo"), F.col("b.hi")
+    between = F.when((F.col("v") > lo) & (F.col("v") < hi), F.col("v"))
+    while True:
+        stats = cache_stage(_inside(base, brackets, by).groupBy("__by", "b").agg(
+            F.count_if(F.col("v") <= lo).alias("below"), F.count(between).alias("n"), F.approx_count_distinct(between).alias("values"),
+            F.percentile_approx(between, [i / PARTS for i in range(PARTS + 1)], SKETCH_ACCURACY).alias("q")), durable=True)
+        if (stats.agg(F.max("values")).first()[0] or 0) <= most:
+            return brackets
+        place = F.floor((F.col("b.pos") - F.col("below")) / F.greatest(F.col("n") - 1, F.lit(1)) * PARTS).cast("int")
+        large = F.col("values") > most
+        left = F.when(large & (place >= 1), F.get("q", F.least(place - 1, F.lit(PARTS)))).otherwise(lo)
+        right = F.when(large & (place + 2 <= PARTS), F.get("q", F.greatest(place + 2, F.lit(0)))).otherwise(hi)
+        brackets = stats.groupBy("__by").agg(
+            F.collect_list(F.struct(F.col("b.p").alias("p"), F.col("b.pos").alias("pos"), left.alias("lo"), right.alias("hi"))).alias("br"))
+
+
 def exact_quantiles(
-    df: DataFrame, col: str, probabilities: list[float], by: str | None = None,
+    df: DataFrame, col: str, probabilities: list[float], by: str | None = None, most: int = RANKED_VALUES,
 ) -> DataFrame:
     """Linearly interpolated quantiles, exact, in long form (by, p, value).
 
     The exact ``percentile`` aggregate keeps every distinct value of a group in one task. Here a
     bounded sketch first brackets each quantile, everything below a bracket is only counted, and
     just the values inside it (a few ten-thousandths of a large group, counted per distinct
-    value) are shuffled and ranked.
+    value) are shuffled and ranked. Where a bracket may still hold more than ``most`` distinct values it is
+    refined first, so no task ranks more than about that.
     """
     name = "__by"
     base = df.select((c(by) if by else F.lit(0)).alias(name), c(col).cast("double").alias("v")).filter(
@@ -97,6 +135,9 @@ def exact_quantiles(
         F.max("v").alias("max_v"),
         F.percentile_approx("v", [*lows, *highs], SKETCH_ACCURACY).alias("q"),
     )
+    # a row per group
+    bounds = cache_stage(bounds, durable=True)
+    largest = bounds.agg(F.max("n")).first()[0] or 0
     k = len(probabilities)
     small = F.col("n") <= SKETCH_ACCURACY
     brackets = bounds.select(
@@ -113,9 +154,10 @@ def exact_quantiles(
             ]
         ).alias("br"),
     )
-    placed = _attach(base, brackets, by).select(
-        name, "v", F.explode(F.filter("br", lambda b: F.col("v") <= b["hi"])).alias("b")
-    )
+    # twice the margin and the sketch's own error, on both sides
+    if largest > SKETCH_ACCURACY and largest * (2 * margin + 2 / SKETCH_ACCURACY) > most:
+        brackets = _refine(base, brackets, by, most)
+    placed = _inside(base, brackets, by)
     inside = F.col("v") >= F.col("b.lo")
     # each task counts the values below a bracket in one row, and those inside in one row per value
     ranked = (

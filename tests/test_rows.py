@@ -128,6 +128,31 @@ def test_exact_quantiles_of_a_large_skewed_group(spark):
     assert abs(box.median - round(whole[3], 6)) < 1e-6 and box.n == 60002
 
 
+def test_brackets_with_many_values_are_refined(spark, monkeypatch):
+    """Brackets beyond the bound, ties at their ends and within, several groups: the same quantiles, and few values to rank."""
+    n = 400000
+    rows = spark.range(n).select(
+        (F.col("id") % 2).cast("string").alias("g"),
+        F.when(F.col("id") % 10 < 4, F.lit(0.0)).when(F.col("id") % 10 == 4, F.lit(3.0))
+        .otherwise(F.exp((F.xxhash64("id") % 1000003) / 300000.0)).alias("v"))
+    df = rows.unionByName(spark.createDataFrame([("few", 1.0), ("few", 2.0), ("none", None)], "g string, v double"))
+    ps = [0.0, 0.2, 0.399999, 0.4, 0.5, 0.77, 1.0]
+    seen = []
+    refine = D._refine
+    monkeypatch.setattr(D, "_refine", lambda *a: (seen.append(refine(*a)), seen[-1])[1])
+    # brackets of a twentieth of the rows, to be cut to a thousand values
+    monkeypatch.setattr(D, "SKETCH_ACCURACY", 200)
+    got = {(r.g, r.p): r.value for r in D.exact_quantiles(df, "v", ps, "g", most=1000).collect()}
+    want = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()
+    for r in want:
+        for p, q in zip(ps, r.q or []):
+            assert abs(got[(r.g, p)] - q) < 1e-9
+    assert len(got) == 3 * len(ps) and len(seen) == 1
+    base = df.select(F.col("g").alias("__by"), "v").filter("v IS NOT NULL")
+    ranked = D._inside(base, seen[0], "g").filter("v > b.lo AND v < b.hi").groupBy("__by", "b").agg(F.count_distinct("v").alias("n"))
+    assert ranked.agg(F.max("n")).first()[0] <= 1500
+
+
 def test_histogram_edges_and_empty(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (1.0,), (None,)], "v double")
     got = [(r.bin, r.n) for r in D.histogram(df, "v", 4).orderBy("bin").collect()]

@@ -15,8 +15,9 @@ document further left) is removed. Not every suffix is moved:
    each such class the single windows are entered, bucketed, sorted and compared in the same way.
 
 Entries, spans and texts travel packed, a row per task batch and bucket; texts meet their spans in
-buckets of documents. Grams, runs and windows are compared by 64-bit hashes (a run by its gram's as
-well). A bucket holds about ``BUCKET`` entries; more data makes more buckets.
+buckets of documents. Runs and windows are compared by two 64-bit hashes: a run by its gram's and its
+own, a window by its own and one of its halves. A bucket holds about ``BUCKET`` entries; more data makes more
+buckets. The sample of entries has a fixed size, whatever the corpus and the length of its texts.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ from remarklab.llm.common import cut, ship_package, slices, small_batches
 LENGTH = 100
 # windows are numbered within segments of a text, so that ties between equal grams go to the right one
 SEGMENT = 1 << 20
-# entries per bucket, and documents in the sample that splitters are taken from
-BUCKET, SAMPLE_DOCS = 1 << 20, 2048
+# entries per bucket; documents whose entries splitters are taken from, and about how many of these at most
+BUCKET, SAMPLE_DOCS, SAMPLE_ENTRIES = 1 << 20, 2048, 1 << 17
+# bytes of text for an entry, on average
+ENTRY_BYTES = 24
 # entries that a task deals out together
 GATHER = 1 << 18
 
@@ -100,7 +103,7 @@ def runs(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-# An entry: gram and content hash (for single windows the window's hash twice), id, digest, start, windows.
+# An entry: gram and content hash (for single windows the window's hash and another of its halves), id, digest, start, windows.
 FIELDS = (("gram", "<u8"), ("content", "<u8"), ("id", "<i8"), ("digest", "<u4"), ("start", "<u4"), ("count", "<u2"))
 Entries = dict[str, np.ndarray]
 
@@ -278,8 +281,10 @@ def _window_entries(length: int):
                 if len(spans):
                     text = Substrings(data)
                     for first, count in spans.tolist():
-                        hashes = text.windows(length, first, first + count - 1)
-                        parts.append(_of(i, d, np.arange(first, first + count), np.ones(count), hashes, hashes))
+                        last, half = first + count - 1, length // 2
+                        # equal windows by chance would need equal hashes of both halves as well
+                        halves = text.windows(half, first, last) * np.uint64(_BASE) + text.windows(half, first + half, last + half)
+                        parts.append(_of(i, d, np.arange(first, first + count), np.ones(count), text.windows(length, first, last), _mix(halves)))
             yield _join(parts)
 
     return rows
@@ -304,15 +309,29 @@ def _dealt(bucket: np.ndarray) -> list[np.ndarray]:
     return [g for g in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(g)]
 
 
-def _sample(df: DataFrame, rows) -> Entries:
-    """Some entries of the few documents that a sample has, on the driver."""
+def _sample(df: DataFrame, rows, rate: float) -> tuple[Entries, int]:
+    """The entries of a few documents whose hash lies in the share ``rate``, on the driver, and the number of all of theirs."""
+    bound = np.uint64(min(int(rate * (1 << 64)), (1 << 64) - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for entries in rows(batches):
-            few = np.random.Generator(np.random.PCG64(1)).permutation(len(entries["gram"]))[: 1 << 14]
-            yield pa.RecordBatch.from_arrays([pa.array([pack(_take(entries, np.sort(few)))], pa.binary())], names=["entries"])
+            few = np.flatnonzero(_mix(entries["start"].astype(np.uint64) * np.uint64(_BASE) + _mark(entries).astype(np.uint64)) <= bound)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pack(_take(entries, few))], pa.binary()), pa.array([len(entries["gram"])], pa.int64())], names=["entries", "n"])
+
+    found = df.mapInArrow(run, "entries binary, n bigint").toArrow()
+    return _join([unpack(p) for p in found["entries"].to_pylist()]), sum(found["n"].to_pylist())
+
+
+def _windows_of(borders: DataFrame) -> int:
+    """Number of single windows in packed spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [int(_uncolumns(p, "<i8", "<u4", "<u4", "<u4", "<u2")[4].sum(dtype=np.int64)) for p in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n"])
 
-    return _join([unpack(p) for p in df.mapInArrow(run, "entries binary").toArrow()["entries"].to_pylist()])
+    return borders.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
 
 
 PACKED = "bucket int, kind int, packed binary"
@@ -426,14 +445,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
     total = df.count()
     share = min(1.0, SAMPLE_DOCS / max(1, total))
     bound = int(share * SHARES) + 1
-    few = docs.where(F.pmod(F.col("id").bitwiseXOR(F.col("digest")), F.lit(SHARES)) < bound)
+    in_sample = F.pmod(F.col("id").bitwiseXOR(F.col("digest")), F.lit(SHARES)) < bound
+    few, size = docs.where(in_sample), F.octet_length("__text").cast("bigint")
+    bytes_of = docs.agg(F.sum(size).alias("all"), F.sum(F.when(in_sample, size)).alias("few")).first()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def buckets_for(sample: Entries) -> int:
-        return max(least, int(len(sample["gram"]) / share) // BUCKET + 1)
+    def buckets_for(entries: float) -> int:
+        return max(least, int(entries) // BUCKET + 1)
 
-    sample = _sample(few, _run_entries(length))
-    places = buckets = buckets_for(sample)
+    # entries of a byte of the sample stand for those of all bytes
+    wanted = SAMPLE_ENTRIES * ENTRY_BYTES / max(1, bytes_of["few"] or 0)
+    sample, entries = _sample(few, _run_entries(length), min(1.0, wanted))
+    places = buckets = buckets_for(entries * (bytes_of["all"] or 0) / max(1, bytes_of["few"] or 0))
     found = cut(_repeats(docs, _run_entries(length), choose_splitters(sample, buckets), buckets, True, places))
 
     def of_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,8 +469,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
                     yield _packed([b], BORDER, [_pack_spans(_take(own, chosen))])
 
     borders = found.where(F.col("kind") == BORDER)
-    sample = _sample(_meeting(few, borders.mapInArrow(of_few, PACKED), places), _window_entries(length))
-    buckets = buckets_for(sample)
+    windows = _windows_of(borders)
+    wanted = SAMPLE_ENTRIES / max(1.0, windows * share)
+    sample, _ = _sample(_meeting(few, borders.mapInArrow(of_few, PACKED), places), _window_entries(length), min(1.0, wanted))
+    buckets = buckets_for(windows)
     at_borders = _meeting(docs.where(F.octet_length("__text") >= length), borders, places)
     single = _repeats(at_borders, _window_entries(length), choose_splitters(sample, buckets), buckets, False, places)
 

@@ -122,3 +122,30 @@ def test_edges(spark):
     assert sorted(x[1] == x[0] for x in got[6]) == [True, True]
     assert len(got[None]) == 2 and sum(map(len, got.values())) == len(edge_rows())
     assert D.remove_repeats(empty(spark)).count() == 0
+
+
+def test_sample_is_bounded_by_entries(spark, monkeypatch):
+    """Texts of megabytes: the sample stays small, and the number of entries, from which buckets follow, is exact."""
+    monkeypatch.setattr(D, "SAMPLE_ENTRIES", 1000)
+    rng = np.random.default_rng(4)
+    long = [bytes(rng.integers(97, 123, 1 << 21, dtype=np.uint8)).decode() for _ in range(3)]
+    df = table(spark, [(i, t, None) for i, t in enumerate(long)] + [(10 + i, "short text " * 9, None) for i in range(5)])
+    docs = D._documents(df, "doc_id", "text")
+    want = sum(len(D.runs(np.frombuffer(t.encode(), np.uint8))[0]) for t in long)
+    everything, n = D._sample(docs.where("id < 3"), D._run_entries(100), 1.0)
+    assert n == want == len(everything["gram"])
+    few, n = D._sample(docs.where("id < 3"), D._run_entries(100), 1000 / want)
+    assert n == want and 800 < len(few["gram"]) < 1200
+    seen = []
+    sample = D._sample
+    monkeypatch.setattr(D, "_sample", lambda *a: (seen.append(sample(*a)), seen[-1])[1])
+    out = D.remove_repeats(df).collect()
+    assert len(out) == 8 and all(len(entries["gram"]) < 1500 for entries, _ in seen)
+
+
+def test_windows_have_two_hashes():
+    """The hash of a window and that of its halves are apart, and tell the same windows from each other."""
+    text = D.Substrings(np.frombuffer(words(200, 1).encode(), np.uint8))
+    whole = text.windows(100)
+    halves = D._mix(text.windows(50, 0, len(whole) - 1) * np.uint64(D._BASE) + text.windows(50, 50, len(whole) + 49))
+    assert len(np.unique(halves)) == len(np.unique(whole)) and not (halves == whole).any()

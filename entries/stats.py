@@ -331,3 +331,15 @@ def safe_divide(spark, sf):
         S.pct(F.lit(7), c("score")).alias("pct"),
         S.pct_text(c("score").cast("double") / 8).alias("pct_text"),
     )
+
+
+@query("distinct_users_by_week", """WITH e AS (SELECT time_bucket(INTERVAL 7 DAY, CAST(ts AS DATE), DATE '1970-01-01') AS week, user_id FROM events)
+SELECT strftime(week, '%Y-%m-%d') AS week_start, count(user_id) AS n, count(DISTINCT user_id) AS exact, true AS within FROM e GROUP BY week""")
+def distinct_users_by_week(spark, sf):
+    """Sketches per day, merged to weeks, beside the exact counts."""
+    days = table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    start = F.date_add(F.lit("1970-01-01").cast("date"), (F.floor(F.unix_date("day") / 7) * 7).cast("int"))
+    merged = P.merge_sketches(P.distinct_sketches(days, "day", "user_id"), start, "week")
+    exact = days.groupBy(start.alias("week")).agg(F.count_distinct("user_id").alias("exact"))
+    return merged.join(exact, "week").select(
+        F.date_format("week", "yyyy-MM-dd").alias("week_start"), "n", "exact", P.within_error(F.col("estimate"), F.col("exact")).alias("within"))

@@ -7,6 +7,7 @@ from remarklab.functions.stopwords import default_stopwords
 from remarklab.operators import corpus as C
 from remarklab.operators import joins as J
 from remarklab.operators import words as W
+from remarklab.operators import features as V
 from remarklab.operators.features import hashing_tfidf, fit_text_vectors, term_frequency, tfidf, vocabulary
 from remarklab.operators.rows import top_k_per_group
 
@@ -265,3 +266,10 @@ def hashing_tfidf_rows(spark, sf):
     out = hashing_tfidf(cleaned(spark, sf), 20000)
     weights = vector_to_array("features")
     return out.select("id", F.round(F.aggregate(weights, F.lit(0.0), lambda a, x: a + x), 4).alias("weight"))
+
+
+@query("bucket_tfidf", with_cleaned("""SELECT id, bucket, tf, round(tf * ln(((SELECT count(*) FROM cleaned) + 1) / (count(*) OVER (PARTITION BY bucket) + 1)), 6) AS tfidf FROM (
+  SELECT id, CAST('0x' || substring(md5(term), 1, 8) AS BIGINT) % 500 AS bucket, count(*) AS tf FROM (SELECT id, unnest(tokens_cleaned) AS term FROM cleaned) GROUP BY 1, 2)"""))
+def bucket_tfidf(spark, sf):
+    """Five hundred buckets, so that most hold several terms."""
+    return V.bucket_tfidf(cleaned(spark, sf), 500).withColumn("tfidf", F.round("tfidf", 6))

@@ -6,11 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULTS
 from ..functions.text import term_counts_of
 from ..schema import c
+from ..session import cache_stage
+from .joins import lookup_join
 
 # a vocabulary of up to this many terms is broadcast
 VOCABULARY_BROADCAST = DEFAULTS.broadcast_rows
@@ -71,15 +73,12 @@ def tfidf(
     """(key, term, tf, tfidf) over the vocabulary, in long form.
 
     Terms are counted inside their row and meet the vocabulary in a broadcast join, so only the
-    vocabulary itself needs a shuffle. It holds at most ``vocab_size`` rows, which is checked
-    before it is broadcast.
+    vocabulary itself needs a shuffle. It is broadcast if its rows and bytes are few enough, which is
+    looked up first, on the stored vocabulary; a larger one is joined by a salted shuffle.
     """
-    terms = vocabulary(df, vocab_size, min_df, tokens).select("term", "idf")
-    if vocab_size <= VOCABULARY_BROADCAST:
-        terms = F.broadcast(terms)
+    terms = cache_stage(vocabulary(df, vocab_size, min_df, tokens).select("term", "idf"), durable=True)
     return (
-        term_frequency(df, tokens, key)
-        .join(terms, "term")
+        lookup_join(term_frequency(df, tokens, key), terms, "term", max_rows=VOCABULARY_BROADCAST, salt_on=[key])
         .select(c(key), "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     )
 
@@ -131,3 +130,30 @@ def hashing_tfidf(
     """Hashed term counts weighted by IDF; needs no vocabulary."""
     hashed = HashingTF(inputCol=tokens, outputCol="raw_features", numFeatures=num_features).transform(df)
     return IDF(inputCol="raw_features", outputCol=out).fit(hashed).transform(hashed)
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    """Bucket of a term: the first 32 bits of its md5, modulo the number of buckets."""
+    return F.conv(F.substring(F.md5(term.cast("binary")), 1, 8), 16, 10).cast("bigint") % buckets
+
+
+def bucket_frequency(df: DataFrame, buckets: int = 20000, tokens: str = "tokens_cleaned", key: str = "id") -> DataFrame:
+    """(key, bucket, tf) in long form: tokens counted by bucket inside each row, so terms that share one add up."""
+    names = F.transform(c(tokens), lambda t: term_bucket(t, buckets).cast("string"))
+    return df.select(c(key), F.explode(term_counts_of(names)).alias("x")).select(
+        c(key), F.col("x.term").cast("bigint").alias("bucket"), F.col("x.tf").alias("tf"))
+
+
+def bucket_tfidf(df: DataFrame, buckets: int = 20000, tokens: str = "tokens_cleaned", key: str = "id") -> DataFrame:
+    """(key, bucket, tf, tfidf): hashed term frequencies and their weights, the relational form of ``hashing_tfidf``.
+
+    A bucket's document frequency counts the rows with any of its terms; idf = ln((m + 1) / (that + 1)) for
+    m rows. There are at most ``buckets`` of them, which is checked before they are broadcast.
+    """
+    counts = bucket_frequency(df, buckets, tokens, key)
+    per_bucket = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("doc_count"))
+    m = df.agg(F.count(F.lit(1)).alias("m")).scalar()
+    idf = F.log((m + 1).cast("double") / (F.col("doc_count") + 1))
+    weights = cache_stage(per_bucket.withColumn("idf", idf).select("bucket", "idf"), durable=True)
+    return lookup_join(counts, weights, "bucket", max_rows=VOCABULARY_BROADCAST, salt_on=[key]).select(
+        c(key), "bucket", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))

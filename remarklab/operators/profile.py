@@ -224,3 +224,25 @@ def weekly_sentiment(df: DataFrame, score: str = "vader_sentiment", time: str =
         .select(F.col("w.start").alias("week_start"), "avg_sentiment", "n")
         .orderBy("week_start")
     )
+
+
+# registers of a distinct sketch: 2 ** SKETCH_BITS, a relative standard error of about 1.04 / 2 ** (SKETCH_BITS / 2)
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, by: str, col: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """(by, n, sketch): a mergeable sketch of the distinct values of every group, of a few kilobytes at most; NULLs don't count.
+
+    Stored, the sketches answer for any union of groups without reading the rows again.
+    """
+    return df.groupBy(c(by).alias(by)).agg(F.count(c(col)).alias("n"), F.hll_sketch_agg(c(col), bits).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, key: Column, name: str = "key") -> DataFrame:
+    """(name, n, estimate): rows and estimated distinct values of unions of groups, merged on the map side."""
+    return sketches.groupBy(key.alias(name)).agg(F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
+def within_error(estimate: Column, exact: Column, bits: int = SKETCH_BITS, deviations: float = 4.0) -> Column:
+    """Whether an estimate lies within so many standard errors of the exact count, or one of a small count."""
+    return F.abs(estimate - exact) <= F.greatest(exact * (deviations * 1.04 / 2 ** (bits / 2)), F.lit(1.0))

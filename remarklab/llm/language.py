@@ -51,14 +51,28 @@ def ranges(kinds: str) -> str:
     return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in out)
 
 
+# letters and numbers that are no decimal digits, which for most texts is letters
+FAST_WORD = re.compile(r"[^\W\d_]{1,%d}" % WORD_LENGTH)
+
+
 @lru_cache(maxsize=1)
 def word_pattern() -> re.Pattern:
     """A letter and the letters and marks behind it; digits and other numbers are no letters."""
     return re.compile(f"[{ranges('L')}][{ranges('LM')}]{{0,{WORD_LENGTH - 1}}}")
 
 
+@lru_cache(maxsize=1)
+def odd_characters() -> frozenset[str]:
+    """Marks, and numbers that are no decimal digits: only texts with one of them need the exact pattern, which is slow."""
+    every = map(chr, range(sys.maxunicode + 1))
+    return frozenset(c for c in every if (kind := unicodedata.category(c))[0] == "M" or kind in ("No", "Nl"))
+
+
 def words_of(text: str) -> list[str]:
-    return word_pattern().findall(text.lower())
+    low = text.lower()
+    if low.isascii() or odd_characters().isdisjoint(low):
+        return FAST_WORD.findall(low)
+    return word_pattern().findall(low)
 
 
 def coded(word: str) -> bytes:

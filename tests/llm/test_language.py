@@ -116,6 +116,14 @@ def test_numbers_are_no_letters_and_marks_stay_in_their_words(spark):
     assert {r.lang_pred for r in P.identify(table(spark, [(1, "½ ² ③", None), (2, "Ⅷ", None)]), counts).collect()} == {"und"}
 
 
+def test_both_patterns_read_the_same_words():
+    rng = random.Random(5)
+    letters = "aZéßИ中ª𝒳_1٣ -.½²ⅧÅ\u0301\u093f\u0915"
+    for _ in range(2000):
+        t = "".join(rng.choice(letters) for _ in range(rng.randrange(80)))
+        assert P.words_of(t) == P.word_pattern().findall(t.lower())
+
+
 def test_slices_of_languages_give_the_same(spark, monkeypatch):
     docs = labelled(spark)
     counts = P.train(docs, "doc_id", "text", "lang")

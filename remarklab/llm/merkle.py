@@ -4,10 +4,11 @@ Rows of a group (here: a language) are the leaves of a subtree, in order of an i
 consecutive nodes become a parent while there are several. The roots of the groups, in order of the
 groups, are the leaves of the top tree in the same way.
 
-Positions come from a range partitioning with offsets per partition. A block of aligned leaves makes its lower subtree by itself. The rest is a butterfly: round by round, blocks whose numbers
-differ in one base-``FANOUT`` digit only swap the roots they have so far, so each block of such a group
-hashes the same parent and keeps its siblings. After the last round every block holds the root and
-the upper part of the proof of all its leaves; nothing is passed down again.
+Positions come from a range partitioning with offsets per partition. A block of aligned leaves makes its
+lower subtree by itself. The rest is a butterfly: round by round, blocks whose numbers differ in one
+base-``FANOUT`` digit only swap the roots they have so far, so each block of such a group hashes the same
+parent and keeps its siblings. After the last round every block holds the root and the upper part of
+the proof of all its leaves; nothing is passed down again.
 """
 
 from __future__ import annotations

@@ -2,12 +2,12 @@
 
 Patterns of four base kinds with their checks are always found. Beside them, generators of high recall
 propose spans that may overlap. Features of a candidate's format and context go through gradient-boosted
-trees, trained on a bounded sample of candidates. A candidate that overlaps a checked base span is
+trees, trained on the candidates of all documents. A candidate that overlaps a checked base span is
 private, and so is the same contact written without the marks that the base patterns go by (a phone without
 ``+`` or country code, an address with ``(at)`` and ``(dot)``), in the same place. Candidates that may
 be such contacts themselves, by a hint word in front or by their whole shape, are left out, as nobody has
 labelled them; all others are not private. The trees are written out as column expressions, so scoring stays in
-the row. On a held-out part of the sample every generator gets the lowest score threshold at which the
+the row. Candidates of equal features are one weighted row. On a held-out part every generator gets the lowest score threshold at which the
 precision of what it accepts, among contacts without base marks and candidates that are not private,
 reaches ``PRECISION``.
 
@@ -51,8 +51,8 @@ HINTS = (r"(?i)(?:tel|phone|call|mobile|fax|mail|contact|write|reach|ip|host|add
 AT, DOT = r" ?[(\[][Aa][Tt][)\]] ?", r" ?[(\[][Dd][Oo][Tt][)\]] ?"
 # digits that a number without its base marks must still have
 LEAST_DIGITS = 7
-# bounds of the training sample: documents, candidates; and the trees
-SAMPLE_DOCS, SAMPLE_CANDIDATES, TREES, DEPTH = 20_000, 20_000, 12, 3
+# the trees; every value of a feature with fewer than BINS values is a possible split
+TREES, DEPTH, BINS = 12, 3, 256
 PRECISION = 0.95
 
 FEATURES = ("length", "n_digits", "n_letters", "n_separators", "n_groups", "longest_group", "plus", "at", "dots", "parentheses",
@@ -150,34 +150,33 @@ class Model:
         return 1.0 / (1.0 + F.exp(-2.0 * tree_margin(self.trees, fields)))
 
 
-def train(df: DataFrame, text: str = "text", docs: int = SAMPLE_DOCS, candidates: int = SAMPLE_CANDIDATES,
-          precision: float = PRECISION) -> Model:
-    """Fit trees and thresholds on at most ``candidates`` candidates of about ``docs`` documents.
+def train(df: DataFrame, text: str = "text", precision: float = PRECISION) -> Model:
+    """Fit trees and thresholds on the candidates of all documents.
 
-    The sample is that of smallest text hashes. Without candidates of both labels there are no trees,
-    and only base spans will be found.
+    All forms of a candidate are in the fitted or all in the held-out part. Candidates that share label and
+    features are counted on the map side, so what is shuffled and fitted are their distinct ones. Without candidates
+    of both labels there are no trees, and only base spans will be found.
     """
-    column = F.col(f"`{text}`")
-    total = df.count()
-    span = 1 << 32
-    few = df.select(column.alias("t")).where(
-        F.xxhash64("t", F.lit(11)).bitwiseAND(span - 1) < max(1, min(span, span * docs // max(1, total))))
-    rows = _with_matches(few, "t", "base")
+    rows = _with_matches(df.select(F.col(f"`{text}`").alias("t")), "t", "base")
     each = F.concat(*[F.coalesce(F.flatten(F.transform(f"{MARK}{name}", _labelled(i))), F.array().cast(_LABELLED))
                       for i, name in enumerate(GENERATORS)])
     flat = rows.select(F.explode(each).alias("c"), F.xxhash64("t").alias("h")).select("c.*", "h")
-    sample = cut(flat.withColumn("o", F.xxhash64("h", "start", "fields")).orderBy("o", "h", "start").limit(candidates))
     # all forms of a candidate on one side
-    sample = sample.select("label", "free", "fields.*", (F.pmod(F.xxhash64("h", "start"), F.lit(10)) < 7).alias("fit"))
-    kinds = {r["label"] for r in sample.where("fit").select("label").distinct().collect()}
+    fit = (F.pmod(F.xxhash64("h", "start"), F.lit(10)) < 7).alias("fit")
+    by = ["label", "free", "fit", *FEATURES]
+    counted = cut(flat.select("label", "free", "fields.*", fit).groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    kinds = {r["label"] for r in counted.where("fit").select("label").distinct().collect()}
     if len(kinds) < 2:
         return Model()
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample.where("fit"))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, cacheNodeIds=False).fit(assembled.select("label", "features"))
+    # in a fixed order, as the library looks for splits in that of the rows
+    ordered = counted.where("fit").repartition("label", *FEATURES).sortWithinPartitions(*by)
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(ordered)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=1, cacheNodeIds=False, weightCol="n").fit(
+        assembled.select("label", "features", "n"))
     model = Model(trees)
-    packed = sample.where("NOT fit AND free").select("label", F.struct(*FEATURES).alias("f"))
-    binned = (packed.select(F.col("f")["generator"].cast("int").alias("g"), F.floor(model.score(F.col("f")) * 100).alias("bin"), "label")
-              .groupBy("g", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect())  # 101 per generator
+    packed = counted.where("NOT fit AND free").select("label", "n", F.struct(*FEATURES).alias("f"))
+    binned = (packed.select(F.col("f")["generator"].cast("int").alias("g"), F.floor(model.score(F.col("f")) * 100).alias("bin"), "label", "n")
+              .groupBy("g", "bin").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect())  # 101 per generator
     for i, name in enumerate(GENERATORS):
         good = n = 0.0
         best = None

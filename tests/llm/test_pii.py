@@ -142,3 +142,24 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = P.find_pii(docs, P.train(docs))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange|Join", plan)
+
+
+def test_training_takes_the_candidates_of_all_documents(spark, monkeypatch):
+    """Beyond 20,000 documents and candidates nothing is left out."""
+    seen = []
+
+    class Trees:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            seen.extend(rows.agg(F.sum("n"), F.count("n")).first())
+            raise InterruptedError
+
+    monkeypatch.setattr(P, "GBTClassifier", Trees)
+    text = "if(id % 3 = 0, concat('write to a', id, '@example.com now'), concat('count ', 1000000000 + id, ' of things'))"
+    docs = spark.range(45_000).selectExpr("id AS doc_id", f"{text} AS text")
+    with pytest.raises(InterruptedError):
+        P.train(docs)
+    # 30,000 numbers, and three forms of 15,000 addresses; seven in ten are fitted
+    assert seen[0] == pytest.approx(0.7 * 75_000, rel=0.03) and seen[1] < 5_000

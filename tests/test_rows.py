@@ -248,3 +248,17 @@ def test_quantiles_shuffle_few_rows(spark):
     df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("x"))
     got = {r.p: r.value for r in D.exact_quantiles(df, "x", [0.25, 0.5, 0.999]).collect()}
     assert got == {p: pytest.approx(p * (n - 1)) for p in (0.25, 0.5, 0.999)}
+
+
+def test_large_keyword_tables_meet_only_rows_without_a_common_keyword(spark, monkeypatch):
+    rows = [(str(i), ["Common" if i % 10 else "plain", f"w{i}", None]) for i in range(200)] + [("none", None), ("none", [])]
+    df = spark.createDataFrame(rows, "id string, tokens_cleaned array<string>")
+    words = spark.createDataFrame([("common",), ("common",), (None,), *[(f"w{i}",) for i in range(0, 400, 4)]], "token string")
+    want = sorted(str(i) for i in range(200) if i % 10 or i % 4 == 0)
+    joined = []
+    tokens_in = R.tokens_in
+    monkeypatch.setattr(R, "tokens_in", lambda texts, *rest: joined.append(texts.count()) or tokens_in(texts, *rest))
+    for options in ({"inline_rows": 1}, {"inline_rows": 1, "max_rows": 0}):
+        out = R.keyword_filter(df, words, **options)
+        assert out.columns == df.columns and sorted(r.id for r in out.collect()) == want
+    assert joined == [22, 22]

@@ -215,44 +215,39 @@ def _score_by_join(
 ) -> DataFrame:
     """(__key, __total) for a lexicon too large for a constant: words and their neighbours are joined."""
     longest = max((len(p["words"]) for r in phrases for p in r["phrases"]), default=1)
-    tokens = F.transform(F.split(c(col), " "), lambda t: strip_token(t, 2))
-
-    def places(ts: Column, found: Column | None) -> Column:
-        bare = F.struct(ts.alias("t"), (F.array_position(ts, but).cast("int") - 1).alias("b"), *([found.alias("p")] if found is not None else []))
-        return bind(bare, lambda ctx: F.transform(
-            ctx["t"],
-            lambda t, i: F.struct(
-                t.alias("token"), i.alias("pos"), ctx["b"].alias("but"),
-                *[F.when(i >= d, F.get(ctx["t"], i - d)).alias(f"p{d}") for d in (1, 2, 3)],
-                (F.get(ctx["p"], i)["valence"] if found is not None else F.lit(None).cast("double")).alias("phrase"),
-                (_covered(ctx["p"], i, longest) if found is not None else F.lit(False)).alias("covered"),
-            ),
-        ))
-
+    texts = compute_once(keyed.filter(c(col).isNotNull()).select("__key", c(col)), "__t", F.transform(
+        F.split(c(col), " "), lambda t: strip_token(t, 2))).drop(col)
+    size, gap = F.size("__t"), F.lit(None).cast("string")
+    near = [F.col("__t").alias("token"), *[F.slice(F.concat(F.array(*[gap] * d), "__t"), 1, size).alias(f"p{d}") for d in (1, 2, 3)]]
+    phrase, covered = F.lit(None).cast("double"), F.lit(False)
     if phrases:
-        near = with_word_map(phrases, PHRASE, lambda lookup: bind(tokens, lambda ts: places(
-            ts, F.transform(ts, lambda t, i: _phrase_at(lookup, ts, i)))))
-    else:
-        near = bind(tokens, lambda ts: places(ts, None))
+        texts = compute_once(texts, "__p", with_word_map(phrases, PHRASE, lambda lookup: F.transform(
+            "__t", lambda t, i: _phrase_at(lookup, F.col("__t"), i))))
+        lengths = F.transform("__p", lambda p: F.size(p["words"]))
+        near += [F.col("__p.valence").alias("phrase"), *[F.slice(lengths, d + 1, size).alias(f"n{d}") for d in range(1, longest)]]
+        phrase = F.col("phrase")
+        covered = F.greatest(*[F.coalesce(F.col(f"n{d}") > d, F.lit(False)) for d in range(1, longest)], F.lit(False))
+    but_at = (F.array_position("__t", but).cast("int") - 1).alias("but")
+    words = texts.select("__key", but_at, F.posexplode(F.arrays_zip(*near)).alias("pos", "x")).select("__key", "but", "pos", "x.*")
     # one look at the table's size for all four joins
     small = fits(table, max_rows)
-    words = keyed.filter(c(col).isNotNull()).select("__key", F.explode(near).alias("x")).select("__key", "x.*").filter(~F.col("covered")).drop("covered")
-    # texts that occur often give the same hits: one of each is enough
     hits = lookup_join(
-        words.filter(F.col("phrase").isNull()),
-        table.filter("valence is not null and boost is null").select("token", F.col("valence").alias("v")),
-        "token", salt_on=["__key", "pos"], small=small,
-    )
-    if phrases:
-        hits = hits.unionByName(words.filter(F.col("phrase").isNotNull()).withColumn("v", F.col("phrase")))
-    hits = hits.drop("token", "phrase").dropDuplicates(["__key", "pos"])
+        words, table.filter("valence is not null and boost is null").select("token", F.col("valence").alias("v")),
+        "token", "left", salt_on=["__key", "pos"], small=small,
+    ).withColumn("v", F.when(~covered, F.coalesce(phrase, F.col("v"))))
+    # the first word stays, hit or not: it tells how many rows have the text
+    hits = hits.filter(F.col("v").isNotNull() | (F.col("pos") == 0)).select("__key", "pos", "but", "p1", "p2", "p3", "v")
+    if not small:
+        # texts that occur often give the same hits: one of each is enough for further shuffles
+        hits = hits.dropDuplicates(["__key", "pos"])
     for d, w in enumerate(DISTANCE_WEIGHTS, start=1):
         side = table.select(F.col("token").alias(f"p{d}"), F.struct("valence", "boost", "negate").alias(f"m{d}"))
         hits = lookup_join(hits, side, f"p{d}", "left", salt_on=["__key", "pos"], small=small)
         hits = hits.withColumn("v", _step(F.col("v"), F.col(f"m{d}"), w, special, [F.col(f"p{n}") for n in range(1, d + 1)]))
     if special is not None:
         hits = hits.withColumn("v", _least(F.col("v"), F.col("m1"), F.col("p1"), F.col("p2"), special))
-    return hits.groupBy("__key").agg(F.sum(F.col("v") * _contrast(F.col("pos"), F.col("but"))).alias("__total"))
+    total = F.sum(F.col("v") * _contrast(F.col("pos"), F.col("but")))
+    return hits.groupBy("__key").agg((total / F.count_if(F.col("pos") == 0)).alias("__total"))
 
 
 def lexicon_sentiment(

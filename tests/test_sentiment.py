@@ -177,3 +177,25 @@ def test_phrase_tables_are_bounded(spark):
     assert sum(len(r["phrases"]) for r in phrase_rows(listed)) == 5
     with pytest.raises(ValueError):
         phrase_rows(listed, 3)
+
+
+def test_joined_words_are_summed_before_they_move(spark):
+    """Only sums per text are shuffled while the lexicon is broadcast; copies of a text score as one."""
+    from remarklab.operators import sentiment as S
+
+    texts = ["a good day of the best", "the best", "good good but bad", "plain", "", "no good of the best of"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts * 3)] + [("n", None)], "id string, cleaned_body string")
+    lexicon = spark.createDataFrame([("good", 1.9), ("bad", -2.5), ("best", 3.2), ("day", 0.1)], "token string, valence double")
+    modifiers = spark.createDataFrame([("no", "negate", None), ("a", "booster", 0.293)], "token string, kind string, weight double")
+    phrases = spark.createDataFrame([("of the best", 2.1), ("the best", 1.3)], "phrase string, valence double")
+
+    def scores(**options):
+        out = S.lexicon_sentiment(df, lexicon, modifiers, phrases=phrases, special=S.SpecialCases(), **options)
+        return sorted((r.id, r.vader_sentiment) for r in out.collect()), out._jdf.queryExecution().executedPlan().toString()
+
+    inline, _ = scores()
+    small, plan = scores(inline_rows=0)
+    large, _ = scores(inline_rows=0, max_rows=0)
+    assert small == inline == large and len(inline) == 19
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "__key" in line]
+    assert moved and not any("pos#" in line for line in moved)

@@ -3,6 +3,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
 from remarklab.operators import embeddings as V
 
 
@@ -89,3 +91,46 @@ def test_word2vec_keeps_the_vocabulary_bounded(spark):
     df = spark.createDataFrame([("1", ["a", "b", "a", "c"] * 20), ("2", ["a", "b", "d"] * 20)], "id string, tokens_cleaned array<string>")
     out = V.word_vectors(V.fit_word2vec(df, size=4, vocab_size=3, min_df=1)).collect()
     assert sorted(r.word for r in out) == ["a", "b", "c"] and all(len(r.vector) == 4 for r in out)
+
+
+def test_word2vec_trains_in_more_tasks_on_more_words(spark, monkeypatch):
+    from pyspark.ml.feature import Word2Vec
+
+    df = spark.createDataFrame([(str(i), (["a", "b"] if i % 2 else ["c", "d"]) * 5) for i in range(100)], "id string, tokens_cleaned array<string>")
+    seen = []
+    monkeypatch.setattr(V, "Word2Vec", lambda **kw: seen.append(kw["numPartitions"]) or Word2Vec(**kw))
+    V.fit_word2vec(df, size=4)
+    monkeypatch.setattr(V, "WORDS_PER_TASK", 300)
+    model = V.fit_word2vec(df, size=4)
+    assert seen == [1, 4] and model.getVectors().count() == 4
+
+
+def test_word_queries_clean_the_texts_once(spark, monkeypatch):
+    from entries import embeddings as E
+
+    cleaned_rows = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def tokens(i):
+        cleaned_rows.add(1)
+        return ["a", "b", f"w{i}", "b", "", "a"]
+
+    rows = spark.range(40).select(F.col("id").cast("string").alias("id"), tokens.asNondeterministic()("id").alias("tokens_cleaned"))
+    monkeypatch.setattr(E, "cleaned", lambda *_: rows)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    weighted, words = E.weights(spark, None)
+    assert words[:3] == ["a", "b", ""] and weighted.count() > 0
+    assert cleaned_rows.value == 40 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_context_counts_equal_a_count_by_hand(spark):
+    import random
+    from collections import Counter
+
+    rng = random.Random(4)
+    texts = [[rng.choice(["a", "b", "c", "d", None]) for _ in range(rng.randrange(9))] for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "tokens_cleaned array<string>")
+    for words, contexts, window in ((["a", "b", "c"], ["b", "d"], 2), (["a"], ["a"], 3), (["a"], [], 2), (["a"], ["b"], 0)):
+        want = Counter((t[i], t[j]) for t in texts for i in range(len(t)) for j in range(len(t))
+                       if 0 < abs(i - j) <= window and t[i] in words and t[j] in contexts)
+        assert {(r.word, r.context): r.n for r in V.context_counts(df, words, contexts, window).collect()} == want

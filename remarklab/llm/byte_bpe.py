@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import base64
 import struct
-from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
 
-from remarklab.llm.common import append_columns
+from remarklab.llm.common import append_columns, held
 
 # first of the 256 characters that stand for the bytes
 BYTE_BLOCK = 0x2800
@@ -112,9 +111,8 @@ class Codec:
         return b"".join([pieces[i] for (i,) in struct.iter_unpack("<I", ids or b"")])
 
 
-@lru_cache(maxsize=2)
 def codec(model: bytes, pattern: str) -> Codec:
-    return Codec(model, pattern)
+    return held(("byte_bpe", model, pattern), lambda: Codec(model, pattern))
 
 
 def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -65,6 +65,18 @@ def free_name(columns: Iterable[str], name: str) -> str:
     return name
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """What ``make`` returns, kept by this worker from task to task until it needs another key: workers are used again
+    by later jobs, and one that kept the tables of every operator would hold all of them at once."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def append_columns(
     df: DataFrame, text: str, schema: str, make: Callable[[], Callable[[list], Iterable[pa.Array]]],
     keep: list[str] | None = None,

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from remarklab.llm.common import append_columns, free_name, ship_package, small_batches
+from remarklab.llm.common import append_columns, free_name, held, ship_package, small_batches
 
 ORDER = 4
 # longest piece of a word, words that a worker remembers
@@ -262,17 +262,9 @@ def train(labelled: DataFrame, id_col: str, text: str, lang: str, sample_rows: i
     return counts
 
 
-# the scorers of the last model that a worker got, one per slice
-_SCORERS: dict[str, Scorer] = {}
-
-
 def scorer_of(name: str, model: Broadcast) -> Scorer:
-    """The worker's scorer of a broadcast model; it keeps its words from task to task."""
-    if name not in _SCORERS:
-        # one slice at a time, so that memory doesn't grow with their number
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(model.value)
-    return _SCORERS[name]
+    """The worker's scorer of a broadcast model; it keeps its words from task to task, one slice at a time."""
+    return held(("language", name), lambda: Scorer(model.value))
 
 
 SLICE = "lang string, bits double, rest double, coded double, fitting double"

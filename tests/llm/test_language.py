@@ -175,3 +175,14 @@ def test_documents_of_labels_that_no_training_row_has_stay(spark):
     kept = corpus_pipeline.keep_languages(spark, table(spark, rows), "").collect()
     assert sorted(r.doc_id for r in kept) == sorted(held[:10] + [1000 + i for i in range(40)])
     assert {r.lang for r in kept} == {"aa", "ru"}
+
+
+def test_a_worker_holds_one_operators_tables():
+    from remarklab.llm import common
+
+    made = []
+    for key in ("language", "language", "byte_bpe", "language"):
+        assert common.held(key, lambda: made.append(key) or key) == key  # noqa: B023
+        assert list(common._HELD) == [key]
+    assert made == ["language", "byte_bpe", "language"]
+    common._HELD.clear()

@@ -72,7 +72,7 @@ def test_run_is_the_stages(spark):
 
 def test_registered():
     assert set(queries.QUERIES) <= set(entry.queries()) and entry.queries()["pipeline"] is C.run
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert len(C.STAGES) == 5
 
 
@@ -94,5 +94,6 @@ def test_lost_files_of_the_package(tmp_path):
 def test_empty_table_through_queries(spark, tmp_path):
     empty(spark).selectExpr("*", "'s' AS source", "0L AS n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, QUESTION)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "page_id bigint, url string, html string, lang string").write.parquet(f"{tmp_path}/pages.parquet")
     for name, query in queries.QUERIES.items():
         assert query(spark, str(tmp_path)).count() == 0, name
